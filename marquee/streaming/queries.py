@@ -25,8 +25,16 @@ def _trigger(writer, trigger: dict | None):
 
 def start_vote_log(votes: DataFrame, sink: str, checkpoint: str, ts: str = "ts",
                    length: str = "10 minutes", trigger: dict | None = None,
-                   fmt: str = "parquet") -> StreamingQuery:
-    """Every vote, appended under ``<sink>/w=<window end label>/`` (stateless)."""
+                   fmt: str = "parquet", folders: str = "day") -> StreamingQuery:
+    """Every vote with its window label ``w`` (stateless, append).
+
+    ``folders="day"`` (default) writes ``<sink>/d=<yyyy-MM-dd>/`` and keeps
+    ``w`` as a column (pruned by parquet statistics when one window is
+    read); ``folders="window"`` writes one folder per window,
+    ``<sink>/w=<label>/``, like the reference's per-window log directories —
+    fine for a live stream, but a backfill over many windows then creates
+    one folder per window in each task.
+    """
     win = F.window(F.col(ts), length)
     logged = (
         votes.where(F.col(ts).isNotNull())
@@ -34,9 +42,16 @@ def start_vote_log(votes: DataFrame, sink: str, checkpoint: str, ts: str = "ts",
         .withColumn("w", window_label(F.col("_w.end")))
         .drop("_w")
     )
+    if folders == "day":
+        logged = logged.withColumn("d", F.substring("w", 1, 10))
+        part = "d"
+    elif folders == "window":
+        part = "w"
+    else:
+        raise ValueError("folders must be 'day' or 'window'")
     writer = (
         logged.writeStream.format(fmt).outputMode("append")
-        .option("checkpointLocation", checkpoint).partitionBy("w")
+        .option("checkpointLocation", checkpoint).partitionBy(part)
     )
     return _trigger(writer, trigger).start(sink)
 

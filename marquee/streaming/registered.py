@@ -45,7 +45,8 @@ def vote_log_stream(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "vote_log"), scratch_path(spark, "vote_log-ckpt")
     _run(start_vote_log(event_votes(spark, sf_dir), sink, ckpt))
     schema = T.StructType([T.StructField("tconst", T.LongType()), T.StructField("rating", T.DoubleType()),
-                           T.StructField("ts", T.TimestampType()), T.StructField("w", T.StringType())])
+                           T.StructField("ts", T.TimestampType()), T.StructField("w", T.StringType()),
+                           T.StructField("d", T.StringType())])
     log = spark.read.schema(schema).parquet(sink)
     end = F.to_timestamp(F.col("w"), "yyyy-MM-dd_HH_mm")
     return log.select(
