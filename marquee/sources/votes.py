@@ -28,27 +28,29 @@ def parse_vote_log_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     body = F.regexp_replace(F.col(value), r"[()]", "")
     parts = F.split(body, ",")
     keep = [c for c in lines.columns if c != value]
-    return lines.select(*keep, *_parsed(parts.getItem(0), F.element_at(parts, 2)))
+    return lines.select(*keep, *_parsed(parts.getItem(0), F.try_element_at(parts, F.lit(2))))
 
 
 def parse_vote_stream_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """``tconst<one or more TABs>rating`` lines → ``tconst, rating, valid``."""
     parts = F.split(F.col(value), "\t+")
     keep = [c for c in lines.columns if c != value]
-    return lines.select(*keep, *_parsed(parts.getItem(0), F.element_at(parts, 2)))
+    return lines.select(*keep, *_parsed(parts.getItem(0), F.try_element_at(parts, F.lit(2))))
 
 
 def read_vote_log(spark: SparkSession, root: str, file_glob: str = "part-*") -> DataFrame:
     """All vote-log files below ``root`` (any depth) → parsed votes.
 
     ``source_file`` records which log file a vote came from, for the
-    processed-log ledger of the rating update.
+    processed-log ledger of the rating update; ``line_id`` increases with
+    the line position inside a file (file order of the votes).
     """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", file_glob)
         .text(root)
-        .select("value", F.col("_metadata.file_path").alias("source_file"))
+        .select("value", F.col("_metadata.file_path").alias("source_file"),
+                F.monotonically_increasing_id().alias("line_id"))
     )
     return parse_vote_log_lines(lines)
 

@@ -32,7 +32,7 @@ def text_vote_stream(spark: SparkSession, directory: str, file_glob: str | None
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     lines = reader.load(directory)
-    third = F.element_at(F.split(F.col("value"), "\t+"), 3)
+    third = F.try_element_at(F.split(F.col("value"), "\t+"), F.lit(3))
     with_ts = lines.withColumn(
         "ts", F.coalesce(F.trim(third).try_cast("timestamp"), F.current_timestamp()))
     return parse_vote_stream_lines(with_ts)
