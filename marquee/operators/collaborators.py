@@ -39,21 +39,58 @@ def collaborator_pairs(credits: DataFrame, title: str = "tconst", person: str =
 
 
 def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str = "nconst",
-                        where: Column | None = None) -> DataFrame:
+                        where: Column | None = None, heavy_size: int = 1000) -> DataFrame:
     """``person, collaborators``: number of distinct co-workers; 0 when alone.
 
-    Every person with a (filtered) credit appears.  Instead of a left join
-    of people to pairs, people are added as ``(person, NULL)`` rows to the
-    pair rows, and one grouped distinct count does the rest.
+    Every person with a (filtered) credit appears.  Exact, and no title
+    with more than ``heavy_size`` people is ever expanded into pairs:
+
+    * *light* titles (at most ``heavy_size`` people) give pair rows, at most
+      ``heavy_size`` per credit;
+    * for *heavy* titles each person gets a signature, the sorted set of
+      heavy titles they are on.  Everyone on those titles is a co-worker,
+      and their number is the number of people whose own signature
+      overlaps it — summed over *distinct* signatures, so a title holding
+      a third of all credits costs one row per distinct signature, not
+      one per pair of its people;
+    * a light pair counts only if the two signatures do not overlap (else
+      that co-worker is already counted through a heavy title).
+
+    Without heavy titles the signature side is empty and the plan is the
+    plain self-join + grouped distinct count.
     """
     m = _members(credits, title, person, where)
-    right = m.select(F.col(title), F.col(person).alias("_other"))
-    pairs = m.join(right, title, "inner").where(F.col(person) != F.col("_other")).select(person, "_other")
-    alone = m.select(F.col(person), F.lit(None).cast(right.schema["_other"].dataType).alias("_other"))
+    sizes = m.groupBy(title).agg(F.count(F.lit(1)).alias("_size"))
+    tagged = m.join(sizes, title)
+    light = tagged.where(F.col("_size") <= F.lit(heavy_size)).select(title, person)
+    heavy = tagged.where(F.col("_size") > F.lit(heavy_size)).select(title, person)
+
+    sig = heavy.groupBy(person).agg(F.array_sort(F.collect_set(F.col(title))).alias("_sig"))
+    sig_count = sig.groupBy("_sig").agg(F.count(F.lit(1)).alias("_cnt"))
+    holders = sig_count.select("_sig", "_cnt", F.explode("_sig").alias("_t"))
+    asks = sig_count.select(F.col("_sig").alias("_ask"), F.explode("_sig").alias("_t"))
+    reach = (
+        asks.join(holders, "_t").select("_ask", "_sig", "_cnt").distinct()
+        .groupBy("_ask").agg(F.sum("_cnt").alias("_reach"))
+    )
+    via_heavy = (
+        sig.join(reach, sig["_sig"] == reach["_ask"])
+        .select(person, (F.col("_reach") - F.lit(1)).alias("_n"))
+    )
+
+    other_sig = sig.select(F.col(person).alias("_other"), F.col("_sig").alias("_osig"))
+    right = light.select(F.col(title), F.col(person).alias("_other"))
+    pairs = (
+        light.join(right, title, "inner").where(F.col(person) != F.col("_other"))
+        .select(person, "_other").distinct()
+        .join(sig, person, "left").join(other_sig, "_other", "left")
+        .where(F.col("_sig").isNull() | F.col("_osig").isNull() | ~F.arrays_overlap("_sig", "_osig"))
+        .groupBy(person).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    everyone = m.select(person, F.lit(0).cast("long").alias("_n"))
     return (
-        pairs.unionByName(alone)
-        .groupBy(person)
-        .agg(F.count_distinct(F.col("_other")).alias("collaborators"))
+        everyone.unionByName(pairs).unionByName(via_heavy)
+        .groupBy(person).agg(F.sum("_n").cast("long").alias("collaborators"))
     )
 
 

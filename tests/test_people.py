@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
@@ -108,3 +109,30 @@ def test_merge_by_key_last_write_wins(spark):
     out = ops.merge_by_key("k", a, b)
     assertDataFrameEqual(out, spark.createDataFrame(
         [(1, "x", 11), (2, "y", None), (3, "z", 30)], "k int, s string, n int"))
+
+
+def _brute_counts(data):
+    members = {}
+    for t, p in data:
+        members.setdefault(t, set()).add(p)
+    out = {}
+    for ms in members.values():
+        for p in ms:
+            out.setdefault(p, set()).update(ms - {p})
+    return {p: len(s) for p, s in out.items()}
+
+
+import random as _random
+
+
+@pytest.mark.parametrize("seed,heavy", [(1, 2), (2, 3), (3, 5), (4, 1000)])
+def test_collaborator_counts_heavy_titles_exact(spark, seed, heavy):
+    rnd = _random.Random(seed)
+    data = []
+    for t in range(40):
+        size = rnd.choice([1, 2, 3, 4, 8, 30])
+        data += [(t, rnd.randrange(60)) for _ in range(size)]
+    data += [(999, p) for p in range(0, 60, 2)]  # one hot title
+    df = spark.createDataFrame(data, "tconst long, nconst long")
+    got = {r["nconst"]: r["collaborators"] for r in ops.collaborator_counts(df, heavy_size=heavy).collect()}
+    assert got == _brute_counts(data)
