@@ -69,6 +69,18 @@ GROUP BY k.nconst
 """
 
 
+def _collab_sets(where: str) -> str:
+    return f"""
+WITH m AS (SELECT DISTINCT tconst, nconst FROM ({_CREDITS}) WHERE tconst IS NOT NULL AND nconst IS NOT NULL AND {where}),
+     p AS (SELECT DISTINCT a.nconst, b.nconst AS other FROM m a JOIN m b ON a.tconst = b.tconst AND a.nconst <> b.nconst)
+SELECT k.nconst, CAST(0 AS INTEGER) AS part,
+       CASE WHEN count(p.other) = 0 THEN '[]'
+            ELSE '[' || string_agg(CAST(p.other AS VARCHAR), ', ' ORDER BY p.other) || ']' END AS set_text
+FROM (SELECT DISTINCT nconst FROM m) k LEFT JOIN p ON p.nconst = k.nconst
+GROUP BY k.nconst
+"""
+
+
 _CREDIT_COUNT = f"""
 SELECT nconst, count(*) AS total_movies, count(DISTINCT tconst) AS distinct_titles
 FROM ({_CREDITS}) WHERE nconst IS NOT NULL GROUP BY nconst
@@ -209,6 +221,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT a.nconst, b.nconst AS other FROM m a JOIN m b ON a.tconst = b.tconst AND a.nconst <> b.nconst""",
         "collaborator_count": _collab_count("TRUE", "collaborators"),
         "co_actor_count": _collab_count(_ACTING, "co_actors"),
+        "collaborator_sets": _collab_sets("TRUE"),
+        "co_actor_sets": _collab_sets(_ACTING),
         "person_info": "SELECT p_partkey AS nconst, p_name AS primaryName, p_type AS primaryProfession FROM part",
         "person_profile": _PROFILE,
         "merge_by_key": """

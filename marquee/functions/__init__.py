@@ -3,6 +3,8 @@
 from marquee.functions.numeric import round_tenth_even, running_mean
 from marquee.functions.predicates import contains_any, is_performer
 from marquee.functions.text import (
+    decode_scored,
+    encode_scored,
     nonempty_split,
     parse_double,
     render_ranked_map,
@@ -12,6 +14,8 @@ from marquee.functions.text import (
 
 __all__ = [
     "contains_any",
+    "decode_scored",
+    "encode_scored",
     "is_performer",
     "nonempty_split",
     "parse_double",

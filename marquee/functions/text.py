@@ -42,11 +42,23 @@ def render_ranked_map(arr: ColumnOrName, key: str, value: str,
 
 
 def render_set(arr: ColumnOrName) -> Column:
-    """``array`` → ``[a, b]`` text, sorted and without duplicates."""
-    items = F.array_sort(F.array_distinct(F.transform(_col(arr), lambda x: x.cast("string"))))
+    """``array`` → ``[a, b]`` text, sorted (by the items' own type) and without duplicates."""
+    items = F.transform(F.array_sort(F.array_distinct(_col(arr))), lambda x: x.cast("string"))
     return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
 
 
+def decode_scored(c: ColumnOrName, sep: str = "#") -> Column:
+    """``title#rating`` text → ``struct(item, score)`` (score NULL if not a number)."""
+    parts = F.split(_col(c), sep, 2)
+    return F.struct(parts.getItem(0).alias("item"),
+                    parse_double(F.try_element_at(parts, F.lit(2))).alias("score"))
+
+
+def encode_scored(item: ColumnOrName, score: ColumnOrName, sep: str = "#") -> Column:
+    """``item, score`` → ``item#score`` text."""
+    return F.concat_ws(sep, _col(item).cast("string"), _col(score).cast("string"))
+
+
 def window_label(window_end: ColumnOrName) -> Column:
     """Label of a log window: its end as ``yyyy-MM-dd_HH_mm`` (date included)."""
     return F.date_format(_col(window_end), "yyyy-MM-dd_HH_mm")

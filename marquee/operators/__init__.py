@@ -1,6 +1,11 @@
 """Batch operators over DataFrames (column names are parameters)."""
 
-from marquee.operators.collaborators import collaborator_counts, collaborator_pairs, collaborator_sets
+from marquee.operators.collaborators import (
+    collaborator_counts,
+    collaborator_pairs,
+    collaborator_set_text,
+    collaborator_sets,
+)
 from marquee.operators.credits import credit_counts, list_by_key, list_text, top_people
 from marquee.operators.merge import merge_by_key, upsert
 from marquee.operators.ranking import scored_credits, top_titles, top_titles_text
@@ -18,6 +23,7 @@ from marquee.operators.windows import (
 __all__ = [
     "collaborator_counts",
     "collaborator_pairs",
+    "collaborator_set_text",
     "collaborator_sets",
     "credit_counts",
     "list_by_key",

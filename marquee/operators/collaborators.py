@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.text import render_set
 from marquee.operators.credits import list_by_key
 
 
@@ -113,3 +114,8 @@ def collaborator_sets(credits: DataFrame, title: str = "tconst", person: str = "
         F.lit(0).alias("n_items"),
     )
     return sets.unionByName(empty)
+
+
+def collaborator_set_text(sets: DataFrame, person: str = "nconst") -> DataFrame:
+    """Rows of ``collaborator_sets`` → ``person, part, set_text`` (``[a, b]``; ``[]`` when alone)."""
+    return sets.select(person, "part", render_set("items").alias("set_text"))

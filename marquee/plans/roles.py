@@ -125,6 +125,14 @@ def co_actor_count(spark, d):
         "collaborators", "co_actors")
 
 
+def collaborator_sets(spark, d):
+    return ops.collaborator_set_text(ops.collaborator_sets(credits(spark, d)))
+
+
+def co_actor_sets(spark, d):
+    return ops.collaborator_set_text(ops.collaborator_sets(credits(spark, d), where=is_acting()))
+
+
 def person_info(spark, d):
     return people(spark, d)
 
@@ -204,6 +212,8 @@ BATCH = {
     "collaborator_pairs": collaborator_pairs,
     "collaborator_count": collaborator_count,
     "co_actor_count": co_actor_count,
+    "collaborator_sets": collaborator_sets,
+    "co_actor_sets": co_actor_sets,
     "person_info": person_info,
     "person_profile": person_profile,
     "merge_by_key": merge_documents_labels,

@@ -36,6 +36,25 @@ def write_key_lists(lists: DataFrame, path: str, key: str, mode: str = "errorife
     write_tsv(text, path, mode)
 
 
+def write_window_log(log: DataFrame, path: str, folders: str = "day", mode: str = "append",
+                     fmt: str = "parquet") -> None:
+    """Batch form of the per-window vote log (rows of ``operators.vote_log``).
+
+    ``folders="day"`` → ``<path>/d=<yyyy-MM-dd>/`` with ``w`` as a column;
+    ``folders="window"`` → ``<path>/w=<label>/`` (one folder per window).
+    No shuffle: each task writes its own file into every folder it has
+    rows for (a ``repartition`` by folder would put a whole day, or a hot
+    window, into one task).
+    """
+    if folders == "day":
+        out, part = log.withColumn("d", F.substring("w", 1, 10)), "d"
+    elif folders == "window":
+        out, part = log, "w"
+    else:
+        raise ValueError("folders must be 'day' or 'window'")
+    out.write.mode(mode).format(fmt).partitionBy(part).save(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

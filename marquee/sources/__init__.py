@@ -6,6 +6,7 @@ from marquee.sources.tsv import (
     read_name_lookup,
     read_people,
     read_ratings,
+    read_scored_lists,
     read_titles,
     read_tsv,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "read_name_lookup",
     "read_people",
     "read_ratings",
+    "read_scored_lists",
     "read_titles",
     "read_tsv",
     "read_vote_log",

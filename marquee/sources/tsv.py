@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee import schemas
-from marquee.functions.text import nonempty_split
+from marquee.functions.text import decode_scored, nonempty_split
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType,
@@ -79,3 +79,15 @@ def read_key_lists(spark: SparkSession, path, key: str = "key", item: str = "ite
         .select(F.col(key), F.explode(nonempty_split("_list", ",")).alias(item))
         .withColumn(item, F.col(item).cast(item_type))
     )
+
+
+def read_scored_lists(spark: SparkSession, path, key: str = "nconst", item: str = "tconst",
+                      score: str = "averageRating", sep: str = "#") -> DataFrame:
+    """Hand-off files ``key<TAB>t1#8.0,t2#7.5,`` → ``(key, item, score)`` rows.
+
+    Empty items are dropped; an item whose score is not a number keeps a
+    NULL score instead of failing the read.
+    """
+    pairs = read_key_lists(spark, path, key, "_pair")
+    d = decode_scored("_pair", sep)
+    return pairs.select(key, d["item"].alias(item), d["score"].alias(score))

@@ -91,15 +91,22 @@ def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint:
 def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
                    title: str = "tconst", ts: str = "ts", length: str = "15 minutes",
                    mode: str = "reset", watermark: str = "15 minutes",
-                   trigger: dict | None = None) -> StreamingQuery:
-    """Trending titles: closed-window counts → per-title state → named rows."""
+                   trigger: dict | None = None, state_ttl_ms: int | None = None) -> StreamingQuery:
+    """Trending titles: closed-window counts → per-title state → named rows.
+
+    State is one small row per title (RocksDB store when configured);
+    ``state_ttl_ms`` optionally expires titles without recent votes.  TTL
+    runs in processing-time mode, where Spark keeps scheduling clean-up
+    batches, so use it with a ``processingTime`` trigger, not
+    ``availableNow`` (which would not finish).
+    """
     counts = window_counts(votes.withWatermark(ts, watermark), title, ts, length)
     schema = counts.schema
     flagged = counts.groupBy(title).transformWithStateInPandas(
-        statefulProcessor=TrendingProcessor(title, mode),
+        statefulProcessor=TrendingProcessor(title, mode, state_ttl_ms),
         outputStructType=schema,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if state_ttl_ms else "None",
     )
     write = _batch_writer(sink)
 

@@ -36,3 +36,24 @@ def text_vote_stream(spark: SparkSession, directory: str, file_glob: str | None
     with_ts = lines.withColumn(
         "ts", F.coalesce(F.trim(third).try_cast("timestamp"), F.current_timestamp()))
     return parse_vote_stream_lines(with_ts)
+
+
+def kafka_vote_stream(spark: SparkSession, servers: str, topic: str,
+                      starting_offsets: str = "latest") -> DataFrame:
+    """Vote lines from a Kafka topic (replayable, unlike a socket).
+
+    Needs Spark's Kafka connector on the classpath; the message value is a
+    vote line as in ``text_vote_stream`` and the Kafka timestamp is the
+    event time when the line carries none.
+    """
+    raw = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", starting_offsets)
+        .load()
+    )
+    lines = raw.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("_kafka_ts"))
+    third = F.try_element_at(F.split(F.col("value"), "\t+"), F.lit(3))
+    with_ts = lines.withColumn("ts", F.coalesce(F.trim(third).try_cast("timestamp"), F.col("_kafka_ts"))).drop("_kafka_ts")
+    return parse_vote_stream_lines(with_ts)

@@ -25,13 +25,17 @@ STATE_SCHEMA = StructType([StructField("prev", LongType(), True)])
 class TrendingProcessor(StatefulProcessor):
     """``transformWithStateInPandas`` processor; input rows carry ``window_start, window_end, votes``."""
 
-    def __init__(self, title: str = "tconst", mode: str = "reset"):
+    def __init__(self, title: str = "tconst", mode: str = "reset", state_ttl_ms: int | None = None):
         self.title = title
         self.mode = mode
+        self.ttl = state_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState("prev", STATE_SCHEMA)
-        self.prev_end = handle.getValueState("prev_end", StructType([StructField("end", LongType(), True)]))
+        # The reference keeps a title's state for ever; a TTL (processing
+        # time) optionally lets titles that stopped receiving votes expire.
+        self.prev = handle.getValueState("prev", STATE_SCHEMA, self.ttl)
+        self.prev_end = handle.getValueState(
+            "prev_end", StructType([StructField("end", LongType(), True)]), self.ttl)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True).sort_values("window_start", kind="stable")

@@ -74,3 +74,38 @@ def test_read_vote_log_recursive(spark, tmp_path):
     df = read_vote_log(spark, str(tmp_path))
     assert df.count() == 3
     assert df.select(F.countDistinct("source_file")).first()[0] == 2
+
+
+def test_scored_lists(spark, tmp_path):
+    from marquee.sources import read_scored_lists
+
+    p = tmp_path / "top3"
+    p.write_text("nm1\ttt2#9.0,tt1#8.0,,tt3#x,\n")
+    got = sorted(tuple(r) for r in read_scored_lists(spark, str(p)).collect())
+    assert got == [("nm1", "tt1", 8.0), ("nm1", "tt2", 9.0), ("nm1", "tt3", None)]
+
+
+def test_key_lists_round_trip(spark, fx, tmp_path):
+    from marquee.operators import list_by_key
+    from marquee.sinks import write_key_lists
+
+    lists = list_by_key(fx["credits"], "nconst", "tconst", max_items=2)
+    write_key_lists(lists, str(tmp_path / "out"), "nconst")
+    back = read_key_lists(spark, str(tmp_path / "out"), "nconst", "tconst")
+    expect = fx["credits"].select("nconst", "tconst")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_window_log_writer(spark, tmp_path):
+    import datetime as dt
+
+    from marquee.operators import vote_log
+    from marquee.sinks import write_window_log
+
+    votes = spark.createDataFrame(
+        [("tt1", 1.0, dt.datetime(2024, 1, 1, 23, 55)), ("tt2", 2.0, dt.datetime(2024, 1, 2, 0, 5))],
+        "tconst string, rating double, ts timestamp")
+    write_window_log(vote_log(votes), str(tmp_path / "log"))
+    back = spark.read.parquet(str(tmp_path / "log"))
+    assert sorted((str(r["d"]), r["w"]) for r in back.collect()) == [
+        ("2024-01-02", "2024-01-02_00_00"), ("2024-01-02", "2024-01-02_00_10")]
