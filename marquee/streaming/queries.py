@@ -88,6 +88,18 @@ def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint:
     return _trigger(writer, trigger).start()
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _require_rocksdb(spark) -> None:
+    """``transformWithState`` keeps its state in column families, which only the
+    RocksDB state store offers; switch the session to it when another
+    provider is configured (the provider is fixed per query at first start)."""
+    if spark.conf.get(PROVIDER_CONF, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
+
+
 def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
                    title: str = "tconst", ts: str = "ts", length: str = "15 minutes",
                    mode: str = "reset", watermark: str = "15 minutes",
@@ -100,6 +112,7 @@ def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: st
     batches, so use it with a ``processingTime`` trigger, not
     ``availableNow`` (which would not finish).
     """
+    _require_rocksdb(votes.sparkSession)
     counts = window_counts(votes.withWatermark(ts, watermark), title, ts, length)
     schema = counts.schema
     flagged = counts.groupBy(title).transformWithStateInPandas(
