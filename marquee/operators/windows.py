@@ -18,13 +18,21 @@ def _valid(votes: DataFrame, cols: list[str]) -> DataFrame:
     return votes.where(cond)
 
 
-def vote_log(votes: DataFrame, ts: str = "ts", length: str = "10 minutes") -> DataFrame:
+def _window(ts: str, length: str, slide: str | None = None, start_time: str | None = None) -> Column:
+    """``F.window`` aligned to the epoch, shifted by ``start_time`` if given."""
+    if start_time:
+        return F.window(F.col(ts), length, slide or length, start_time)
+    return F.window(F.col(ts), length, slide) if slide else F.window(F.col(ts), length)
+
+
+def vote_log(votes: DataFrame, ts: str = "ts", length: str = "10 minutes",
+             start_time: str | None = None) -> DataFrame:
     """Each vote with its tumbling log window: ``w, window_start, window_end, …votes``.
 
     ``w`` labels the window by its end, ``yyyy-MM-dd_HH_mm`` — the folder name
     of the log (the date is part of it, so day two does not collide).
     """
-    win = F.window(F.col(ts), length)
+    win = _window(ts, length, None, start_time)
     return (
         _valid(votes, [ts])
         .withColumn("_w", win)
@@ -36,14 +44,14 @@ def vote_log(votes: DataFrame, ts: str = "ts", length: str = "10 minutes") -> Da
 
 def window_averages(votes: DataFrame, title: str = "tconst", vote: str = "rating",
                     ts: str = "ts", length: str = "10 minutes",
-                    slide: str | None = "1 minute") -> DataFrame:
+                    slide: str | None = "1 minute", start_time: str | None = None) -> DataFrame:
     """``window_start, window_end, title, average, votes`` per (window, title).
 
     Sliding windows expand each vote into ``length / slide`` windows on the
     map side, before the partial average, so only one partial row per
     (window, title, map task) is shuffled.
     """
-    win = F.window(F.col(ts), length, slide) if slide else F.window(F.col(ts), length)
+    win = _window(ts, length, slide, start_time)
     return (
         _valid(votes, [ts, title, vote])
         .groupBy(win.alias("_w"), F.col(title))
@@ -68,14 +76,15 @@ def with_names(df: DataFrame, names: DataFrame, title: str = "tconst",
 def sliding_top(votes: DataFrame, names: DataFrame, title: str = "tconst",
                 vote: str = "rating", ts: str = "ts", length: str = "10 minutes",
                 slide: str = "1 minute", n: int = 3, name_title: str = "tconst",
-                name: str = "name") -> DataFrame:
+                name: str = "name", start_time: str | None = None) -> DataFrame:
     """``window_start, window_end, rank, title, name, average``: best ``n`` per window.
 
     Order: average descending, then title id.  Titles without a name are
     not ranked (joined before ranking, as the reference does).  The rank
     filter becomes a per-partition group limit ahead of the shuffle.
     """
-    avgs = with_names(window_averages(votes, title, vote, ts, length, slide), names, title, name_title, name)
+    avgs = with_names(window_averages(votes, title, vote, ts, length, slide, start_time),
+                      names, title, name_title, name)
     w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("average"), F.asc(title))
     return (
         avgs.withColumn("rank", F.row_number().over(w))
@@ -85,11 +94,11 @@ def sliding_top(votes: DataFrame, names: DataFrame, title: str = "tconst",
 
 
 def window_counts(votes: DataFrame, title: str = "tconst", ts: str = "ts",
-                  length: str = "15 minutes") -> DataFrame:
+                  length: str = "15 minutes", start_time: str | None = None) -> DataFrame:
     """``window_start, window_end, title, votes``: votes per tumbling window."""
     return (
         _valid(votes, [ts, title])
-        .groupBy(F.window(F.col(ts), length).alias("_w"), F.col(title))
+        .groupBy(_window(ts, length, None, start_time).alias("_w"), F.col(title))
         .agg(F.count(F.lit(1)).alias("votes"))
         .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                 title, "votes")
@@ -133,9 +142,9 @@ def trending_flags(counts: DataFrame, title: str = "tconst", mode: str = "reset"
 
 def trending(votes: DataFrame, names: DataFrame, title: str = "tconst", ts: str = "ts",
              length: str = "15 minutes", mode: str = "reset", name_title: str = "tconst",
-             name: str = "name") -> DataFrame:
+             name: str = "name", start_time: str | None = None) -> DataFrame:
     """``window_start, window_end, title, name, votes``: the reported (trending) windows."""
-    counts = window_counts(votes, title, ts, length)
+    counts = window_counts(votes, title, ts, length, start_time)
     live = trending_flags(counts, title, mode).where(F.col("live")).drop("live")
     return with_names(live, names, title, name_title, name).select(
         "window_start", "window_end", title, "name", "votes")

@@ -44,7 +44,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         own = tempfile.mkdtemp(prefix="marquee-ckpt-")
     else:
         own = os.environ["MARQUEE_CHECKPOINT_DIR"]
-    builder = builder.config(CHECKPOINT_CONF, own)
+    builder = builder.config(CHECKPOINT_CONF, own).config("spark.sql.warehouse.dir", f"{own}/warehouse")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)

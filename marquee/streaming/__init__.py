@@ -8,13 +8,14 @@ Each product is its own ``StreamingQuery`` with its own checkpoint:
 """
 
 from marquee.streaming.sources import file_vote_stream, kafka_vote_stream, text_vote_stream
-from marquee.streaming.queries import start_sliding_top, start_trending, start_vote_log
+from marquee.streaming.queries import start_rejects, start_sliding_top, start_trending, start_vote_log
 from marquee.streaming.trending import TrendingProcessor
 
 __all__ = [
     "TrendingProcessor",
     "file_vote_stream",
     "kafka_vote_stream",
+    "start_rejects",
     "start_sliding_top",
     "start_trending",
     "start_vote_log",

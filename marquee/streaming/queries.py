@@ -128,3 +128,15 @@ def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: st
 
     writer = flagged.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(named)
     return _trigger(writer, trigger).start()
+
+
+def start_rejects(votes: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+                  fmt: str = "parquet") -> StreamingQuery:
+    """Vote lines that did not parse (``valid = false``), appended to ``sink``.
+
+    Run next to the product streams over the same parsed source, so bad
+    input is kept for inspection instead of failing or vanishing.
+    """
+    bad = votes.where(~F.col("valid"))
+    writer = bad.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start(sink)

@@ -118,3 +118,15 @@ def test_trending_stream_with_state_ttl(spark, split_events, tmp_path):
     got = {_key(r, cols) for r in spark.read.parquet(out).collect()}
     batch = {_key(r, cols) for r in ops.trending(roles.votes(spark, SF), names).collect()}
     assert got and got <= batch
+
+
+def test_reject_stream_keeps_bad_lines(spark, tmp_path):
+    from marquee.streaming import start_rejects, text_vote_stream
+
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.txt").write_text("tt1\t8\ntt2\tbad\nno-tab\ntt3\t\t7\t2024-01-01 00:00:00\n")
+    q = start_rejects(text_vote_stream(spark, str(src)), str(tmp_path / "bad"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    bad = sorted(r["tconst"] for r in spark.read.parquet(str(tmp_path / "bad")).collect())
+    assert bad == ["no-tab", "tt2"]

@@ -93,3 +93,15 @@ def test_votes_sum_after_update(spark):
     out = ops.update_ratings(base, votes)
     before = base.agg(F.sum("numVotes")).first()[0]
     assert out.agg(F.sum("numVotes")).first()[0] == before + 500
+
+
+def test_create_table_refuses_existing(spark, fx):
+    import pyspark.errors
+
+    from marquee.sinks import create_table
+
+    movies = build_movies(fx["titles"], fx["ratings"])
+    create_table(movies, "movies_w2_test", bucket_by="tconst", buckets=4)
+    assert spark.table("movies_w2_test").count() == 5
+    with pytest.raises(pyspark.errors.AnalysisException):
+        create_table(movies, "movies_w2_test")

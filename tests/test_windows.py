@@ -93,3 +93,11 @@ def test_vote_log_labels(spark):
     rows = [("tt1", 1.0, dt.datetime(2024, 1, 1, 23, 55)), ("tt2", 2.0, dt.datetime(2024, 1, 2, 0, 5))]
     got = sorted((r["tconst"], r["w"]) for r in ops.vote_log(votes_df(spark, rows)).collect())
     assert got == [("tt1", "2024-01-02_00_00"), ("tt2", "2024-01-02_00_10")]
+
+
+def test_window_start_time_offset(spark):
+    rows = [("tt1", 1.0, dt.datetime(2024, 1, 1, 0, 4)), ("tt1", 3.0, dt.datetime(2024, 1, 1, 0, 6))]
+    aligned = ops.window_counts(votes_df(spark, rows), length="10 minutes").collect()
+    shifted = ops.window_counts(votes_df(spark, rows), length="10 minutes", start_time="5 minutes").collect()
+    assert [r["votes"] for r in aligned] == [2]
+    assert sorted(r["votes"] for r in shifted) == [1, 1]
