@@ -61,10 +61,14 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
     plain self-join + grouped distinct count.
     """
     m = _members(credits, title, person, where)
-    sizes = m.groupBy(title).agg(F.count(F.lit(1)).alias("_size"))
-    tagged = m.join(sizes, title)
-    light = tagged.where(F.col("_size") <= F.lit(heavy_size)).select(title, person)
-    heavy = tagged.where(F.col("_size") > F.lit(heavy_size)).select(title, person)
+    # Heavy titles number at most (credits / heavy_size) and are usually none,
+    # so the semi/anti joins against them are broadcast (or dropped when empty).
+    heavy_titles = (
+        m.groupBy(title).agg(F.count(F.lit(1)).alias("_size"))
+        .where(F.col("_size") > F.lit(heavy_size)).select(title)
+    )
+    light = m.join(heavy_titles, title, "left_anti")
+    heavy = m.join(heavy_titles, title, "left_semi")
 
     sig = heavy.groupBy(person).agg(F.array_sort(F.collect_set(F.col(title))).alias("_sig"))
     sig_count = sig.groupBy("_sig").agg(F.count(F.lit(1)).alias("_cnt"))
