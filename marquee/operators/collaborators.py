@@ -108,16 +108,9 @@ def collaborator_sets(credits: DataFrame, title: str = "tconst", person: str = "
     ``list_by_key``).
     """
     pairs = collaborator_pairs(credits, title, person, where, other="other")
-    sets = list_by_key(pairs, person, "other", max_items=max_items)
-    m = _members(credits, title, person, where).select(person).distinct()
-    alone = m.join(pairs.select(person).distinct(), person, "left_anti")
-    other_type = pairs.schema["other"].dataType
-    empty = alone.select(
-        person, F.lit(0).alias("part"),
-        F.array().cast(f"array<{other_type.simpleString()}>").alias("items"),
-        F.lit(0).alias("n_items"),
-    )
-    return sets.unionByName(empty)
+    people = _members(credits, title, person, where).select(
+        F.col(person), F.lit(None).cast(pairs.schema["other"].dataType).alias("other"))
+    return list_by_key(pairs.unionByName(people), person, "other", max_items=max_items)
 
 
 def collaborator_set_text(sets: DataFrame, person: str = "nconst") -> DataFrame:

@@ -46,15 +46,16 @@ def list_by_key(df: DataFrame, key: str, item: str, max_items: int = 100_000,
     A key with at most ``max_items`` items yields one row (``part = 0``).  A
     larger key is split by a hash of the item into ``ceil(n / max_items)``
     parts, so no list is ever built from an unbounded group in one task;
-    the union of a key's parts is its full list.  (Written as text, the
+    the union of a key's parts is its full list.  A NULL item adds nothing
+    but keeps its key (a key with only NULLs gets one empty list).  (Written as text, the
     parts are several ``key<TAB>list`` lines, which ``read_key_lists``
     reads back as one list.)
     """
-    pairs = df.select(F.col(key), F.col(item)).where(F.col(key).isNotNull() & F.col(item).isNotNull())
+    pairs = df.select(F.col(key), F.col(item)).where(F.col(key).isNotNull())
     if distinct:
         pairs = pairs.distinct()
     heavy = (
-        pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        pairs.groupBy(key).agg(F.count(F.col(item)).alias("_n"))
         .where(F.col("_n") > F.lit(max_items))
         .select(key, F.ceil(F.col("_n") / F.lit(max_items)).cast("long").alias("_parts"))
     )

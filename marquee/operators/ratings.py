@@ -47,8 +47,35 @@ def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
     return j.select(title, new_avg.cast("double").alias(avg), new_n.cast("long").alias(n))
 
 
+def _first_per_key(df: DataFrame, key: str, order: list[str], k: int, salt_buckets: int,
+                   group_limit_max: int) -> DataFrame:
+    """The first ``k`` rows of each key in ``order``, with their position ``_rn``.
+
+    Up to ``group_limit_max`` (Spark's ``windowGroupLimitThreshold``), the
+    rank filter is applied per map partition before the shuffle.  Beyond
+    it, keys are salted first: the first ``k`` of each (key, bucket) are
+    taken over ``salt_buckets`` tasks per key, then the first ``k`` per key
+    among at most ``salt_buckets·k`` candidates — exact, because the first
+    ``k`` of a key are among the first ``k`` of its buckets.
+    """
+    ordering = [F.asc(c) for c in order]
+    if k <= group_limit_max:
+        w = Window.partitionBy(key).orderBy(*ordering)
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))
+    ws = Window.partitionBy(key, "_salt").orderBy(*ordering)
+    firsts = (
+        df.withColumn("_salt", salt)
+        .withColumn("_rn", F.row_number().over(ws)).where(F.col("_rn") <= F.lit(k))
+        .drop("_rn", "_salt")
+    )
+    w = Window.partitionBy(key).orderBy(*ordering)
+    return firsts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k))
+
+
 def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
-                  vote: str, order: list[str]) -> DataFrame:
+                  vote: str, order: list[str], salt_buckets: int = 64,
+                  group_limit_max: int = 1000) -> DataFrame:
     """The order-dependent rounded fold, exact and bounded per title.
 
     After the first step the average sits on the 0.1 grid inside
@@ -59,8 +86,8 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     rest only add to the count.  So the fold collects at most ``m`` votes
     per title — a bound set by the value range, not by the number of
     votes — and counts the remainder with a plain aggregate.  The first
-    ``m`` votes come from a ``row_number`` filter whose limit Spark pushes
-    below the shuffle as a per-partition group limit.
+    ``m`` votes come from ``_first_per_key`` (a group limit below the
+    shuffle, or a salted two-level limit for large ``m``).
     """
     stats = v.groupBy(title).agg(
         F.count(vote).alias("_k"), F.min(vote).alias("_lo"), F.max(vote).alias("_hi"))
@@ -76,11 +103,9 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     cap = j.where(F.col("_k") > F.col("_m")).agg(F.max("_m")).first()[0]
     ranked = v
     if cap is not None:
-        w = Window.partitionBy(title).orderBy(*[F.asc(c) for c in order])
+        ranked = _first_per_key(v, title, order, int(cap), salt_buckets, group_limit_max)
         ranked = (
-            v.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= F.lit(int(cap)))
-            .join(j.select(title, "_m"), title)
+            ranked.join(j.select(title, "_m"), title)
             .where(F.col("_rn") <= F.col("_m"))
             .drop("_rn", "_m")
         )

@@ -105,3 +105,20 @@ def test_create_table_refuses_existing(spark, fx):
     assert spark.table("movies_w2_test").count() == 5
     with pytest.raises(pyspark.errors.AnalysisException):
         create_table(movies, "movies_w2_test")
+
+
+def test_rounded_fold_salted_prefix_matches_sequential(spark):
+    """Wide value range → prefix longer than the group-limit threshold → salted path."""
+    from marquee.operators.ratings import _rounded_fold
+
+    rnd = random.Random(7)
+    votes = [("hot", round(rnd.uniform(0, 100), 1), j) for j in range(5000)]
+    votes += [("cold", round(rnd.uniform(0, 100), 1), j) for j in range(30)]
+    base = spark.createDataFrame([("hot", 50.0, 2), ("cold", 10.0, 1)],
+                                 "tconst string, averageRating double, numVotes long")
+    vdf = spark.createDataFrame(votes, "tconst string, rating double, seq long")
+    got = as_map(_rounded_fold(base, vdf, "tconst", "averageRating", "numVotes", "rating", ["seq"],
+                               salt_buckets=8, group_limit_max=50), "tconst", "averageRating", "numVotes")
+    expect = {"hot": _fold(50.0, 2, [v for _, v, _ in votes[:5000]]),
+              "cold": _fold(10.0, 1, [v for _, v, _ in votes[5000:]])}
+    assert got == expect
