@@ -42,15 +42,30 @@ def vote_log(votes: DataFrame, ts: str = "ts", length: str = "10 minutes",
     )
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def duration_seconds(text: str) -> int:
+    """``"10 minutes"`` → 600 (units: second, minute, hour, day, week; plural allowed)."""
+    number, unit = text.strip().split()
+    return int(number) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+
+
 def window_averages(votes: DataFrame, title: str = "tconst", vote: str = "rating",
                     ts: str = "ts", length: str = "10 minutes",
-                    slide: str | None = "1 minute", start_time: str | None = None) -> DataFrame:
+                    slide: str | None = "1 minute", start_time: str | None = None,
+                    panes: bool = False) -> DataFrame:
     """``window_start, window_end, title, average, votes`` per (window, title).
 
     Sliding windows expand each vote into ``length / slide`` windows on the
     map side, before the partial average, so only one partial row per
-    (window, title, map task) is shuffled.
+    (window, title, map task) is shuffled.  ``panes=True`` first sums the
+    votes of each title per ``slide``-long pane and expands the panes
+    instead of the votes — fewer rows to expand when titles get many votes
+    per pane (a dense stream), one more shuffle otherwise.
     """
+    if panes and slide and slide != length:
+        return _pane_averages(votes, title, vote, ts, length, slide, start_time)
     win = _window(ts, length, slide, start_time)
     return (
         _valid(votes, [ts, title, vote])
@@ -61,6 +76,32 @@ def window_averages(votes: DataFrame, title: str = "tconst", vote: str = "rating
     )
 
 
+def _pane_averages(votes, title, vote, ts, length, slide, start_time):
+    size, step = duration_seconds(length), duration_seconds(slide)
+    if size % step:
+        raise ValueError("panes=True needs a window length that is a multiple of the slide")
+    per = size // step
+    pane = _window(ts, slide, None, start_time)
+    sums = (
+        _valid(votes, [ts, title, vote])
+        .groupBy(pane.alias("_p"), F.col(title))
+        .agg(F.sum(vote).alias("_s"), F.count(vote).alias("_c"))
+    )
+    shift = F.expr(f"make_dt_interval(0, 0, 0, {step})")
+    expanded = (
+        sums.select(title, "_s", "_c", F.col("_p.start").alias("_ps"),
+                    F.explode(F.sequence(F.lit(0), F.lit(per - 1))).alias("_i"))
+        .select(title, "_s", "_c", (F.col("_ps") - shift * F.col("_i")).alias("window_start"))
+    )
+    return (
+        expanded.groupBy("window_start", title)
+        .agg((F.sum("_s") / F.sum("_c")).alias("average"), F.sum("_c").alias("votes"))
+        .select("window_start",
+                (F.col("window_start") + F.expr(f"make_dt_interval(0, 0, 0, {size})")).alias("window_end"),
+                title, "average", "votes")
+    )
+
+
 def with_names(df: DataFrame, names: DataFrame, title: str = "tconst",
                name_title: str = "tconst", name: str = "name") -> DataFrame:
     """Inner join to the title-name lookup (unknown titles drop out).

@@ -101,3 +101,16 @@ def test_window_start_time_offset(spark):
     shifted = ops.window_counts(votes_df(spark, rows), length="10 minutes", start_time="5 minutes").collect()
     assert [r["votes"] for r in aligned] == [2]
     assert sorted(r["votes"] for r in shifted) == [1, 1]
+
+
+def test_pane_averages_equal_direct(spark):
+    from marquee.plans import roles
+
+    v = roles.votes(spark, "/root/testdata/sf0.001")
+    direct = ops.window_averages(v, length="10 minutes", slide="1 minute")
+    panes = ops.window_averages(v, length="10 minutes", slide="1 minute", panes=True)
+    key = ["window_start", "window_end", "tconst", "votes"]
+    a = {tuple(r[c] for c in key): r["average"] for r in direct.collect()}
+    b = {tuple(r[c] for c in key): r["average"] for r in panes.collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
