@@ -54,15 +54,16 @@ def duration_seconds(text: str) -> int:
 def window_averages(votes: DataFrame, title: str = "tconst", vote: str = "rating",
                     ts: str = "ts", length: str = "10 minutes",
                     slide: str | None = "1 minute", start_time: str | None = None,
-                    panes: bool = False) -> DataFrame:
+                    panes: bool = True) -> DataFrame:
     """``window_start, window_end, title, average, votes`` per (window, title).
 
     Sliding windows expand each vote into ``length / slide`` windows on the
     map side, before the partial average, so only one partial row per
-    (window, title, map task) is shuffled.  ``panes=True`` first sums the
-    votes of each title per ``slide``-long pane and expands the panes
-    instead of the votes — fewer rows to expand when titles get many votes
-    per pane (a dense stream), one more shuffle otherwise.
+    (window, title, map task) is shuffled.  ``panes=True`` (default for
+    batch) first sums the votes of each title per ``slide``-long pane and
+    expands the panes instead of the votes — far fewer rows to expand when
+    titles get many votes per pane.  Streams use ``panes=False``: the
+    watermarked aggregation must group on the window itself.
     """
     if panes and slide and slide != length:
         return _pane_averages(votes, title, vote, ts, length, slide, start_time)
@@ -117,14 +118,14 @@ def with_names(df: DataFrame, names: DataFrame, title: str = "tconst",
 def sliding_top(votes: DataFrame, names: DataFrame, title: str = "tconst",
                 vote: str = "rating", ts: str = "ts", length: str = "10 minutes",
                 slide: str = "1 minute", n: int = 3, name_title: str = "tconst",
-                name: str = "name", start_time: str | None = None) -> DataFrame:
+                name: str = "name", start_time: str | None = None, panes: bool = True) -> DataFrame:
     """``window_start, window_end, rank, title, name, average``: best ``n`` per window.
 
     Order: average descending, then title id.  Titles without a name are
     not ranked (joined before ranking, as the reference does).  The rank
     filter becomes a per-partition group limit ahead of the shuffle.
     """
-    avgs = with_names(window_averages(votes, title, vote, ts, length, slide, start_time),
+    avgs = with_names(window_averages(votes, title, vote, ts, length, slide, start_time, panes),
                       names, title, name_title, name)
     w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("average"), F.asc(title))
     return (

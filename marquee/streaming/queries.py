@@ -74,7 +74,7 @@ def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint:
     window inside ``foreachBatch`` — exact, and with the rank limit pushed
     below the shuffle.
     """
-    avgs = window_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide)
+    avgs = window_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide, panes=False)
     write = _batch_writer(sink)
 
     def rank(df: DataFrame, batch_id: int) -> None:
