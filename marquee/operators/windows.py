@@ -190,8 +190,3 @@ def trending(votes: DataFrame, names: DataFrame, title: str = "tconst", ts: str
     live = trending_flags(counts, title, mode).where(F.col("live")).drop("live")
     return with_names(live, names, title, name_title, name).select(
         "window_start", "window_end", title, "name", "votes")
-
-
-def is_late(ts: Column, watermark: Column) -> Column:
-    """Rows older than the watermark (what a stream drops)."""
-    return ts < watermark
