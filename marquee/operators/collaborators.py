@@ -18,21 +18,56 @@ def _members(credits: DataFrame, title: str, person: str, where: Column | None)
     )
 
 
+def _heavy_titles(credits: DataFrame, title: str, heavy_size: int) -> DataFrame:
+    """Titles with more than ``heavy_size`` credits, with that count as ``_size``.
+
+    Counted on the credits as read (a partial aggregate straight off the
+    scan, in parallel with the de-duplication), so ``_size`` bounds the
+    number of distinct people from above; treating a title as heavy is
+    always exact, only slower.  There are at most (credits / heavy_size)
+    such titles, usually none, so the joins against this table are
+    broadcast by the planner (or dropped when it is empty).
+    """
+    return (
+        credits.where(F.col(title).isNotNull())
+        .groupBy(title).agg(F.count(F.lit(1)).alias("_size"))
+        .where(F.col("_size") > F.lit(heavy_size))
+    )
+
+
+def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
+    return credits if where is None else credits.where(where)
+
+
 def collaborator_pairs(credits: DataFrame, title: str = "tconst", person: str = "nconst",
-                       where: Column | None = None, other: str = "other") -> DataFrame:
+                       where: Column | None = None, other: str = "other",
+                       heavy_size: int = 1000) -> DataFrame:
     """Distinct ``person, other`` with ``person <> other`` credited on a common title.
 
     The pair relation is the result itself, so its size is the output size.
-    ``(title, person)`` is de-duplicated (map-side) before the self-join, and
-    the join is an equi-join on title: both sides are the same exchange,
-    and adaptive execution splits a title that holds a large share of the
-    credits over many tasks on both sides.  The final distinct is partial
-    aggregation, so pairs repeated over many shared titles shrink map-side.
+    ``(title, person)`` is de-duplicated (map-side) before pairing.  Titles
+    with at most ``heavy_size`` people are paired by a plain equi-join on
+    title.  A heavier title is split: its people are hashed into
+    ``ceil(size / heavy_size)`` buckets and each bucket is joined with the
+    title's full member list, so the title's pairs are produced by many
+    tasks, none holding more than ``heavy_size`` people on its left side.
+    The final distinct is a partial aggregation (pairs repeated over many
+    shared titles shrink map-side).
     """
     m = _members(credits, title, person, where)
-    right = m.select(F.col(title), F.col(person).alias(other))
+    heavy = _heavy_titles(_filtered(credits, where), title, heavy_size)
+    light = m.join(heavy.select(title), title, "left_anti")
+    light_pairs = light.join(light.select(F.col(title), F.col(person).alias(other)), title)
+
+    tagged = m.join(heavy, title, "inner").withColumn(
+        "_buckets", F.ceil(F.col("_size") / F.lit(heavy_size)).cast("int"))
+    left = tagged.select(title, person, F.pmod(F.xxhash64(F.col(person)), F.col("_buckets")).cast("int").alias("_b"))
+    right = tagged.select(F.col(title), F.col(person).alias(other),
+                          F.explode(F.sequence(F.lit(0), F.col("_buckets") - F.lit(1))).alias("_b"))
+    heavy_pairs = left.join(right, [title, "_b"]).drop("_b")
+
     return (
-        m.join(right, title, "inner")
+        light_pairs.unionByName(heavy_pairs)
         .where(F.col(person) != F.col(other))
         .select(person, other)
         .distinct()
@@ -61,12 +96,7 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
     plain self-join + grouped distinct count.
     """
     m = _members(credits, title, person, where)
-    # Heavy titles number at most (credits / heavy_size) and are usually none,
-    # so the semi/anti joins against them are broadcast (or dropped when empty).
-    heavy_titles = (
-        m.groupBy(title).agg(F.count(F.lit(1)).alias("_size"))
-        .where(F.col("_size") > F.lit(heavy_size)).select(title)
-    )
+    heavy_titles = _heavy_titles(_filtered(credits, where), title, heavy_size).select(title)
     light = m.join(heavy_titles, title, "left_anti")
     heavy = m.join(heavy_titles, title, "left_semi")
 
@@ -100,14 +130,15 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
 
 
 def collaborator_sets(credits: DataFrame, title: str = "tconst", person: str = "nconst",
-                      where: Column | None = None, max_items: int = 100_000) -> DataFrame:
+                      where: Column | None = None, max_items: int = 100_000,
+                      heavy_size: int = 1000) -> DataFrame:
     """``person, part, items, n_items``: sorted co-worker sets, bounded per row.
 
     People without co-workers get one row with an empty list.  A person
     with more than ``max_items`` co-workers gets several parts (see
     ``list_by_key``).
     """
-    pairs = collaborator_pairs(credits, title, person, where, other="other")
+    pairs = collaborator_pairs(credits, title, person, where, other="other", heavy_size=heavy_size)
     people = _members(credits, title, person, where).select(
         F.col(person), F.lit(None).cast(pairs.schema["other"].dataType).alias("other"))
     return list_by_key(pairs.unionByName(people), person, "other", max_items=max_items)

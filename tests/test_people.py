@@ -136,3 +136,17 @@ def test_collaborator_counts_heavy_titles_exact(spark, seed, heavy):
     df = spark.createDataFrame(data, "tconst long, nconst long")
     got = {r["nconst"]: r["collaborators"] for r in ops.collaborator_counts(df, heavy_size=heavy).collect()}
     assert got == _brute_counts(data)
+
+
+@pytest.mark.parametrize("heavy", [2, 3, 1000])
+def test_collaborator_pairs_split_heavy_titles_exact(spark, heavy):
+    rnd = _random.Random(11)
+    data = [(t, rnd.randrange(40)) for t in range(30) for _ in range(rnd.choice([1, 2, 5, 12]))]
+    data += [(999, p) for p in range(0, 40, 3)]
+    df = spark.createDataFrame(data, "tconst long, nconst long")
+    got = {(r["nconst"], r["other"]) for r in ops.collaborator_pairs(df, heavy_size=heavy).collect()}
+    members = {}
+    for t, p in data:
+        members.setdefault(t, set()).add(p)
+    expect = {(a, b) for ms in members.values() for a in ms for b in ms if a != b}
+    assert got == expect
