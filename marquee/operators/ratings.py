@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.numeric import round_tenth_even
+from marquee.functions.numeric import round_tenth_even, running_mean
 
 # Once |vote - average| / (n + 1) stays below this, a rounded step cannot
 # move the average (it would need 0.05); the margin absorbs float error.
@@ -116,7 +114,7 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
                      F.coalesce(F.col(n), F.lit(0)).cast("long").alias("c"))
 
     def step(acc, x):
-        return F.struct(round_tenth_even((acc["c"] * acc["s"] + x["_v"]) / (acc["c"] + F.lit(1))).alias("s"),
+        return F.struct(round_tenth_even(running_mean(acc["s"], acc["c"], x["_v"])).alias("s"),
                         (acc["c"] + F.lit(1)).alias("c"))
 
     folded = F.aggregate(F.col("_seq"), start, step)["s"]
@@ -124,8 +122,3 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     new_avg = F.when(F.col("_k").isNull(), F.col(avg)).otherwise(folded)
     new_n = n0 + F.coalesce(F.col("_k"), F.lit(0))
     return out.select(title, new_avg.cast("double").alias(avg), new_n.cast("long").alias(n))
-
-
-def still_after(spread: float) -> int:
-    """Votes after which a rounded average with this value spread cannot move."""
-    return int(math.ceil((spread + 0.2) / _STILL))

@@ -109,3 +109,12 @@ def test_window_log_writer(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "log"))
     assert sorted((str(r["d"]), r["w"]) for r in back.collect()) == [
         ("2024-01-02", "2024-01-02_00_00"), ("2024-01-02", "2024-01-02_00_10")]
+
+
+def test_scored_text_round_trip(spark):
+    from marquee.functions import decode_scored, encode_scored
+
+    df = spark.createDataFrame([("tt1", 8.5), ("tt2", None)], "t string, r double")
+    text = df.select(encode_scored("t", "r").alias("x"))
+    back = [tuple(r["d"]) for r in text.select(decode_scored("x").alias("d")).collect()]
+    assert back == [("tt1", 8.5), ("tt2", None)]
