@@ -7,9 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The credit categories that count as acting roles. A
-# substring test, so "voice_actor" passes as well.
-PERFORMER_WORDS = ("actor", "actress")
+from marquee.constants import PERFORMER_WORDS
+
+# Credit categories that count as acting roles (a substring test, so
+# "voice_actor" passes as well).
 
 
 def contains_any(c: Column | str, words: Iterable[str]) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marquee.constants import LIST_SEPARATOR, LOG_LABEL_FORMAT, PAIR_SEPARATOR
+
 ColumnOrName = Column | str
 
 
@@ -12,7 +14,7 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def nonempty_split(c: ColumnOrName, pattern: str = ",") -> Column:
+def nonempty_split(c: ColumnOrName, pattern: str = LIST_SEPARATOR) -> Column:
     """``split`` that drops empty items.
 
     A list written as ``a,b,`` (trailing separator) or with doubled
@@ -47,18 +49,18 @@ def render_set(arr: ColumnOrName) -> Column:
     return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
 
 
-def decode_scored(c: ColumnOrName, sep: str = "#") -> Column:
+def decode_scored(c: ColumnOrName, sep: str = PAIR_SEPARATOR) -> Column:
     """``title#rating`` text → ``struct(item, score)`` (score NULL if not a number)."""
     parts = F.split(_col(c), sep, 2)
     return F.struct(parts.getItem(0).alias("item"),
                     parse_double(F.try_element_at(parts, F.lit(2))).alias("score"))
 
 
-def encode_scored(item: ColumnOrName, score: ColumnOrName, sep: str = "#") -> Column:
+def encode_scored(item: ColumnOrName, score: ColumnOrName, sep: str = PAIR_SEPARATOR) -> Column:
     """``item, score`` → ``item#score`` text."""
     return F.concat_ws(sep, _col(item).cast("string"), _col(score).cast("string"))
 
 
 def window_label(window_end: ColumnOrName) -> Column:
     """Label of a log window: its end as ``yyyy-MM-dd_HH_mm`` (date included)."""
-    return F.date_format(_col(window_end), "yyyy-MM-dd_HH_mm")
+    return F.date_format(_col(window_end), LOG_LABEL_FORMAT)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.constants import TOP_PEOPLE_N
+
 
 def credit_counts(credits: DataFrame, person: str = "nconst", title: str = "tconst") -> DataFrame:
     """``person, total_movies, distinct_titles``.
@@ -23,7 +25,7 @@ def credit_counts(credits: DataFrame, person: str = "nconst", title: str = "tcon
 
 
 def top_people(credits: DataFrame, person: str = "nconst", where: Column | None = None,
-               n: int = 10) -> DataFrame:
+               n: int = TOP_PEOPLE_N) -> DataFrame:
     """The ``n`` people with most credits: ``person, credits``; ties by id.
 
     Planned as partial count → final count → ``TakeOrderedAndProject``; no

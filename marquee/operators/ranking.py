@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.constants import TOP_TITLES_N
 from marquee.functions.text import render_ranked_map
 
 
@@ -24,7 +25,7 @@ def scored_credits(credits: DataFrame, ratings: DataFrame, person: str = "nconst
 
 
 def top_titles(credits: DataFrame, ratings: DataFrame, person: str = "nconst",
-               title: str = "tconst", score: str = "averageRating", n: int = 3,
+               title: str = "tconst", score: str = "averageRating", n: int = TOP_TITLES_N,
                where: Column | None = None) -> DataFrame:
     """``person, rank, title, score``: each person's ``n`` best titles.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.constants import LOG_WINDOW, TOP_SLIDE, TOP_WINDOW, TOP_WINDOW_N, TREND_WINDOW
 from marquee.functions.text import window_label
 
 
@@ -25,7 +26,7 @@ def _window(ts: str, length: str, slide: str | None = None, start_time: str | No
     return F.window(F.col(ts), length, slide) if slide else F.window(F.col(ts), length)
 
 
-def vote_log(votes: DataFrame, ts: str = "ts", length: str = "10 minutes",
+def vote_log(votes: DataFrame, ts: str = "ts", length: str = LOG_WINDOW,
              start_time: str | None = None) -> DataFrame:
     """Each vote with its tumbling log window: ``w, window_start, window_end, …votes``.
 
@@ -52,8 +53,8 @@ def duration_seconds(text: str) -> int:
 
 
 def window_averages(votes: DataFrame, title: str = "tconst", vote: str = "rating",
-                    ts: str = "ts", length: str = "10 minutes",
-                    slide: str | None = "1 minute", start_time: str | None = None,
+                    ts: str = "ts", length: str = TOP_WINDOW,
+                    slide: str | None = TOP_SLIDE, start_time: str | None = None,
                     panes: bool = True) -> DataFrame:
     """``window_start, window_end, title, average, votes`` per (window, title).
 
@@ -116,8 +117,8 @@ def with_names(df: DataFrame, names: DataFrame, title: str = "tconst",
 
 
 def sliding_top(votes: DataFrame, names: DataFrame, title: str = "tconst",
-                vote: str = "rating", ts: str = "ts", length: str = "10 minutes",
-                slide: str = "1 minute", n: int = 3, name_title: str = "tconst",
+                vote: str = "rating", ts: str = "ts", length: str = TOP_WINDOW,
+                slide: str = TOP_SLIDE, n: int = TOP_WINDOW_N, name_title: str = "tconst",
                 name: str = "name", start_time: str | None = None, panes: bool = True) -> DataFrame:
     """``window_start, window_end, rank, title, name, average``: best ``n`` per window.
 
@@ -136,7 +137,7 @@ def sliding_top(votes: DataFrame, names: DataFrame, title: str = "tconst",
 
 
 def window_counts(votes: DataFrame, title: str = "tconst", ts: str = "ts",
-                  length: str = "15 minutes", start_time: str | None = None) -> DataFrame:
+                  length: str = TREND_WINDOW, start_time: str | None = None) -> DataFrame:
     """``window_start, window_end, title, votes``: votes per tumbling window."""
     return (
         _valid(votes, [ts, title])
@@ -183,7 +184,7 @@ def trending_flags(counts: DataFrame, title: str = "tconst", mode: str = "reset"
 
 
 def trending(votes: DataFrame, names: DataFrame, title: str = "tconst", ts: str = "ts",
-             length: str = "15 minutes", mode: str = "reset", name_title: str = "tconst",
+             length: str = TREND_WINDOW, mode: str = "reset", name_title: str = "tconst",
              name: str = "name", start_time: str | None = None) -> DataFrame:
     """``window_start, window_end, title, name, votes``: the reported (trending) windows."""
     counts = window_counts(votes, title, ts, length, start_time)

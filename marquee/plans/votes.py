@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from marquee.constants import LOG_WINDOW, TOP_SLIDE, TOP_WINDOW, TOP_WINDOW_N, TREND_WINDOW
 from marquee.streaming.queries import start_rejects, start_sliding_top, start_trending, start_vote_log
 
 
 def start_vote_products(votes: DataFrame, names: DataFrame, out_root: str, checkpoint_root: str,
-                        trigger: dict | None = None, log_length: str = "10 minutes",
-                        top_length: str = "10 minutes", top_slide: str = "1 minute", top_n: int = 3,
-                        trend_length: str = "15 minutes", trend_mode: str = "reset",
+                        trigger: dict | None = None, log_length: str = LOG_WINDOW,
+                        top_length: str = TOP_WINDOW, top_slide: str = TOP_SLIDE, top_n: int = TOP_WINDOW_N,
+                        trend_length: str = TREND_WINDOW, trend_mode: str = "reset",
                         watermark: str = "10 minutes") -> dict[str, StreamingQuery]:
     """Start the four queries over one parsed vote stream (``tconst, rating, ts[, valid]``).
 

@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+from marquee.constants import HEADER_PERSON_KEY, HEADER_TITLE_KEY
+
 TITLES = T.StructType([
     T.StructField("tconst", T.StringType()),
     T.StructField("titleType", T.StringType()),
@@ -46,4 +48,5 @@ VOTES = T.StructType([
 ])
 
 # First header cell of each dump; a row whose key equals it is a header.
-HEADER_KEYS = {"titles": "tconst", "ratings": "tconst", "people": "nconst", "credits": "tconst"}
+HEADER_KEYS = {"titles": HEADER_TITLE_KEY, "ratings": HEADER_TITLE_KEY, "people": HEADER_PERSON_KEY,
+               "credits": HEADER_TITLE_KEY}

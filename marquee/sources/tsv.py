@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee import schemas
+from marquee.constants import FIELD_SEPARATOR, NULL_MARKER, PAIR_SEPARATOR
 from marquee.functions.text import decode_scored, nonempty_split
 
 
@@ -23,10 +24,10 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType,
              header_key: str | None = None) -> DataFrame:
     """Read a TAB-separated dump with an explicit schema."""
     df = (
-        spark.read.option("sep", "\t")
+        spark.read.option("sep", FIELD_SEPARATOR)
         .option("header", "false")
         .option("quote", "")
-        .option("nullValue", "\\N")
+        .option("nullValue", NULL_MARKER)
         .option("mode", "PERMISSIVE")
         .schema(schema)
         .csv(path)
@@ -82,7 +83,7 @@ def read_key_lists(spark: SparkSession, path, key: str = "key", item: str = "ite
 
 
 def read_scored_lists(spark: SparkSession, path, key: str = "nconst", item: str = "tconst",
-                      score: str = "averageRating", sep: str = "#") -> DataFrame:
+                      score: str = "averageRating", sep: str = PAIR_SEPARATOR) -> DataFrame:
     """Hand-off files ``key<TAB>t1#8.0,t2#7.5,`` → ``(key, item, score)`` rows.
 
     Empty items are dropped; an item whose score is not a number keeps a

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.constants import LIST_SEPARATOR, LOG_LINE_BRACKETS
 from marquee.functions.text import parse_double
 
 
@@ -25,8 +26,8 @@ def _parsed(tconst: Column, rating_text: Column) -> list[Column]:
 
 def parse_vote_log_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """``(tconst,rating)`` lines → ``tconst, rating, valid`` (+ other columns kept)."""
-    body = F.regexp_replace(F.col(value), r"[()]", "")
-    parts = F.split(body, ",")
+    body = F.regexp_replace(F.col(value), LOG_LINE_BRACKETS, "")
+    parts = F.split(body, LIST_SEPARATOR)
     keep = [c for c in lines.columns if c != value]
     return lines.select(*keep, *_parsed(parts.getItem(0), F.try_element_at(parts, F.lit(2))))
 

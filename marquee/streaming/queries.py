@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from marquee.constants import LOG_WINDOW, TOP_SLIDE, TOP_WINDOW, TOP_WINDOW_N, TREND_WINDOW
 from marquee.functions.text import window_label
 from marquee.operators.windows import window_averages, window_counts, with_names
 from marquee.streaming.trending import TrendingProcessor
@@ -24,7 +25,7 @@ def _trigger(writer, trigger: dict | None):
 
 
 def start_vote_log(votes: DataFrame, sink: str, checkpoint: str, ts: str = "ts",
-                   length: str = "10 minutes", trigger: dict | None = None,
+                   length: str = LOG_WINDOW, trigger: dict | None = None,
                    fmt: str = "parquet", folders: str = "day") -> StreamingQuery:
     """Every vote with its window label ``w`` (stateless, append).
 
@@ -64,7 +65,7 @@ def _batch_writer(sink: str, fmt: str = "parquet"):
 
 def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
                       title: str = "tconst", vote: str = "rating", ts: str = "ts",
-                      length: str = "10 minutes", slide: str = "1 minute", n: int = 3,
+                      length: str = TOP_WINDOW, slide: str = TOP_SLIDE, n: int = TOP_WINDOW_N,
                       watermark: str = "10 minutes", trigger: dict | None = None) -> StreamingQuery:
     """Top ``n`` titles by average per sliding window.
 
@@ -101,7 +102,7 @@ def _require_rocksdb(spark) -> None:
 
 
 def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
-                   title: str = "tconst", ts: str = "ts", length: str = "15 minutes",
+                   title: str = "tconst", ts: str = "ts", length: str = TREND_WINDOW,
                    mode: str = "reset", watermark: str = "15 minutes",
                    trigger: dict | None = None, state_ttl_ms: int | None = None) -> StreamingQuery:
     """Trending titles: closed-window counts → per-title state → named rows.
