@@ -57,6 +57,28 @@ def start_vote_log(votes: DataFrame, sink: str, checkpoint: str, ts: str = "ts",
     return _trigger(writer, trigger).start(sink)
 
 
+# Largest number of distinct titles of one micro-batch that is broadcast to
+# cut the name lookup down before the join.
+BROADCAST_KEYS_MAX = 2_000_000
+
+
+def _named(batch: DataFrame, names: DataFrame, title: str,
+           max_keys: int = BROADCAST_KEYS_MAX) -> DataFrame:
+    """Join a micro-batch result to the title names without shuffling the whole lookup.
+
+    The batch's distinct titles are counted first (the batch is persisted by
+    the caller); when there are at most ``max_keys`` of them they are
+    broadcast into a semi-join that trims the lookup on the map side, so only
+    the names this batch needs take part in the join.  Above the bound the
+    plain join is used.
+    """
+    keys = batch.select(title).distinct()
+    lookup = names
+    if keys.count() <= max_keys:
+        lookup = names.join(F.broadcast(keys), names[title] == keys[title], "left_semi")
+    return with_names(batch, lookup, title, name_title=title, name="name")
+
+
 def _batch_writer(sink: str, fmt: str = "parquet"):
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").format(fmt).save(f"{sink}/batch={batch_id}")
@@ -66,7 +88,8 @@ def _batch_writer(sink: str, fmt: str = "parquet"):
 def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
                       title: str = "tconst", vote: str = "rating", ts: str = "ts",
                       length: str = TOP_WINDOW, slide: str = TOP_SLIDE, n: int = TOP_WINDOW_N,
-                      watermark: str = "10 minutes", trigger: dict | None = None) -> StreamingQuery:
+                      watermark: str = "10 minutes", trigger: dict | None = None,
+                      name_title: str = "tconst", name: str = "name") -> StreamingQuery:
     """Top ``n`` titles by average per sliding window.
 
     The windowed average runs in append mode, so a window's rows for *all*
@@ -78,12 +101,18 @@ def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint:
     avgs = window_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide, panes=False)
     write = _batch_writer(sink)
 
+    lookup = names.select(F.col(name_title).alias(title), F.col(name).alias("name"))
+
     def rank(df: DataFrame, batch_id: int) -> None:
-        named = with_names(df, names, title)
-        w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("average"), F.asc(title))
-        top = (named.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(n))
-               .select("window_start", "window_end", "rank", title, "name", "average"))
-        write(top, batch_id)
+        df.persist()
+        try:
+            named = _named(df, lookup, title)
+            w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("average"), F.asc(title))
+            top = (named.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(n))
+                   .select("window_start", "window_end", "rank", title, "name", "average"))
+            write(top, batch_id)
+        finally:
+            df.unpersist()
 
     writer = avgs.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(rank)
     return _trigger(writer, trigger).start()
@@ -104,7 +133,8 @@ def _require_rocksdb(spark) -> None:
 def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
                    title: str = "tconst", ts: str = "ts", length: str = TREND_WINDOW,
                    mode: str = "reset", watermark: str = "15 minutes",
-                   trigger: dict | None = None, state_ttl_ms: int | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, state_ttl_ms: int | None = None,
+                   name_title: str = "tconst", name: str = "name") -> StreamingQuery:
     """Trending titles: closed-window counts → per-title state → named rows.
 
     State is one small row per title (RocksDB store when configured);
@@ -124,8 +154,14 @@ def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: st
     )
     write = _batch_writer(sink)
 
+    lookup = names.select(F.col(name_title).alias(title), F.col(name).alias("name"))
+
     def named(df: DataFrame, batch_id: int) -> None:
-        write(with_names(df, names, title).select("window_start", "window_end", title, "name", "votes"), batch_id)
+        df.persist()
+        try:
+            write(_named(df, lookup, title).select("window_start", "window_end", title, "name", "votes"), batch_id)
+        finally:
+            df.unpersist()
 
     writer = flagged.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(named)
     return _trigger(writer, trigger).start()
