@@ -147,3 +147,15 @@ def test_sliding_top_stream_restart(spark, split_events, tmp_path):
     once = [_key(r, cols) for r in spark.read.parquet(out2).collect()]
     assert len(restarted) == len(set(restarted))
     assert set(restarted) == set(once)
+
+
+def test_sliding_top_stream_panes_equal_direct(spark, split_events, tmp_path):
+    names = roles.names(spark, SF)
+    outs = {}
+    for panes in (False, True):
+        src, out, ck = (str(tmp_path / f"{x}{panes}") for x in ("src", "out", "ck"))
+        _feed(src, split_events)
+        start_sliding_top(_stream_votes(spark, src), names, out, ck, panes=panes).awaitTermination()
+        cols = ["window_start", "rank", "tconst", "name", "average"]
+        outs[panes] = {_key(r, cols) for r in spark.read.parquet(out).collect()}
+    assert outs[True] and outs[True] == outs[False]
