@@ -9,10 +9,14 @@ from marquee.functions.text import render_set
 from marquee.operators.credits import list_by_key
 
 
+def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
+    return credits if where is None else credits.where(where)
+
+
 def _members(credits: DataFrame, title: str, person: str, where: Column | None) -> DataFrame:
-    df = credits if where is None else credits.where(where)
+    """Distinct ``(title, person)`` of the (filtered) credits."""
     return (
-        df.select(title, person)
+        _filtered(credits, where).select(title, person)
         .where(F.col(title).isNotNull() & F.col(person).isNotNull())
         .distinct()
     )
@@ -35,9 +39,6 @@ def _heavy_titles(credits: DataFrame, title: str, heavy_size: int) -> DataFrame:
     )
 
 
-def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
-    return credits if where is None else credits.where(where)
-
 
 def collaborator_pairs(credits: DataFrame, title: str = "tconst", person: str = "nconst",
                        where: Column | None = None, other: str = "other",
