@@ -46,13 +46,20 @@ def kafka_vote_stream(spark: SparkSession, servers: str, topic: str,
     vote line as in ``text_vote_stream`` and the Kafka timestamp is the
     event time when the line carries none.
     """
-    raw = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-        .load()
-    )
+    try:
+        raw = (
+            spark.readStream.format("kafka")
+            .option("kafka.bootstrap.servers", servers)
+            .option("subscribe", topic)
+            .option("startingOffsets", starting_offsets)
+            .load()
+        )
+    except Exception as err:  # the data source is resolved here, before any connection
+        if "kafka" in str(err).lower() and "find" in str(err).lower():
+            raise RuntimeError(
+                "kafka_vote_stream needs Spark's Kafka connector (spark-sql-kafka) on the classpath; "
+                "use file_vote_stream or text_vote_stream otherwise") from err
+        raise
     lines = raw.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("_kafka_ts"))
     third = F.try_element_at(F.split(F.col("value"), "\t+"), F.lit(3))
     with_ts = lines.withColumn("ts", F.coalesce(F.trim(third).try_cast("timestamp"), F.col("_kafka_ts"))).drop("_kafka_ts")

@@ -159,3 +159,13 @@ def test_sliding_top_stream_panes_equal_direct(spark, split_events, tmp_path):
         cols = ["window_start", "rank", "tconst", "name", "average"]
         outs[panes] = {_key(r, cols) for r in spark.read.parquet(out).collect()}
     assert outs[True] and outs[True] == outs[False]
+
+
+def test_kafka_source_needs_connector(spark):
+    from marquee.streaming import kafka_vote_stream
+
+    try:
+        kafka_vote_stream(spark, "localhost:9", "votes")
+    except RuntimeError as err:
+        assert "connector" in str(err)
+    # with the connector present the call only builds the (lazy) source
