@@ -78,3 +78,30 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder (never a machine-local temp)."""
     return f"{shared_dir(spark)}/marquee/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input with ``total_cores`` cores.
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input
+    (at least two per core) and AQE coalesces the small ones at run time;
+    scans split files into ``partition_bytes`` pieces; skewed join
+    partitions are split; a side is broadcast only under the stated
+    threshold (measured by the planner); streams keep state in RocksDB with
+    changelog checkpoints.  Pass the result to ``SparkSession.builder.config``
+    or ``spark-submit --conf``.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }

@@ -45,3 +45,12 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(res.fetchall(), dcols)
+
+
+def test_cluster_conf_sizes_partitions():
+    from marquee.session import cluster_conf
+
+    conf = cluster_conf(100 * 2**40, 8000)  # 100 TiB on 1000 executors x 8 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert cluster_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
