@@ -243,6 +243,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT nullif(trim(parts[1]), '') AS tconst, TRY_CAST(trim(parts[2]) AS DOUBLE) AS rating,
                    (nullif(trim(parts[1]), '') IS NOT NULL AND TRY_CAST(trim(parts[2]) AS DOUBLE) IS NOT NULL) AS valid
             FROM p""",
+        "vote_stream_lines_parsed": """
+            WITH l AS (SELECT CAST(user_id AS VARCHAR) || chr(9) || chr(9) || CAST(value AS VARCHAR) AS line FROM events),
+                 p AS (SELECT regexp_split_to_array(line, '\t+') AS parts FROM l)
+            SELECT nullif(trim(parts[1]), '') AS tconst, TRY_CAST(trim(parts[2]) AS DOUBLE) AS rating,
+                   (nullif(trim(parts[1]), '') IS NOT NULL AND TRY_CAST(trim(parts[2]) AS DOUBLE) IS NOT NULL) AS valid
+            FROM p""",
         # The stream form of the log is stateless, so it must equal the batch log exactly.
         "vote_log_stream": _VOTE_LOG,
     }

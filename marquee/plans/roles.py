@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from marquee import operators as ops
 from marquee.functions.numeric import round_tenth_even
 from marquee.functions.predicates import contains_any
-from marquee.sources.votes import parse_vote_log_lines, vote_lines
+from marquee.sources.votes import parse_vote_log_lines, parse_vote_stream_lines, vote_lines
 
 # Category letters that mark an acting credit in the test tables.
 ACTING_LETTERS = ("A", "R")
@@ -203,6 +203,14 @@ def vote_lines_parsed(spark, d):
     return parse_vote_log_lines(lines)
 
 
+def vote_stream_lines_parsed(spark, d):
+    # The live form: id and rating separated by a run of TABs (two here).
+    ev = votes(spark, d)
+    lines = ev.select(F.concat(F.col("tconst").cast("string"), F.lit("\t\t"),
+                               F.col("rating").cast("string")).alias("value"))
+    return parse_vote_stream_lines(lines)
+
+
 BATCH = {
     "top10_people": top10_people,
     "person_credit_count": person_credit_count,
@@ -227,4 +235,5 @@ BATCH = {
     "trending_1d": trending_1d,
     "trending_growth_1d": trending_growth_1d,
     "vote_lines_parsed": vote_lines_parsed,
+    "vote_stream_lines_parsed": vote_stream_lines_parsed,
 }
