@@ -118,3 +118,14 @@ def test_scored_text_round_trip(spark):
     text = df.select(encode_scored("t", "r").alias("x"))
     back = [tuple(r["d"]) for r in text.select(decode_scored("x").alias("d")).collect()]
     assert back == [("tt1", 8.5), ("tt2", None)]
+
+
+def test_write_tsv_single_file(spark, tmp_path):
+    from marquee.sinks import write_tsv
+
+    df = spark.range(100).repartition(4).selectExpr("cast(id as string) as k", "id * 2 as v")
+    write_tsv(df, str(tmp_path / "out"), single_file=True)
+    parts = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    assert len(parts) == 1
+    lines = parts[0].read_text().splitlines()
+    assert len(lines) == 100 and all(len(ln.split("\t")) == 2 for ln in lines)
