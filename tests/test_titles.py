@@ -122,3 +122,18 @@ def test_rounded_fold_salted_prefix_matches_sequential(spark):
     expect = {"hot": _fold(50.0, 2, [v for _, v, _ in votes[:5000]]),
               "cold": _fold(10.0, 1, [v for _, v, _ in votes[5000:]])}
     assert got == expect
+
+
+def test_failed_version_write_keeps_previous(spark, tmp_path):
+    from marquee.sinks.files import write_version
+
+    root = str(tmp_path / "store")
+    good = spark.createDataFrame([("tt1", 8.0, 1)], "tconst string, averageRating double, numVotes long")
+    first = write_version(spark, root, {"ratings": good})
+    bad = spark.createDataFrame([("x",)], "s string").selectExpr("cast(s as int) as broken")  # fails when run
+    with pytest.raises(Exception):
+        write_version(spark, root, {"ratings": bad})
+    from marquee.sinks.files import current_version
+
+    assert current_version(spark, root) == first
+    assert [tuple(r) for r in read_current(spark, root, "ratings").collect()] == [("tt1", 8.0, 1)]
