@@ -21,6 +21,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from marquee.plans import roles  # noqa: E402
 from marquee.streaming import registered as stream_queries  # noqa: E402
 
+try:  # the subpackage and the pipeline may be absent
+    import corpus_pipeline  # noqa: E402
+    from marquee.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -33,6 +39,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per implemented product (batch forms, then stream forms)."""
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(roles.BATCH)
     out.update(stream_queries.STREAMS)
+    if llm_queries is not None:
+        out.update(llm_queries.QUERIES)
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -252,4 +261,8 @@ def oracle_sql() -> dict[str, str]:
         # The stream form of the log is stateless, so it must equal the batch log exactly.
         "vote_log_stream": _VOTE_LOG,
     }
+    if llm_queries is not None:
+        sql.update(llm_queries.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {k: v for k, v in sql.items() if k in queries()}
