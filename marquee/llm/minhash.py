@@ -5,14 +5,14 @@
 2. Documents with equal sets become one class, represented by its smallest id.
 3. ``BANDS`` bands of ``ROWS`` minima are the candidate keys.  A pair at
    similarity 0.8 shares no band with a chance of (1 - 0.8^4)^32 < 1e-7.
-4. Within a key each member is compared with the key's smallest member
-   (a star, never all pairs): first by signature, then on the full sets.
-   The best-looking star link of each document is tested first, the others
-   only where their ends are not yet connected.
-5. Keys whose members still lie in several components are compared member
-   by member — screened by signature in blocks of bounded size spread over
-   tasks, confirmed on full sets — so no link between different texts is lost
-   to the star.
+4. Within a key each member's partner is the key's smallest member (a star, never all
+   pairs); each document is confirmed on full sets against the one partner
+   it shares most keys with.
+5. Keys whose members then lie in several components are compared member
+   by member across components: in blocks of bounded size spread over tasks, screened by
+   signature, each pair only under the first key it shares, and confirmed on
+   full sets within the block, which gives back a spanning forest of its
+   links.  So no link between different texts is lost to the star, and no pairs are listed.
 6. Components by alternating large-star and small-star.
 """
 
@@ -23,17 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import written
 from marquee.llm.components import connected_components
-from marquee.llm.hashing import NOT_SPACE, combine, kgrams, word_blocks
+from marquee.llm.hashing import NOT_SPACE, combine, kgrams, mix, word_blocks
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 SHINGLE_BYTES = 5  # of a stored shingle hash: 2^40 values, compared within one pair only
 BLOCK = 256  # members of a key that are compared in one block
+HUB = 1 << 30  # numbers of the blocks of a key's largest component start here
 
 _rng = np.random.default_rng(7)
 _A = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -57,11 +58,11 @@ def _sets(block, k: int) -> list[np.ndarray]:
 
 
 def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """``(rows, HASHES)`` minima of the universal hashes a·x + b (their top 32 bits); empty sets give all ones."""
+    """``(rows, HASHES)`` minima of the universal hashes a·x + b (16 bits of each); empty sets give all ones."""
     out = np.full((len(sets), HASHES), _LOW, np.uint64)
     full = [i for i, s in enumerate(sets) if len(s)]
     if not full:
-        return out.astype(np.uint32)
+        return out.astype(np.uint16)
     x = np.concatenate([sets[i] for i in full])
     x = (x ^ (x >> np.uint64(20))) & _LOW | (x << np.uint64(32))
     starts = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
@@ -71,8 +72,8 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
         np.multiply(x, _A[j], out=buf)
         buf += _B[j]
         np.minimum.reduceat(buf, starts, out=got[j])
-    out[full] = (got >> np.uint64(32)).T
-    return out.astype(np.uint32)
+    out[full] = mix(got).T  # a minimum is small: its bits are spread before some are kept
+    return out.astype(np.uint16)
 
 
 def _pack(s: np.ndarray) -> bytes:
@@ -108,27 +109,21 @@ def sketches(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "t
 
 
 def band_keys(reps: DataFrame) -> DataFrame:
-    """``(key, node)``: one row per band of each representative."""
+    """``(key, band, node)``: one row per band of each representative."""
 
     def run(batches):
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, BANDS, ROWS)
-            keys = combine([sig[:, :, r].astype(np.uint64).ravel() for r in range(ROWS)]
-                           + [np.tile(np.arange(BANDS, dtype=np.uint64), n)])
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(n, BANDS, ROWS)
+            band = np.tile(np.arange(BANDS), n)
+            keys = combine([sig[:, :, r].astype(np.uint64).ravel() for r in range(ROWS)] + [band.astype(np.uint64)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))],
-                ["key", "node"])
+                [pa.array(keys.view(np.int64)), pa.array(band.astype(np.int32)),
+                 pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "band", "node"])
 
-    return reps.select("node", "sig").mapInArrow(run, "key long, node long")
-
-
-def _alike(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1)
-    y = np.frombuffer(b"".join(b), np.uint8).reshape(len(b), -1)
-    return (x == y).mean(1)
+    return reps.select("node", "sig").mapInArrow(run, "key long, band int, node long")
 
 
 def screen_floor(similarity: float) -> float:
@@ -136,52 +131,44 @@ def screen_floor(similarity: float) -> float:
     return similarity - 5 * (similarity * (1 - similarity) / HASHES) ** 0.5
 
 
-def _screened(pairs: DataFrame, light: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b, est)`` of the pairs whose signatures allow the similarity."""
-    floor = screen_floor(similarity)
+def alike(x: bytes, y: bytes, percent: int) -> bool:
+    """100·|A∩B| >= percent·|A∪B| of two stored sets."""
+    p, q = _unpack(x), _unpack(y)
+    if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
+        return False
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= percent * (len(p) + len(q) - both)
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                est = _alike(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-                keep = np.flatnonzero(est >= floor)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(est[keep])],
-                    ["a", "b", "est"])
 
-    joined = (pairs.join(light.select(F.col("node").alias("a"), F.col("light").alias("la")), "a")
-              .join(light.select(F.col("node").alias("b"), F.col("light").alias("lb")), "b")
-              .select("a", "b", "la", "lb"))
-    return joined.mapInArrow(run, "a long, b long, est double")
+def _sets_of(nodes: DataFrame, full: DataFrame) -> DataFrame:
+    """``node, shingles`` of the nodes."""
+    return (full.select(F.col("doc_id").alias("node"), "digest", "shingles")
+            .join(nodes.select("node").distinct(), "node", "left_semi")
+            .dropDuplicates(["node", "digest"]).select("node", "shingles"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that hold on the full sets: 100·|A∩B| >= percent·|A∪B|."""
+def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that hold on the full sets, as ``(u, v)``."""
 
     def run(batches):
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = _unpack(x.as_py()), _unpack(y.as_py())
-                if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
-                    ok.append(False)
-                    continue
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(100 * both >= percent * (len(p) + len(q) - both))
-            if ok:
-                keep = pa.array(np.flatnonzero(ok))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], ["u", "v"])
-
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = written(sets.join(need, "node", "left_semi"), "minhash-sets")
+            keep = [i for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True))
+                    if alike(x.as_py(), y.as_py(), percent)]
+            take = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], ["u", "v"])
+
+    sets = written(_sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), full), "minhash-sets")
     joined = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
               .select("a", "b", "sa", "sb"))
     return written(joined.mapInArrow(run, "u long, v long"), "minhash-links")
 
 
-def _group_pairs(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
-    """Screen the pairs of each (key, i, j) group of a sorted stream; groups hold at most a few blocks' members."""
+_GROUP = ("key", "i", "j")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole (key, i, j) groups of a stream sorted by them, many small ones at a time."""
     held: pa.Table | None = None
     for batch in batches:
         t = pa.Table.from_batches([batch])
@@ -190,53 +177,101 @@ def _group_pairs(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa
         if n == 0:
             held = None
             continue
-        group = [held.column(c).to_numpy() for c in ("key", "i", "j")]
-        last = (group[0] == group[0][-1]) & (group[1] == group[1][-1]) & (group[2] == group[2][-1])
-        done = n - int(last[::-1].argmin() if not last.all() else n)
-        if done:
-            yield from _pairs_of(held.slice(0, done), floor)
+        same = np.ones(n, bool)
+        for c in _GROUP:
+            v = held.column(c).to_numpy()
+            same &= v == v[-1]
+        if not same.all():
+            done = n - int(same[::-1].argmin())
+            yield held.slice(0, done)
             held = held.slice(done)
     if held is not None and held.num_rows:
-        yield from _pairs_of(held, floor)
+        yield held
 
 
-def _pairs_of(t: pa.Table, floor: float, step: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
-    node, comp, block = (t.column(c).to_numpy() for c in ("node", "component", "block"))
-    sig = np.frombuffer(b"".join(t.column("light").to_pylist()), np.uint8).reshape(len(key), -1)
+def _screened(t: pa.Table, floor: float, step: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, row, share of equal minima) of the pairs of each group that lie in different components, share no
+    earlier band and look alike enough."""
+    key, i, j, comp, block, band = (t.column(c).to_numpy() for c in (*_GROUP, "component", "block", "band"))
+    sig = np.frombuffer(b"".join(t.column("light").to_pylist()), np.uint8).reshape(len(key), BANDS, ROWS)
     new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
     end = np.repeat(np.r_[new[1:], len(key)], np.diff(np.r_[new, len(key)]))
     left = end - np.arange(len(key)) - 1  # partners after each member
     ends = np.cumsum(left)
     lo = 0
     while lo < len(key):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + step, "right")))
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + step, "right")))
         a = np.repeat(np.arange(lo, hi), left[lo:hi])
-        first = ends[lo:hi] - left[lo:hi] - (ends[lo - 1] if lo else 0)
-        b = a + 1 + np.arange(len(a)) - np.repeat(first, left[lo:hi])
+        b = a + 1 + np.arange(len(a)) - np.repeat(ends[lo:hi] - left[lo:hi] - before, left[lo:hi])
         ok = (comp[a] != comp[b]) & ((i[a] == j[a]) | (block[a] != block[b]))
         a, b = a[ok], b[ok]
-        ok = (sig[a] == sig[b]).mean(1) >= floor
-        a, b = node[a[ok]], node[b[ok]]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        same = sig[a] == sig[b]
+        est = same.mean((1, 2))
+        ok = (est >= floor) & (same.all(2).argmax(1) >= band[a])
+        yield a[ok], b[ok], est[ok]
         lo = hi
 
 
-def _cross_pairs(keys: DataFrame, labels: DataFrame, light: DataFrame, similarity: float) -> DataFrame:
-    """Screened pairs within the keys whose members lie in several components."""
-    floor = screen_floor(similarity)
+def _across(keys: DataFrame, labels: DataFrame, light: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links ``(u, v)`` between the components that meet under a key (those that connect them, not all)."""
+    floor = screen_floor(percent / 100)
+    by = Window.partitionBy("key")
     members = keys.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (members.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"),
-                                        F.count("*").alias("_n"))
-             .where("_lo <> _hi").select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
+    mixed = (members.withColumn("_lo", F.min("component").over(by)).withColumn("_hi", F.max("component").over(by))
+             .where("_lo <> _hi").drop("_lo", "_hi"))
+    mixed = written(mixed, "minhash-mixed")
+    sizes = mixed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    hubs = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("_hub"),
+                                    F.max("n").alias("_big"), F.sum("n").alias("_all"))
+    hubs = hubs.select("key", "_hub", F.ceil(F.col("_big") / BLOCK).cast("int").alias("_hubs"),
+                       F.ceil((F.col("_all") - F.col("_big")) / BLOCK).cast("int").alias("_rest"))
+    in_hub = F.col("component") == F.col("_hub")
+    rest = F.sequence(F.lit(0), F.col("_rest") - 1)
+    other = F.when(in_hub, rest).otherwise(
+        F.concat(rest, F.transform(F.sequence(F.lit(0), F.col("_hubs") - 1), lambda x: x + HUB)))
     spread = (
-        members.join(mixed, "key").join(light, "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        mixed.join(hubs, "key").join(light, "node")
+        .withColumn("block", F.when(in_hub, F.pmod(F.xxhash64("node"), F.col("_hubs")) + HUB)
+                    .otherwise(F.pmod(F.xxhash64("node"), F.col("_rest"))).cast("int"))
+        .withColumn("_other", F.explode(other))
         .select("key", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
-                "node", "component", "block", "light"))
-    return (spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(lambda it: _group_pairs(it, floor), "a long, b long").distinct())
+                "band", "node", "component", "block", "light"))
+
+    def screen(batches):
+        """The members that have a pair to confirm."""
+        for t in _groups(batches):
+            rows = [np.concatenate([a, b]) for a, b, _ in _screened(t, floor)]
+            keep = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.int64)
+            yield from t.take(pa.array(keep, pa.int64())).combine_chunks().to_batches()
+
+    def confirm(batches):
+        for t in _groups(batches):
+            node, sets = t.column("node").to_numpy(), t.column("shingles")
+            comp = t.column("component").to_numpy()
+            above: dict[int, int] = {}
+
+            def find(x):
+                while above.get(x, x) != x:
+                    above[x] = above.get(above[x], above[x])
+                    x = above[x]
+                return x
+
+            links = []
+            for a, b, est in _screened(t, floor):
+                for k in np.argsort(-est, kind="stable"):
+                    p, q = find(comp[a[k]]), find(comp[b[k]])
+                    if p != q and alike(sets[int(a[k])].as_py(), sets[int(b[k])].as_py(), percent):
+                        above[max(p, q)] = min(p, q)
+                        links.append((node[a[k]], node[b[k]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["u", "v"])
+
+    shape = "key long, i int, j int, band int, node long, component long, block int, light binary"
+    some = written(spread.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(screen, shape), "minhash-open")
+    whole = some.join(_sets_of(some.select("node"), full), "node").select(*some.columns, "shingles")
+    return written(whole.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(confirm, "u long, v long"),
+                   "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
@@ -254,42 +289,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     its ``component_id`` is NULL, ``kept`` true.  Further columns are ignored.
     An empty table gives an empty result.
     """
-    similarity = percent / 100
     sk = written(sketches(docs, shingle_words, id_col, text_col), "minhash-sketches")
     full = sk.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = written(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("_n")),
-                      "minhash-classes")
-    byte_of = F.expr("sig")  # four bytes each; the lowest byte of each minimum serves the screening
-    reps = full.join(classes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"]).select(
-        F.col("doc_id").alias("node"), byte_of.alias("sig")).dropDuplicates(["node", "sig"])
+    classes = written(full.groupBy("digest").agg(F.min("doc_id").alias("node")), "minhash-classes")
+    reps = full.select("digest", "doc_id", "sig").join(
+        classes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"]).select(
+        F.col("doc_id").alias("node"), "sig").dropDuplicates(["node", "sig"])
     reps = written(_with_light(reps), "minhash-reps")
-    light = reps.select("node", "light")
     keys = written(band_keys(reps), "minhash-keys")
-    centres = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("_hi")).where("a <> _hi")
-    star = keys.join(centres.select("key", "a"), "key").where("node <> a").select(
-        "a", F.col("node").alias("b")).distinct()
-    star = written(_screened(star, light, similarity), "minhash-star")
-    sets = full.join(classes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"]).select(
-        F.col("doc_id").alias("node"), "shingles")
-
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
-    links = _confirmed(best, sets, percent)
+    star = keys.withColumn("a", F.min("node").over(Window.partitionBy("key"))).where("node <> a")
+    best = (star.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n"))
+            .groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b"))
+    links = _confirmed(written(best, "minhash-star"), full, percent)
     labels = written(connected_components(links), "minhash-labels")
-    la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-
-    def open_pairs(pairs: DataFrame) -> DataFrame:
-        p = pairs.select("a", "b").join(la, "a", "left").join(lb, "b", "left")
-        return p.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    rest = written(open_pairs(star).join(best, ["a", "b"], "left_anti"), "minhash-rest")
-    if not rest.isEmpty():
-        links = links.union(_confirmed(rest, sets, percent))
-        labels = written(connected_components(links), "minhash-labels")
-    cross = written(_cross_pairs(keys, labels, light, similarity).join(
-        star.select("a", "b"), ["a", "b"], "left_anti"), "minhash-cross")
-    if not cross.isEmpty():
-        links = links.union(_confirmed(cross, sets, percent))
+    more = _across(keys, labels, reps.select("node", "light"), full, percent)
+    links = links.union(more)
+    if not more.isEmpty():
         labels = written(connected_components(links), "minhash-labels")
 
     # An id may have several sets: what its classes are linked with belongs to it too.
@@ -319,7 +334,7 @@ def _with_light(reps: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)[:, ::4]
+                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)[:, ::2]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array([r.tobytes() for r in sig], pa.binary())],
                     ["node", "sig", "light"])
