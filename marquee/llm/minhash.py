@@ -141,9 +141,10 @@ def alike(x: bytes, y: bytes, percent: int) -> bool:
 
 
 def _sets_of(nodes: DataFrame, full: DataFrame) -> DataFrame:
-    """``node, shingles`` of the nodes."""
+    """``node, shingles`` of the nodes: one shuffle of the sets at every size (the nodes grow with the corpus, so they
+    aren't broadcast)."""
     return (full.select(F.col("doc_id").alias("node"), "digest", "shingles")
-            .join(nodes.select("node").distinct(), "node", "left_semi")
+            .join(nodes.select("node").distinct().hint("merge"), "node", "left_semi")
             .dropDuplicates(["node", "digest"]).select("node", "shingles"))
 
 
