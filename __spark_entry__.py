@@ -139,6 +139,21 @@ FROM start s LEFT JOIN last l ON l.tconst = s.tconst
 """
 
 
+_ROUNDED_MIXED = """
+WITH RECURSIVE
+  v AS (SELECT l_partkey AS tconst, CASE WHEN l_partkey % 2 = 0 THEN l_discount ELSE l_quantity END AS rating,
+               l_shipdate, l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IS NOT NULL),
+  r AS (SELECT tconst, rating, row_number() OVER (PARTITION BY tconst ORDER BY l_shipdate, l_orderkey, l_linenumber, rating) AS rn
+        FROM v WHERE rating IS NOT NULL),
+  fold AS (
+    SELECT tconst, round_even(rating * 10, 0) / 10 AS a, CAST(1 AS BIGINT) AS n FROM r WHERE rn = 1
+    UNION ALL
+    SELECT f.tconst, round_even((f.n * f.a + r.rating) / (f.n + 1) * 10, 0) / 10, f.n + 1
+    FROM fold f JOIN r ON r.tconst = f.tconst AND r.rn = f.n + 1)
+SELECT tconst, round(arg_max(a, n), 6) AS averageRating, max(n) AS numVotes FROM fold GROUP BY tconst
+"""
+
+
 def _window(length_min: int) -> str:
     return f"time_bucket(INTERVAL '{length_min} minutes', ts)"
 
@@ -201,6 +216,15 @@ FROM ({body}) t JOIN customer c ON c.c_custkey = t.tconst
 """
 
 
+TOP_DELAY, TREND_DELAY = "10 minutes", "15 minutes"
+
+
+def _closed(sql: str, delay: str) -> str:
+    """The rows whose window the watermark (largest event time less the delay) has passed."""
+    return f"""SELECT * FROM ({sql})
+        WHERE strptime(window_end, {_TS}) <= (SELECT max(ts) FROM events) - INTERVAL '{delay}'"""
+
+
 _PROFILE = f"""
 WITH info AS (SELECT p_partkey AS nconst, p_name AS primaryName FROM part WHERE p_partkey IS NOT NULL),
      cnt AS ({_CREDIT_COUNT}),
@@ -240,6 +264,8 @@ def oracle_sql() -> dict[str, str]:
             FULL OUTER JOIN (SELECT * FROM labels WHERE doc_id IS NOT NULL) l ON d.doc_id = l.doc_id""",
         "ratings_update_exact": _fold_sql(rounded=False),
         "ratings_update_rounded": _fold_sql(rounded=True),
+        "ratings_update_rounded_mixed": _ROUNDED_MIXED,
+        "ratings_update_from_stream_log": _fold_sql(rounded=False),
         "vote_log": _VOTE_LOG,
         "sliding_avg": _SLIDING_AVG,
         "sliding_top3": _SLIDING_TOP3,
@@ -258,6 +284,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT nullif(trim(parts[1]), '') AS tconst, TRY_CAST(trim(parts[2]) AS DOUBLE) AS rating,
                    (nullif(trim(parts[1]), '') IS NOT NULL AND TRY_CAST(trim(parts[2]) AS DOUBLE) IS NOT NULL) AS valid
             FROM p""",
+        # A stream reports a window once the watermark has passed its end.
+        "sliding_top3_stream": _closed(_SLIDING_TOP3, TOP_DELAY),
+        "trending_15m_stream": _closed(_trending_sql("15 minutes", "reset"), TREND_DELAY),
         # The stream form of the log is stateless, so it must equal the batch log exactly.
         "vote_log_stream": _VOTE_LOG,
     }

@@ -23,7 +23,6 @@ from marquee.operators.credits import top_people
 from marquee.plans.movies import build_movies, update_rating_store
 from marquee.plans.people import build_people
 from marquee.plans.votes import start_vote_products
-from marquee.session import shared_dir
 from marquee.sources.tsv import read_credits, read_name_lookup, read_people, read_ratings, read_titles
 from marquee.streaming.sources import text_vote_stream
 
@@ -40,17 +39,26 @@ def batch(spark: SparkSession, a) -> None:
     for row in top_people(read_credits(spark, a.credits), where=is_performer("category")).collect():
         print(f"{row['nconst']}\t{row['credits']}")
     initial = read_ratings(spark, a.initial_ratings) if a.initial_ratings else None
-    version = update_rating_store(spark, a.ratings_store, a.logs, initial=initial, rounded=a.rounded)
+    version = update_rating_store(spark, a.ratings_store, a.logs, initial=initial, rounded=a.rounded,
+                                  log_format=a.log_format)
     print(f"ratings store version {version}")
 
 
 def stream(spark: SparkSession, a) -> None:
     names = read_name_lookup(read_titles(spark, a.titles))
     trigger = {"availableNow": True} if a.once else {"processingTime": "10 seconds"}
-    ckpt = a.checkpoint or f"{shared_dir(spark)}/marquee/streams"
+    ckpt = a.checkpoint or f"{a.out.rstrip('/')}/_checkpoints"  # belongs to this output, so a restart goes on
     queries = start_vote_products(text_vote_stream(spark, a.votes), names, a.out, ckpt, trigger=trigger)
-    for q in queries.values():
-        q.awaitTermination()
+    try:
+        while any(q.isActive for q in queries.values()):
+            spark.streams.awaitAnyTermination()  # raises when any of them failed
+            spark.streams.resetTerminated()
+        for q in queries.values():
+            q.awaitTermination()
+    finally:
+        for q in queries.values():
+            if q.isActive:
+                q.stop()
 
 
 def main(argv=None) -> None:
@@ -65,6 +73,7 @@ def main(argv=None) -> None:
     bp.add_argument("--logs", required=True)
     bp.add_argument("--initial-ratings")
     bp.add_argument("--rounded", action="store_true")
+    bp.add_argument("--log-format", choices=["text", "window"], default="text")
     sp = sub.add_parser("stream")
     for name in ("votes", "titles", "out"):
         sp.add_argument(f"--{name}", required=True)

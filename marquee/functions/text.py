@@ -25,8 +25,9 @@ def nonempty_split(c: ColumnOrName, pattern: str = LIST_SEPARATOR) -> Column:
 
 
 def parse_double(c: ColumnOrName) -> Column:
-    """Text → double, NULL when the text is not a number (never fails)."""
-    return F.trim(_col(c)).try_cast("double")
+    """Text → double, NULL when the text is not a finite number (never fails)."""
+    number = F.trim(_col(c)).try_cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def render_ranked_map(arr: ColumnOrName, key: str, value: str,

@@ -16,6 +16,10 @@ def merge_by_key(key: str, *frames: DataFrame) -> DataFrame:
     that key, so a later frame overwrites earlier cells and leaves other
     cells untouched; a cell nobody wrote is NULL.
 
+    A column has the widest type of the frames that hold it.  Within one frame,
+    rows that share a key are written in the order of their values: the
+    greatest non-NULL cell of each column stays.
+
     Planned as a tagged union plus one grouped aggregation, i.e. a single
     shuffle for any number of inputs (a chain of full outer joins would
     shuffle once per input, because a coalesced join key loses the
@@ -23,14 +27,11 @@ def merge_by_key(key: str, *frames: DataFrame) -> DataFrame:
     """
     if not frames:
         raise ValueError("merge_by_key needs at least one frame")
-    columns: list[str] = []
-    types = {}
-    for f in frames:
-        for field in f.schema.fields:
-            if field.name != key and field.name not in types:
-                columns.append(field.name)
-                types[field.name] = field.dataType
-    key_type = frames[0].schema[key].dataType
+    # Common types as Spark's own union finds them: int and double meet in double, nothing is narrowed.
+    typed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.limit(0) for f in frames]).schema
+    columns = [f.name for f in typed.fields if f.name != key]
+    types = {f.name: f.dataType for f in typed.fields}
+    key_type = types[key]
 
     def widen(i: int, f: DataFrame) -> DataFrame:
         cols = [F.col(key).cast(key_type).alias(key)]
@@ -39,7 +40,12 @@ def merge_by_key(key: str, *frames: DataFrame) -> DataFrame:
         return f.where(F.col(key).isNotNull()).select(*cols, F.lit(i).alias("_src"))
 
     union = reduce(DataFrame.unionByName, [widen(i, f) for i, f in enumerate(frames)])
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_src"))).alias(c) for c in columns]
+
+    def order(c: str):
+        kind = union.schema[c].dataType.typeName()
+        return F.struct("_src", c) if kind not in ("map", "variant") else F.col("_src")
+
+    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order(c))).alias(c) for c in columns]
     return union.groupBy(key).agg(*aggs)
 
 

@@ -19,8 +19,8 @@ def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
     """``title, avg, n`` after adding every vote to its title's running mean.
 
     Titles without votes keep their row unchanged; a vote for an unrated
-    title starts it at ``n = 0``.  Invalid votes (NULL id or value) are
-    ignored.
+    title starts it at ``n = 0``.  Invalid votes (NULL id; NULL, NaN or
+    infinite value) are ignored.
 
     ``rounded=False`` (default): the exact mean, ``(n·avg + Σv) / (n + k)``,
     a partial aggregate joined to the table with one full outer join.
@@ -30,7 +30,9 @@ def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
     value) — order matters.  See ``_rounded_fold`` for how a title with a
     huge number of votes is kept bounded.
     """
-    v = votes.where(F.col(vote_title).isNotNull() & F.col(vote).isNotNull())
+    value = F.col(vote).cast("double")
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    v = votes.where(F.col(vote_title).isNotNull() & finite)
     if vote_title != title:
         v = v.withColumnRenamed(vote_title, title)
     base = ratings.select(title, avg, n).where(F.col(title).isNotNull())
@@ -45,35 +47,25 @@ def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
     return j.select(title, new_avg.cast("double").alias(avg), new_n.cast("long").alias(n))
 
 
-def _first_per_key(df: DataFrame, key: str, order: list[str], k: int, salt_buckets: int,
-                   group_limit_max: int) -> DataFrame:
-    """The first ``k`` rows of each key in ``order``, with their position ``_rn``.
+def _first_votes(v: DataFrame, limits: DataFrame, key: str, order: list[str], salt_buckets: int) -> DataFrame:
+    """The first ``_m`` votes of each key in ``order`` (``limits``: ``key, _m``); a key with fewer keeps all.
 
-    Up to ``group_limit_max`` (Spark's ``windowGroupLimitThreshold``), the
-    rank filter is applied per map partition before the shuffle.  Beyond
-    it, keys are salted first: the first ``k`` of each (key, bucket) are
-    taken over ``salt_buckets`` tasks per key, then the first ``k`` per key
-    among at most ``salt_buckets·k`` candidates — exact, because the first
-    ``k`` of a key are among the first ``k`` of its buckets.
+    Two levels, so a key with very many votes is ranked by many tasks: first
+    ``_m`` per (key, bucket), then first ``_m`` per key among those — exact,
+    because the first votes of a key are among the first of its buckets.
     """
     ordering = [F.asc(c) for c in order]
-    if k <= group_limit_max:
-        w = Window.partitionBy(key).orderBy(*ordering)
-        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))
-    ws = Window.partitionBy(key, "_salt").orderBy(*ordering)
-    firsts = (
-        df.withColumn("_salt", salt)
-        .withColumn("_rn", F.row_number().over(ws)).where(F.col("_rn") <= F.lit(k))
-        .drop("_rn", "_salt")
-    )
-    w = Window.partitionBy(key).orderBy(*ordering)
-    return firsts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k))
+    for by in ([key, "_salt"], [key]):
+        w = Window.partitionBy(*by).orderBy(*ordering)
+        if "_salt" in by:
+            v = v.join(limits, key).withColumn("_salt", salt)
+        v = v.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("_m")).drop("_rn")
+    return v.drop("_salt", "_m")
 
 
 def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
-                  vote: str, order: list[str], salt_buckets: int = 64,
-                  group_limit_max: int = 1000) -> DataFrame:
+                  vote: str, order: list[str], salt_buckets: int = 64) -> DataFrame:
     """The order-dependent rounded fold, exact and bounded per title.
 
     After the first step the average sits on the 0.1 grid inside
@@ -81,11 +73,10 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     the start value), so a step changes nothing once
     ``(hi - lo + 0.2) / (n + 1) < 0.049``.  Only the first ``m`` votes of a
     title (``m`` from its own ``n``, ``lo``, ``hi``) can move its average; the
-    rest only add to the count.  So the fold collects at most ``m`` votes
-    per title — a bound set by the value range, not by the number of
-    votes — and counts the remainder with a plain aggregate.  The first
-    ``m`` votes come from ``_first_per_key`` (a group limit below the
-    shuffle, or a salted two-level limit for large ``m``).
+    rest only add to the count.  Each title is cut at its own ``m`` and only
+    there, so its result doesn't depend on which other titles there are;
+    the plan is the same at every size.  A title's collected votes are bounded
+    by its value range, not by the number of its votes.
     """
     stats = v.groupBy(title).agg(
         F.count(vote).alias("_k"), F.min(vote).alias("_lo"), F.max(vote).alias("_hi"))
@@ -97,16 +88,8 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     need = F.greatest(F.lit(1), F.ceil((hi - lo + F.lit(0.2)) / F.lit(_STILL)) - n0 + F.lit(1)).cast("long")
     j = j.select(title, avg, n, "_k", F.when(F.col("_k").isNotNull(), need).alias("_m"))
 
-    # Largest prefix any title really needs (one scalar to the driver).
-    cap = j.where(F.col("_k") > F.col("_m")).agg(F.max("_m")).first()[0]
-    ranked = v
-    if cap is not None:
-        ranked = _first_per_key(v, title, order, int(cap), salt_buckets, group_limit_max)
-        ranked = (
-            ranked.join(j.select(title, "_m"), title)
-            .where(F.col("_rn") <= F.col("_m"))
-            .drop("_rn", "_m")
-        )
+    limits = j.where(F.col("_k").isNotNull()).select(title, "_m")
+    ranked = _first_votes(v, limits, title, order, salt_buckets)
     seq = ranked.groupBy(title).agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(vote).alias("_v")))).alias("_seq"))
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from marquee.operators.merge import merge_by_key
 from marquee.operators.ratings import update_ratings
-from marquee.sinks.files import read_current, write_version
-from marquee.sources.votes import read_vote_log
+from marquee.sinks.files import has_versions, read_current, write_version
+from marquee.sources.votes import read_vote_log, read_window_log
 
 TITLE_COLUMNS = ["tconst", "titleType", "primaryTitle", "originalTitle", "isAdult",
                  "startYear", "endYear", "runtimeMinutes", "genres"]
@@ -29,7 +29,7 @@ def build_movies(titles: DataFrame, ratings: DataFrame) -> DataFrame:
 
 
 def update_rating_store(spark: SparkSession, root: str, log_root: str | DataFrame,
-                        initial: DataFrame | None = None, rounded: bool = False) -> str:
+                        initial: DataFrame | None = None, rounded: bool = False, log_format: str = "text") -> str:
     """Fold every *not yet applied* vote-log file into the rating store at ``root``.
 
     ``root`` holds versions with two parts: ``ratings`` and ``ledger`` (the
@@ -37,22 +37,36 @@ def update_rating_store(spark: SparkSession, root: str, log_root: str | DataFram
     result and the extended ledger are written as a new version, and only
     then does ``_current`` move — so rerunning never applies a log twice,
     and a failure leaves the previous version current.  ``initial`` seeds
-    an empty store.  ``log_root`` is a folder of ``(tconst,rating)`` text
-    files, or a DataFrame of parsed votes with a ``source_file`` column.
+    an empty store; it is refused where versions exist without a pointer.
+    ``log_root`` is a folder of ``(tconst,rating)`` text files
+    (``log_format="text"``) or of the log that the vote stream writes
+    (``"window"``), or a DataFrame of parsed votes with a ``source_file`` column.
+    Votes that don't parse are kept as the version's ``rejects``.  New files
+    without a single valid vote are an error: they are no vote log.
     Returns the new version name.
     """
+    if log_format not in ("text", "window"):
+        raise ValueError("log_format must be 'text' or 'window'")
     ratings = read_current(spark, root, "ratings")
     ledger = read_current(spark, root, "ledger")
     if ratings is None:
         if initial is None:
             raise ValueError(f"no rating store at {root} and no initial ratings given")
+        if has_versions(spark, root):
+            raise ValueError(f"{root} holds versions but no pointer to the current one; initial ratings are refused")
         ratings = initial.select("tconst", "averageRating", "numVotes")
     if ledger is None:
         ledger = spark.createDataFrame([], "source_file string")
-    votes = read_vote_log(spark, log_root) if isinstance(log_root, str) else log_root
-    new_votes = votes.where("valid").join(ledger, "source_file", "left_anti")
+    votes = log_root
+    if isinstance(log_root, str):
+        votes = (read_window_log if log_format == "window" else read_vote_log)(spark, log_root)
+    fresh = votes.join(ledger, "source_file", "left_anti")
+    new_votes, rejects = fresh.where("valid"), fresh.where("NOT valid")
+    if new_votes.isEmpty() and not rejects.isEmpty():
+        raise ValueError(f"no valid vote in the new files of {log_root if isinstance(log_root, str) else 'the log'}")
     order = ["ts", "rating"] if "ts" in new_votes.columns else ["source_file", "line_id"]
     updated = update_ratings(ratings, new_votes.select("tconst", "rating", *[c for c in order if c != "rating"]),
                              order=order, rounded=rounded)
-    files = new_votes.select("source_file").distinct()
-    return write_version(spark, root, {"ratings": updated, "ledger": ledger.unionByName(files).distinct()})
+    files = fresh.select("source_file").distinct()
+    return write_version(spark, root, {"ratings": updated, "ledger": ledger.unionByName(files).distinct(),
+                                       "rejects": rejects})

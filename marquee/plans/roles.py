@@ -164,6 +164,16 @@ def ratings_update_rounded(spark, d):
     return out.withColumn("averageRating", F.round("averageRating", 6))
 
 
+def ratings_update_rounded_mixed(spark, d):
+    """Narrow and wide titles side by side, over all of lineitem, from an empty base."""
+    value = F.when(F.col("l_partkey") % 2 == 0, F.col("l_discount")).otherwise(F.col("l_quantity"))
+    v = table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("tconst"), value.alias("rating"), "l_shipdate", "l_orderkey", "l_linenumber")
+    none = spark.createDataFrame([], "tconst long, averageRating double, numVotes long")
+    out = ops.update_ratings(none, v, order=["l_shipdate", "l_orderkey", "l_linenumber", "rating"], rounded=True)
+    return out.withColumn("averageRating", F.round("averageRating", 6))
+
+
 def vote_log(spark, d):
     log = ops.vote_log(votes(spark, d), length="10 minutes")
     return _ts_text(log.select("w", "window_start", "window_end", "tconst", "rating", "ts"),
@@ -228,6 +238,7 @@ BATCH = {
     "merge_by_key": merge_documents_labels,
     "ratings_update_exact": ratings_update_exact,
     "ratings_update_rounded": ratings_update_rounded,
+    "ratings_update_rounded_mixed": ratings_update_rounded_mixed,
     "vote_log": vote_log,
     "sliding_avg": sliding_avg,
     "sliding_top3": sliding_top3,

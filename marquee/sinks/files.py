@@ -26,7 +26,7 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", single_file
     """
     out = df.coalesce(1) if single_file else df
     (out.write.mode(mode).option("sep", "\t").option("quote", "").option("nullValue", "\\N")
-     .option("header", "false").csv(path))
+     .option("emptyValue", "").option("header", "false").csv(path))
 
 
 def write_key_lists(lists: DataFrame, path: str, key: str, mode: str = "errorifexists") -> None:
@@ -88,13 +88,23 @@ def write_version(spark: SparkSession, root: str, parts: dict[str, DataFrame], f
         out.write(bytearray(version.encode("utf-8")))
     finally:
         out.close()
-    target = Path(f"{root}/{POINTER}")
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(tmp, target)
+    # one overwriting rename: readers see the old pointer or the new one, never none
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        tmp.toUri() if tmp.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    option = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    option[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(tmp, Path(f"{root}/{POINTER}"), option)
+    if current_version(spark, root) != version:
+        raise RuntimeError(f"the pointer of {root} was not replaced")
     return version
 
 
+def has_versions(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` holds version folders, current or not."""
+    fs, path, _ = _fs(spark, root)
+    return fs.exists(path) and any(s.isDirectory() and s.getPath().getName().startswith("v-") for s in fs.listStatus(path))
+
+
 def read_current(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame | None:
     """The ``name`` part of the current version of ``root`` (None if none yet)."""
     version = current_version(spark, root)

@@ -56,6 +56,20 @@ def read_vote_log(spark: SparkSession, root: str, file_glob: str = "part-*") ->
     return parse_vote_log_lines(lines)
 
 
+def read_window_log(spark: SparkSession, root: str) -> DataFrame:
+    """The per-window log written by the vote-log stream or ``write_window_log`` → parsed votes.
+
+    Read as a table, so the stream sink's commit metadata is respected (files
+    of failed attempts are not seen).  ``source_file`` is the file of each vote, ``ts``
+    its event time; a vote without id or with a NULL, NaN or infinite rating
+    has ``valid = false``.
+    """
+    log = spark.read.parquet(root).select("*", F.col("_metadata.file_path").alias("source_file"))
+    rating = F.col("rating").cast("double")
+    ok = F.col("tconst").isNotNull() & rating.isNotNull() & ~F.isnan(rating) & (F.abs(rating) < F.lit(float("inf")))
+    return log.select("tconst", rating.alias("rating"), F.coalesce(ok, F.lit(False)).alias("valid"), "ts", "source_file")
+
+
 def vote_lines(votes: DataFrame, tconst: str = "tconst", rating: str = "rating") -> DataFrame:
     """Votes → their logged text form ``(tconst,rating)`` (column ``value``)."""
     return votes.select(

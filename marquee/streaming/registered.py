@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.plans.roles import TS_TEXT, names
+from marquee.plans.movies import update_rating_store
+from marquee.plans.roles import TS_TEXT, names, rating_base
 from marquee.session import scratch_path
+from marquee.sinks.files import read_current
 from marquee.streaming.queries import start_sliding_top, start_trending, start_vote_log
 from marquee.streaming.sources import file_vote_stream
 
@@ -74,7 +76,16 @@ def trending_15m_stream(spark, sf_dir):
                       "tconst", "name", "votes")
 
 
+def ratings_update_from_stream_log(spark, sf_dir):
+    """The whole chain: the stream logs the votes, the batch update folds the log into the rating store."""
+    sink, ckpt, store = (scratch_path(spark, n) for n in ("rating_log", "rating_log-ckpt", "rating_store"))
+    _run(start_vote_log(event_votes(spark, sf_dir), sink, ckpt))
+    update_rating_store(spark, store, sink, initial=rating_base(spark, sf_dir), log_format="window")
+    return read_current(spark, store, "ratings").withColumn("averageRating", F.round("averageRating", 6))
+
+
 STREAMS = {
+    "ratings_update_from_stream_log": ratings_update_from_stream_log,
     "vote_log_stream": vote_log_stream,
     "sliding_top3_stream": sliding_top3_stream,
     "trending_15m_stream": trending_15m_stream,
