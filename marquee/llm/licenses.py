@@ -10,8 +10,8 @@
    is its score; templates at their threshold give their label.
 
 Words are lower-cased runs of letters and digits, so quotes, comment signs
-and line breaks don't matter.  The templates are a fixed, small list, broadcast by Spark's own choice of
-join; the hits stay rows.
+and line breaks don't matter.  The template hashes are broadcast up to a checked
+number; the hits stay rows.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.hashing import WORD_CHARS, hash_text, kgrams, word_blocks
-from marquee.llm.hashing import combine
+from marquee.llm.hashing import WORD_CHARS, combine, hash_text, kgrams, word_blocks
 
 K = 2
 DRIFT = 3
+MAX_BROADCAST_GRAMS = 100_000  # rows of template hashes (24 bytes each); a longer list is joined by a shuffle
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,8 @@ def template_grams(spark: SparkSession, templates: list[Template]) -> DataFrame:
             raise ValueError(f"a template needs {K} words: {template.text!r}")
         grams = combine([h[i:len(h) - K + 1 + i] for i in range(K)]).view(np.int64).tolist()
         rows += [(g, t, at, len(grams)) for at, g in enumerate(grams)]
-    return spark.createDataFrame(rows, "gram long, template int, at int, grams int")
+    df = spark.createDataFrame(rows, "gram long, template int, at int, grams int")
+    return F.broadcast(df) if len(rows) <= MAX_BROADCAST_GRAMS else df
 
 
 def _rolling(docs: DataFrame) -> DataFrame:
