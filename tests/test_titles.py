@@ -118,7 +118,7 @@ def test_rounded_fold_salted_prefix_matches_sequential(spark):
                                  "tconst string, averageRating double, numVotes long")
     vdf = spark.createDataFrame(votes, "tconst string, rating double, seq long")
     got = as_map(_rounded_fold(base, vdf, "tconst", "averageRating", "numVotes", "rating", ["seq"],
-                               salt_buckets=8, group_limit_max=50), "tconst", "averageRating", "numVotes")
+                               salt_buckets=8), "tconst", "averageRating", "numVotes")
     expect = {"hot": _fold(50.0, 2, [v for _, v, _ in votes[:5000]]),
               "cold": _fold(10.0, 1, [v for _, v, _ in votes[5000:]])}
     assert got == expect
