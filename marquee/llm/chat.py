@@ -65,11 +65,6 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def _grown(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
-    df = written(df, name)
-    return df, df.where("up IS NOT NULL").isEmpty()
-
-
 def root_paths(messages: DataFrame) -> DataFrame:
     """``leaf, node, dist`` for every leaf and each message on its path to the root (dist 0: the leaf).
 
@@ -79,17 +74,16 @@ def root_paths(messages: DataFrame) -> DataFrame:
     here = messages.select("node").distinct()
     links = messages.groupBy("node").agg(F.min("parent").alias("parent"))
     up = links.join(here.select(F.col("node").alias("parent")).withColumn("_known", F.lit(True)), "parent", "left")
-    jumps, done = _grown(up.select("node", F.when(F.col("_known"), F.col("parent")).alias("up")), "chat-jumps")
-    parents = jumps
-    total = jumps.count()
+    parents = written(up.select("node", F.when(F.col("_known"), F.col("parent")).alias("up")), "chat-parents")
+    total = parents.count()
+    jumps = parents.where("up IS NOT NULL")
     steps = []
-    while not done:
-        if (1 << len(steps)) > total:
-            break  # only cycles are left
-        steps.append(jumps.where("up IS NOT NULL"))
-        jumps, done = _grown(
-            jumps.join(jumps.select(F.col("node").alias("up"), F.col("up").alias("_up2")), "up", "left")
-            .select("node", F.col("_up2").alias("up")), "chat-jumps")
+    # beyond the number of messages only cycles are left
+    while (1 << len(steps)) <= total and not jumps.isEmpty():
+        steps.append(jumps)
+        # messages that are less deep than the next jump drop out here
+        jumps = written(jumps.join(jumps.select(F.col("node").alias("up"), F.col("up").alias("_up2")), "up")
+                        .select("node", F.col("_up2").alias("up")), "chat-jumps")
     inner = parents.where("up IS NOT NULL").select(F.col("up").alias("node")).distinct()
     paths = parents.select("node").join(inner, "node", "left_anti").select(
         F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("dist"))
