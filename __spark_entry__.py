@@ -68,9 +68,9 @@ FROM ({_TOP3}) GROUP BY nconst
 """
 
 
-def _collab_count(where: str, alias: str) -> str:
+def _collab_count(where: str, alias: str, credits: str = _CREDITS) -> str:
     return f"""
-WITH m AS (SELECT DISTINCT tconst, nconst FROM ({_CREDITS}) WHERE tconst IS NOT NULL AND nconst IS NOT NULL AND {where}),
+WITH m AS (SELECT DISTINCT tconst, nconst FROM ({credits}) WHERE tconst IS NOT NULL AND nconst IS NOT NULL AND {where}),
      p AS (SELECT a.nconst, b.nconst AS other FROM m a JOIN m b ON a.tconst = b.tconst AND a.nconst <> b.nconst)
 SELECT k.nconst, count(DISTINCT p.other) AS {alias}
 FROM (SELECT DISTINCT nconst FROM m) k LEFT JOIN p ON p.nconst = k.nconst
@@ -253,6 +253,8 @@ def oracle_sql() -> dict[str, str]:
             WITH m AS (SELECT DISTINCT tconst, nconst FROM ({_CREDITS}) WHERE tconst IS NOT NULL AND nconst IS NOT NULL)
             SELECT DISTINCT a.nconst, b.nconst AS other FROM m a JOIN m b ON a.tconst = b.tconst AND a.nconst <> b.nconst""",
         "collaborator_count": _collab_count("TRUE", "collaborators"),
+        "collaborator_count_hot": _collab_count(
+            "TRUE", "collaborators", "SELECT l_returnflag AS tconst, l_partkey AS nconst FROM lineitem"),
         "co_actor_count": _collab_count(_ACTING, "co_actors"),
         "collaborator_sets": _collab_sets("TRUE"),
         "co_actor_sets": _collab_sets(_ACTING),
@@ -273,7 +275,9 @@ def oracle_sql() -> dict[str, str]:
         "trending_1d": _trending_sql("1 day", "reset"),
         "trending_growth_1d": _trending_sql("1 day", "growth"),
         "vote_lines_parsed": """
-            WITH l AS (SELECT '(' || CAST(user_id AS VARCHAR) || ',' || CAST(value AS VARCHAR) || ')' AS line FROM events),
+            WITH l AS (SELECT '(' || CAST(user_id AS VARCHAR) || ',' ||
+                              CASE WHEN event_type = 'error' THEN event_type ELSE CAST(value AS VARCHAR) END || ')' AS line
+                       FROM events),
                  p AS (SELECT string_split(regexp_replace(line, '[()]', '', 'g'), ',') AS parts FROM l)
             SELECT nullif(trim(parts[1]), '') AS tconst, TRY_CAST(trim(parts[2]) AS DOUBLE) AS rating,
                    (nullif(trim(parts[1]), '') IS NOT NULL AND TRY_CAST(trim(parts[2]) AS DOUBLE) IS NOT NULL) AS valid

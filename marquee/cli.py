@@ -45,9 +45,11 @@ def batch(spark: SparkSession, a) -> None:
 
 
 def stream(spark: SparkSession, a) -> None:
-    names = read_name_lookup(read_titles(spark, a.titles))
     trigger = {"availableNow": True} if a.once else {"processingTime": "10 seconds"}
     ckpt = a.checkpoint or f"{a.out.rstrip('/')}/_checkpoints"  # belongs to this output, so a restart goes on
+    # the names are kept as a table: the micro-batches don't parse the dump again
+    read_name_lookup(read_titles(spark, a.titles)).write.mode("overwrite").parquet(f"{ckpt}/names")
+    names = spark.read.parquet(f"{ckpt}/names")
     queries = start_vote_products(text_vote_stream(spark, a.votes), names, a.out, ckpt, trigger=trigger)
     try:
         while any(q.isActive for q in queries.values()):

@@ -87,9 +87,11 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
     * for *heavy* titles each person gets a signature, the sorted set of
       heavy titles they are on.  Everyone on those titles is a co-worker,
       and their number is the number of people whose own signature
-      overlaps it — summed over *distinct* signatures, so a title holding
-      a third of all credits costs one row per distinct signature, not
-      one per pair of its people;
+      overlaps it — summed over *distinct* signatures, not over pairs of
+      people.  A title's signatures are hashed into buckets of about
+      ``heavy_size``, each met by all that ask, and summed map-side where
+      they meet: no key carries all signatures and no pair of them is
+      shuffled (comparing them stays quadratic in a title's distinct ones);
     * a light pair counts only if the two signatures do not overlap (else
       that co-worker is already counted through a heavy title).
 
@@ -103,10 +105,16 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
 
     sig = heavy.groupBy(person).agg(F.array_sort(F.collect_set(F.col(title))).alias("_sig"))
     sig_count = sig.groupBy("_sig").agg(F.count(F.lit(1)).alias("_cnt"))
-    holders = sig_count.select("_sig", "_cnt", F.explode("_sig").alias("_t"))
-    asks = sig_count.select(F.col("_sig").alias("_ask"), F.explode("_sig").alias("_t"))
+    by_title = sig_count.select("_sig", "_cnt", F.explode("_sig").alias("_t"))
+    buckets = by_title.groupBy("_t").agg(F.ceil(F.count(F.lit(1)) / F.lit(heavy_size)).cast("int").alias("_buckets"))
+    spread = by_title.join(buckets, "_t")
+    holders = spread.select("_t", F.pmod(F.xxhash64("_sig"), F.col("_buckets")).cast("int").alias("_b"), "_sig", "_cnt")
+    asks = spread.select("_t", F.explode(F.sequence(F.lit(0), F.col("_buckets") - F.lit(1))).alias("_b"),
+                         F.col("_sig").alias("_ask"))
     reach = (
-        asks.join(holders, "_t").select("_ask", "_sig", "_cnt").distinct()
+        asks.join(holders, ["_t", "_b"])
+        # two signatures count under the first title they share, so there is nothing to de-duplicate
+        .where(F.element_at(F.array_intersect("_ask", "_sig"), 1) == F.col("_t"))
         .groupBy("_ask").agg(F.sum("_cnt").alias("_reach"))
     )
     via_heavy = (

@@ -31,6 +31,7 @@ from marquee.sources.votes import parse_vote_log_lines, parse_vote_stream_lines,
 # Category letters that mark an acting credit in the test tables.
 ACTING_LETTERS = ("A", "R")
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
+BAD_LINE_EVENT = "error"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,6 +122,12 @@ def collaborator_count(spark, d):
     return ops.collaborator_counts(credits(spark, d))
 
 
+def collaborator_count_hot(spark, d):
+    """Three titles that hold all people between them: every title is a hot one."""
+    hot = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("tconst"), F.col("l_partkey").alias("nconst"))
+    return ops.collaborator_counts(hot)
+
+
 def co_actor_count(spark, d):
     return ops.collaborator_counts(credits(spark, d), where=is_acting()).withColumnRenamed(
         "collaborators", "co_actors")
@@ -209,7 +216,9 @@ def trending_growth_1d(spark, d):
 
 
 def vote_lines_parsed(spark, d):
-    lines = vote_lines(votes(spark, d).select("tconst", "rating"))
+    # Every event is a line; those of one type hold its name where the rating belongs, as bad lines do.
+    value = F.when(F.col("event_type") == BAD_LINE_EVENT, F.col("event_type")).otherwise(F.col("value").cast("string"))
+    lines = vote_lines(table(spark, d, "events").select(F.col("user_id").alias("tconst"), value.alias("rating")))
     return parse_vote_log_lines(lines)
 
 
@@ -230,6 +239,7 @@ BATCH = {
     "top3_map_text": top3_map_text,
     "collaborator_pairs": collaborator_pairs,
     "collaborator_count": collaborator_count,
+    "collaborator_count_hot": collaborator_count_hot,
     "co_actor_count": co_actor_count,
     "collaborator_sets": collaborator_sets,
     "co_actor_sets": co_actor_sets,

@@ -60,7 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir``.  If the session has none (local
     mode, tests), create one once per SparkContext and register it as the
-    RDD checkpoint dir, so ``DataFrame.checkpoint()`` works too.
+    RDD checkpoint dir, so ``DataFrame.checkpoint()`` works too.  On a
+    cluster without the setting this is an error.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None)
@@ -68,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     key = id(sc)
     if key not in _OWN_DIRS:
         _OWN_DIRS[key] = tempfile.mkdtemp(prefix="marquee-ckpt-")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 POINTER = "_current"
+OWNER = "_owner"
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
@@ -65,9 +66,13 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     """Name of the current version folder of ``root`` (None if never written)."""
     fs, _, jvm = _fs(spark, root)
     pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    if not fs.exists(pointer):
+    return _read_line(fs, pointer, jvm)
+
+
+def _read_line(fs, path, jvm) -> str | None:
+    if not fs.exists(path):
         return None
-    stream = fs.open(pointer)
+    stream = fs.open(path)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         return reader.readLine().strip()
@@ -75,6 +80,25 @@ def current_version(spark: SparkSession, root: str) -> str | None:
         stream.close()
 
 
+def claim_sink(spark: SparkSession, root: str, owner: str) -> None:
+    """Bind ``root`` to ``owner`` (a stream's checkpoint); an error where it belongs to another.
+
+    Streams write ``batch=<id>`` folders with overwrite, so a second checkpoint,
+    whose ids start again at 0, would replace the first one's rows.
+    """
+    fs, _, jvm = _fs(spark, root)
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{OWNER}")
+    held = _read_line(fs, path, jvm)
+    if held is None:
+        out = fs.create(path, False)
+        try:
+            out.write(bytearray(owner.encode("utf-8")))
+        finally:
+            out.close()
+    elif held != owner:
+        raise ValueError(f"{root} belongs to the stream with the checkpoint {held}")
+
+
 def write_version(spark: SparkSession, root: str, parts: dict[str, DataFrame], fmt: str = "parquet") -> str:
     """Write ``parts`` (name → DataFrame) as a new version of ``root``; repoint ``_current``."""
     version = f"v-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ the watermark passes its end (so the last open windows of a finished
 input stay unreported until newer votes arrive).  Results are written by
 ``foreachBatch`` under ``<sink>/batch=<id>`` with overwrite, so a
 re-executed micro-batch replaces its own output (idempotent on restart).
+A sink belongs to the checkpoint that wrote it first; empty batches write nothing.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marquee.constants import LOG_WINDOW, TOP_SLIDE, TOP_WINDOW, TOP_WINDOW_N, TREND_WINDOW
 from marquee.functions.text import window_label
 from marquee.operators.windows import window_averages, window_counts, with_names
+from marquee.sinks.files import claim_sink
 from marquee.streaming.trending import TrendingProcessor
 
 
@@ -79,6 +81,11 @@ def _named(batch: DataFrame, names: DataFrame, title: str,
     return with_names(batch, lookup, title, name_title=title, name="name")
 
 
+def _nothing(df: DataFrame, batch_id: int) -> bool:
+    """Whether a batch has no row and can be skipped; the first one is always written, for the sink's schema."""
+    return batch_id > 0 and df.isEmpty()
+
+
 def _batch_writer(sink: str, fmt: str = "parquet"):
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").format(fmt).save(f"{sink}/batch={batch_id}")
@@ -109,6 +116,7 @@ def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint:
         avgs = _pane_stream_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide)
     else:
         avgs = window_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide, panes=False)
+    claim_sink(votes.sparkSession, sink, checkpoint)
     write = _batch_writer(sink)
 
     lookup = names.select(F.col(name_title).alias(title), F.col(name).alias("name"))
@@ -116,6 +124,8 @@ def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint:
     def rank(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
+            if _nothing(df, batch_id):
+                return
             named = _named(df, lookup, title)
             w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("average"), F.asc(title))
             top = (named.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(n))
@@ -175,6 +185,7 @@ def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: st
         outputMode="Append",
         timeMode="ProcessingTime" if state_ttl_ms else "None",
     )
+    claim_sink(votes.sparkSession, sink, checkpoint)
     write = _batch_writer(sink)
 
     lookup = names.select(F.col(name_title).alias(title), F.col(name).alias("name"))
@@ -182,6 +193,8 @@ def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: st
     def named(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
+            if _nothing(df, batch_id):
+                return
             write(_named(df, lookup, title).select("window_start", "window_end", title, "name", "votes"), batch_id)
         finally:
             df.unpersist()

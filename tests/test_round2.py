@@ -86,3 +86,25 @@ def test_merge_takes_the_wider_type_and_is_defined_for_repeated_keys(spark):
     assert [tuple(r) for r in merge_by_key("k", a, b).collect()] == [(1, 2.7)]
     twice = spark.createDataFrame([(1, 5), (1, 9), (1, None)], "k int, v int")
     assert [tuple(r) for r in merge_by_key("k", a, twice).collect()] == [(1, 9)]
+
+
+def test_co_worker_counts_over_many_signatures_of_hot_titles(spark):
+    """A title that everyone is on, each person with another set of further hot titles; buckets of four."""
+    from marquee.operators.collaborators import collaborator_counts
+
+    rng = random.Random(5)
+    credits = [("all", p) for p in range(60) if p % 3] + [(f"t{t}", p) for p in range(60) for t in range(9) if rng.random() < 0.2]
+    on = {}
+    for t, p in credits:
+        on.setdefault(t, set()).add(p)
+    want = {p: len(set().union(*[s for s in on.values() if p in s]) - {p}) for _, p in credits}
+    df = spark.createDataFrame(credits, "tconst string, nconst long")
+    for size in (4, 1000):
+        assert dict(map(tuple, collaborator_counts(df, heavy_size=size).collect())) == want
+
+
+def test_a_sink_belongs_to_its_checkpoint(spark, tmp_path):
+    files.claim_sink(spark, str(tmp_path / "out"), "ck1")
+    files.claim_sink(spark, str(tmp_path / "out"), "ck1")
+    with pytest.raises(ValueError, match="ck1"):
+        files.claim_sink(spark, str(tmp_path / "out"), "ck2")
