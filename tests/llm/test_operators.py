@@ -72,6 +72,13 @@ def test_licenses(spark, edge, empty):
     assert licenses.scan(edge).count() == 9 and licenses.scan(empty).count() == 0
 
 
+def test_licenses_broadcast_their_templates_only_up_to_the_bound(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "under the MIT license"), (2, "none")], "doc_id long, text string")
+    small = sorted(map(str, licenses.scan(docs).collect()))
+    monkeypatch.setattr(licenses, "MAX_BROADCAST_GRAMS", 0)
+    assert sorted(map(str, licenses.scan(docs).collect())) == small
+
+
 def test_html_text(spark):
     page = ('<html lang=en><head><title>t</title></head><body><header>site</header><nav><a href=/x>menu</a></nav>'
             '<div class="cookie-notice">We use cookies</div><article><h1>Head &amp; tail</h1><p>One  two\nthree<br>four'
