@@ -26,8 +26,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays: the smallest id."""
     found = minhash.near_duplicates(docs, shingle_words=5, percent=80)
     ids = written(found.select("doc_id", "kept"), "pipeline-copies")
-    kept = docs.join(ids.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    # the dropped ids grow with the corpus, so they aren't broadcast: the texts are shuffled once, at every size
+    gone = ids.where("NOT kept").select("doc_id").distinct().hint("merge")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = ids.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
     twice = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(twice)
 
