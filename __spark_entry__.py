@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from marquee.plans import roles  # noqa: E402
+from marquee.plans import dumps, roles  # noqa: E402
 from marquee.streaming import registered as stream_queries  # noqa: E402
 
 try:  # the subpackage and the pipeline may be absent
@@ -38,6 +38,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per implemented product (batch forms, then stream forms)."""
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(roles.BATCH)
+    out.update(dumps.DUMPS)
     out.update(stream_queries.STREAMS)
     if llm_queries is not None:
         out.update(llm_queries.QUERIES)
@@ -237,6 +238,39 @@ FROM k LEFT JOIN info ON info.nconst = k.nconst LEFT JOIN cnt ON cnt.nconst = k.
 """
 
 
+# The dump queries have text ids, so titles of one score rank by text.
+_TEXT_CREDITS = ("SELECT CAST(l_orderkey AS VARCHAR) AS tconst, CAST(l_partkey AS VARCHAR) AS nconst, "
+                 "l_returnflag AS category FROM lineitem")
+
+
+def _text_ids(sql: str) -> str:
+    return sql.replace(_CREDITS, _TEXT_CREDITS).replace("o_orderkey AS tconst", "CAST(o_orderkey AS VARCHAR) AS tconst")
+
+
+_LOAD_MOVIES = """
+SELECT coalesce(CAST(p_partkey AS VARCHAR), CAST(o_orderkey AS VARCHAR)) AS tconst, p_type AS "titleType",
+       p_name AS "primaryTitle", CAST(NULL AS VARCHAR) AS "originalTitle", CAST(NULL AS INTEGER) AS "isAdult",
+       CAST(p_size AS INTEGER) AS "startYear", CAST(NULL AS INTEGER) AS "endYear", CAST(NULL AS INTEGER) AS "runtimeMinutes",
+       CASE WHEN p_partkey IS NOT NULL THEN concat_ws(',', p_brand, p_type) END AS genres,
+       CASE WHEN p_partkey IS NOT NULL THEN concat_ws('|', p_brand, p_type) END AS genre_list, o_totalprice AS rating
+FROM (SELECT * FROM part WHERE p_partkey IS NOT NULL) FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderkey IS NOT NULL)
+     ON p_partkey = o_orderkey
+"""
+
+_LOAD_PEOPLE = _text_ids(f"""
+WITH info AS (SELECT CAST(p_partkey AS VARCHAR) AS nconst, p_name AS primaryName, p_size AS birthYear FROM part
+              WHERE p_partkey IS NOT NULL),
+     cnt AS ({_CREDIT_COUNT}),
+     top AS ({_TOP3_TEXT}),
+     co AS ({_collab_count("TRUE", "collaborators")}),
+     k AS (SELECT nconst FROM info UNION SELECT nconst FROM cnt)
+SELECT k.nconst, info.primaryName, CAST(info.birthYear AS INTEGER) AS birthYear, CAST(NULL AS INTEGER) AS deathYear,
+       cnt.total_movies, cnt.distinct_titles, top.top_text, co.collaborators
+FROM k LEFT JOIN info ON info.nconst = k.nconst LEFT JOIN cnt ON cnt.nconst = k.nconst
+       LEFT JOIN top ON top.nconst = k.nconst LEFT JOIN co ON co.nconst = k.nconst
+""")
+
+
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL per query (stream forms whose result differs from batch are omitted)."""
     sql = {
@@ -288,6 +322,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT nullif(trim(parts[1]), '') AS tconst, TRY_CAST(trim(parts[2]) AS DOUBLE) AS rating,
                    (nullif(trim(parts[1]), '') IS NOT NULL AND TRY_CAST(trim(parts[2]) AS DOUBLE) IS NOT NULL) AS valid
             FROM p""",
+        "load_movies": _LOAD_MOVIES,
+        "load_people": _LOAD_PEOPLE,
+        "credits_key_lists": f"SELECT nconst, tconst FROM ({_CREDITS}) WHERE nconst IS NOT NULL AND tconst IS NOT NULL",
+        "top3_scored_lists": f"SELECT nconst, tconst, averageRating FROM ({_TOP3})",
+        "ratings_update_from_text_log": _fold_sql(rounded=False).replace(
+            _VOTES, f"{_VOTES} AND event_type IS DISTINCT FROM 'error'"),
         # A stream reports a window once the watermark has passed its end.
         "sliding_top3_stream": _closed(_SLIDING_TOP3, TOP_DELAY),
         "trending_15m_stream": _closed(_trending_sql("15 minutes", "reset"), TREND_DELAY),

@@ -4,8 +4,8 @@
     python -m marquee.cli batch    --credits C --ratings-store DIR --logs DIR [--initial-ratings R] [--rounded]
     python -m marquee.cli stream   --votes DIR --titles T --out DIR [--once]
 
-``load`` writes the movies and people tables (parquet) and the ten
-most-credited actors; ``batch`` prints the top ten and folds new vote logs
+``load`` writes the movies and people tables, the co-worker and co-actor sets
+(parquet) and the ten most-credited actors; ``batch`` prints the top ten and folds new vote logs
 into the rating store; ``stream`` runs the vote log, sliding top 3 and
 trending streams over text vote files.  Checkpoints go below
 ``spark.checkpoint.dir``.
@@ -19,6 +19,7 @@ import time
 from pyspark.sql import SparkSession
 
 from marquee.functions.predicates import is_performer
+from marquee.operators.collaborators import collaborator_sets
 from marquee.operators.credits import top_people
 from marquee.plans.movies import build_movies, update_rating_store
 from marquee.plans.people import build_people
@@ -32,6 +33,8 @@ def load(spark: SparkSession, a) -> None:
     people, credits = read_people(spark, a.people), read_credits(spark, a.credits)
     build_movies(titles, ratings).write.mode("errorifexists").parquet(f"{a.out}/movies")
     build_people(people, credits, ratings).write.mode("errorifexists").parquet(f"{a.out}/people")
+    collaborator_sets(credits).write.mode("errorifexists").parquet(f"{a.out}/collaborators")
+    collaborator_sets(credits, where=is_performer("category")).write.mode("errorifexists").parquet(f"{a.out}/co_actors")
     top_people(credits, where=is_performer("category")).write.mode("errorifexists").parquet(f"{a.out}/top10")
 
 
@@ -40,7 +43,7 @@ def batch(spark: SparkSession, a) -> None:
         print(f"{row['nconst']}\t{row['credits']}")
     initial = read_ratings(spark, a.initial_ratings) if a.initial_ratings else None
     version = update_rating_store(spark, a.ratings_store, a.logs, initial=initial, rounded=a.rounded,
-                                  log_format=a.log_format)
+                                  log_format=getattr(a, "log_format", "text"))
     print(f"ratings store version {version}")
 
 

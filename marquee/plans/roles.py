@@ -215,11 +215,14 @@ def trending_growth_1d(spark, d):
     return _trending(spark, d, "1 day", "growth")
 
 
-def vote_lines_parsed(spark, d):
-    # Every event is a line; those of one type hold its name where the rating belongs, as bad lines do.
+def event_votes_with_errors(spark, d) -> DataFrame:
+    """Every event as a vote; those of one type hold its name where the rating belongs, as bad lines do."""
     value = F.when(F.col("event_type") == BAD_LINE_EVENT, F.col("event_type")).otherwise(F.col("value").cast("string"))
-    lines = vote_lines(table(spark, d, "events").select(F.col("user_id").alias("tconst"), value.alias("rating")))
-    return parse_vote_log_lines(lines)
+    return table(spark, d, "events").select(F.col("user_id").alias("tconst"), value.alias("rating"))
+
+
+def vote_lines_parsed(spark, d):
+    return parse_vote_log_lines(vote_lines(event_votes_with_errors(spark, d)))
 
 
 def vote_stream_lines_parsed(spark, d):

@@ -17,7 +17,7 @@ def test_entry_runs(spark):
 
 def own_queries():
     """The queries of the library itself; those of the optional subpackage are tested beside it."""
-    return {**entry.roles.BATCH, **entry.stream_queries.STREAMS}
+    return {**entry.roles.BATCH, **entry.dumps.DUMPS, **entry.stream_queries.STREAMS}
 
 
 def test_every_query_has_an_oracle():

@@ -38,6 +38,10 @@ def test_load_job(spark, tmp_path):
     assert people["nm1"]["total_movies"] == 4 and people["nm1"]["top_text"] == "{tt2=9.0, tt1=8.0, tt3=7.0}"
     top = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out/top10")).orderBy("credits", ascending=False).collect()]
     assert top[0] == ("nm1", 3)
+    sets = {r["nconst"]: r["items"] for r in spark.read.parquet(str(tmp_path / "out/collaborators")).collect()}
+    assert set(sets) <= set(people) and all(len(sets[p]) == people[p]["collaborators"] for p in sets)
+    actors = {r["nconst"]: r["items"] for r in spark.read.parquet(str(tmp_path / "out/co_actors")).collect()}
+    assert set(actors) <= set(sets) and all(set(actors[p]) <= set(sets[p]) for p in actors)
 
 
 def test_batch_job(spark, tmp_path, capsys):
