@@ -71,10 +71,12 @@ def root_paths(messages: DataFrame) -> DataFrame:
     ``messages``: ``node, parent`` (longs; NULL parent: a root).  A parent that isn't
     there makes its child a root.  Messages on a cycle have no root and give no rows.
     """
-    here = messages.select("node").distinct()
+    here = messages.select(F.col("node").alias("parent")).distinct().withColumn("_known", F.lit(True))
     links = messages.groupBy("node").agg(F.min("parent").alias("parent"))
-    up = links.join(here.select(F.col("node").alias("parent")).withColumn("_known", F.lit(True)), "parent", "left")
-    parents = written(up.select("node", F.when(F.col("_known"), F.col("parent")).alias("up")), "chat-parents")
+    # only messages that name a parent are joined: the roots' NULL would be one key
+    asked = links.where("parent IS NOT NULL").join(here, "parent", "left").select(
+        "node", F.when(F.col("_known"), F.col("parent")).alias("up"))
+    parents = written(asked.union(links.where("parent IS NULL").select("node", F.col("parent").alias("up"))), "chat-parents")
     total = parents.count()
     jumps = parents.where("up IS NOT NULL")
     steps = []
