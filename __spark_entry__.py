@@ -330,6 +330,7 @@ def oracle_sql() -> dict[str, str]:
             _VOTES, f"{_VOTES} AND event_type IS DISTINCT FROM 'error'"),
         # A stream reports a window once the watermark has passed its end.
         "sliding_top3_stream": _closed(_SLIDING_TOP3, TOP_DELAY),
+        "sliding_top3_stream_open": _SLIDING_TOP3,
         "trending_15m_stream": _closed(_trending_sql("15 minutes", "reset"), TREND_DELAY),
         # The stream form of the log is stateless, so it must equal the batch log exactly.
         "vote_log_stream": _VOTE_LOG,

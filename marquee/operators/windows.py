@@ -63,10 +63,11 @@ def window_averages(votes: DataFrame, title: str = "tconst", vote: str = "rating
     (window, title, map task) is shuffled.  ``panes=True`` (default for
     batch) first sums the votes of each title per ``slide``-long pane and
     expands the panes instead of the votes — far fewer rows to expand when
-    titles get many votes per pane.  Streams use ``panes=False``: the
+    titles get many votes per pane; lengths that are no whole number of
+    slides, and other units, take the direct form.  Streams use ``panes=False``: the
     watermarked aggregation must group on the window itself.
     """
-    if panes and slide and slide != length:
+    if panes and slide and slide != length and _panes_fit(length, slide):
         return _pane_averages(votes, title, vote, ts, length, slide, start_time)
     win = _window(ts, length, slide, start_time)
     return (
@@ -78,10 +79,15 @@ def window_averages(votes: DataFrame, title: str = "tconst", vote: str = "rating
     )
 
 
+def _panes_fit(length: str, slide: str) -> bool:
+    try:
+        return duration_seconds(length) % duration_seconds(slide) == 0
+    except (KeyError, ValueError):  # other units, or several of them
+        return False
+
+
 def _pane_averages(votes, title, vote, ts, length, slide, start_time):
     size, step = duration_seconds(length), duration_seconds(slide)
-    if size % step:
-        raise ValueError("panes=True needs a window length that is a multiple of the slide")
     per = size // step
     pane = _window(ts, slide, None, start_time)
     sums = (

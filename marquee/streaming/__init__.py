@@ -4,17 +4,19 @@ Each product is its own ``StreamingQuery`` with its own checkpoint:
 
 * ``start_vote_log``      – tumbling windows → parquet partitioned by window label
 * ``start_sliding_top``   – sliding averages (append, watermark) → top-n per window
+                            (``open_windows``: update mode, ranked by ``read_sliding_top``)
 * ``start_trending``      – tumbling counts → per-title state (``transformWithState``)
 """
 
 from marquee.streaming.sources import file_vote_stream, kafka_vote_stream, text_vote_stream
-from marquee.streaming.queries import start_rejects, start_sliding_top, start_trending, start_vote_log
+from marquee.streaming.queries import read_sliding_top, start_rejects, start_sliding_top, start_trending, start_vote_log
 from marquee.streaming.trending import TrendingProcessor
 
 __all__ = [
     "TrendingProcessor",
     "file_vote_stream",
     "kafka_vote_stream",
+    "read_sliding_top",
     "start_rejects",
     "start_sliding_top",
     "start_trending",

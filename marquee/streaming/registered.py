@@ -15,7 +15,7 @@ from marquee.plans.movies import update_rating_store
 from marquee.plans.roles import TS_TEXT, names, rating_base
 from marquee.session import scratch_path
 from marquee.sinks.files import read_current
-from marquee.streaming.queries import start_sliding_top, start_trending, start_vote_log
+from marquee.streaming.queries import read_sliding_top, start_sliding_top, start_trending, start_vote_log
 from marquee.streaming.sources import file_vote_stream
 
 EVENTS = T.StructType([
@@ -67,6 +67,15 @@ def sliding_top3_stream(spark, sf_dir):
                       "rank", "tconst", "name", F.round("average", 6).alias("average"))
 
 
+def sliding_top3_stream_open(spark, sf_dir):
+    """All windows, those still open at the end of the input too."""
+    sink, ckpt = scratch_path(spark, "sliding_top3-open"), scratch_path(spark, "sliding_top3-open-ckpt")
+    _run(start_sliding_top(event_votes(spark, sf_dir), names(spark, sf_dir), sink, ckpt, open_windows=True))
+    return read_sliding_top(spark, sink).select(
+        F.date_format("window_start", TS_TEXT).alias("window_start"), F.date_format("window_end", TS_TEXT).alias("window_end"),
+        "rank", "tconst", "name", F.round("average", 6).alias("average"))
+
+
 def trending_15m_stream(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "trending"), scratch_path(spark, "trending-ckpt")
     _run(start_trending(event_votes(spark, sf_dir), names(spark, sf_dir), sink, ckpt))
@@ -88,5 +97,6 @@ STREAMS = {
     "ratings_update_from_stream_log": ratings_update_from_stream_log,
     "vote_log_stream": vote_log_stream,
     "sliding_top3_stream": sliding_top3_stream,
+    "sliding_top3_stream_open": sliding_top3_stream_open,
     "trending_15m_stream": trending_15m_stream,
 }

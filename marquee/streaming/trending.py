@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
-STATE_SCHEMA = StructType([StructField("prev", LongType(), True)])
+STATE_SCHEMA = StructType([StructField("prev", LongType(), True), StructField("end", LongType(), True)])
 
 
 class TrendingProcessor(StatefulProcessor):
@@ -33,14 +33,11 @@ class TrendingProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         # The reference keeps a title's state for ever; a TTL (processing
         # time) optionally lets titles that stopped receiving votes expire.
-        self.prev = handle.getValueState("prev", STATE_SCHEMA, self.ttl)
-        self.prev_end = handle.getValueState(
-            "prev_end", StructType([StructField("end", LongType(), True)]), self.ttl)
+        self.last = handle.getValueState("last", STATE_SCHEMA, self.ttl)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True).sort_values("window_start", kind="stable")
-        prev = self.prev.get()[0] if self.prev.exists() else None
-        prev_end = self.prev_end.get()[0] if self.prev_end.exists() else None
+        prev, prev_end = self.last.get() if self.last.exists() else (None, None)
         keep = []
         for start, end, votes in zip(batch["window_start"], batch["window_end"], batch["votes"]):
             votes = int(votes)
@@ -53,8 +50,7 @@ class TrendingProcessor(StatefulProcessor):
                 keep.append(reported != 0)
                 prev = reported
             prev_end = _micros(end)
-        self.prev.update((prev,))
-        self.prev_end.update((prev_end,))
+        self.last.update((prev, prev_end))
         out = batch[keep]
         if len(out):
             yield out[["window_start", "window_end", self.title, "votes"]]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import operators as ops
 from marquee.plans import roles
-from marquee.streaming import file_vote_stream, start_sliding_top, start_trending, start_vote_log
+from marquee.streaming import file_vote_stream, read_sliding_top, start_sliding_top, start_trending, start_vote_log
 from marquee.streaming.registered import EVENTS
 
 SF = "/root/testdata/sf0.001"
@@ -149,6 +149,18 @@ def test_sliding_top_stream_restart(spark, split_events, tmp_path):
     assert set(restarted) == set(once)
 
 
+def test_open_windows_equal_batch_after_restart(spark, split_events, tmp_path):
+    """Every window is reported, those still open at the end too, over several batches and a restart."""
+    names = roles.names(spark, SF)
+    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+    for parts in (split_events[:2], split_events[2:]):
+        _feed(src, parts)
+        start_sliding_top(_stream_votes(spark, src), names, out, ck, open_windows=True).awaitTermination()
+    cols = ["window_start", "rank", "tconst", "name", "average"]
+    got = sorted(_key(r, cols) for r in read_sliding_top(spark, out).collect())
+    assert got == sorted(_key(r, cols) for r in ops.sliding_top(roles.votes(spark, SF), names).collect())
+
+
 def test_sliding_top_stream_panes_equal_direct(spark, split_events, tmp_path):
     names = roles.names(spark, SF)
     outs = {}

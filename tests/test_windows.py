@@ -114,3 +114,12 @@ def test_pane_averages_equal_direct(spark):
     b = {tuple(r[c] for c in key): r["average"] for r in panes.collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+@pytest.mark.parametrize("length,slide", [("10 minutes", "3 minutes"), ("2500 milliseconds", "500 milliseconds")])
+def test_averages_where_panes_do_not_fit(spark, length, slide):
+    rows = [(f"tt{i % 3}", float(i % 7), T0 + dt.timedelta(seconds=37 * i)) for i in range(60)]
+    cols = ["window_start", "window_end", "tconst", "average", "votes"]
+    panes, direct = (sorted(tuple(r) for r in ops.window_averages(
+        votes_df(spark, rows), length=length, slide=slide, panes=p).select(*cols).collect()) for p in (True, False))
+    assert panes == direct and panes
