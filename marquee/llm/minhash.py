@@ -194,7 +194,7 @@ def _screened(t: pa.Table, floor: float, step: int = 1 << 15) -> Iterator[tuple[
     """(row, row, share of equal minima) of the pairs of each group that lie in different components, share no
     earlier band and look alike enough."""
     key, i, j, comp, block, band = (t.column(c).to_numpy() for c in (*_GROUP, "component", "block", "band"))
-    sig = np.frombuffer(b"".join(t.column("light").to_pylist()), np.uint8).reshape(len(key), BANDS, ROWS)
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(len(key), BANDS, ROWS)  # as the keys
     new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
     end = np.repeat(np.r_[new[1:], len(key)], np.diff(np.r_[new, len(key)]))
     left = end - np.arange(len(key)) - 1  # partners after each member
@@ -214,7 +214,7 @@ def _screened(t: pa.Table, floor: float, step: int = 1 << 15) -> Iterator[tuple[
         lo = hi
 
 
-def _across(keys: DataFrame, labels: DataFrame, light: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _across(keys: DataFrame, labels: DataFrame, reps: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links ``(u, v)`` between the components that meet under a key (those that connect them, not all)."""
     floor = screen_floor(percent / 100)
     by = Window.partitionBy("key")
@@ -232,12 +232,12 @@ def _across(keys: DataFrame, labels: DataFrame, light: DataFrame, full: DataFram
     other = F.when(in_hub, rest).otherwise(
         F.concat(rest, F.transform(F.sequence(F.lit(0), F.col("_hubs") - 1), lambda x: x + HUB)))
     spread = (
-        mixed.join(hubs, "key").join(light, "node")
+        mixed.join(hubs, "key").join(reps.select("node", "sig"), "node")
         .withColumn("block", F.when(in_hub, F.pmod(F.xxhash64("node"), F.col("_hubs")) + HUB)
                     .otherwise(F.pmod(F.xxhash64("node"), F.col("_rest"))).cast("int"))
         .withColumn("_other", F.explode(other))
         .select("key", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
-                "band", "node", "component", "block", "light"))
+                "band", "node", "component", "block", "sig"))
 
     def screen(batches):
         """The members that have a pair to confirm."""
@@ -268,7 +268,7 @@ def _across(keys: DataFrame, labels: DataFrame, light: DataFrame, full: DataFram
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["u", "v"])
 
-    shape = "key long, i int, j int, band int, node long, component long, block int, light binary"
+    shape = "key long, i int, j int, band int, node long, component long, block int, sig binary"
     some = written(spread.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(screen, shape), "minhash-open")
     whole = some.join(_sets_of(some.select("node"), full), "node").select(*some.columns, "shingles")
     return written(whole.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(confirm, "u long, v long"),
@@ -296,14 +296,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     reps = full.select("digest", "doc_id", "sig").join(
         classes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"]).select(
         F.col("doc_id").alias("node"), "sig").dropDuplicates(["node", "sig"])
-    reps = written(_with_light(reps), "minhash-reps")
+    reps = written(reps, "minhash-reps")
     keys = written(band_keys(reps), "minhash-keys")
     star = keys.withColumn("a", F.min("node").over(Window.partitionBy("key"))).where("node <> a")
     best = (star.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n"))
             .groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b"))
     links = _confirmed(written(best, "minhash-star"), full, percent)
     labels = written(connected_components(links), "minhash-labels")
-    more = _across(keys, labels, reps.select("node", "light"), full, percent)
+    more = _across(keys, labels, reps, full, percent)
     links = links.union(more)
     if not more.isEmpty():
         labels = written(connected_components(links), "minhash-labels")
@@ -327,17 +327,3 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("_component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.cast("long").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def _with_light(reps: DataFrame) -> DataFrame:
-    """Adds ``light``: the lowest byte of every minimum (one in 256 unequal minima look equal in it)."""
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)[:, ::2]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array([r.tobytes() for r in sig], pa.binary())],
-                    ["node", "sig", "light"])
-
-    return reps.mapInArrow(run, "node long, sig binary, light binary")

@@ -146,6 +146,18 @@ def test_near_duplicates_keep_every_link_of_a_drifting_group(spark):
     assert got == {i: find(i) for i in sets}
 
 
+def test_near_duplicates_compare_a_pair_whose_earlier_band_is_equal_in_low_bytes_only(spark):
+    sig = np.random.default_rng(3).integers(0, 1 << 16, (1, minhash.HASHES), dtype=np.uint16).repeat(2, 0)
+    sig[1, 0] ^= 0x4200  # band 0 differs in a high byte; all later bands are shared
+    same = minhash._pack(np.arange(1, 50, dtype=np.uint64))
+    reps = spark.createDataFrame([(i, bytearray(r.tobytes()), bytearray(r.tobytes()[::2])) for i, r in enumerate(sig)],
+                                 "node long, sig binary, light binary")
+    sets = spark.createDataFrame([(i, i, bytearray([i]), bytearray(same)) for i in range(2)], "node long, doc_id long, digest binary, shingles binary")
+    labels = spark.createDataFrame([], "node long, component long")
+    got = minhash._across(minhash.band_keys(reps), labels, reps, sets.drop("node"), 80).distinct().collect()
+    assert [sorted(x) for x in got] == [[0, 1]]
+
+
 def test_secrets_edges(spark, edge, empty):
     assert secrets.scan(edge).count() == 0 and secrets.scan(empty).count() == 0
     key = "9f86d081884c7d659a2feaa0c55ad015"
