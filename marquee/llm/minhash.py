@@ -1,7 +1,7 @@
 """Near-duplicate documents: MinHash signatures, banding, verification, connected components.
 
 1. One pass over the whole texts makes, per document, the set of its word
-   shingles (as hashes), a digest of the set and ``HASHES`` universal hash minima.
+   shingles (as 64-bit hashes), a digest of the set and ``HASHES`` universal hash minima.
 2. Documents with equal sets become one class, represented by its smallest id.
 3. ``BANDS`` bands of ``ROWS`` minima are the candidate keys.  A pair at
    similarity 0.8 shares no band with a chance of (1 - 0.8^4)^32 < 1e-7.
@@ -32,7 +32,6 @@ from marquee.llm.hashing import NOT_SPACE, combine, kgrams, mix, word_blocks
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
-SHINGLE_BYTES = 5  # of a stored shingle hash: 2^40 values, compared within one pair only
 BLOCK = 256  # members of a key that are compared in one block
 HUB = 1 << 30  # numbers of the blocks of a key's largest component start here
 
@@ -43,16 +42,15 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 
 def _sets(block, k: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes (40 bits) of each row; fewer than k words: all of them as one shingle."""
+    """Sorted distinct shingle hashes of each row; fewer than k words: all of them as one shingle."""
     grams, at = kgrams(block, k)
-    grams = grams >> np.uint64(24)
     cuts = np.searchsorted(at, block.offsets)
     out = []
     for i in range(block.n_rows):
         g = grams[cuts[i]:cuts[i + 1]]
         words = block.hash[block.offsets[i]:block.offsets[i + 1]]
         if len(g) == 0 and len(words):
-            g = combine([words[j:j + 1] for j in range(len(words))]) >> np.uint64(24)
+            g = combine([words[j:j + 1] for j in range(len(words))])
         out.append(np.unique(g))
     return out
 
@@ -63,7 +61,7 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
     full = [i for i, s in enumerate(sets) if len(s)]
     if not full:
         return out.astype(np.uint16)
-    x = np.concatenate([sets[i] for i in full])
+    x = np.concatenate([sets[i] for i in full]) >> np.uint64(24)  # the minima only screen
     x = (x ^ (x >> np.uint64(20))) & _LOW | (x << np.uint64(32))
     starts = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
     got = np.empty((HASHES, len(full)), np.uint64)
@@ -77,14 +75,11 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _pack(s: np.ndarray) -> bytes:
-    return s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHINGLE_BYTES].tobytes()
+    return s.astype("<u8").tobytes()
 
 
 def _unpack(b: bytes) -> np.ndarray:
-    raw = np.frombuffer(b, np.uint8).reshape(-1, SHINGLE_BYTES)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :SHINGLE_BYTES] = raw
-    return wide.view("<u8").ravel()
+    return np.frombuffer(b, "<u8")
 
 
 def sketches(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,7 +143,7 @@ def _sets_of(nodes: DataFrame, full: DataFrame) -> DataFrame:
             .dropDuplicates(["node", "digest"]).select("node", "shingles"))
 
 
-def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that hold on the full sets, as ``(u, v)``."""
 
     def run(batches):
@@ -158,7 +153,6 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
             take = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], ["u", "v"])
 
-    sets = written(_sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), full), "minhash-sets")
     joined = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
               .select("a", "b", "sa", "sb"))
@@ -214,7 +208,7 @@ def _screened(t: pa.Table, floor: float, step: int = 1 << 15) -> Iterator[tuple[
         lo = hi
 
 
-def _across(keys: DataFrame, labels: DataFrame, reps: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _across(keys: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``(u, v)`` between the components that meet under a key (those that connect them, not all)."""
     floor = screen_floor(percent / 100)
     by = Window.partitionBy("key")
@@ -270,7 +264,7 @@ def _across(keys: DataFrame, labels: DataFrame, reps: DataFrame, full: DataFrame
 
     shape = "key long, i int, j int, band int, node long, component long, block int, sig binary"
     some = written(spread.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(screen, shape), "minhash-open")
-    whole = some.join(_sets_of(some.select("node"), full), "node").select(*some.columns, "shingles")
+    whole = some.join(sets.select("node", "shingles"), "node").select(*some.columns, "shingles")
     return written(whole.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(confirm, "u long, v long"),
                    "minhash-links")
 
@@ -299,11 +293,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     reps = written(reps, "minhash-reps")
     keys = written(band_keys(reps), "minhash-keys")
     star = keys.withColumn("a", F.min("node").over(Window.partitionBy("key"))).where("node <> a")
-    best = (star.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n"))
-            .groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b"))
-    links = _confirmed(written(best, "minhash-star"), full, percent)
+    star = written(star.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n")), "minhash-star")
+    best = star.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
+    # every member of a key with several, so the sets are shuffled once for both comparisons
+    sets = written(_sets_of(star.select(F.explode(F.array("a", "b")).alias("node")), full), "minhash-sets")
+    links = _confirmed(best, sets, percent)
     labels = written(connected_components(links), "minhash-labels")
-    more = _across(keys, labels, reps, full, percent)
+    more = _across(keys, labels, reps, sets, percent)
     links = links.union(more)
     if not more.isEmpty():
         labels = written(connected_components(links), "minhash-labels")

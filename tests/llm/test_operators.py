@@ -154,10 +154,18 @@ def test_near_duplicates_compare_a_pair_whose_earlier_band_is_equal_in_low_bytes
                                  "node long, sig binary, light binary")
     sets = spark.createDataFrame([(i, i, bytearray([i]), bytearray(same)) for i in range(2)], "node long, doc_id long, digest binary, shingles binary")
     labels = spark.createDataFrame([], "node long, component long")
-    got = minhash._across(minhash.band_keys(reps), labels, reps, sets.drop("node"), 80).distinct().collect()
+    got = minhash._across(minhash.band_keys(reps), labels, reps, sets, 80).distinct().collect()
     assert [sorted(x) for x in got] == [[0, 1]]
 
 
+def test_near_duplicates_count_distinct_64_bit_shingles(monkeypatch):
+    hashes = np.array([1 << 24, (1 << 24) + 1, (1 << 24) + 1, 5 << 40], np.uint64)  # the first three are one in 40 bits
+    monkeypatch.setattr(minhash, "kgrams", lambda block, k: (hashes, np.arange(4)))
+    block = next(iter(word_blocks(pa.array(["a b c d e"]), NOT_SPACE)))
+    own = minhash._sets(block, 2)[0]
+    assert len(own) == 3 and minhash._unpack(minhash._pack(own)).tolist() == sorted(set(hashes.tolist()))
+
+
 def test_secrets_edges(spark, edge, empty):
     assert secrets.scan(edge).count() == 0 and secrets.scan(empty).count() == 0
     key = "9f86d081884c7d659a2feaa0c55ad015"
