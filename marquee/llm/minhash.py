@@ -33,6 +33,7 @@ from marquee.llm.hashing import NOT_SPACE, combine, kgrams, mix, word_blocks
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BLOCK = 256  # members of a key that are compared in one block
+MARKS = 1 << 28  # bits (32 MiB) that tell most unneeded sets before the shuffle that fetches the others
 HUB = 1 << 30  # numbers of the blocks of a key's largest component start here
 
 _rng = np.random.default_rng(7)
@@ -137,9 +138,17 @@ def alike(x: bytes, y: bytes, percent: int) -> bool:
 
 def _sets_of(nodes: DataFrame, full: DataFrame) -> DataFrame:
     """``node, shingles`` of the nodes: one shuffle of the sets at every size (the nodes grow with the corpus, so they
-    aren't broadcast)."""
-    return (full.select(F.col("doc_id").alias("node"), "digest", "shingles")
-            .join(nodes.select("node").distinct().hint("merge"), "node", "left_semi")
+    aren't broadcast).  A bitmap of the nodes' hashes, of bounded size, takes out most other sets before it."""
+    nodes = nodes.select("node").distinct()
+    bit = F.pmod(F.xxhash64("node"), F.lit(MARKS))
+    place = F.bitmap_bit_position("_bit").cast("int")
+    marks = (nodes.select(bit.alias("_bit")).select(F.bitmap_bucket_number("_bit").alias("_bucket"), place.alias("_at"))
+             .repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = (full.select(F.col("doc_id").alias("node"), "digest", "shingles").withColumn("_bit", bit)
+            .withColumn("_bucket", F.bitmap_bucket_number("_bit")).join(F.broadcast(marks), "_bucket")
+            .where(F.getbit(byte, place % 8) == 1))
+    return (near.select("node", "digest", "shingles").join(nodes.hint("merge"), "node", "left_semi")
             .dropDuplicates(["node", "digest"]).select("node", "shingles"))
 
 
