@@ -1,7 +1,7 @@
 """Secret scan with a random forest that removes false positives — DataFrame functions only.
 
-1. Candidates: values assigned to a secret-sounding name, private key blocks
-   and runs of 16 or more key characters with a digit.  The regex marks them
+1. Candidates: values assigned to a name that holds a secret-sounding word, private
+   key blocks and runs of 16 or more key characters with a digit ('=' only at their end).  The regex marks them
    in the text; splitting at the marks gives each value, its neighbours and
    its place, without leaving the JVM.
 2. Features of each candidate: length, character transitions and classes,
@@ -50,12 +50,15 @@ DICTIONARY = ("about account address admin after agent also always apple back ba
               "time title token track tree under user value version video view water week well what when where which "
               "while white with word work world write year your").split()
 
-_KEY_CHARS = "[A-Za-z0-9+/_=~-]"
+_KEY_CHARS = "[A-Za-z0-9+/_~-]"
 _MARK, _END = "\u0001", "\u0002"
+_BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]+?-----END [A-Z ]{0,20}PRIVATE KEY-----"
+_IN_QUERY = r"[?&][\w-]{1,80}="  # a value in an address ends at the next parameter
 CANDIDATE = (
-    rf"((?i:\b(?:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?))([^\s\"'{_MARK}{_END}]{{6,}})"
-    r"|(-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^-]+-----END [A-Z ]{0,20}PRIVATE KEY-----)"
-    rf"|((?<!{_KEY_CHARS})(?=[A-Za-z+/_=~-]*+[0-9]){_KEY_CHARS}{{16,}})")
+    rf"((?i:(?<![\w-])[\w-]*?(?:{NAMES})[\w-]*+[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?))"
+    rf"({_BLOCK}|(?<={_IN_QUERY})[^\s\"'&#{_MARK}{_END}]{{6,}}|(?<!{_IN_QUERY})[^\s\"'{_MARK}{_END}]{{6,}})"
+    rf"|({_BLOCK})"
+    rf"|((?<!{_KEY_CHARS})(?=[A-Za-z+/_~-]*+[0-9])(?:{_KEY_CHARS}{{16,}}+={{0,2}}|{_KEY_CHARS}{{15}}=|{_KEY_CHARS}{{14}}==))")
 
 FEATURES = ("f_length f_transitions f_vowel_steps f_digits f_upper f_hex f_distinct f_dictionary f_test_path "
             "f_path_depth f_named f_assigned f_quoted f_not_secret f_placeholder f_known").split()
