@@ -61,7 +61,7 @@ CANDIDATE = (
     rf"|((?<!{_KEY_CHARS})(?=[A-Za-z+/_~-]*+[0-9])(?:{_KEY_CHARS}{{16,}}+={{0,2}}|{_KEY_CHARS}{{15}}=|{_KEY_CHARS}{{14}}==))")
 
 FEATURES = ("f_length f_transitions f_vowel_steps f_digits f_upper f_hex f_distinct f_dictionary f_test_path "
-            "f_path_depth f_named f_assigned f_quoted f_not_secret f_placeholder f_known").split()
+            "f_path_depth f_named f_assigned f_quoted f_not_secret f_placeholder f_near f_known").split()
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
@@ -99,6 +99,9 @@ def features(found: DataFrame) -> DataFrame:
 
     words = "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w)))
     near = F.concat(F.coalesce("before", F.lit("")), v, F.coalesce("after", F.lit("")))
+    # the value and what else stands in its quotes
+    own = F.concat(v, F.when(F.col("before").rlike(r"[\"']$"),
+                             F.regexp_extract(F.coalesce("after", F.lit("")), r"^[^\"'\n]*(?=[\"'])", 0)).otherwise(F.lit("")))
     cols = {
         "f_length": n,
         "f_transitions": share("(?<=[a-z])(?=[A-Z0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Z])(?=[a-z0-9])"),
@@ -114,18 +117,20 @@ def features(found: DataFrame) -> DataFrame:
         "f_assigned": flag(F.col("before").rlike(r"[:=]\s*[\"']?$")),
         "f_quoted": flag(F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']")),
         "f_not_secret": flag(F.col("before").rlike(NOT_SECRET)),
-        "f_placeholder": flag(near.rlike(PLACEHOLDER)),
+        "f_placeholder": flag(own.rlike(PLACEHOLDER)),
+        "f_near": flag(near.rlike(PLACEHOLDER)),
         "f_known": flag(v.rlike(KNOWN)),
     }
     return found.withColumns(cols)
 
 
 def weak_label() -> Column:
-    """1 for clear secrets, 0 for clear non-secrets, NULL where the forest is to decide."""
+    """1 for clear secrets, 0 for clear non-secrets, NULL where the forest is to decide.  Known formats come first;
+    words around a value (``f_near``) label nothing."""
     c = F.col
     mixed = (c("f_transitions") >= 0.12) & (c("f_distinct") >= 10)
     long_hex = (c("f_hex") == 1) & (c("f_length") >= 24) & (c("f_digits") > 0) & (c("f_digits") < 1)
-    return (F.when(c("f_placeholder") == 1, 0).when(c("f_known") == 1, 1).when(c("f_not_secret") == 1, 0)
+    return (F.when(c("f_known") == 1, 1).when(c("f_placeholder") == 1, 0).when(c("f_not_secret") == 1, 0)
             .when((c("f_assigned") == 1) & (c("f_named") == 1) & (mixed | long_hex), 1)
             .when((c("f_digits") >= 0.95) | (c("f_dictionary") >= 0.6), 0)
             .when((c("f_assigned") == 0) & (c("f_named") == 0), 0))
