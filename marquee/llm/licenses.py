@@ -4,10 +4,11 @@
    hashes; a hit of document word i and template word j votes for the diagonal i - j.
 2. Votes are counted per (document, template, diagonal): a diagonal with all of
    a template's votes is a word-for-word occurrence.
-3. Neighbouring diagonals (up to ``DRIFT`` words apart: words put in or left out)
-   whose spans lie close are merged into one match.
-4. A match is verified: the share of the template's hashes that it has in order
-   is its score; templates at their threshold give their label.
+3. The hits of a text that meets enough different places of a template are chained: text and
+   template places both increase, and the diagonal moves up to ``DRIFT`` words a step
+   (words put in or left out), so the hits of a chain lie close.
+4. The longest chains that don't overlap are the matches: the share of the template's hashes that
+   one has in order is its score; templates at their threshold give their label.
 
 Words are lower-cased runs of letters and digits, so quotes, comment signs
 and line breaks don't matter.  The template hashes are broadcast up to a checked
@@ -16,11 +17,12 @@ number; the hits stay rows.
 
 from __future__ import annotations
 
+from bisect import bisect
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.hashing import WORD_CHARS, combine, hash_text, kgrams, word_blocks
@@ -94,7 +96,7 @@ def _rolling(docs: DataFrame) -> DataFrame:
 
 
 def votes(docs: DataFrame, templates: list[Template], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row, doc_id, n_words, template, diagonal, votes, first, last, grams`` per diagonal; one row with a NULL
+    """``row, doc_id, n_words, template, diagonal, votes, ats, grams`` per diagonal (``ats``: the template places met); one row with a NULL
     template per document (its number of words)."""
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                       F.col(text_col).alias("text"))
@@ -105,26 +107,59 @@ def votes(docs: DataFrame, templates: list[Template], id_col: str = "doc_id", te
             .where("pos < 0 OR template IS NOT NULL"))
     return hits.groupBy("row", "doc_id", "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.max(F.when(F.col("pos") < 0, F.col("gram"))).alias("n_words"), F.count("at").alias("votes"),
-        F.min("at").alias("first"), F.max("at").alias("last"), F.max("grams").alias("grams"))
-
-
-def matches(diagonals: DataFrame) -> DataFrame:
-    """``row, doc_id, template, start, end, score, exact``: neighbouring diagonals merged (word places in the text).
-
-    ``exact``: how many whole word-for-word occurrences the match holds.
+        F.collect_list("at").alias("ats"), F.max("grams").alias("grams"))
+
+
+def chains(hits: list[tuple[int, int]], grams: int) -> list[tuple[int, int, int, int]]:
+    """``(start, end, hits, drift)`` of the longest chains of (text place, template place) that don't overlap."""
+    hits = sorted(hits)
+    best: list[tuple[int, int, int]] = []  # (hits, -drift, -start) of the best chain that ends at each hit
+    lo = 0
+    for i, (pos, at) in enumerate(hits):
+        while hits[lo][0] < pos - grams - DRIFT:
+            lo += 1
+        own = (1, 0, -pos)
+        for j in range(lo, i):
+            step = abs((pos - at) - (hits[j][0] - hits[j][1]))
+            if hits[j][0] < pos and hits[j][1] < at and step <= DRIFT:
+                n, drift, start = best[j]
+                own = max(own, (n + 1, drift - step, start))
+        best.append(own)
+    taken: list[tuple[int, int, int, int]] = []
+    starts: list[int] = []
+    for i in sorted(range(len(hits)), key=lambda i: (-best[i][0], -best[i][1], hits[i][0])):
+        n, drift, start = best[i][0], -best[i][1], -best[i][2]
+        end = hits[i][0] + K
+        at = bisect(starts, start)
+        if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
+            starts.insert(at, start)
+            taken.insert(at, (start, end, n, drift))
+    return taken
+
+
+def matches(diagonals: DataFrame, need: Column) -> DataFrame:
+    """``row, doc_id, template, start, end, score, exact``: the verified chains (word places in the text) of the
+    templates of which a text has the share ``need`` at least, in any order.
+
+    ``exact``: 1 for a whole word-for-word occurrence, else 0.
     """
-    d = diagonals.where("template IS NOT NULL")
-    by = Window.partitionBy("row", "template").orderBy("diagonal")
-    far = (F.col("diagonal") - F.lag("diagonal").over(by)) > DRIFT
-    d = d.withColumn("_new", F.coalesce(far, F.lit(True)).cast("int"))
-    d = d.withColumn("_group", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = d.groupBy("row", "doc_id", "template", "_group").agg(
-        F.min(F.col("diagonal") + F.col("first")).alias("start"), F.max(F.col("diagonal") + F.col("last") + K).alias("end"),
-        F.sum("votes").alias("votes"), F.max("votes").alias("_most"), F.max("grams").alias("grams"),
-        F.sum(F.when(F.col("votes") == F.col("grams"), 1).otherwise(0)).alias("exact"))
-    # votes of several diagonals can't stand for more than the template has
-    score = F.least(F.lit(1.0), F.greatest(F.col("_most"), F.col("votes") - F.col("exact") * F.col("grams")) / F.col("grams"))
-    return merged.select("row", "doc_id", "template", "start", "end", score.alias("score"), F.col("exact").cast("long").alias("exact"))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row, doc, template, grams, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hits = [(x["diagonal"] + at, at) for x in d for at in x["ats"]]
+                out += [(row, doc, template, a, b, n / grams, int(n == grams and not drift)) for a, b, n, drift in chains(hits, grams)]
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
+                                             ["row", "doc_id", "template", "start", "end", "score", "exact"])
+
+    grouped = diagonals.where("template IS NOT NULL").groupBy("row", "doc_id", "template").agg(
+        F.max("grams").alias("grams"), F.collect_list(F.struct("diagonal", "ats")).alias("d"))
+    met = F.size(F.array_distinct(F.flatten("d.ats")))
+    return grouped.where(met / F.col("grams") >= need).mapInArrow(
+        run, "row long, doc_id long, template int, start long, end long, score double, exact long")
 
 
 def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,7 +184,7 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, id_col: str = "
         F.min(F.when(whole, F.col("diagonal"))).alias("first_word"), F.max(F.when(whole, F.col("diagonal"))).alias("last_word"))
     label = F.element_at(F.array(*[F.lit(t.label) for t in templates]), F.col("template") + 1)
     need = F.element_at(F.array(*[F.lit(t.threshold) for t in templates]), F.col("template") + 1)
-    found = matches(diagonals).where((base & (F.col("exact") > 0)) | (~base & (F.col("score") >= need))).withColumn("label", label)
+    found = matches(diagonals, F.when(base, 1.0).otherwise(need)).where((base & (F.col("exact") > 0)) | (~base & (F.col("score") >= need))).withColumn("label", label)
     found = found.groupBy("row").agg(
         F.array_sort(F.collect_set(F.when(base, F.col("label")))).alias("_base"), F.array_sort(F.collect_set("label")).alias("_all"),
         F.max("score").alias("score"), F.array_sort(F.collect_list(F.struct("start", "end", "label", "score"))).alias("spans"))

@@ -72,6 +72,18 @@ def test_licenses(spark, edge, empty):
     assert licenses.scan(edge).count() == 9 and licenses.scan(empty).count() == 0
 
 
+def test_licenses_verify_the_order_of_a_span(spark):
+    notice = "Licensed under the Apache License, Version 2.0"
+    texts = ["MIT License MIT License MIT License", "under the " * 7, f"{notice} {notice}",
+             "Licensed under the old Apache License, Version 2.0", "Released " + "x " * 9 + "under the MIT License"]
+    r = {x["doc_id"]: x for x in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert (r[0]["labels"], r[0]["n_base"]) == ("mit", 3) and [(s["start"], s["end"]) for s in r[0]["spans"]] == [(0, 2), (2, 4), (4, 6)]
+    assert r[1]["labels"] == "" and r[1]["score"] == 0
+    spans = [(s["start"], s["end"], s["score"]) for s in r[2]["spans"] if s["label"] == "apache-2.0-notice"]
+    assert spans == [(0, 8, 1.0), (8, 16, 1.0)]
+    assert r[3]["labels"] == "apache,apache-2.0-notice" and r[4]["labels"] == "mit,mit-notice"
+
+
 def test_licenses_broadcast_their_templates_only_up_to_the_bound(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "under the MIT license"), (2, "none")], "doc_id long, text string")
     small = sorted(map(str, licenses.scan(docs).collect()))
