@@ -148,7 +148,7 @@ def _sets_of(nodes: DataFrame, full: DataFrame) -> DataFrame:
     near = (full.select(F.col("doc_id").alias("node"), "digest", "shingles").withColumn("_bit", bit)
             .withColumn("_bucket", F.bitmap_bucket_number("_bit")).join(F.broadcast(marks), "_bucket")
             .where(F.getbit(byte, place % 8) == 1))
-    return (near.select("node", "digest", "shingles").join(nodes.hint("merge"), "node", "left_semi")
+    return (near.select("node", "digest", "shingles").join(nodes.hint("merge"), "node")  # a semi-join would be pushed below the bitmap
             .dropDuplicates(["node", "digest"]).select("node", "shingles"))
 
 
