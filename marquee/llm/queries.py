@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bloom_lm, bpe, chat, html_text, language_id, licenses, minhash, pq_dedup, secrets, tiling
+from marquee.llm import (bloom_lm, bpe, chat, html_text, language_id, licenses, minhash, pq_dedup, secrets, tiling, warc)
 from marquee.llm.common import table
 
 
@@ -73,6 +73,10 @@ def op10_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_index(spark, warc.archive_pages(table(spark, sf_dir, "pages")))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_html_text": op2_html_text,
@@ -85,6 +89,7 @@ QUERIES = {
     "pages_language_id": pages_language_id,
     "op9_bpe": op9_bpe,
     "op10_pq_dedup": op10_pq_dedup,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -123,4 +128,10 @@ WITH RECURSIVE
 SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
 FROM v LEFT JOIN (SELECT u, count(*) AS n FROM l GROUP BY u) n ON n.u = v.vec_id
 JOIN (SELECT root, min(x) AS component_id FROM reach GROUP BY root) c ON c.root = v.vec_id""",
+    "op13_warc": """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+  f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f""",
 }
