@@ -112,7 +112,7 @@ class _WarcWriter(DataSourceArrowWriter):
         self.gzip = options.get("compression", "gzip") == "gzip"
         self.level = int(options.get("level", 6))
         self.file_bytes = int(options.get("file_bytes", 1 << 30))
-        self.range_bytes = int(options.get("range_bytes", 64 << 20))
+        self.range_bytes = int(options.get("range_bytes", 8 << 20))
         self.date = options.get("date") or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
@@ -385,7 +385,7 @@ def can_push(condition) -> bool:
 class _WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"].rstrip("/")
-        self.partition_bytes = int(options.get("partition_bytes", 128 << 20))
+        self.partition_bytes = int(options.get("partition_bytes", 32 << 20))
         self.payload = options.get("payload", "true").lower() == "true"
         self.pushed: list = []
 
