@@ -251,7 +251,7 @@ class _Chunk:
         width = (self.docs + 7) // 8
         bucket = number >> LOCAL_BITS
         edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-        for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(number)], strict=True):
+        for lo, hi in zip(edges.tolist(), [*edges.tolist(), len(number)][1:], strict=True):
             first, end = int(starts[lo]), int(starts[hi]) if hi < len(starts) else len(pair)
             more, more_places = [], []
             for k, of in enumerate(planes):
@@ -446,7 +446,7 @@ def _sums(table: DataFrame, answers: DataFrame, pairs: PairNumbers, most: np.nda
         for batch in batches:
             chunks, buckets = batch.column("chunk").to_numpy(), batch.column("bucket").to_numpy()
             edges = np.flatnonzero(np.diff(chunks, prepend=chunks[0] - 1 if len(chunks) else 0)).tolist()
-            for lo, hi in zip(edges, [*edges[1:], len(chunks)], strict=True):
+            for lo, hi in zip(edges, [*edges, len(chunks)][1:], strict=True):
                 if chunks[lo] != now:
                     if docs:
                         yield chunk()
@@ -471,7 +471,7 @@ def _sums(table: DataFrame, answers: DataFrame, pairs: PairNumbers, most: np.nda
                     np.add.at(best, place, is_best[owner])
                     index = np.frombuffer(more, _MORE)
                     begin = np.flatnonzero(np.diff(index["plane"].astype(np.int64), prepend=-1)).tolist()
-                    for x, y, data in zip(begin, [*begin[1:], len(index)], more_places, strict=True):
+                    for x, y, data in zip(begin, [*begin, len(index)][1:], more_places, strict=True):
                         owner, place = unpack(index["size"][x:y].astype(np.int64), data, width)
                         owner = index["at"][x:y].astype(np.int64)[owner]
                         times = 1 << int(index["plane"][x])

@@ -7,17 +7,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import (bloom_lm, bpe, chat, html_text, language_id, licenses, minhash, pq_dedup, secrets, tiling, warc)
+from marquee.llm import (alignment, bloom_lm, bpe, chat, html_text, language_id, licenses, minhash, pq_dedup, resampling, secrets,
+                         tiling, warc)
 from marquee.llm.common import table
 
 
-def tokenizer_path() -> str:
-    """The tokenizer file of the registered queries (``MARQUEE_TOKENIZER`` overrides it)."""
-    if "MARQUEE_TOKENIZER" in os.environ:
-        return os.environ["MARQUEE_TOKENIZER"]
+def tokenizer_path(variable: str = "MARQUEE_TOKENIZER", name: str = "word_bpe_49k.json") -> str:
+    """A tokenizer file of the registered queries (the environment variable overrides it)."""
+    if variable in os.environ:
+        return os.environ[variable]
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,17 @@ def op10_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("MARQUEE_TOKENIZER_A", "byte_bpe_50k.json"),
+                              tokenizer_path("MARQUEE_TOKENIZER_B", "piece_bpe_32k.model"))
+    return docs
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_index(spark, warc.archive_pages(table(spark, sf_dir, "pages")))
 
@@ -89,6 +101,8 @@ QUERIES = {
     "pages_language_id": pages_language_id,
     "op9_bpe": op9_bpe,
     "op10_pq_dedup": op10_pq_dedup,
+    "op11_alignment": op11_alignment,
+    "op12_resampling": op12_resampling,
     "op13_warc": op13_warc,
 }
 
