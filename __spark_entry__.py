@@ -83,7 +83,7 @@ def _collab_sets(where: str) -> str:
     return f"""
 WITH m AS (SELECT DISTINCT tconst, nconst FROM ({_CREDITS}) WHERE tconst IS NOT NULL AND nconst IS NOT NULL AND {where}),
      p AS (SELECT DISTINCT a.nconst, b.nconst AS other FROM m a JOIN m b ON a.tconst = b.tconst AND a.nconst <> b.nconst)
-SELECT k.nconst, CAST(0 AS INTEGER) AS part,
+SELECT k.nconst,
        CASE WHEN count(p.other) = 0 THEN '[]'
             ELSE '[' || string_agg(CAST(p.other AS VARCHAR), ', ' ORDER BY p.other) || ']' END AS set_text
 FROM (SELECT DISTINCT nconst FROM m) k LEFT JOIN p ON p.nconst = k.nconst
@@ -99,11 +99,30 @@ FROM ({_CREDITS}) WHERE nconst IS NOT NULL GROUP BY nconst
 
 def _list_text(key: str, item: str) -> str:
     return f"""
-SELECT {key}, CAST(0 AS INTEGER) AS part, string_agg(CAST({item} AS VARCHAR), ',' ORDER BY {item}) AS list_text
+SELECT {key}, string_agg(CAST({item} AS VARCHAR), ',' ORDER BY {item}) AS list_text
 FROM ({_CREDITS}) WHERE {key} IS NOT NULL AND {item} IS NOT NULL GROUP BY {key}
 """
 
 
+def _positions(key: str, item: str, credits: str = _CREDITS) -> str:
+    return f"""
+SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY {item}) AS pos, {item}, count(*) OVER (PARTITION BY {key}) AS n_items
+FROM ({credits}) WHERE {key} IS NOT NULL AND {item} IS NOT NULL
+"""
+
+
+_HOT_CREDITS = "SELECT l_returnflag AS tconst, l_partkey AS nconst FROM lineitem"
+
+# Orders that share a supplier's nation; the nations of an order are the bits of one number.
+_SIGNATURES = """
+WITH m AS (SELECT l_orderkey AS nconst, bit_or(CAST(1 AS BIGINT) << s_nationkey) AS sig
+           FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_orderkey IS NOT NULL AND s_nationkey IS NOT NULL GROUP BY 1),
+     s AS (SELECT sig, count(*) AS n FROM m GROUP BY sig),
+     r AS (SELECT a.sig, sum(b.n) AS reach FROM s a JOIN s b ON (a.sig & b.sig) <> 0 GROUP BY a.sig)
+SELECT m.nconst, CAST(r.reach - 1 AS BIGINT) AS collaborators FROM m JOIN r ON r.sig = m.sig
+"""
+
+
 def _fold_sql(rounded: bool) -> str:
     """Rating update. Exact: closed form. Rounded: the vote-by-vote fold as a recursive CTE."""
     base_avg = "round_even(c_acctbal * 10, 0) / 10" if rounded else "c_acctbal"
@@ -279,6 +298,8 @@ def oracle_sql() -> dict[str, str]:
             WHERE nconst IS NOT NULL AND {_ACTING}
             GROUP BY nconst ORDER BY credits DESC, nconst LIMIT 10""",
         "person_credit_count": _CREDIT_COUNT,
+        "title_positions_by_person": _positions("nconst", "tconst"),
+        "person_positions_hot": _positions("tconst", "nconst", _HOT_CREDITS),
         "titles_by_person": _list_text("nconst", "tconst"),
         "persons_by_title": _list_text("tconst", "nconst"),
         "top3_by_person": _TOP3,
@@ -287,8 +308,8 @@ def oracle_sql() -> dict[str, str]:
             WITH m AS (SELECT DISTINCT tconst, nconst FROM ({_CREDITS}) WHERE tconst IS NOT NULL AND nconst IS NOT NULL)
             SELECT DISTINCT a.nconst, b.nconst AS other FROM m a JOIN m b ON a.tconst = b.tconst AND a.nconst <> b.nconst""",
         "collaborator_count": _collab_count("TRUE", "collaborators"),
-        "collaborator_count_hot": _collab_count(
-            "TRUE", "collaborators", "SELECT l_returnflag AS tconst, l_partkey AS nconst FROM lineitem"),
+        "collaborator_count_hot": _collab_count("TRUE", "collaborators", _HOT_CREDITS),
+        "collaborator_count_signatures": _SIGNATURES,
         "co_actor_count": _collab_count(_ACTING, "co_actors"),
         "collaborator_sets": _collab_sets("TRUE"),
         "co_actor_sets": _collab_sets(_ACTING),

@@ -3,11 +3,11 @@
 from marquee.operators.collaborators import (
     collaborator_counts,
     collaborator_pairs,
-    collaborator_set_text,
     collaborator_sets,
 )
-from marquee.operators.credits import credit_counts, list_by_key, list_text, top_people
+from marquee.operators.credits import credit_counts, top_people
 from marquee.operators.merge import merge_by_key, upsert
+from marquee.operators.positions import list_lines, list_text, positions, set_text
 from marquee.operators.ranking import scored_credits, top_titles, top_titles_text
 from marquee.operators.ratings import update_ratings
 from marquee.operators.windows import (
@@ -23,13 +23,14 @@ from marquee.operators.windows import (
 __all__ = [
     "collaborator_counts",
     "collaborator_pairs",
-    "collaborator_set_text",
     "collaborator_sets",
     "credit_counts",
-    "list_by_key",
+    "list_lines",
     "list_text",
     "merge_by_key",
+    "positions",
     "scored_credits",
+    "set_text",
     "sliding_top",
     "top_people",
     "top_titles",

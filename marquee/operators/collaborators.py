@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import render_set
-from marquee.operators.credits import list_by_key
+from marquee.operators.positions import positions, range_numbered
+from marquee.sinks.files import scratch_table
 
 
 def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
@@ -85,74 +85,73 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
     * *light* titles (at most ``heavy_size`` people) give pair rows, at most
       ``heavy_size`` per credit;
     * for *heavy* titles each person gets a signature, the sorted set of
-      heavy titles they are on.  Everyone on those titles is a co-worker,
-      and their number is the number of people whose own signature
-      overlaps it — summed over *distinct* signatures, not over pairs of
-      people.  A title's signatures are hashed into buckets of about
-      ``heavy_size``, each met by all that ask, and summed map-side where
-      they meet: no key carries all signatures and no pair of them is
-      shuffled (comparing them stays quadratic in a title's distinct ones);
+      heavy titles they are on.  Everyone on those titles is a co-worker;
+      their number is the size of the union of the titles' member bitmaps,
+      found once per *distinct* signature (``_reach``);
     * a light pair counts only if the two signatures do not overlap (else
       that co-worker is already counted through a heavy title).
 
-    Without heavy titles the signature side is empty and the plan is the
-    plain self-join + grouped distinct count.
+    Without heavy titles the plan is the plain self-join + grouped distinct count.
     """
     m = _members(credits, title, person, where)
     heavy_titles = _heavy_titles(_filtered(credits, where), title, heavy_size).select(title)
+    if heavy_titles.isEmpty():
+        return _pair_counts(m, m, title, person)
+    heavy_titles = scratch_table(heavy_titles, "heavy-titles")
     light = m.join(heavy_titles, title, "left_anti")
-    heavy = m.join(heavy_titles, title, "left_semi")
-
-    sig = heavy.groupBy(person).agg(F.array_sort(F.collect_set(F.col(title))).alias("_sig"))
-    sig_count = sig.groupBy("_sig").agg(F.count(F.lit(1)).alias("_cnt"))
-    by_title = sig_count.select("_sig", "_cnt", F.explode("_sig").alias("_t"))
-    buckets = by_title.groupBy("_t").agg(F.ceil(F.count(F.lit(1)) / F.lit(heavy_size)).cast("int").alias("_buckets"))
-    spread = by_title.join(buckets, "_t")
-    holders = spread.select("_t", F.pmod(F.xxhash64("_sig"), F.col("_buckets")).cast("int").alias("_b"), "_sig", "_cnt")
-    asks = spread.select("_t", F.explode(F.sequence(F.lit(0), F.col("_buckets") - F.lit(1))).alias("_b"),
-                         F.col("_sig").alias("_ask"))
-    reach = (
-        asks.join(holders, ["_t", "_b"])
-        # two signatures count under the first title they share, so there is nothing to de-duplicate
-        .where(F.element_at(F.array_intersect("_ask", "_sig"), 1) == F.col("_t"))
-        .groupBy("_ask").agg(F.sum("_cnt").alias("_reach"))
-    )
-    via_heavy = (
-        sig.join(reach, sig["_sig"] == reach["_ask"])
-        .select(person, (F.col("_reach") - F.lit(1)).alias("_n"))
-    )
+    sig = (m.join(heavy_titles, title, "left_semi")
+           .groupBy(person).agg(F.array_sort(F.collect_set(F.col(title))).alias("_sig")))
+    numbered = range_numbered(sig, "_sig", person, name="signatures")
+    reach = _reach(numbered)
+    via_heavy = numbered.join(reach, "_sig").select(person, (F.col("_reach") - F.lit(1)).alias("_n"))
+    return _pair_counts(m, light, title, person, numbered.select(person, "_sig"), via_heavy)
+
 
-    other_sig = sig.select(F.col(person).alias("_other"), F.col("_sig").alias("_osig"))
+def _reach(numbered: DataFrame) -> DataFrame:
+    """``_sig, _reach``: how many people are on any title of the signature.
+
+    Every heavy title is a set of bitmaps over the people's numbers, one per chunk of 32,768 numbers that it has
+    people in (people are numbered in the order of their signatures, which keeps a title's people together).  A signature
+    unites its titles' bitmaps chunk by chunk and counts the bits: work in proportion to signatures × their titles ×
+    chunks, never signature × signature.  A signature of one title is counted without bitmaps.
+    """
+    place = numbered.select(F.explode("_sig").alias("_t"), F.shiftright("_n", 15).alias("_chunk"),
+                            F.col("_n").bitwiseAND((1 << 15) - 1).alias("_bit"))
+    bitmaps = place.groupBy("_t", "_chunk").agg(F.bitmap_construct_agg("_bit").alias("_people"))
+    signatures = numbered.groupBy("_sig").agg(F.min("_n").alias("_id"))
+    wanted = signatures.where(F.size("_sig") > 1).select("_id", F.explode("_sig").alias("_t"))
+    united = (wanted.join(bitmaps, "_t").groupBy("_id", "_chunk").agg(F.bitmap_or_agg("_people").alias("_people"))
+              .groupBy("_id").agg(F.sum(F.bitmap_count("_people")).alias("_reach")))
+    alone = place.groupBy("_t").agg(F.count(F.lit(1)).alias("_reach"))
+    several = signatures.join(united, "_id").select("_sig", "_reach")
+    return several.unionByName(alone.select(F.array("_t").alias("_sig"), "_reach"))
+
+
+def _pair_counts(members: DataFrame, light: DataFrame, title: str, person: str, sig: DataFrame | None = None,
+                 via_heavy: DataFrame | None = None) -> DataFrame:
+    """Co-workers met on light titles, unless two signatures share a title, plus those met through heavy ones."""
     right = light.select(F.col(title), F.col(person).alias("_other"))
-    pairs = (
-        light.join(right, title, "inner").where(F.col(person) != F.col("_other"))
-        .select(person, "_other").distinct()
-        .join(sig, person, "left").join(other_sig, "_other", "left")
-        .where(F.col("_sig").isNull() | F.col("_osig").isNull() | ~F.arrays_overlap("_sig", "_osig"))
-        .groupBy(person).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    everyone = m.select(person, F.lit(0).cast("long").alias("_n"))
-    return (
-        everyone.unionByName(pairs).unionByName(via_heavy)
-        .groupBy(person).agg(F.sum("_n").cast("long").alias("collaborators"))
-    )
+    pairs = (light.join(right, title, "inner").where(F.col(person) != F.col("_other"))
+             .select(person, "_other").distinct())
+    if sig is not None:
+        other_sig = sig.select(F.col(person).alias("_other"), F.col("_sig").alias("_osig"))
+        pairs = (pairs.join(sig, person, "left").join(other_sig, "_other", "left")
+                 .where(F.col("_sig").isNull() | F.col("_osig").isNull() | ~F.arrays_overlap("_sig", "_osig")))
+    counted = pairs.groupBy(person).agg(F.count(F.lit(1)).alias("_n"))
+    everyone = members.select(person, F.lit(0).cast("long").alias("_n"))
+    every = everyone.unionByName(counted) if via_heavy is None else everyone.unionByName(counted).unionByName(via_heavy)
+    return every.groupBy(person).agg(F.sum("_n").cast("long").alias("collaborators"))
 
 
 def collaborator_sets(credits: DataFrame, title: str = "tconst", person: str = "nconst",
-                      where: Column | None = None, max_items: int = 100_000,
-                      heavy_size: int = 1000) -> DataFrame:
-    """``person, part, items, n_items``: sorted co-worker sets, bounded per row.
+                      where: Column | None = None, other: str = "other", heavy_size: int = 1000,
+                      heavy_set: int = 100_000) -> DataFrame:
+    """``person, pos, other, n_items``: every co-worker of a person with its place in the sorted set.
 
-    People without co-workers get one row with an empty list.  A person
-    with more than ``max_items`` co-workers gets several parts (see
-    ``list_by_key``).
+    One row per pair at every size; a person without co-workers has one row with ``n_items`` 0 (see ``positions``, whose
+    ``heavy_size`` is ``heavy_set`` here).  ``set_text`` makes texts of them.
     """
-    pairs = collaborator_pairs(credits, title, person, where, other="other", heavy_size=heavy_size)
+    pairs = collaborator_pairs(credits, title, person, where, other=other, heavy_size=heavy_size)
     people = _members(credits, title, person, where).select(
-        F.col(person), F.lit(None).cast(pairs.schema["other"].dataType).alias("other"))
-    return list_by_key(pairs.unionByName(people), person, "other", max_items=max_items)
-
-
-def collaborator_set_text(sets: DataFrame, person: str = "nconst") -> DataFrame:
-    """Rows of ``collaborator_sets`` → ``person, part, set_text`` (``[a, b]``; ``[]`` when alone)."""
-    return sets.select(person, "part", render_set("items").alias("set_text"))
+        F.col(person), F.lit(None).cast(pairs.schema[other].dataType).alias(other))
+    return positions(pairs.unionByName(people), person, other, heavy_size=heavy_set)

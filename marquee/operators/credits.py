@@ -1,4 +1,4 @@
-"""Per-person credit counts, most-credited people, and bounded key → list."""
+"""Per-person credit counts and most-credited people."""
 
 from __future__ import annotations
 
@@ -39,40 +39,3 @@ def top_people(credits: DataFrame, person: str = "nconst", where: Column | None
         .orderBy(F.desc("credits"), F.asc(person))
         .limit(n)
     )
-
-
-def list_by_key(df: DataFrame, key: str, item: str, max_items: int = 100_000,
-                distinct: bool = False) -> DataFrame:
-    """Key → sorted list of items: ``key, part, items, n_items``.
-
-    A key with at most ``max_items`` items yields one row (``part = 0``).  A
-    larger key is split by a hash of the item into ``ceil(n / max_items)``
-    parts, so no list is ever built from an unbounded group in one task;
-    the union of a key's parts is its full list.  A NULL item adds nothing
-    but keeps its key (a key with only NULLs gets one empty list).  (Written as text, the
-    parts are several ``key<TAB>list`` lines, which ``read_key_lists``
-    reads back as one list.)
-    """
-    pairs = df.select(F.col(key), F.col(item)).where(F.col(key).isNotNull())
-    if distinct:
-        pairs = pairs.distinct()
-    heavy = (
-        pairs.groupBy(key).agg(F.count(F.col(item)).alias("_n"))
-        .where(F.col("_n") > F.lit(max_items))
-        .select(key, F.ceil(F.col("_n") / F.lit(max_items)).cast("long").alias("_parts"))
-    )
-    tagged = (
-        pairs.join(heavy, key, "left")
-        .withColumn("part", F.coalesce(F.pmod(F.xxhash64(F.col(item)), F.col("_parts")), F.lit(0)).cast("int"))
-        .drop("_parts")
-    )
-    return (
-        tagged.groupBy(key, "part")
-        .agg(F.array_sort(F.collect_list(F.col(item))).alias("items"))
-        .withColumn("n_items", F.size("items"))
-    )
-
-
-def list_text(lists: DataFrame, key: str, sep: str = ",") -> DataFrame:
-    """Rows of ``list_by_key`` → ``key, part, list_text`` (items joined by ``sep``)."""
-    return lists.select(key, "part", F.array_join(F.transform("items", lambda x: x.cast("string")), sep).alias("list_text"))

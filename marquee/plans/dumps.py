@@ -25,7 +25,7 @@ from marquee.sinks.files import read_current, write_key_lists, write_tsv
 from marquee.sources import tsv
 from marquee.sources.votes import vote_lines
 
-# Credits of one person that a hand-off line holds here: small, so that many lists are written in parts.
+# Credits of one person that a hand-off line holds here: small, so that many lists take several lines.
 LINE_ITEMS = 20
 
 
@@ -63,7 +63,8 @@ def load_people(spark, d):
 
 def credits_key_lists(spark, d):
     path = scratch_path(spark, "key-lists")
-    write_key_lists(ops.list_by_key(roles.credits(spark, d), "nconst", "tconst", max_items=LINE_ITEMS), path, "nconst")
+    lines = ops.list_lines(ops.positions(roles.credits(spark, d), "nconst", "tconst"), "nconst", "tconst", LINE_ITEMS)
+    write_key_lists(lines, path, "nconst")
     back = tsv.read_key_lists(spark, path, "nconst", "tconst", "long")
     return back.withColumn("nconst", F.col("nconst").cast("long"))
 

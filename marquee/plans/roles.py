@@ -32,6 +32,9 @@ from marquee.sources.votes import parse_vote_log_lines, parse_vote_stream_lines,
 ACTING_LETTERS = ("A", "R")
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 BAD_LINE_EVENT = "error"
+# Sizes from which keys and titles count as heavy in the queries that show the heavy paths.
+HOT_KEY_ITEMS = 1_000
+HOT_TITLE_PEOPLE = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,12 +100,26 @@ def person_credit_count(spark, d):
     return ops.credit_counts(credits(spark, d))
 
 
+def title_positions_by_person(spark, d):
+    return ops.positions(credits(spark, d), "nconst", "tconst")
+
+
+def hot_credits(spark, d) -> DataFrame:
+    """Three titles that hold all people between them."""
+    return table(spark, d, "lineitem").select(F.col("l_returnflag").alias("tconst"), F.col("l_partkey").alias("nconst"))
+
+
+def person_positions_hot(spark, d):
+    """People of three titles that hold all credits: every key is ranked by ranges."""
+    return ops.positions(hot_credits(spark, d), "tconst", "nconst", heavy_size=HOT_KEY_ITEMS)
+
+
 def titles_by_person(spark, d):
-    return ops.list_text(ops.list_by_key(credits(spark, d), "nconst", "tconst"), "nconst")
+    return ops.list_text(title_positions_by_person(spark, d), "nconst", "tconst")
 
 
 def persons_by_title(spark, d):
-    return ops.list_text(ops.list_by_key(credits(spark, d), "tconst", "nconst"), "tconst")
+    return ops.list_text(ops.positions(credits(spark, d), "tconst", "nconst"), "tconst", "nconst")
 
 
 def top3_by_person(spark, d):
@@ -124,8 +141,14 @@ def collaborator_count(spark, d):
 
 def collaborator_count_hot(spark, d):
     """Three titles that hold all people between them: every title is a hot one."""
-    hot = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("tconst"), F.col("l_partkey").alias("nconst"))
-    return ops.collaborator_counts(hot)
+    return ops.collaborator_counts(hot_credits(spark, d))
+
+
+def collaborator_count_signatures(spark, d):
+    """Orders as people, the nations of their suppliers as titles: few hot titles, thousands of different signatures on each."""
+    nations = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("tconst"))
+    orders = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("nconst"), "l_suppkey")
+    return ops.collaborator_counts(orders.join(nations, "l_suppkey").select("tconst", "nconst"), heavy_size=HOT_TITLE_PEOPLE)
 
 
 def co_actor_count(spark, d):
@@ -134,11 +157,11 @@ def co_actor_count(spark, d):
 
 
 def collaborator_sets(spark, d):
-    return ops.collaborator_set_text(ops.collaborator_sets(credits(spark, d)))
+    return ops.set_text(ops.collaborator_sets(credits(spark, d)), "nconst", "other")
 
 
 def co_actor_sets(spark, d):
-    return ops.collaborator_set_text(ops.collaborator_sets(credits(spark, d), where=is_acting()))
+    return ops.set_text(ops.collaborator_sets(credits(spark, d), where=is_acting()), "nconst", "other")
 
 
 def person_info(spark, d):
@@ -236,6 +259,8 @@ def vote_stream_lines_parsed(spark, d):
 BATCH = {
     "top10_people": top10_people,
     "person_credit_count": person_credit_count,
+    "title_positions_by_person": title_positions_by_person,
+    "person_positions_hot": person_positions_hot,
     "titles_by_person": titles_by_person,
     "persons_by_title": persons_by_title,
     "top3_by_person": top3_by_person,
@@ -243,6 +268,7 @@ BATCH = {
     "collaborator_pairs": collaborator_pairs,
     "collaborator_count": collaborator_count,
     "collaborator_count_hot": collaborator_count_hot,
+    "collaborator_count_signatures": collaborator_count_signatures,
     "co_actor_count": co_actor_count,
     "collaborator_sets": collaborator_sets,
     "co_actor_sets": co_actor_sets,

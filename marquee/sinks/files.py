@@ -15,10 +15,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.session import scratch_path
+
 POINTER = "_current"
 OWNER = "_owner"
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back: one evaluation, kept when executors are lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
     """``key<TAB>value…`` text (no quoting, ``\\N`` for NULL, no header).
 
@@ -31,7 +40,7 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", single_file
 
 
 def write_key_lists(lists: DataFrame, path: str, key: str, mode: str = "errorifexists") -> None:
-    """Rows of ``list_by_key`` → ``key<TAB>i1,i2,…`` lines (one per part)."""
+    """Rows of ``list_lines`` → ``key<TAB>i1,i2,…`` lines."""
     text = lists.select(F.col(key).cast("string"),
                         F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
     write_tsv(text, path, mode)

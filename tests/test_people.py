@@ -49,7 +49,16 @@ def test_top_titles_at_most_n_per_person(fx):
 
 
 def _sets(df):
-    return {r["nconst"]: sorted(r["items"]) for r in df.collect()}
+    """Sets from rows; places are 1, 2, … in order, and every row tells the size."""
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: r["pos"] or 0):
+        own = out.setdefault(r["nconst"], [])
+        if r["pos"] is not None:
+            own.append(r["other"])
+            assert r["pos"] == len(own)
+    sizes = {(r["nconst"], r["n_items"]) for r in df.collect()}
+    assert sizes == {(k, len(v)) for k, v in out.items()} and all(v == sorted(set(v)) for v in out.values())
+    return out
 
 
 def test_collaborator_sets(fx):
@@ -75,21 +84,15 @@ def test_pairs_symmetric_irreflexive(fx):
     assert got == {(b, a) for a, b in got}
 
 
-def test_list_by_key_keeps_repeats(fx):
-    out = ops.list_text(ops.list_by_key(fx["credits"], "nconst", "tconst"), "nconst")
+def test_list_text_keeps_repeats(fx):
+    out = ops.list_text(ops.positions(fx["credits"], "nconst", "tconst"), "nconst", "tconst")
     assert {r["nconst"]: r["list_text"] for r in out.collect()}["nm1"] == "tt1,tt2,tt3,tt3"
 
 
-def test_list_by_key_splits_large_keys(spark):
-    df = spark.range(0, 1000).select(F.lit("hot").alias("k"), F.col("id").alias("v")).unionByName(
-        spark.createDataFrame([("cold", 1), ("cold", 2)], "k string, v long"))
-    out = ops.list_by_key(df, "k", "v", max_items=100)
-    hot = out.where("k = 'hot'").collect()
-    assert len(hot) == 10
-    assert sorted(v for r in hot for v in r["items"]) == list(range(1000))
-    assert all(r["items"] == sorted(r["items"]) for r in hot)
-    cold = out.where("k = 'cold'").collect()
-    assert len(cold) == 1 and cold[0]["items"] == [1, 2] and cold[0]["part"] == 0
+def test_texts_of_people_without_co_workers(fx):
+    sets = ops.collaborator_sets(fx["credits"])
+    assert {r["nconst"]: r["set_text"] for r in ops.set_text(sets, "nconst", "other").collect()} == {
+        "nm1": "[nm2, nm3, nm4]", "nm2": "[nm1, nm3]", "nm3": "[nm1, nm2]", "nm4": "[nm1]", "nm5": "[]"}
 
 
 def test_build_people_profile(fx):

@@ -103,6 +103,20 @@ def test_co_worker_counts_over_many_signatures_of_hot_titles(spark):
         assert dict(map(tuple, collaborator_counts(df, heavy_size=size).collect())) == want
 
 
+def test_no_signature_meets_a_signature_in_the_plan(spark):
+    """Unions of member bitmaps: joins are by title, person, chunk or signature, and no join compares arrays."""
+    from marquee.operators.collaborators import _reach
+    from marquee.operators.positions import range_numbered
+
+    sig = spark.createDataFrame([(p, sorted({f"t{p % 3}", f"t{p % 7}"})) for p in range(200)], "nconst long, _sig array<string>")
+    reach = _reach(range_numbered(sig, "_sig", "nconst"))
+    plan = reach._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan and "arrays_overlap" not in plan and plan.count("Join") == 2
+    people = {p: {f"t{p % 3}", f"t{p % 7}"} for p in range(200)}
+    for r in reach.collect():
+        assert r["_reach"] == sum(bool(s & set(r["_sig"])) for s in people.values())
+
+
 def test_a_sink_belongs_to_its_checkpoint(spark, tmp_path):
     files.claim_sink(spark, str(tmp_path / "out"), "ck1")
     files.claim_sink(spark, str(tmp_path / "out"), "ck1")

@@ -86,10 +86,11 @@ def test_scored_lists(spark, tmp_path):
 
 
 def test_key_lists_round_trip(spark, fx, tmp_path):
-    from marquee.operators import list_by_key
+    from marquee.operators import list_lines, positions
     from marquee.sinks import write_key_lists
 
-    lists = list_by_key(fx["credits"], "nconst", "tconst", max_items=2)
+    lists = list_lines(positions(fx["credits"], "nconst", "tconst"), "nconst", "tconst", line_items=2)
+    assert [r["items"] for r in lists.where("nconst = 'nm1'").orderBy("line").collect()] == [["tt1", "tt2"], ["tt3", "tt3"]]
     write_key_lists(lists, str(tmp_path / "out"), "nconst")
     back = read_key_lists(spark, str(tmp_path / "out"), "nconst", "tconst")
     expect = fx["credits"].select("nconst", "tconst")
