@@ -25,14 +25,19 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +47,7 @@ from marquee.llm.common import written
 from marquee.llm.hashing import row_blocks, text_buffers
 
 BLOCK_BYTES = 1 << 20
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 1 << 16
 LOCAL_BITS = 19
 LEAST_BUCKET_BITS = 12
@@ -52,10 +57,58 @@ _MORE = np.dtype([("plane", "u1"), ("at", "<u4"), ("size", "<u2")])
 DOC_COLUMNS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
+# The split pattern of byte-level vocabularies.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+
+_STABLE = re.compile("[\x00-\u024f]*")
+_AFTER_BLANKS = re.compile(" +[^ ]*")
+
+
 # The two tokenizers ----------------------------------------------------------
 
+class _Words:
+    """Ids of distinct words, kept from block to block up to a bound."""
+
+    MOST_WORDS, MOST_IDS = 300_000, 3_000_000
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], token_bytes: list[bytes]):
+        self.encode, self.token_bytes = encode, token_bytes
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.end, self.same = array("q"), array("q", [0]), array("b")
+
+    def of(self, rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all rows, ids per row, whether a row's ids give back its words' bytes)."""
+        if len(self.number) > self.MOST_WORDS or len(self.ids) > self.MOST_IDS:
+            self._clear()
+        words = list(chain.from_iterable(rows))
+        number, ids, end, same, shown = self.number, self.ids, self.end, self.same, self.token_bytes.__getitem__
+        new = [w for w in set(words) if w not in number]
+        for w, found in zip(new, self.encode(new), strict=True):
+            number[w] = len(same)
+            ids.extend(found)
+            end.append(len(ids))
+            same.append(b"".join(map(shown, found)) == w.encode())
+        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        stop = np.frombuffer(end, np.int64)
+        start, length = stop[:-1][at], np.diff(stop)[at]
+        upto = np.concatenate([[0], np.cumsum(length)])
+        out = np.frombuffer(ids, np.int64)[np.repeat(start - upto[:-1], length) + np.arange(int(upto[-1]))] if len(ids) else at
+        cut = np.cumsum([0, *map(len, rows)])
+        wrong = np.concatenate([[0], np.cumsum(np.frombuffer(same, np.int8)[at] == 0)])[cut] if len(same) else cut
+        return out, np.diff(upto[cut]), np.diff(wrong) == 0
+
+
 class Tokenizers:
-    """A: a byte-level BPE file of the tokenizers library; B: a sentencepiece model.  Read once in each worker."""
+    """A: a byte-level BPE file of the tokenizers library; B: a sentencepiece BPE model.  Read once in each worker.
+
+    The libraries encode each distinct word of a block once, where words are sure to be encoded on their own: A's are the
+    pieces of its split pattern, taken here for texts below U+0250 (whose classes no Unicode version changes); B's end before
+    every blank that follows another character, if no piece of the model goes on over such a place.  Other texts
+    and models are encoded whole.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,24 +125,38 @@ class Tokenizers:
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for piece, i in vocab.items():
             self.bytes_a[i] = bytes(value[c] for c in piece) if all(c in value for c in piece) else piece.encode()
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
         ends = (b",", b"|", b";", b"")
         self.shown = [b"%d%s" % (i, e) for i in range(max(len(self.bytes_a), len(self.bytes_b))) for e in ends]
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Per text the ids of A and of B, or None where they don't give back the text's bytes."""
-        spaced = [" " + t for t in texts]
-        found_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        found_b = self.b.encode(texts, num_threads=1)
-        out: list[tuple[list[int], list[int]] | None] = []
-        for text, a, b in zip(spaced, found_a, found_b, strict=True):
-            raw = text.encode()
-            same = len(raw) > 1 and b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-            out.append((a, b) if same else None)
-        return out
+        split = json.loads(self.a.to_str())
+        pre, normal = split["pre_tokenizer"] or {}, split["normalizer"]
+        self.splits_a = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex") and normal is None
+        self.splits_b = not any(re.search("[^\u2581]\u2581", p) for p in pieces)
+        self.words_a = _Words(self._whole_a, self.bytes_a)
+        self.words_b = _Words(self._after_blank, self.bytes_b)
+        self.blank_b = [self.b.piece_to_id("\u2581")]
+
+    def _whole_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _after_blank(self, words: list[str]) -> list[list[int]]:
+        """Words that begin with a blank: the one that the model adds."""
+        found = self.b.encode([w[1:] for w in words], num_threads=1)
+        return [ids if len(w) > 1 else self.blank_b for w, ids in zip(words, found, strict=True)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A's ids, A's ids per text, B's ids, B's ids per text); none where they don't give back the text's bytes."""
+        spaced = [" " + t if t else "" for t in texts]
+        a, n_a, same_a = self.words_a.of([_PIECES.findall(t) if self.splits_a and _STABLE.fullmatch(t) else [t] if t else [] for t in spaced])
+        b, n_b, same_b = self.words_b.of([_AFTER_BLANKS.findall(t) if self.splits_b else [t] if t else [] for t in spaced])
+        same = same_a & same_b
+        if not same.all():
+            a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
+            n_a, n_b = n_a * same, n_b * same
+        return a, n_a, b, n_b
 
 
 @lru_cache(maxsize=1)
@@ -136,12 +203,8 @@ class Links:
 
 def link(both: Tokenizers, texts: list[str]) -> Links:
     """All links of the texts, from the end offsets of both sides' tokens laid one document after the other."""
-    found = both.encode(texts)
+    a, n_a, b, n_b = both.encode(texts)
     n = len(texts)
-    n_a = np.array([len(f[0]) if f else 0 for f in found], np.int64)
-    n_b = np.array([len(f[1]) if f else 0 for f in found], np.int64)
-    a = np.array([i for f in found if f for i in f[0]], np.int64)
-    b = np.array([i for f in found if f for i in f[1]], np.int64)
     if not len(a):
         zero = np.zeros(0, np.int64)
         return Links(zero, zero, zero, n_a, n_b, np.zeros(n, np.int64), np.zeros(n, np.int64), [""] * n)

@@ -1,17 +1,20 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
 * Training tokens: the words of every training text, lower-cased, and one end
-  token per text.  Unigram and bigram counts are summed per batch, then
-  per shard of the filter.
-* An n-gram with count c is put into the filter with each of the levels
+  token per text.  Unigram and bigram counts are summed per block of texts, then
+  per shard of the filter; the number of shards grows with the corpus, so none holds more than about
+  ``SHARD_NGRAMS`` n-grams.
+* An n-gram with count c is put into its shard with each of the levels
   1 … 1 + floor(log2 c).  A count is read back by probing level after level until one is
   missing; the last level's middle count is the estimate (never too
   small a level; a false positive may add one).
-* The filter has ``BITS_PER_TOKEN`` bits for each training token, as a power of two, at most
-  ``MAX_BITS`` (256 MiB): it grows with the corpus up to the size that workers can hold; beyond it
-  nothing is left out, only the rate of false positives rises.
+* Each shard has ``BITS`` bits for every level put into it, at any size of the corpus, so an
+  unseen n-gram is taken for a seen one with a chance of about (1 - exp(-PROBES / BITS))^PROBES = 1.7 %.
 * P(w | v) = (c(v w) + MU · P(w)) / (c(v) + MU),  P(w) = (c(w) + 1) / (N + V + 1),
   every count read from the filter.
+* A filter of at most ``BROADCAST_BYTES`` is broadcast.  A larger one stays a table of shards: the distinct n-grams of
+  each chunk of texts are sent to their shards, which answer with levels, and the chunk is scored
+  with the answers.  Both forms read the same filter and give the same scores.
 
 The base score needs exact counts: the ``HEAD`` most frequent words' counts
 are broadcast (a bounded table), all other tokens are joined to the
@@ -20,8 +23,12 @@ count table by a shuffle.  Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,16 +36,20 @@ from marquee.llm.common import written
 from marquee.llm.hashing import NOT_SPACE, mix, word_blocks
 
 HEAD = 1 << 18
-BITS_PER_TOKEN = 4
-MAX_BITS = 1 << 31
-MIN_BITS = 1 << 20
-SHARD_BITS = 12
+BITS = 10
 PROBES = 3
+SHARD_NGRAMS = 1 << 19
+LEAST_SHARD_BITS = 12
+BROADCAST_BYTES = 192 << 20
+#: Distinct n-grams that a task holds before it hands them on.
+TASK_NGRAMS = 1 << 20
+CHUNK_BYTES = 8 << 20
 MU = 4.0
 TOP_LEVEL = 48
 END = np.uint64(0x5851F42D4C957F2D)
 _UNIGRAM, _BIGRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LOW = np.uint64(0xFFFFFFFF)
+_DROP = np.uint64(20)  # bits of a key that no name or shard keeps
 
 
 def token_blocks(texts: pa.Array):
@@ -66,83 +77,143 @@ def bigram_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(v * _BIGRAM + w)
 
 
-def _split(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(shard, 32-bit name within it)"""
-    return (key >> np.uint64(64 - SHARD_BITS)).astype(np.int64), (key >> np.uint64(20)) & _LOW
+def _split(key: np.ndarray, shard_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shard, 32-bit name within it); the order of ``key >> 20`` is the order of both."""
+    return (key >> np.uint64(64 - shard_bits)).astype(np.int64), (key >> _DROP) & _LOW
 
 
-def _places(name: np.ndarray, level: int, shard_bits: int):
+def _places(name: np.ndarray, level: int, size: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
+    """The bits of the names at a level, within shards of ``size`` bits."""
     x = mix(name | np.uint64(level << 32))
     a, b = x & _LOW, (x >> np.uint64(32)) | np.uint64(1)
     for i in range(PROBES):
-        yield ((a + np.uint64(i) * b) & np.uint64(shard_bits - 1)).astype(np.int64)
+        yield ((a + np.uint64(i) * b) % size).astype(np.int64)
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log2(counts)).astype(np.int64)
 
 
-def shard_filter(names: np.ndarray, counts: np.ndarray, shard_bits: int) -> np.ndarray:
-    """The bytes of one shard."""
-    bits = np.zeros(shard_bits, np.uint8)
-    levels = 1 + np.floor(np.log2(counts)).astype(np.int64)
+def shard_filter(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The bytes of one shard, sized by the levels put into it."""
+    levels = _levels(counts)
+    size = 8 * max(1, -(-int(levels.sum()) * BITS // 8))
+    bits = np.zeros(size, np.uint8)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for at in _places(names[levels >= level], level, shard_bits):
+        for at in _places(names[levels >= level], level, np.uint64(size)):
             bits[at] = 1
     return np.packbits(bits, bitorder="little")
 
 
+def probe(data: np.ndarray, name: np.ndarray, offset: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Levels of the names; ``offset`` and ``size`` (bytes and bits of its shard) for each."""
+    level = np.zeros(len(name), np.int64)
+    live = np.flatnonzero(size)
+    for step in range(1, TOP_LEVEL + 1):
+        hit = np.ones(len(live), bool)
+        for at in _places(name[live], step, size[live].astype(np.uint64)):
+            hit &= ((data[offset[live] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+        live = live[hit]
+        if not len(live):
+            break
+        level[live] = step
+    return level
+
+
+def estimate(level: np.ndarray) -> np.ndarray:
+    """The middle count of a level."""
+    return np.where(level < 2, level, 1.5 * np.exp2(np.maximum(level - 1, 0)) - 0.5)
+
+
 class CountFilter:
-    """Reads quantised counts."""
+    """A whole filter: reads quantised counts."""
+
+    def __init__(self, shards: list[tuple[int, bytes]], shard_bits: int):
+        self.shard_bits = shard_bits
+        sizes = np.zeros(1 << shard_bits, np.int64)
+        for shard, data in shards:
+            sizes[shard] = len(data)
+        self.offset = np.cumsum(sizes) - sizes
+        self.size = sizes * 8
+        self.bytes = np.zeros(int(sizes.sum()), np.uint8)
+        for shard, data in shards:
+            self.bytes[self.offset[shard]:self.offset[shard] + sizes[shard]] = np.frombuffer(data, np.uint8)
+
+    def counts(self, key: np.ndarray) -> np.ndarray:
+        shard, name = _split(key, self.shard_bits)
+        return estimate(probe(self.bytes, name, self.offset[shard], self.size[shard]))
+
 
-    def __init__(self, data: bytes):
-        self.bytes = np.frombuffer(data, np.uint8)
-        self.shard_bits = len(self.bytes) * 8 >> SHARD_BITS
+class Answers:
+    """The levels of a chunk's n-grams, as the shards answered."""
+
+    def __init__(self, short: np.ndarray, level: np.ndarray):
+        self.short, self.level = short, level
 
     def counts(self, key: np.ndarray) -> np.ndarray:
-        shard, name = _split(key)
-        offset = shard * self.shard_bits
-        level = np.zeros(len(key), np.int64)
-        live = np.arange(len(key))
-        for step in range(1, TOP_LEVEL + 1):
-            hit = np.ones(len(live), bool)
-            for at in _places(name[live], step, self.shard_bits):
-                at += offset[live]
-                hit &= ((self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-            live = live[hit]
-            if not len(live):
-                break
-            level[live] = step
-        return np.where(level < 2, level, 1.5 * np.exp2(np.maximum(level - 1, 0)) - 0.5)
+        return estimate(self.level[np.searchsorted(self.short, key >> _DROP)].astype(np.int64))
+
+
+def _summed(blocks: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct values and their counts, handed on whenever about ``TASK_NGRAMS`` are held."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def fold() -> tuple[np.ndarray, np.ndarray]:
+        value, back = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+        return value, np.bincount(back, np.concatenate([c for _, c in held])).astype(np.int64)
+
+    for block in blocks:
+        held.append(np.unique(block, return_counts=True))
+        size += len(held[-1][0])
+        if size > 2 * TASK_NGRAMS:
+            held[:] = [fold()]
+            size = len(held[0][0])
+            if size > TASK_NGRAMS:
+                yield held[0]
+                held.clear()
+                size = 0
+    if held:
+        yield fold()
+
+
+def _ngrams(t: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return np.concatenate([unigram_key(t), bigram_key(v, t)])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, c`` of the tokens of ``text`` (the only column)."""
 
     def run(batches):
-        for batch in batches:
-            parts = [t for _, t, _, _ in token_blocks(batch.column(0))]
-            if parts:
-                w, c = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c)], ["word", "c"])
+        for w, c in _summed(t for batch in batches for _, t, _, _ in token_blocks(batch.column(0))):
+            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c)], ["word", "c"])
 
     return texts.mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_filter(texts: DataFrame, n_tokens: int) -> bytes:
-    """The filter over all unigrams and bigrams of ``text``; its shards are built in parallel."""
-    bits = min(MAX_BITS, max(MIN_BITS, 1 << max(0, n_tokens * BITS_PER_TOKEN - 1).bit_length()))
-    shard_bits = bits >> SHARD_BITS
+def shard_bits_for(n_tokens: int) -> int:
+    """Shards that hold about ``SHARD_NGRAMS`` n-grams each: two a token at most."""
+    return max(LEAST_SHARD_BITS, (2 * n_tokens // SHARD_NGRAMS).bit_length())
+
+
+def _cut(key: np.ndarray, shard_bits: int) -> Iterator[tuple[int, int, int]]:
+    """(shard, from, to) of sorted keys."""
+    shard = (key >> np.uint64(64 - shard_bits)).astype(np.int64)
+    edges = np.flatnonzero(np.diff(shard, prepend=-1))
+    yield from zip(shard[edges].tolist(), edges.tolist(), [*edges.tolist(), len(key)][1:], strict=True)
+
+
+def filter_shards(texts: DataFrame, shard_bits: int) -> DataFrame:
+    """``shard, bits``: the filter over all unigrams and bigrams of ``text``."""
 
     def count(batches):
-        for batch in batches:
-            keys = [np.concatenate([unigram_key(t), bigram_key(v, t)]) for _, t, _, v in token_blocks(batch.column(0))]
-            if not keys:
-                continue
-            key, n = np.unique(np.concatenate(keys), return_counts=True)  # sorted: shards in order
-            shard, name = _split(key)
-            cut = np.searchsorted(shard, np.arange((1 << SHARD_BITS) + 1))
+        for key, n in _summed(_ngrams(t, v) for batch in batches for _, t, _, v in token_blocks(batch.column(0))):
+            _, name = _split(key, shard_bits)
             rows = []
-            for s in np.flatnonzero(np.diff(cut)):
-                own, c = name[cut[s]:cut[s + 1]].astype("<u4"), n[cut[s]:cut[s + 1]]
+            for s, lo, hi in _cut(key, shard_bits):
+                own, c = name[lo:hi].astype("<u4"), n[lo:hi]
                 more = c > 1
-                rows.append((int(s), own[~more].tobytes(), own[more].tobytes(), c[more].astype("<u8").tobytes()))
+                rows.append((s, own[~more].tobytes(), own[more].tobytes(), c[more].astype("<u8").tobytes()))
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, [pa.int32()] + [pa.binary()] * 3, strict=True)],
@@ -153,19 +224,14 @@ def count_filter(texts: DataFrame, n_tokens: int) -> bytes:
         names = np.concatenate([once, np.frombuffer(b"".join(table.column("names").to_pylist()), "<u4")]).astype(np.uint64)
         n = np.concatenate([np.ones(len(once)), np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u8")])
         names, at = np.unique(names, return_inverse=True)
-        data = shard_filter(names, np.bincount(at, weights=n), shard_bits)
+        data = shard_filter(names, np.bincount(at, weights=n))
         return pa.table({"shard": table.column("shard").slice(0, 1), "bits": pa.array([data.tobytes()], pa.binary())})
 
-    shards = (texts.mapInArrow(count, "shard int, once binary, names binary, counts binary")
-              .groupBy("shard").applyInArrow(build, "shard int, bits binary"))
-    out = np.zeros((1 << SHARD_BITS, shard_bits // 8), np.uint8)
-    for row in shards.toArrow().to_batches():
-        for s, data in zip(row.column(0).to_pylist(), row.column(1), strict=True):
-            out[s] = np.frombuffer(data.as_buffer(), np.uint8)
-    return out.tobytes()
+    return (texts.mapInArrow(count, "shard int, once binary, names binary, counts binary")
+            .groupBy("shard").applyInArrow(build, "shard int, bits binary"))
 
 
-def text_scores(tokens, before, bounds, counts: CountFilter, n: int, v: int) -> np.ndarray:
+def text_scores(tokens, before, bounds, counts: CountFilter | Answers, n: int, v: int) -> np.ndarray:
     """log10 probability of each row of one block."""
     words, at = np.unique(tokens, return_inverse=True)
     c1 = counts.counts(unigram_key(words))
@@ -181,7 +247,142 @@ def text_scores(tokens, before, bounds, counts: CountFilter, n: int, v: int) ->
     return np.add.reduceat(logs, bounds[:-1])
 
 
-def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+SCORED = "row long, doc_id long, held_out boolean, word long, n long, known long, logs double, score double"
+
+
+def _block_rows(head, block, columns, score_of: Callable) -> pa.RecordBatch:
+    """A block's rows: one per text (``word`` NULL), and one per distinct word of a text that isn't in the head."""
+    hw, hc, log_head = head
+    lo, tokens, bounds, before = block
+    m = len(bounds) - 1
+    row = np.repeat(np.arange(m), np.diff(bounds))
+    signed = tokens.view(np.int64)
+    at = np.minimum(np.searchsorted(hw, signed), max(0, len(hw) - 1))
+    known = hw[at] == signed if len(hw) else np.zeros(len(tokens), bool)
+    logs = np.bincount(row[known], weights=log_head[at[known]], minlength=m)
+    pair = np.stack([row[~known], signed[~known]])
+    by = np.lexsort(pair[::-1])
+    pair = pair[:, by]
+    new = np.flatnonzero(np.r_[True, (pair[:, 1:] != pair[:, :-1]).any(0)]) if pair.shape[1] else np.zeros(0, int)
+    tail, tf = pair[:, new], np.diff(np.r_[new, pair.shape[1]])
+    k = len(new)
+    take = pa.array(np.r_[np.arange(m), tail[0]] + lo)
+    is_tail = np.r_[np.zeros(m, bool), np.ones(k, bool)]
+    return pa.RecordBatch.from_arrays([
+        *(c.take(take) for c in columns),
+        pa.array(np.r_[np.zeros(m, np.int64), tail[1]], mask=~is_tail),
+        pa.array(np.r_[np.diff(bounds), tf]),
+        pa.array(np.r_[np.bincount(row[known], minlength=m), np.zeros(k, np.int64)]),
+        pa.array(np.r_[logs, np.zeros(k)]),
+        pa.array(np.r_[score_of(tokens, before, bounds), np.zeros(k)])],
+        ["row", "doc_id", "held_out", "word", "n", "known", "logs", "score"])
+
+
+def _with_broadcast(src: DataFrame, shards: DataFrame, shard_bits: int, sent_head, n: int, v: int) -> DataFrame:
+    table = shards.toArrow()  # at most BROADCAST_BYTES
+    sent = src.sparkSession.sparkContext.broadcast(
+        (list(zip(table.column("shard").to_pylist(), table.column("bits").to_pylist(), strict=True)), shard_bits))
+    del table
+
+    def run(batches):
+        hw, hc = sent_head.value
+        counts, head = CountFilter(*sent.value), (hw, hc, np.log10(hc + 1.0))
+        for batch in batches:
+            for block in token_blocks(batch.column(3)):
+                yield _block_rows(head, block, batch.columns[:3], lambda t, b, at: text_scores(t, b, at, counts, n, v))
+
+    return src.mapInArrow(run, SCORED)
+
+
+def _with_shards(src: DataFrame, shards: DataFrame, shard_bits: int, sent_head, n: int, v: int) -> DataFrame:
+    """Texts in chunks; a chunk's distinct n-grams go to their shards and come back as levels."""
+
+    def wanted(texts: pa.Array) -> np.ndarray:
+        keys = [np.unique(_ngrams(t, b) >> _DROP) for _, t, _, b in token_blocks(texts)]
+        return np.unique(np.concatenate([*keys, unigram_key(np.array([END])) >> _DROP]))
+
+    names = ["chunk", "shard", "row", "doc_id", "held_out", "text", "names"]
+
+    def ask(batches):
+        base, chunks = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            texts = batch.column(3)
+            length = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(length, (length[lo - 1] if lo else 0) + CHUNK_BYTES)))
+                k, chunk = hi - lo, base + chunks
+                chunks += 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * k, pa.int64()), pa.array([-1] * k, pa.int32()), *(c.slice(lo, k) for c in batch.columns),
+                     pa.nulls(k, pa.binary())], names)
+                short = wanted(texts.slice(lo, k))
+                key = short << _DROP
+                name = (short & _LOW).astype("<u4")
+                rows = [(s, name[x:y].tobytes()) for s, x, y in _cut(key, shard_bits)]
+                m = len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * m, pa.int64()), pa.array([s for s, _ in rows], pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+                     pa.nulls(m, pa.bool_()), pa.nulls(m, texts.type), pa.array([x for _, x in rows], pa.binary())], names)
+                lo = hi
+
+    def answer(batches):
+        now, data = -1, np.zeros(0, np.uint8)
+        for batch in batches:
+            out = []
+            for shard, chunk, asked, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if chunk is None:  # the shard stands before its questions
+                    now, data = shard, np.frombuffer(bits, np.uint8)
+                    continue
+                name = np.frombuffer(asked, "<u4").astype(np.uint64)
+                size = len(data) * 8 if shard == now else 0
+                zero = np.zeros(len(name), np.int64)
+                out.append((chunk, shard, probe(data, name, zero, zero + size).astype(np.uint8).tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()), strict=True)],
+                                                 ["chunk", "shard", "levels"])
+
+    def scored(batches):
+        hw, hc = sent_head.value
+        head = (hw, hc, np.log10(hc + 1.0))
+        now, levels, held = None, [], []
+
+        def done():
+            texts = pa.Table.from_batches(held).combine_chunks()
+            columns = [texts.column(c).combine_chunks() for c in ("row", "doc_id", "held_out")]
+            counts = Answers(wanted(texts.column("text").combine_chunks()), np.frombuffer(b"".join(levels), np.uint8))
+            for block in token_blocks(texts.column("text").combine_chunks()):
+                yield _block_rows(head, block, columns, lambda t, b, at: text_scores(t, b, at, counts, n, v))
+
+        for batch in batches:
+            chunks = batch.column("chunk").to_numpy()
+            edges = np.flatnonzero(np.diff(chunks, prepend=-1)).tolist()
+            for lo, hi in zip(edges, [*edges, len(chunks)][1:], strict=True):
+                if chunks[lo] != now:
+                    if held:
+                        yield from done()
+                    now, levels, held = chunks[lo], [], []
+                part = batch.slice(lo, hi - lo)
+                levels += [x for x in part.column("levels").to_pylist() if x is not None]
+                texts = part.filter(pc.is_null(part.column("levels")))
+                if texts.num_rows:
+                    held.append(texts)
+        if held:
+            yield from done()
+
+    kept = written(src.mapInArrow(ask, "chunk long, shard int, row long, doc_id long, held_out boolean, text string, names binary"), "lm-chunks")
+    nothing = F.lit(None).cast("binary")
+    questions = kept.where("shard >= 0").select("shard", "chunk", "names", nothing.alias("bits"))
+    bits = shards.select("shard", F.lit(None).cast("long").alias("chunk"), nothing.alias("names"), "bits")
+    answers = (questions.unionByName(bits).repartition("shard").sortWithinPartitions("shard", "chunk")
+               .mapInArrow(answer, "chunk long, shard int, levels binary"))
+    texts = kept.where("shard < 0").drop("names").withColumn("levels", nothing)
+    both = texts.unionByName(answers, allowMissingColumns=True).repartition("chunk")
+    return both.sortWithinPartitions("chunk", F.col("levels").isNull(), "shard").mapInArrow(scored, SCORED)
+
+
+def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
+          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``held_out``: a boolean Column; rows where it is true don't train (NULL:
@@ -199,40 +400,11 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     head = words.orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
     order = np.argsort(hw := head.column("word").to_numpy())
     sent = spark.sparkContext.broadcast((hw[order], head.column("c").to_numpy()[order]))
-    sent_filter = spark.sparkContext.broadcast(count_filter(train, n))
-
-    def run(batches):
-        hw, hc = sent.value
-        counts = CountFilter(sent_filter.value)
-        log_head = np.log10(hc + 1.0)
-        for batch in batches:
-            for lo, tokens, bounds, before in token_blocks(batch.column(3)):
-                m = len(bounds) - 1
-                row = np.repeat(np.arange(m), np.diff(bounds))
-                signed = tokens.view(np.int64)
-                at = np.minimum(np.searchsorted(hw, signed), max(0, len(hw) - 1))
-                known = hw[at] == signed if len(hw) else np.zeros(len(tokens), bool)
-                logs = np.bincount(row[known], weights=log_head[at[known]], minlength=m)
-                # the other tokens: one row for each distinct (document, word)
-                pair = np.stack([row[~known], signed[~known]])
-                by = np.lexsort(pair[::-1])
-                pair = pair[:, by]
-                new = np.flatnonzero(np.r_[True, (pair[:, 1:] != pair[:, :-1]).any(0)]) if pair.shape[1] else np.zeros(0, int)
-                tail, tf = pair[:, new], np.diff(np.r_[new, pair.shape[1]])
-                k = len(new)
-                take = pa.array(np.r_[np.arange(m), tail[0]] + lo)
-                is_tail = np.r_[np.zeros(m, bool), np.ones(k, bool)]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take),
-                    pa.array(np.r_[np.zeros(m, np.int64), tail[1]], mask=~is_tail),
-                    pa.array(np.r_[np.diff(bounds), tf]),
-                    pa.array(np.r_[np.bincount(row[known], minlength=m), np.zeros(k, np.int64)]),
-                    pa.array(np.r_[logs, np.zeros(k)]),
-                    pa.array(np.r_[text_scores(tokens, before, bounds, counts, n, v), np.zeros(k)])],
-                    ["row", "doc_id", "held_out", "word", "n", "known", "logs", "score"])
-
-    scored = written(src.mapInArrow(
-        run, "row long, doc_id long, held_out boolean, word long, n long, known long, logs double, score double"), "lm-scored")
+    shard_bits = shard_bits_for(n)
+    shards = written(filter_shards(train, shard_bits), "lm-shards")
+    size = shards.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
+    form = _with_broadcast if size <= broadcast_bytes else _with_shards
+    scored = written(form(src, shards, shard_bits, sent, n, v), "lm-scored")
     rare = scored.where("word IS NOT NULL").select("row", "word", "n").join(words, "word").groupBy("row").agg(
         F.sum("n").alias("_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("_logs"))
     out = scored.where("word IS NULL").join(rare, "row", "left")

@@ -1,13 +1,13 @@
 """Near-duplicate documents: MinHash signatures, banding, verification, connected components.
 
 1. One pass over the whole texts makes, per document, the set of its word
-   shingles (as 64-bit hashes), a digest of the set and ``HASHES`` universal hash minima.
+   shingles (as 64-bit hashes), and keeps its size, its digest and ``HASHES`` universal hash minima.
 2. Documents with equal sets become one class, represented by its smallest id.
 3. ``BANDS`` bands of ``ROWS`` minima are the candidate keys.  A pair at
    similarity 0.8 shares no band with a chance of (1 - 0.8^4)^32 < 1e-7.
 4. Within a key each member's partner is the key's smallest member (a star, never all
    pairs); each document is confirmed on full sets against the one partner
-   it shares most keys with.
+   it shares most keys with.  Sets are made again, from the texts of documents that have a candidate only.
 5. Keys whose members then lie in several components are compared member
    by member across components: in blocks of bounded size spread over tasks, screened by
    signature, each pair only under the first key it shares, and confirmed on
@@ -26,14 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import marked, marks_of, written
 from marquee.llm.components import connected_components
 from marquee.llm.hashing import NOT_SPACE, combine, kgrams, mix, word_blocks
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BLOCK = 256  # members of a key that are compared in one block
-MARKS = 1 << 28  # bits (32 MiB) that tell most unneeded sets before the shuffle that fetches the others
 HUB = 1 << 30  # numbers of the blocks of a key's largest component start here
 
 _rng = np.random.default_rng(7)
@@ -83,8 +82,12 @@ def _unpack(b: bytes) -> np.ndarray:
     return np.frombuffer(b, "<u8")
 
 
+def _digest(packed: bytes) -> bytes:
+    return hashlib.blake2b(packed, digest_size=16).digest()
+
+
 def sketches(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, digest, sig, shingles`` of every row."""
+    """``doc_id, n_shingles, digest, sig`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,16 +95,17 @@ def sketches(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "t
             for block in word_blocks(batch.column(1), NOT_SPACE):
                 sets = _sets(block, k)
                 sig = minima(sets)
-                packed = [_pack(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(block.first_row, block.n_rows),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in packed], pa.binary()),
-                    pa.array([r.tobytes() for r in sig], pa.binary()),
-                    pa.array(packed, pa.binary())], ["doc_id", "n_shingles", "digest", "sig", "shingles"])
+                    pa.array([_digest(_pack(s)) for s in sets], pa.binary()),
+                    pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary")
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary, shingles binary")
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def band_keys(reps: DataFrame) -> DataFrame:
@@ -136,20 +140,25 @@ def alike(x: bytes, y: bytes, percent: int) -> bool:
     return 100 * both >= percent * (len(p) + len(q) - both)
 
 
-def _sets_of(nodes: DataFrame, full: DataFrame) -> DataFrame:
-    """``node, shingles`` of the nodes: one shuffle of the sets at every size (the nodes grow with the corpus, so they
-    aren't broadcast).  A bitmap of the nodes' hashes, of bounded size, takes out most other sets before it."""
+def _sets_of(nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """``node, shingles`` of the nodes, made again from the texts that the nodes' marks let through.
+
+    One shuffle of those sets, by the same merge join at every size (the nodes grow with the corpus, so they aren't broadcast).
+    """
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0)
+            for block in word_blocks(batch.column(1), NOT_SPACE):
+                packed = [_pack(s) for s in _sets(block, k)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(block.first_row, block.n_rows), pa.array([_digest(p) for p in packed], pa.binary()),
+                     pa.array(packed, pa.binary())], ["node", "digest", "shingles"])
+
     nodes = nodes.select("node").distinct()
-    bit = F.pmod(F.xxhash64("node"), F.lit(MARKS))
-    place = F.bitmap_bit_position("_bit").cast("int")
-    marks = (nodes.select(bit.alias("_bit")).select(F.bitmap_bucket_number("_bit").alias("_bucket"), place.alias("_at"))
-             .repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits")))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    near = (full.select(F.col("doc_id").alias("node"), "digest", "shingles").withColumn("_bit", bit)
-            .withColumn("_bucket", F.bitmap_bucket_number("_bit")).join(F.broadcast(marks), "_bucket")
-            .where(F.getbit(byte, place % 8) == 1))
-    return (near.select("node", "digest", "shingles").join(nodes.hint("merge"), "node")  # a semi-join would be pushed below the bitmap
-            .dropDuplicates(["node", "digest"]).select("node", "shingles"))
+    near, _ = marked(texts, "doc_id", written(marks_of(nodes), "marks"))
+    sets = near.mapInArrow(run, "node long, digest binary, shingles binary").where(F.octet_length("shingles") > 0)
+    return sets.join(nodes.hint("merge"), "node").dropDuplicates(["node", "digest"]).select("node", "shingles")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -305,7 +314,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     star = written(star.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n")), "minhash-star")
     best = star.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
     # every member of a key with several, so the sets are shuffled once for both comparisons
-    sets = written(_sets_of(star.select(F.explode(F.array("a", "b")).alias("node")), full), "minhash-sets")
+    wanted = star.select(F.explode(F.array("a", "b")).alias("node"))
+    sets = written(_sets_of(wanted, _texts(docs, id_col, text_col), shingle_words), "minhash-sets")
     links = _confirmed(best, sets, percent)
     labels = written(connected_components(links), "minhash-labels")
     more = _across(keys, labels, reps, sets, percent)

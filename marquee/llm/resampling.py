@@ -36,6 +36,7 @@ from pyspark.sql.window import Window
 
 from marquee.llm.common import written
 from marquee.llm.hashing import WORD_CHARS, row_blocks, text_buffers
+from marquee.operators.positions import repeat_rows
 
 BUCKETS = 10_000
 HEAD_WORDS = 32_768
@@ -300,9 +301,10 @@ def draw(scored: DataFrame, percent: int = 25, least_words: int = 20) -> DataFra
     ordered = Window.partitionBy("score").orderBy("doc_id", "n_words", "n_features", "weight")
     ranked = (
         equal.withColumn("_upto", F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .join(F.broadcast(before), "score")
-        .withColumn("rank", F.explode(F.sequence(F.col("_before") + F.col("_upto") - F.col("_n") + 1, F.col("_before") + F.col("_upto"))))
-        .select(*scored.columns, F.when(F.col("rank") <= wanted, F.col("rank")).alias("rank")))
+        .join(F.broadcast(before), "score"))
+    place = F.col("_before") + F.col("_upto") - F.col("_copies") + F.col("_copy") + 1
+    ranked = repeat_rows(ranked.withColumn("_copies", F.col("_n")), "_n", "_copy").withColumn("rank", place).select(
+        *scored.columns, F.when(F.col("rank") <= wanted, F.col("rank")).alias("rank"))
     return scored.where(F.coalesce(~cut, F.lit(True))).select(*scored.columns, nothing).unionByName(ranked)
 
 

@@ -1,53 +1,83 @@
 """The stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``.
 
-All but the last return the columns of their input.  NULL texts count as
-empty; rows with a NULL id can't be linked, so they are never dropped as copies
-or leaks.  Empty tables pass through.
+All but the last return the columns of their input.  Every row is a document of its own in every stage: rows that
+share an id, or have none, are judged by their own texts, and only rows that are rejected, copies or leaks
+themselves go.  NULL texts count as empty.  Empty tables pass through.
+
+A stage numbers the rows of its input by file and place in the file (64-bit hashes: two rows share a number with a
+chance of 2^-64), so they have the same numbers whenever and however the table is read; only a frame that isn't
+read from files is numbered by partitions.  What a stage writes on the way is removed
+before it returns, up to the small tables that its result still reads.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import bpe, language_id, minhash, secrets, tiling
-from marquee.llm.common import table, written
+from marquee.llm.common import marked, marks_of, scope, table, without, written
+
+ROW = "_row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    try:
+        return docs.withColumn(ROW, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:
+        return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def _drop(rows: DataFrame, gone: DataFrame, docs: DataFrame) -> DataFrame:
+    return without(rows, ROW, gone).select(*docs.columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language isn't accepted go (an id goes if all its rows are rejected)."""
-    model = language_id.TextModel.fit(docs)
-    found = language_id.identify(docs, model, ["doc_id"])
-    rejected = found.groupBy("doc_id").agg(F.max("accepted").alias("_any")).where("NOT _any").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Documents whose language isn't accepted go."""
+    rows = _numbered(docs)
+    with scope(spark):
+        found = language_id.identify(rows, language_id.TextModel.fit(docs), [ROW])
+        gone = written(found.where("NOT accepted").select(ROW), "pipeline-rejected", outer=True)
+    return _drop(rows, gone, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays: the smallest id."""
-    found = minhash.near_duplicates(docs, shingle_words=5, percent=80)
-    ids = written(found.select("doc_id", "kept"), "pipeline-copies")
-    # the dropped ids grow with the corpus, so they aren't broadcast: the texts are shuffled once, at every size
-    gone = ids.where("NOT kept").select("doc_id").distinct().hint("merge")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = ids.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    twice = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(twice)
+    """One document of each group of near copies (five-word shingles, similarity 0.8) stays: the smallest id's first row.
+
+    A row without an id counts as the last of its group.
+    """
+    rows = _numbered(docs)
+    with scope(spark):
+        found = minhash.near_duplicates(rows, shingle_words=5, percent=80, id_col=ROW)
+        linked = written(found.select(F.col("doc_id").alias(ROW), "component_id"), "pipeline-components")
+        groups = linked.groupBy("component_id").count().where("count > 1").select("component_id")
+        several = linked.join(groups.hint("merge"), "component_id")
+        named = several.join(rows.select(ROW, "doc_id").hint("merge"), ROW)
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+        first = named.groupBy("component_id").agg(F.min(order)[ROW].alias("_first"))
+        gone = written(several.join(first, "component_id").where(f"{ROW} <> _first").select(ROW), "pipeline-copies", outer=True)
+    return _drop(rows, gone, docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold 0.8 or more of a benchmark item go."""
-    leaks = tiling.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    rows = _numbered(docs)
+    with scope(spark):
+        leaks = tiling.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=ROW)
+        gone = written(leaks.select(F.col("doc_id").alias(ROW)).distinct(), "pipeline-leaks", outer=True)
+    return _drop(rows, gone, docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; ``n_chars`` of the changed rows is their new length."""
-    clean = secrets.redact(docs.withColumn("_old", F.col("text")), secrets.scan(docs))
-    return clean.withColumn(
-        "n_chars", F.when(F.col("text") != F.col("_old"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+    rows = _numbered(docs)
+    with scope(spark):
+        found = written(secrets.scan(rows, id_col=ROW), "pipeline-secrets", outer=True)
+    near, far = marked(rows, ROW, written(marks_of(found.select("doc_id").distinct()), "marks"))
+    clean = secrets.redact(near.withColumn("_old", F.col("text")), found, id_col=ROW)
+    clean = clean.withColumn("n_chars", F.when(F.col("text") != F.col("_old"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return clean.select(*docs.columns).unionByName(far.select(*docs.columns))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

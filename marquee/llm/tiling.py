@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import marked, marks_of, written
 from marquee.llm.hashing import WORD_CHARS, combine, hash_text, kgrams, word_blocks
 
 MIN_MATCH = 5
@@ -208,8 +208,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
                 [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.float64(), pa.int64()], strict=True)],
                 ["doc_id", "item_id", "item_words", "covered_words", "coverage", "n_tiles"])
 
+    # only the texts that the marks let through are shuffled
+    near, _ = marked(d, "row_id", written(marks_of(pairs.select("row_id").distinct()), "marks"))
     texts = (pairs.join(i.select("item_id", F.col("text").alias("_item")), "item_id")
-             .join(d, "row_id").select("row_id", "item_id", "text", "_item"))
+             .join(near.hint("merge"), "row_id").select("row_id", "item_id", "text", "_item"))
     found = texts.mapInArrow(
         run, "doc_id long, item_id long, item_words long, covered_words long, coverage double, n_tiles long")
     return found.groupBy("doc_id", "item_id").agg(
