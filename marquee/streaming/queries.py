@@ -1,25 +1,44 @@
 """Starting the three vote streams.
 
-All three use event time: ``withWatermark(ts, delay)`` bounds the state,
-votes older than the watermark are dropped, and a window is reported once
-the watermark passes its end (so the last open windows of a finished
-input stay unreported until newer votes arrive).  Results are written by
-``foreachBatch`` under ``<sink>/batch=<id>`` with overwrite, so a
+All three use event time.  The vote log is stateless.  The sliding top reports a window once the
+watermark passes its end, or, with ``open_windows``, from its first vote on and with every late vote.  Trending reports
+open windows too and keeps votes that come too late for its state apart; ``read_trending`` counts them in.
+Results are written by ``foreachBatch`` under the batch's id with overwrite, so a
 re-executed micro-batch replaces its own output (idempotent on restart).
 A sink belongs to the checkpoint that wrote it first; empty batches write nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.constants import LOG_WINDOW, TOP_SLIDE, TOP_WINDOW, TOP_WINDOW_N, TREND_WINDOW
 from marquee.functions.text import window_label
-from marquee.operators.windows import window_averages, window_counts, with_names
-from marquee.sinks.files import claim_sink
-from marquee.streaming.trending import TrendingProcessor
+from marquee.operators.windows import duration_seconds, trending_flags, window_averages, with_names
+from marquee.sinks.files import claim_sink, read_current
+from marquee.sinks.store import KeyedStore, latest_row, sums
+from marquee.streaming.trending import LATE_BOUND_SECONDS, TrendingProcessor, window_partials
+
+#: Title names: a fixed frame, or a function that gives the present ones; it is asked in every micro-batch.
+Names = DataFrame | Callable[[], DataFrame]
+
+# Micro-batches between two compactions of a sink that keeps the latest rows.
+COMPACT_EVERY = 20
+
+
+def current_names(spark: SparkSession, root: str, part: str = "names") -> Callable[[], DataFrame]:
+    """Names from the current version of ``root`` (``sinks.write_version``): a new version shows in the next micro-batch."""
+    def names() -> DataFrame:
+        found = read_current(spark, root, part)
+        if found is None:
+            raise ValueError(f"no names at {root}")
+        return found
+    return names
 
 
 def _trigger(writer, trigger: dict | None):
@@ -92,19 +111,24 @@ def _batch_writer(sink: str, fmt: str = "parquet"):
     return write
 
 
-def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
+def _lookup(names: Names, title: str, name_title: str, name: str) -> DataFrame:
+    frame = names() if callable(names) else names
+    return frame.select(F.col(name_title).alias(title), F.col(name).alias("name"))
+
+
+def start_sliding_top(votes: DataFrame, names: Names, sink: str, checkpoint: str,
                       title: str = "tconst", vote: str = "rating", ts: str = "ts",
                       length: str = TOP_WINDOW, slide: str = TOP_SLIDE, n: int = TOP_WINDOW_N,
                       watermark: str = "10 minutes", trigger: dict | None = None,
                       name_title: str = "tconst", name: str = "name", panes: bool = False,
-                      open_windows: bool = False) -> StreamingQuery:
+                      open_windows: bool = False, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Top ``n`` titles by average per sliding window.
 
     The windowed average runs in append mode, so a window's rows for *all*
     titles are emitted in the same micro-batch (when the watermark passes
     the window end).  Ranking is then an ordinary batch ``row_number`` per
     window inside ``foreachBatch`` — exact, and with the rank limit pushed
-    below the shuffle.
+    below the shuffle.  Votes behind the watermark are dropped by Spark.
 
     ``panes=True`` chains two watermarked aggregations: votes are summed per
     title and ``slide``-long pane, and each closed pane (at its
@@ -113,53 +137,115 @@ def start_sliding_top(votes: DataFrame, names: DataFrame, sink: str, checkpoint:
     per-vote window expansion by a per-pane one, at the cost of a second
     state store (on the sparse test data it is slower).
 
-    ``open_windows=True`` reports windows from their first vote on: in update
-    mode each batch writes the averages that it changed, and
-    ``read_sliding_top`` ranks the latest ones.  The sink then keeps one row per
-    change, not the ranks.
+    ``open_windows=True`` reports windows from their first vote on and loses no late vote: each batch adds its votes' sums
+    per title and pane to a stored table, and ranks again only the windows that those panes
+    belong to.  ``read_sliding_top`` gives the ranks, ``late_votes`` how many votes came behind the watermark.  Sums and ranks are
+    kept per key and day and compacted every ``compact_every`` batches, so the sink is as large as its live rows.
     """
     if panes and open_windows:
-        raise ValueError("chained aggregations have no update mode: panes and open_windows exclude each other")
+        raise ValueError("panes and open_windows exclude each other")
+    claim_sink(votes.sparkSession, sink, checkpoint)
+    if open_windows:
+        write_batch = _open_tops(votes, names, sink, title, vote, ts, length, slide, n, watermark, name_title, name, compact_every)
+        good = votes.where(F.col(ts).isNotNull() & F.col(title).isNotNull() & F.col(vote).isNotNull())
+        return _trigger(good.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch), trigger).start()
     if panes:
         avgs = _pane_stream_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide)
     else:
         avgs = window_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide, panes=False)
-    claim_sink(votes.sparkSession, sink, checkpoint)
     write = _batch_writer(sink)
 
-    lookup = names.select(F.col(name_title).alias(title), F.col(name).alias("name"))
-
     def rank(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            if _nothing(df, batch_id):
-                return
-            named = _named(df, lookup, title)
-            if open_windows:
-                write(named, batch_id)
-                return
-            w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("average"), F.asc(title))
-            top = (named.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(n))
-                   .select("window_start", "window_end", "rank", title, "name", "average"))
-            write(top, batch_id)
+            if not _nothing(df, batch_id):
+                write(_ranked(_named(df, _lookup(names, title, name_title, name), title), title, n), batch_id)
         finally:
             df.unpersist()
 
-    writer = (avgs.writeStream.outputMode("update" if open_windows else "append")
-              .option("checkpointLocation", checkpoint).foreachBatch(rank))
+    writer = avgs.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(rank)
     return _trigger(writer, trigger).start()
 
 
-def read_sliding_top(spark: SparkSession, sink: str, title: str = "tconst", n: int = TOP_WINDOW_N) -> DataFrame:
-    """Top ``n`` per window, open ones too, from the sink of ``start_sliding_top(open_windows=True)``."""
-    per = ["window_start", "window_end", title, "name"]
-    changes = spark.read.parquet(sink)
-    latest = changes.groupBy(*per).agg(F.max_by("average", "batch").alias("average"))
+def _ranked(named: DataFrame, title: str, n: int) -> DataFrame:
     w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("average"), F.asc(title))
-    return (latest.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(n))
+    return (named.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(n))
             .select("window_start", "window_end", "rank", title, "name", "average"))
 
 
+def _top_store(spark: SparkSession, sink: str, title: T.StructField) -> KeyedStore:
+    schema = T.StructType([T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
+                           T.StructField("rank", T.IntegerType()), title, T.StructField("name", T.StringType()),
+                           T.StructField("average", T.DoubleType())])
+    return KeyedStore(spark, f"{sink}/top", schema, ["window_start", "rank"], latest_row, F.date_format("window_start", "yyyy-MM-dd"))
+
+
+def _arrivals(spark: SparkSession, sink: str) -> KeyedStore:
+    """One row: the latest vote time (in µs), the votes and the late votes so far."""
+    return KeyedStore(spark, f"{sink}/arrivals", "one int, latest long, votes long, late long", ["one"], latest_row, buckets=1)
+
+
+def _open_tops(votes, names, sink, title, vote, ts, length, slide, n, watermark, name_title, name, compact_every):
+    size, step, delay = duration_seconds(length), duration_seconds(slide), duration_seconds(watermark)
+    if size % step:
+        raise ValueError("open windows need a length of whole slides")
+    spark, kind = votes.sparkSession, votes.schema[title]
+    sums_store = KeyedStore(
+        spark, f"{sink}/panes", T.StructType([kind, T.StructField("pane", T.TimestampType()), T.StructField("total", T.DoubleType()),
+                                              T.StructField("count", T.LongType())]),
+        [title, "pane"], sums, F.date_format("pane", "yyyy-MM-dd"))
+    tops, arrivals = _top_store(spark, sink, kind), _arrivals(spark, sink)
+    back = lambda k: F.expr(f"make_dt_interval(0, 0, 0, {step})") * k
+
+    def windows(df: DataFrame) -> DataFrame:
+        """Every pane once for each window that it belongs to."""
+        offsets = F.explode(F.sequence(F.lit(0), F.lit(size // step - 1)))
+        return df.withColumn("_k", offsets).withColumn("window_start", F.col("pane") - back(F.col("_k"))).drop("_k")
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            if _nothing(df, batch_id):
+                return
+            own = df.groupBy(title, F.window(F.col(ts), slide).alias("_p")).agg(F.sum(vote).cast("double").alias("total"), F.count(vote).alias("count"))
+            sums_store.append(own.select(title, F.col("_p.start").alias("pane"), "total", "count"), batch_id)
+            before = arrivals.read(before=batch_id).first()
+            latest, seen, late = (before["latest"], before["votes"], before["late"]) if before else (None, 0, 0)
+            at = F.unix_micros(F.col(ts).cast("timestamp"))
+            is_late = F.lit(False) if latest is None else at < latest - delay * 1_000_000
+            here = df.agg(F.max(at).alias("latest"), F.count(F.lit(1)).alias("votes"), F.count_if(is_late).alias("late")).first()
+            latest = max(filter(None, (latest, here["latest"])), default=None)
+            arrivals.append(spark.createDataFrame([(1, latest, seen + here["votes"], late + here["late"])], arrivals.schema), batch_id)
+            touched = windows(df.select(F.window(F.col(ts), slide).alias("_p")).select(F.col("_p.start").alias("pane")).distinct()).select("window_start").distinct()
+            start = F.unix_micros("window_start")
+            span = touched.agg(F.min(start).alias("lo"), F.max(start).alias("hi")).first()
+            inside = F.col("pane").between(*(F.timestamp_micros(F.lit(x)) for x in (span["lo"], (span["hi"] or 0) + size * 1_000_000 - 1)))
+            if span["lo"] is not None:
+                avgs = (windows(sums_store.read(inside)).join(touched, "window_start", "left_semi").groupBy("window_start", title)
+                        .agg((F.sum("total") / F.sum("count")).alias("average"))
+                        .withColumn("window_end", F.col("window_start") + F.expr(f"make_dt_interval(0, 0, 0, {size})")))
+                tops.append(_ranked(with_names(avgs, _lookup(names, title, name_title, name), title, title, "name"), title, n), batch_id)
+            if (batch_id + 1) % compact_every == 0:
+                for store in (sums_store, tops, arrivals):
+                    store.compact()
+        finally:
+            df.unpersist()
+
+    return write
+
+
+def read_sliding_top(spark: SparkSession, sink: str, title: T.StructField | str = "tconst long") -> DataFrame:
+    """Top titles per window, open ones too, from the sink of ``start_sliding_top(open_windows=True)``; ``title``: its field."""
+    field = T._parse_datatype_string(title).fields[0] if isinstance(title, str) else title
+    return _top_store(spark, sink, field).read()
+
+
+def late_votes(spark: SparkSession, sink: str) -> int:
+    """Votes that came behind the watermark, of the sink of ``start_sliding_top(open_windows=True)``."""
+    row = _arrivals(spark, sink).read().first()
+    return row["late"] if row else 0
+
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
@@ -185,46 +271,91 @@ def _pane_stream_averages(votes: DataFrame, title: str, vote: str, ts: str, leng
     )
 
 
-def start_trending(votes: DataFrame, names: DataFrame, sink: str, checkpoint: str,
+def start_trending(votes: DataFrame, names: Names, sink: str, checkpoint: str,
                    title: str = "tconst", ts: str = "ts", length: str = TREND_WINDOW,
                    mode: str = "reset", watermark: str = "15 minutes",
                    trigger: dict | None = None, state_ttl_ms: int | None = None,
-                   name_title: str = "tconst", name: str = "name") -> StreamingQuery:
-    """Trending titles: closed-window counts → per-title state → named rows.
-
-    State is one small row per title (RocksDB store when configured);
-    ``state_ttl_ms`` optionally expires titles without recent votes.  TTL
-    runs in processing-time mode, where Spark keeps scheduling clean-up
-    batches, so use it with a ``processingTime`` trigger, not
-    ``availableNow`` (which would not finish).
+                   name_title: str = "tconst", name: str = "name", compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Trending titles: counts per title and window in keyed state, judged from the first vote on, closed by timers.
+
+    State is a title's open windows and the outcome of its last closed one (RocksDB store); ``state_ttl_ms``
+    (event time) forgets titles without recent votes.  The sink keeps the latest row per title and window;
+    votes for windows that the state has gone past are kept as late rows.  ``read_trending`` gives the reported windows.
     """
     _require_rocksdb(votes.sparkSession)
-    counts = window_counts(votes.withWatermark(ts, watermark), title, ts, length)
-    schema = counts.schema
-    flagged = counts.groupBy(title).transformWithStateInPandas(
-        statefulProcessor=TrendingProcessor(title, mode, state_ttl_ms),
-        outputStructType=schema,
-        outputMode="Append",
-        timeMode="ProcessingTime" if state_ttl_ms else "None",
-    )
+    seconds = duration_seconds(length)
+    partials = window_partials(votes, title, ts, seconds).withWatermark("seen", f"{LATE_BOUND_SECONDS} seconds")
+    kind = votes.schema[title]
+    rows = T.StructType([T.StructField(title, kind.dataType), T.StructField("window_start", T.TimestampType()),
+                         T.StructField("window_end", T.TimestampType()), T.StructField("votes", T.LongType()),
+                         T.StructField("live", T.BooleanType()), T.StructField("kind", T.StringType())])
+    judged = partials.groupBy(title).transformWithState(
+        statefulProcessor=TrendingProcessor(title, seconds, duration_seconds(watermark), mode, state_ttl_ms),
+        outputStructType=rows, outputMode="Update", timeMode="EventTime")
     claim_sink(votes.sparkSession, sink, checkpoint)
-    write = _batch_writer(sink)
+    store = _trending_store(votes.sparkSession, sink, kind)
+    late = _late_store(votes.sparkSession, sink, kind)
 
-    lookup = names.select(F.col(name_title).alias(title), F.col(name).alias("name"))
-
-    def named(df: DataFrame, batch_id: int) -> None:
+    def write(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
             if _nothing(df, batch_id):
                 return
-            write(_named(df, lookup, title).select("window_start", "window_end", title, "name", "votes"), batch_id)
+            named = _named(df, _lookup(names, title, name_title, name), title).persist()
+            # a window that was changed and closed in one batch has two rows; the closed one is the last
+            last = (named.where("kind <> 'late'").groupBy(title, "window_start")
+                    .agg(F.max_by(F.struct("window_end", "name", "votes", "live"), F.struct(F.col("kind") == "closed", "votes")).alias("_r")))
+            store.append(last.select(title, "window_start", "_r.*"), batch_id)
+            late.append(named.where("kind = 'late'").select(title, "window_start", "votes"), batch_id)
+            named.unpersist()
+            if (batch_id + 1) % compact_every == 0:
+                store.compact()
+                late.compact()
         finally:
             df.unpersist()
 
-    writer = flagged.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(named)
+    writer = judged.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, trigger).start()
 
 
+def _trending_store(spark: SparkSession, sink: str, title: T.StructField) -> KeyedStore:
+    schema = T.StructType([title, T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
+                           T.StructField("name", T.StringType()), T.StructField("votes", T.LongType()), T.StructField("live", T.BooleanType())])
+    return KeyedStore(spark, f"{sink}/windows", schema, [title.name, "window_start"], latest_row, F.date_format("window_start", "yyyy-MM-dd"))
+
+
+def _late_store(spark: SparkSession, sink: str, title: T.StructField) -> KeyedStore:
+    schema = T.StructType([title, T.StructField("window_start", T.TimestampType()), T.StructField("votes", T.LongType())])
+    return KeyedStore(spark, f"{sink}/late", schema, [title.name, "window_start"], sums, F.date_format("window_start", "yyyy-MM-dd"))
+
+
+def late_trending(spark: SparkSession, sink: str, title: T.StructField | str = "tconst long") -> DataFrame:
+    """``title, window_start, votes``: votes that came after their window had left the state of ``start_trending``."""
+    return _late_store(spark, sink, T._parse_datatype_string(title).fields[0] if isinstance(title, str) else title).read()
+
+
+def read_trending(spark: SparkSession, sink: str, title: T.StructField | str = "tconst long", length: str = TREND_WINDOW,
+                  mode: str = "reset") -> DataFrame:
+    """``window_start, window_end, title, name, votes``: the reported windows of ``start_trending``, open ones too.
+
+    Late votes are counted in: only the titles that have any are judged again, over their stored windows;
+    the rows of all others are taken as the stream left them.
+    """
+    field = T._parse_datatype_string(title).fields[0] if isinstance(title, str) else title
+    key, out = field.name, ["window_start", "window_end", field.name, "name", "votes"]
+    stored, late = _trending_store(spark, sink, field).read(), late_trending(spark, sink, field)
+    titles = late.select(key).distinct()
+    touched = stored.join(titles, key, "left_semi")
+    names = touched.groupBy(key).agg(F.max_by("name", "window_start").alias("_name"))
+    added = (late.join(names, key).withColumnRenamed("votes", "_more"))
+    end = F.col("window_start") + F.expr(f"make_dt_interval(0, 0, 0, {duration_seconds(length)})")
+    counts = touched.drop("live").join(added, [key, "window_start"], "full").select(
+        key, "window_start", end.alias("window_end"), F.coalesce("name", "_name").alias("name"),
+        (F.coalesce("votes", F.lit(0)) + F.coalesce("_more", F.lit(0))).alias("votes"))
+    again = trending_flags(counts, key, mode).where("live").select(*out)
+    return stored.join(titles, key, "left_anti").where("live").select(*out).unionByName(again)
+
+
 def start_rejects(votes: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
                   fmt: str = "parquet") -> StreamingQuery:
     """Vote lines that did not parse (``valid = false``), appended to ``sink``.

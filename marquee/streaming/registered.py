@@ -15,7 +15,7 @@ from marquee.plans.movies import update_rating_store
 from marquee.plans.roles import TS_TEXT, names, rating_base
 from marquee.session import scratch_path
 from marquee.sinks.files import read_current
-from marquee.streaming.queries import read_sliding_top, start_sliding_top, start_trending, start_vote_log
+from marquee.streaming.queries import read_sliding_top, read_trending, start_sliding_top, start_trending, start_vote_log
 from marquee.streaming.sources import file_vote_stream
 
 EVENTS = T.StructType([
@@ -67,22 +67,50 @@ def sliding_top3_stream(spark, sf_dir):
                       "rank", "tconst", "name", F.round("average", 6).alias("average"))
 
 
+def _top_rows(spark, sink):
+    return read_sliding_top(spark, sink).select(
+        F.date_format("window_start", TS_TEXT).alias("window_start"), F.date_format("window_end", TS_TEXT).alias("window_end"),
+        "rank", "tconst", "name", F.round("average", 6).alias("average"))
+
+
 def sliding_top3_stream_open(spark, sf_dir):
     """All windows, those still open at the end of the input too."""
     sink, ckpt = scratch_path(spark, "sliding_top3-open"), scratch_path(spark, "sliding_top3-open-ckpt")
     _run(start_sliding_top(event_votes(spark, sf_dir), names(spark, sf_dir), sink, ckpt, open_windows=True))
-    return read_sliding_top(spark, sink).select(
+    return _top_rows(spark, sink)
+
+
+def _trending_rows(spark, sink):
+    return read_trending(spark, sink).select(
         F.date_format("window_start", TS_TEXT).alias("window_start"), F.date_format("window_end", TS_TEXT).alias("window_end"),
-        "rank", "tconst", "name", F.round("average", 6).alias("average"))
+        "tconst", "name", "votes")
 
 
 def trending_15m_stream(spark, sf_dir):
+    """All windows, those still open at the end of the input too."""
     sink, ckpt = scratch_path(spark, "trending"), scratch_path(spark, "trending-ckpt")
     _run(start_trending(event_votes(spark, sf_dir), names(spark, sf_dir), sink, ckpt))
-    out = spark.read.parquet(sink).drop("batch")
-    return out.select(F.date_format("window_start", TS_TEXT).alias("window_start"),
-                      F.date_format("window_end", TS_TEXT).alias("window_end"),
-                      "tconst", "name", "votes")
+    return _trending_rows(spark, sink)
+
+
+def late_event_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events dealt at random into four files, read as four micro-batches: most votes of the later ones come days late."""
+    path = scratch_path(spark, "late-events")
+    spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").repartition(4, F.xxhash64("event_id")).write.parquet(path)
+    raw = file_vote_stream(spark, path, EVENTS, file_glob="*.parquet", max_files_per_trigger=1)
+    return raw.select(F.col("user_id").alias("tconst"), F.col("value").alias("rating"), F.col("ts").cast("timestamp").alias("ts"))
+
+
+def sliding_top3_stream_late(spark, sf_dir):
+    sink, ckpt = scratch_path(spark, "sliding_top3-late"), scratch_path(spark, "sliding_top3-late-ckpt")
+    _run(start_sliding_top(late_event_votes(spark, sf_dir), names(spark, sf_dir), sink, ckpt, open_windows=True, compact_every=2))
+    return _top_rows(spark, sink)
+
+
+def trending_15m_stream_late(spark, sf_dir):
+    sink, ckpt = scratch_path(spark, "trending-late"), scratch_path(spark, "trending-late-ckpt")
+    _run(start_trending(late_event_votes(spark, sf_dir), names(spark, sf_dir), sink, ckpt, compact_every=2))
+    return _trending_rows(spark, sink)
 
 
 def ratings_update_from_stream_log(spark, sf_dir):
@@ -98,5 +126,7 @@ STREAMS = {
     "vote_log_stream": vote_log_stream,
     "sliding_top3_stream": sliding_top3_stream,
     "sliding_top3_stream_open": sliding_top3_stream_open,
+    "sliding_top3_stream_late": sliding_top3_stream_late,
     "trending_15m_stream": trending_15m_stream,
+    "trending_15m_stream_late": trending_15m_stream_late,
 }

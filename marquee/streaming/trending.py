@@ -1,63 +1,128 @@
 """Per-title trending state for the stream (the only Python in a hot path).
 
-State per title: the last reported value (``prev``).  For each closed
-window of a title, in window order:
+Votes are counted per title and window map-side, before the shuffle, so a hot title sends one row per window
+and Arrow batch.  A title's state is the count of each open window and the outcome of its last closed one.  Windows are
+closed by event-time timers, in order:
 
     reported = votes            if no state yet or votes > prev
                0                otherwise
     prev     = reported
 
-Windows without votes do not touch the state.  Rows with ``reported = 0``
-are not emitted.
+Windows without votes do not touch the state.  Every change of an open window gives a row, and the windows
+after it are judged again; a timer gives the window's last row.  A vote for a window that can't be counted in any
+more, because the title's state has gone past it, is given back as a late row.
+
+Spark's own watermark is set ``LATE_BOUND`` behind, so that Spark drops no vote before the state has seen it; the
+processor adds the difference back, so timers fire by the wanted delay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
+LATE_BOUND_SECONDS = 3650 * 86400
 STATE_SCHEMA = StructType([StructField("prev", LongType(), True), StructField("end", LongType(), True)])
+_START = StructType([StructField("start", LongType(), False)])
+_VOTES = StructType([StructField("votes", LongType(), False)])
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def window_partials(votes: DataFrame, title: str, ts: str, seconds: int) -> DataFrame:
+    """``title, start, votes, seen``: votes per title and window of each Arrow batch (start in ms, seen: its last vote's time)."""
+    kind = votes.schema[title].dataType.simpleString()
+    length = seconds * 1_000_000
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            micros = batch.column(1).cast(pa.int64()).to_numpy()
+            start = micros - micros % length
+            t = pa.table({title: batch.column(0), "start": pa.array(start // 1000), "seen": pa.array(micros)})
+            got = t.group_by([title, "start"]).aggregate([("seen", "count"), ("seen", "max")]).combine_chunks()
+            if got.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [got.column(title).combine_chunks(), got.column("start").combine_chunks(), got.column("seen_count").combine_chunks().cast(pa.int64()),
+                     got.column("seen_max").combine_chunks().cast(pa.timestamp("us", tz="UTC"))], names=[title, "start", "votes", "seen"])
+
+    good = votes.where(F.col(title).isNotNull() & F.col(ts).isNotNull()).select(title, F.col(ts).cast("timestamp").alias(ts))
+    return good.mapInArrow(run, f"{title} {kind}, start long, votes long, seen timestamp")
 
 
 class TrendingProcessor(StatefulProcessor):
-    """``transformWithStateInPandas`` processor; input rows carry ``window_start, window_end, votes``."""
+    """``transformWithState`` processor over ``window_partials``; rows ``title, window_start, window_end, votes, live, kind``.
+
+    ``kind``: ``open`` and ``closed`` rows hold the window's votes so far; ``late`` rows only the votes that came too late.
+    """
 
-    def __init__(self, title: str = "tconst", mode: str = "reset", state_ttl_ms: int | None = None):
-        self.title = title
-        self.mode = mode
-        self.ttl = state_ttl_ms
+    def __init__(self, title: str, seconds: int, delay_seconds: int, mode: str = "reset", ttl_ms: int | None = None):
+        self.title, self.ms, self.mode, self.ttl = title, seconds * 1000, mode, ttl_ms
+        self.shift = (LATE_BOUND_SECONDS - delay_seconds) * 1000  # our watermark less Spark's
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # The reference keeps a title's state for ever; a TTL (processing
-        # time) optionally lets titles that stopped receiving votes expire.
-        self.last = handle.getValueState("last", STATE_SCHEMA, self.ttl)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("window_start", kind="stable")
-        prev, prev_end = self.last.get() if self.last.exists() else (None, None)
-        keep = []
-        for start, end, votes in zip(batch["window_start"], batch["window_end"], batch["votes"]):
-            votes = int(votes)
-            if self.mode == "growth":
-                last = prev if prev_end is not None and prev_end == _micros(start) else 0
-                keep.append(votes > last)
-                prev = votes
-            else:
-                reported = votes if prev is None or votes > prev else 0
-                keep.append(reported != 0)
-                prev = reported
-            prev_end = _micros(end)
-        self.last.update((prev, prev_end))
-        out = batch[keep]
-        if len(out):
-            yield out[["window_start", "window_end", self.title, "votes"]]
+        self.handle = handle
+        self.last = handle.getValueState("last", STATE_SCHEMA)
+        self.open = handle.getMapState("open", _START, _VOTES)
 
-    def close(self) -> None:
-        pass
+    def _row(self, key, start: int, votes: int, live: bool, kind: str) -> Row:
+        begin = _EPOCH + timedelta(milliseconds=start)
+        return Row(**{self.title: key[0], "window_start": begin, "window_end": begin + timedelta(milliseconds=self.ms),
+                      "votes": votes, "live": live, "kind": kind})
+
+    def _judge(self, last: tuple[int | None, int | None], start: int, votes: int) -> tuple[bool, tuple[int, int]]:
+        prev, end = last
+        if self.mode == "growth":
+            live = votes > (prev if end == start else 0)
+            return live, (votes, start + self.ms)
+        live = prev is None or votes > prev
+        return live, (votes if live else 0, start + self.ms)
+
+    def _last(self) -> tuple[int | None, int | None]:
+        return tuple(self.last.get()) if self.last.exists() else (None, None)
+
+    def _windows(self) -> dict[int, int]:
+        return {k[0]: v[0] for k, v in self.open.iterator()} if self.open.exists() else {}
 
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        added: dict[int, int] = {}
+        for r in rows:
+            added[r["start"]] = added.get(r["start"], 0) + r["votes"]
+        last = self._last()
+        late = {s: n for s, n in added.items() if last[1] is not None and s < last[1]}
+        windows = self._windows()
+        for s in sorted(added.keys() - late.keys()):
+            if s not in windows:
+                self.handle.registerTimer(s + self.ms - self.shift)
+            windows[s] = windows.get(s, 0) + added[s]
+            self.open.updateValue((s,), (windows[s],))
+        out = [self._row(key, s, n, False, "late") for s, n in late.items()]
+        from_ = min(added.keys() - late.keys(), default=None)
+        for s in sorted(windows) if from_ is not None else ():
+            live, last = self._judge(last, s, windows[s])
+            if s >= from_:
+                out.append(self._row(key, s, windows[s], live, "open"))
+        return iter(out)
 
-def _micros(ts) -> int:
-    return int(pd.Timestamp(ts).value // 1000)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        upto = expiredTimerInfo.getExpiryTimeInMs() + self.shift - self.ms
+        last, out, windows = self._last(), [], self._windows()
+        for s in sorted(s for s in windows if s <= upto):
+            live, last = self._judge(last, s, windows[s])
+            out.append(self._row(key, s, windows[s], live, "closed"))
+            self.open.removeKey((s,))
+        if out:
+            self.last.update(last)
+            if self.ttl is not None:
+                self.handle.registerTimer(last[1] + self.ttl - self.shift)
+        elif self.ttl is not None and not windows and last[1] is not None and last[1] + self.ttl <= upto + self.ms:
+            self.last.clear()
+        return iter(out)
+
+    def close(self) -> None:
+        pass
