@@ -290,6 +290,20 @@ FROM k LEFT JOIN info ON info.nconst = k.nconst LEFT JOIN cnt ON cnt.nconst = k.
 """)
 
 
+_PEOPLE_TABLE = f"""
+SELECT nconst, CASE WHEN p_size = 1 THEN upper("primaryName") ELSE "primaryName" END AS "primaryName",
+       CAST(NULL AS INTEGER) AS "birthYear", "deathYear", total_movies, distinct_titles, top_text, collaborators
+FROM ({_LOAD_PEOPLE}) LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = nconst
+"""
+
+_RATINGS_DUMP = """
+SELECT CAST(o_orderkey AS VARCHAR) AS tconst, CASE WHEN ok THEN o_totalprice END AS "averageRating",
+       CASE WHEN ok THEN CAST(o_custkey AS BIGINT) END AS "numVotes",
+       CASE WHEN p IN ('1', '3') THEN 'fields' WHEN p = '2' THEN 'value' END AS reason
+FROM (SELECT *, o_orderpriority[1] AS p, o_orderpriority[1] NOT IN ('1', '2', '3') AS ok FROM orders)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL per query (stream forms whose result differs from batch are omitted)."""
     sql = {
@@ -344,6 +358,9 @@ def oracle_sql() -> dict[str, str]:
                    (nullif(trim(parts[1]), '') IS NOT NULL AND TRY_CAST(trim(parts[2]) AS DOUBLE) IS NOT NULL) AS valid
             FROM p""",
         "load_movies": _LOAD_MOVIES,
+        "people_table_cells": _PEOPLE_TABLE,
+        "ratings_dump_rejects": _RATINGS_DUMP,
+        "ratings_store_from_compacted_log": _fold_sql(rounded=False),
         "load_people": _LOAD_PEOPLE,
         "credits_key_lists": f"SELECT nconst, tconst FROM ({_CREDITS}) WHERE nconst IS NOT NULL AND tconst IS NOT NULL",
         "top3_scored_lists": f"SELECT nconst, tconst, averageRating FROM ({_TOP3})",

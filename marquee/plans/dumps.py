@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from marquee import operators as ops
 from marquee import schemas
 from marquee.functions.text import encode_scored, render_ranked_map
-from marquee.plans import roles
+from marquee.plans import roles, tables
 from marquee.plans.movies import build_movies, update_rating_store
 from marquee.plans.people import build_people
 from marquee.session import scratch_path
@@ -87,7 +87,42 @@ def ratings_update_from_text_log(spark, d):
     return out.select(F.col("tconst").cast("long").alias("tconst"), F.round("averageRating", 6).alias("averageRating"), "numVotes")
 
 
+def ratings_dump_rejects(spark, d):
+    """``orders`` as a ratings dump with a header in every file; urgent orders lack a field, high ones have no number, medium
+    ones a field too many.  All lines come back, accepted or rejected."""
+    priority, cells = F.substring("o_orderpriority", 1, 1), ["o_orderkey", "o_totalprice", "o_custkey"]
+    text = [F.col(c).cast("string") for c in cells]
+    line = (F.when(priority == "1", F.concat_ws("\t", *text[:2])).when(priority == "2", F.concat_ws("\t", text[0], F.lit("n/a"), text[2]))
+            .when(priority == "3", F.concat_ws("\t", *text, F.lit("more"))).otherwise(F.concat_ws("\t", *text)))
+    lines, path = roles.table(spark, d, "orders").select(line.alias("value")), scratch_path(spark, "dump-bad-ratings")
+    lines.write.text(f"{path}/lines")
+    spark.range(1).select(F.lit("\t".join(schemas.RATINGS.names)).alias("value")).write.text(f"{path}/header")
+    rows, rejects = tsv.split_dump(spark, [f"{path}/lines", f"{path}/header"], schemas.RATINGS, scratch_path(spark, "dump-split"),
+                                   schemas.HEADER_KEYS["ratings"])
+    return (rows.select("tconst", "averageRating", "numVotes", F.lit(None).cast("string").alias("reason"))
+            .unionByName(rejects.select(F.substring_index("line", "\t", 1).alias("tconst"), F.lit(None).cast("double").alias("averageRating"),
+                                        F.lit(None).cast("long").alias("numVotes"), "reason")))
+
+
+def people_table_cells(spark, d):
+    """The stored people table: loads of info, counts, co-workers and top titles, a compaction, then new names for the
+    people of one size, read with their deltas."""
+    table = tables.people_table(spark, scratch_path(spark, "people-table"), buckets=16)
+    text = lambda c: F.col(c).cast("string").alias(c)
+    people = roles.people(spark, d).select(text("nconst"), "primaryName")
+    credits = roles.credits(spark, d).select(text("tconst"), text("nconst"), "category")
+    tables.load_people_cells(table, people, credits, roles.ratings(spark, d).select(text("tconst"), "averageRating"),
+                             value_format="decimal(18,2)")
+    table.compact()
+    renamed = roles.table(spark, d, "part").where("p_size = 1").select(
+        F.col("p_partkey").cast("string").alias("nconst"), F.upper("p_name").alias("primaryName"))
+    tables.put_cells(table, renamed)
+    return table.read()
+
+
 DUMPS = {
+    "ratings_dump_rejects": ratings_dump_rejects,
+    "people_table_cells": people_table_cells,
     "load_movies": load_movies,
     "load_people": load_people,
     "credits_key_lists": credits_key_lists,

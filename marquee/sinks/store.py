@@ -44,6 +44,11 @@ def sums(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
 
 
+def all_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row: a log, in buckets."""
+    return rows.drop(BATCH)
+
+
 def hash_bucket(keys: list[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(n)).cast("int").cast("string")
 
@@ -51,8 +56,8 @@ def hash_bucket(keys: list[str], n: int) -> Column:
 class KeyedStore:
     """A table of ``schema`` below ``root`` with one row per ``keys``.
 
-    ``merge`` says what several rows of a key come to (``latest_row``, ``latest_cells``, ``sums``); within one batch a key
-    has one row, or with ``sums`` any number.  ``bucket`` is a Column over the keys (a hash into ``buckets`` by default; the
+    ``merge`` says what several rows of a key come to (``latest_row``, ``latest_cells``, ``sums``, ``all_rows``); within one
+    batch a key has one row, or with the last two any number.  ``bucket`` is a Column over the keys (a hash into ``buckets`` by default; the
     day of a time column makes a compaction rewrite only the days that changed).  Its root, keys, merge and
     bucket have to stay the same over the table's life.
     """
@@ -131,6 +136,18 @@ class KeyedStore:
         names = self.schema.names
         return still.select(*names) if not touched else still.select(*names).unionByName(self.merge(moving, self.keys).select(*names))
 
+    def delta(self, batch: int) -> DataFrame:
+        """The rows of one batch that isn't merged yet."""
+        return self._deltas([batch], self._touched([batch])).drop(BATCH)
+
+    def since(self, batch: int, column: str) -> DataFrame:
+        """Rows of the batches after ``batch``, of a log whose rows carry their batch in ``column``, compacted or not."""
+        kept, upto = self._state()
+        rows = self._deltas(self._pending(max(upto, batch)), self._touched(self._pending(max(upto, batch)))).drop(BATCH)
+        if upto > batch and kept:
+            rows = rows.unionByName(self._read(list(kept.values()), _MERGED).drop(BATCH))
+        return rows.where(F.col(column) > batch)
+
     def compact(self) -> int:
         """Merge the deltas into their buckets; the number of buckets rewritten."""
         kept, upto = self._state()

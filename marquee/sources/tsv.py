@@ -38,6 +38,33 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType,
     return df
 
 
+def split_dump(spark: SparkSession, path: str | list[str], schema: T.StructType, out: str,
+               header_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejected lines) of a dump, from one scan of it.
+
+    The scan writes both below ``out``; the frames returned read their part.  Rejected: a line with too few or too many
+    fields (``reason`` ``fields``), with a cell that isn't of its type (``value``), or without a key (``key``), each with its
+    whole ``line`` and ``source_file``.  Header lines are neither.
+    """
+    wide = T.StructType([*schema.fields, T.StructField("_line", T.StringType())])
+    key, n = schema.fieldNames()[0], len(schema.fields)
+    df = (spark.read.option("sep", FIELD_SEPARATOR).option("header", "false").option("quote", "").option("nullValue", NULL_MARKER)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").schema(wide).csv(path))
+    if header_key is not None:
+        first = F.coalesce(F.substring_index("_line", FIELD_SEPARATOR, 1), F.col(key))
+        df = df.where(first.isNull() | (first != F.lit(header_key)))
+    fields = F.size(F.split("_line", FIELD_SEPARATOR, -1))
+    reason = (F.when(F.col("_line").isNotNull(), F.when(fields != n, "fields").otherwise("value"))
+              .when(F.col(key).isNull(), "key"))
+    shown = F.concat_ws(FIELD_SEPARATOR, *[F.coalesce(F.col(f.name).cast("string"), F.lit(NULL_MARKER)) for f in schema.fields])
+    marked = df.select(*schema.fieldNames(), F.coalesce("_line", F.when(F.col(key).isNull(), shown)).alias("line"),
+                       F.col("_metadata.file_path").alias("source_file"), reason.alias("reason"))
+    marked.withColumn("rejected", F.col("reason").isNotNull()).write.partitionBy("rejected").parquet(out)
+    written = spark.read.schema(T.StructType([*schema.fields, T.StructField("line", T.StringType()), T.StructField("source_file", T.StringType()),
+                                              T.StructField("reason", T.StringType()), T.StructField("rejected", T.BooleanType())])).parquet(out)
+    return (written.where("NOT rejected").select(*schema.fieldNames()), written.where("rejected").select("line", "source_file", "reason"))
+
+
 def read_titles(spark: SparkSession, path) -> DataFrame:
     """``title.basics``; adds ``genre_list`` (array) next to the text ``genres``."""
     df = read_tsv(spark, path, schemas.TITLES, schemas.HEADER_KEYS["titles"])

@@ -20,6 +20,7 @@ from marquee.streaming.queries import (
     start_sliding_top,
     start_trending,
     start_vote_log,
+    start_vote_store,
 )
 from marquee.streaming.trending import TrendingProcessor
 
@@ -36,5 +37,6 @@ __all__ = [
     "start_sliding_top",
     "start_trending",
     "start_vote_log",
+    "start_vote_store",
     "text_vote_stream",
 ]

@@ -78,6 +78,22 @@ def start_vote_log(votes: DataFrame, sink: str, checkpoint: str, ts: str = "ts",
     return _trigger(writer, trigger).start(sink)
 
 
+def start_vote_store(votes: DataFrame, store: KeyedStore, checkpoint: str, ts: str = "ts", length: str = LOG_WINDOW,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """Every vote with its window label into ``plans.rating_store.vote_store``, a batch of the log per micro-batch.
+
+    Rows carry the number of their batch, so what has been read from the log is told by numbers and stays true when
+    the log is compacted.
+    """
+    claim_sink(votes.sparkSession, store.root, checkpoint)
+    logged = votes.where(F.col(ts).isNotNull()).withColumn("w", window_label(F.window(F.col(ts), length)["end"]))
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        store.append(df.withColumn("log_batch", F.lit(batch_id).cast("long")), batch_id)
+
+    return _trigger(logged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), trigger).start()
+
+
 # Largest number of distinct titles of one micro-batch that is broadcast to
 # cut the name lookup down before the join.
 BROADCAST_KEYS_MAX = 2_000_000

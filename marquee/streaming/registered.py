@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.plans.movies import update_rating_store
+from marquee.plans.rating_store import fold_log, read_ratings_of, seed_ratings, vote_store
 from marquee.plans.roles import TS_TEXT, names, rating_base
 from marquee.session import scratch_path
 from marquee.sinks.files import read_current
-from marquee.streaming.queries import read_sliding_top, read_trending, start_sliding_top, start_trending, start_vote_log
+from marquee.streaming.queries import read_sliding_top, read_trending, start_sliding_top, start_trending, start_vote_log, start_vote_store
 from marquee.streaming.sources import file_vote_stream
 
 EVENTS = T.StructType([
@@ -121,7 +122,20 @@ def ratings_update_from_stream_log(spark, sf_dir):
     return read_current(spark, store, "ratings").withColumn("averageRating", F.round("averageRating", 6))
 
 
+def ratings_store_from_compacted_log(spark, sf_dir):
+    """Votes logged in four batches, folded, the log compacted, folded again: nothing is counted twice."""
+    log, ckpt, store = (scratch_path(spark, n) for n in ("vote-store", "vote-store-ckpt", "rating-sums"))
+    votes = vote_store(spark, log, "bigint")
+    seed_ratings(spark, store, rating_base(spark, sf_dir))
+    _run(start_vote_store(late_event_votes(spark, sf_dir), votes, ckpt))
+    fold_log(spark, store, votes, compact_every=2)
+    votes.compact()
+    fold_log(spark, store, votes)
+    return read_ratings_of(spark, store, "bigint").withColumn("averageRating", F.round("averageRating", 6))
+
+
 STREAMS = {
+    "ratings_store_from_compacted_log": ratings_store_from_compacted_log,
     "ratings_update_from_stream_log": ratings_update_from_stream_log,
     "vote_log_stream": vote_log_stream,
     "sliding_top3_stream": sliding_top3_stream,

@@ -77,6 +77,8 @@ class TrendingProcessor(StatefulProcessor):
 
     def _judge(self, last: tuple[int | None, int | None], start: int, votes: int) -> tuple[bool, tuple[int, int]]:
         prev, end = last
+        if self.ttl is not None and end is not None and start >= end + self.ttl:
+            prev = end = None
         if self.mode == "growth":
             live = votes > (prev if end == start else 0)
             return live, (votes, start + self.ms)
@@ -94,7 +96,8 @@ class TrendingProcessor(StatefulProcessor):
         for r in rows:
             added[r["start"]] = added.get(r["start"], 0) + r["votes"]
         last = self._last()
-        late = {s: n for s, n in added.items() if last[1] is not None and s < last[1]}
+        gone = timerValues.getCurrentWatermarkInMs() + self.shift - self.ms - self.ttl if self.ttl is not None else None
+        late = {s: n for s, n in added.items() if (last[1] is not None and s < last[1]) or (gone is not None and s <= gone)}
         windows = self._windows()
         for s in sorted(added.keys() - late.keys()):
             if s not in windows:

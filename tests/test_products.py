@@ -77,4 +77,4 @@ def test_stream_job(spark, tmp_path):
     assert first == [(1, "tt2"), (2, "tt3"), (3, "tt4")]
     rejects = spark.read.parquet(str(tmp_path / "out/rejects"))
     assert [r["tconst"] for r in rejects.collect()] == ["broken line"]
-    assert spark.read.parquet(str(tmp_path / "out/trending")).count() > 0
+    assert spark.read.parquet(str(tmp_path / "out/trending/windows/deltas")).count() > 0

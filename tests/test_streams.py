@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marquee import operators as ops
 from marquee.plans import roles
-from marquee.streaming import file_vote_stream, read_sliding_top, start_sliding_top, start_trending, start_vote_log
+from marquee.streaming import (current_names, file_vote_stream, late_trending, late_votes, read_sliding_top, read_trending, start_sliding_top,
+                               start_trending, start_vote_log)
 from marquee.streaming.registered import EVENTS
 
 SF = "/root/testdata/sf0.001"
@@ -63,22 +64,61 @@ def test_sliding_top_stream_equals_batch(spark, split_events, tmp_path):
     assert all(b[0] >= last_end for b in missing)  # only windows still open at the end
 
 
-def test_trending_stream_equals_batch_and_restarts(spark, split_events, tmp_path):
+def _trends(spark, out, mode="reset"):
+    return sorted(_key(r, ["window_start", "tconst", "name", "votes"]) for r in read_trending(spark, out, mode=mode).collect())
+
+
+def _batch_trends(spark, names, mode="reset"):
+    return sorted(_key(r, ["window_start", "tconst", "name", "votes"]) for r in ops.trending(roles.votes(spark, SF), names, mode=mode).collect())
+
+
+@pytest.mark.parametrize("mode", ["reset", "growth"])
+def test_trending_stream_equals_batch_and_restarts(spark, split_events, tmp_path, mode):
+    """All windows, open ones too, over several batches, compactions and a restart."""
     names = roles.names(spark, SF)
     src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
     _feed(src, split_events[:2])
-    start_trending(_stream_votes(spark, src), names, out, ck).awaitTermination()
-    first = spark.read.parquet(out).count()
+    start_trending(_stream_votes(spark, src), names, out, ck, mode=mode, compact_every=2).awaitTermination()
+    first = len(_trends(spark, out, mode))
     _feed(src, split_events[2:])
-    start_trending(_stream_votes(spark, src), names, out, ck).awaitTermination()
-    cols = ["window_start", "tconst", "votes"]
-    got = [_key(r, cols) for r in spark.read.parquet(out).collect()]
-    assert first > 0 and len(got) > first
-    assert len(got) == len(set(got))  # no duplicates after the restart
-    batch = {_key(r, cols) for r in ops.trending(roles.votes(spark, SF), names).collect()}
-    assert set(got) <= batch
-    last = max(r[0] for r in got)
-    assert all(b[0] >= last for b in batch - set(got))
+    start_trending(_stream_votes(spark, src), names, out, ck, mode=mode, compact_every=2).awaitTermination()
+    got = _trends(spark, out, mode)
+    assert 0 < first < len(got) and got == _batch_trends(spark, names, mode) and late_trending(spark, out).count() == 0
+
+
+def test_late_votes_are_kept_and_counted_in(spark, split_events, tmp_path):
+    """The newest quarter first, then the oldest: its votes come months late."""
+    names = roles.names(spark, SF)
+    src = str(tmp_path / "src")
+    for k in (3, 0):
+        _feed(src, [split_events[k]])
+        start_trending(_stream_votes(spark, src), names, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+        start_sliding_top(_stream_votes(spark, src), names, str(tmp_path / "top"), str(tmp_path / "ck2"), open_windows=True).awaitTermination()
+    _feed(src, split_events[1:3])
+    start_trending(_stream_votes(spark, src), names, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    start_sliding_top(_stream_votes(spark, src), names, str(tmp_path / "top"), str(tmp_path / "ck2"), open_windows=True).awaitTermination()
+    late = late_trending(spark, str(tmp_path / "out")).agg(F.sum("votes")).first()[0]
+    assert late > 300 and _trends(spark, str(tmp_path / "out")) == _batch_trends(spark, names)
+    cols = ["window_start", "rank", "tconst", "name", "average"]
+    got = sorted(_key(r, cols) for r in read_sliding_top(spark, str(tmp_path / "top")).collect())
+    assert got == sorted(_key(r, cols) for r in ops.sliding_top(roles.votes(spark, SF), names).collect())
+    assert late_votes(spark, str(tmp_path / "top")) > 700
+
+
+def test_names_are_read_again_in_every_batch(spark, split_events, tmp_path):
+    from marquee.sinks.files import write_version
+
+    base = roles.names(spark, SF)
+    root, src, out, ck = (str(tmp_path / x) for x in ("names", "src", "out", "ck"))
+    votes = _stream_votes(spark, src) if os.makedirs(src) is None else None
+    write_version(spark, root, {"names": base})
+    seen = []
+    for k in range(2):
+        _feed(src, split_events[k:k + 1])
+        start_sliding_top(votes, current_names(spark, root), out, ck, open_windows=True).awaitTermination()
+        seen.append({r["name"] for r in read_sliding_top(spark, out).collect()})
+        write_version(spark, root, {"names": base.withColumn("name", F.concat(F.lit("new "), "name"))})
+    assert not any(n.startswith("new ") for n in seen[0]) and any(n.startswith("new ") for n in seen[1]) and seen[0] - seen[1] != seen[0]
 
 
 def test_vote_log_stream_is_lossless(spark, split_events, tmp_path):
@@ -93,29 +133,18 @@ def test_vote_log_stream_is_lossless(spark, split_events, tmp_path):
     assert got.select("w", "tconst", "rating").exceptAll(batch.select("w", "tconst", "rating")).count() == 0
 
 
-def test_trending_stream_with_state_ttl(spark, split_events, tmp_path):
-    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
-    _feed(src, split_events)
+def test_trending_state_is_forgotten_after_its_time(spark, split_events, tmp_path):
+    """A long time to live changes nothing; after a short one a title begins anew, as if it had never been reported."""
     names = roles.names(spark, SF)
-    q = start_trending(_stream_votes(spark, src), names, out, ck, state_ttl_ms=3_600_000,
-                       trigger={"processingTime": "1 second"})
-    import time
-
-    deadline = time.time() + 180
-    try:
-        # TTL clean-up batches never let the query go idle: wait for a batch
-        # that found no new input after input was processed, then stop.
-        while time.time() < deadline:
-            p = q.lastProgress
-            if p and p["batchId"] >= 2 and p["numInputRows"] == 0:
-                break
-            time.sleep(1)
-    finally:
-        q.stop()
-    cols = ["window_start", "tconst", "votes"]
-    got = {_key(r, cols) for r in spark.read.parquet(out).collect()}
-    batch = {_key(r, cols) for r in ops.trending(roles.votes(spark, SF), names).collect()}
-    assert got and got <= batch
+    src = str(tmp_path / "src")
+    _feed(src, split_events)
+    got = {}
+    for ttl in (10 * 365 * 86_400_000, 60_000):
+        out = str(tmp_path / f"out{ttl}")
+        start_trending(_stream_votes(spark, src), names, out, str(tmp_path / f"ck{ttl}"), state_ttl_ms=ttl).awaitTermination()
+        got[ttl] = _trends(spark, out)
+    assert got[10 * 365 * 86_400_000] == _batch_trends(spark, names)
+    assert set(got[10 * 365 * 86_400_000]) < set(got[60_000])  # windows that weren't more than the one before are reported too
 
 
 def test_reject_stream_keeps_bad_lines(spark, tmp_path):
