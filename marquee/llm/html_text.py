@@ -9,10 +9,14 @@ tags in links below it; its density is C/T, adjusted for links:
 its block children (a node without any: its own); inline elements count as
 tags only.  The node with the largest
 sum is the article's body; the least density on the path from it to the
-body is the threshold, and every node beside that path at or above it
-belongs to the main text with the node (so do headings).  Menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are taken out by element and
-by class or id name before densities are measured.
+body is the threshold.  The main text is that node, every block and bare text beside the path at or above the
+threshold, and the headings directly before what is taken.  Where the whole body is the node, blocks that are
+mostly links go.
+
+Elements that never hold an article's text (menus, asides, scripts, …), and blocks that names say are
+comments, adverts, cookie notices and the like, are taken out before densities are measured; headers only outside
+an article, forms only where they hold less than half of the page's text.  Names that may mean anything (side, social,
+notice, …) decide where density doesn't: such a block goes if it is below the threshold, or stands in the body itself.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 # Elements and names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
-DROPPED = frozenset(("script style noscript template svg math iframe object embed nav header footer aside form "
+DROPPED = frozenset(("script style noscript template svg math iframe object embed nav footer aside "
                      "button select option textarea input dialog menu canvas audio video head title").split())
 BLOCK = frozenset(("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option "
@@ -37,12 +42,16 @@ CLOSES_P = BLOCK - frozenset("dd dt li td th tr tbody thead tfoot caption legend
 SAME_LEVEL = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dd dt", {"dl"}), "dd": ("dd dt", {"dl"}),
               "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}),
               "option": ("option", {"select"})}
-UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|byline-share|comments?|comment-?\w*|disqus|cookies?|consent|gdpr|"
-    r"footer|header|masthead|menu|nav|navbar|navigation|newsletter|notices?|alert|popup|modal|promo\w*|related|"
-    r"replies|respond|share|sharing|sidebar|side|social|sponsor\w*|subscribe|toolbar|widget|site-(?:header|footer|nav))(?:$|[\s_-])", re.I)
+#: Parts of class and id names of blocks that are no article, whatever their density …
+STRONG = re.compile(r"(?:ads?|advert\w*|adsense|breadcrumbs?|comments?|commentlist|disqus|cookies?|consent|gdpr|newsletters?|popups?|modal|promos?|"
+                    r"promotions?|sponsor\w*|subscribe|subscription|sidebar|navbar|navigation|masthead|respond)", re.I)
+#: … and names that say so only together with a low density, or beside the article.
+WEAK = frozenset(("alert banner footer header menu nav notice notices related replies share sharing side social toolbar widget widgets").split())
+#: Parts that may stand with the weak ones in a name.
+FILLER = frozenset(("area bar block box bottom bottomside button buttons col column container content count global icons inner item items left link links list "
+                    "main outer page panel post posts right row section site stories story top wrap wrapper").split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
@@ -50,48 +59,74 @@ _WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "dropped", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total", "inner")
+    __slots__ = ("tag", "kids", "dropped", "weak", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total", "inner")
 
-    def __init__(self, tag: str, parent: "Node | None", dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: "Node | None", dropped: bool, weak: bool = False):
+        self.tag, self.parent, self.dropped, self.weak = tag, parent, dropped, weak
         self.kids: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.inner: list[Node] = []
 
 
-def _unwanted(tag: str, attrs: str) -> bool:
-    if tag in DROPPED:
-        return True
+def _named(value: str) -> tuple[bool, bool]:
+    """(strongly, weakly) unwanted by a class or id: its names one by one, each by its parts."""
+    strong = weak = False
+    for name in value.lower().split():
+        parts = [x for x in re.split(r"[_-]+", name) if x]
+        # "ad" only at an end of a name, and never in "ad-hoc"
+        strong |= any(STRONG.fullmatch(x) and (x != "ad" or i in (0, len(parts) - 1)) for i, x in enumerate(parts)) and "hoc" not in parts
+        weak |= any(x in WEAK for x in parts) and all(x in WEAK or x in FILLER or x.isdigit() for x in parts)
+    return strong, weak
+
+
+def _unwanted(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """(dropped, weakly named) by element and attributes."""
+    if tag in DROPPED or (tag == "header" and not in_article):
+        return True, False
+    weak = False
     if tag in ("html", "body", "article", "main") or not attrs.strip():
-        return False
+        return False, False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and UNWANTED.search(value):
-            return True
-    return False
+            return True, False
+        if name in ("class", "id"):
+            strong, more = _named(value)
+            if strong:
+                return True, False
+            weak |= more
+    return False, weak
 
 
 def parse(page: str) -> Node:
     """The page's tree; dropped subtrees keep their place but no text.  Missing and crossing end tags are tolerated."""
     root = Node("#root", None, False)
     at, node = 0, root
+    is_open: Counter[str] = Counter()  # elements from the root down to the node
 
     def text(piece: str) -> None:
         if piece and not node.dropped:
             node.kids.append(html_lib.unescape(piece))
 
     def up_to(names: tuple[str, ...] | set[str], stop: frozenset | set = frozenset()) -> Node | None:
+        if not any(is_open[t] for t in names):
+            return None
         x = node
-        while x.parent is not None and x.tag not in names:
+        while x.tag not in names:
             if x.tag in stop:
                 return None
             x = x.parent
-        return x if x.parent is not None else None
+        return x
+
+    def back_to(x: Node) -> Node:
+        n = node
+        while n is not x:
+            is_open[n.tag] -= 1
+            n = n.parent
+        return x
 
     while m := _TAG.search(page, at):
         if m[2] is None or (m.end() == m.start()):
@@ -103,23 +138,24 @@ def parse(page: str) -> Node:
         if m[1]:
             found = up_to((tag,), () if tag in ("body", "html", "div", "section", "article") else {"td", "th", "table"} - {tag})
             if found is not None:
-                node = found.parent
+                node = back_to(found.parent)
             elif tag in ("p", "br"):
                 node.kids.append(Node(tag, node, node.dropped))
             continue
         if tag in CLOSES_P and (p := up_to(("p",), {"td", "th", "table", "li", "button", "object"})) is not None:
-            node = p.parent
+            node = back_to(p.parent)
         if tag in SAME_LEVEL:
             names, stop = SAME_LEVEL[tag]
             if (x := up_to(tuple(names.split()), stop)) is not None:
-                node = x.parent
+                node = back_to(x.parent)
                 if tag == "tr" and node.tag == "tr":
-                    node = node.parent
+                    node = back_to(node.parent)
         if tag in ("html", "body") and up_to((tag,)) is not None:
             continue
         if tag == "body" and (h := up_to(("head",))) is not None:
-            node = h.parent
-        child = Node(tag, node, node.dropped or _unwanted(tag, m[3] or ""))
+            node = back_to(h.parent)
+        dropped, weak = _unwanted(tag, m[3] or "", bool(is_open["article"] or is_open["main"]))
+        child = Node(tag, node, node.dropped or dropped, weak)
         node.kids.append(child)
         if tag in VOID:
             continue
@@ -130,6 +166,7 @@ def parse(page: str) -> Node:
                 continue
             at = end.end()
             continue
+        is_open[tag] += 1
         node = child
     text(page[at:])
     return root
@@ -176,8 +213,32 @@ def measure(root: Node) -> Node:
     return body
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The largest-sum node and the nodes beside its path to the body that reach the threshold, in page order."""
+def drop_forms(root: Node) -> None:
+    """Forms with less than half of the page's text go."""
+    order = _post_order(root)
+    forms = [n for n in order if n.tag == "form"]
+    if not forms:
+        return
+    body = measure(root)
+    for n in reversed(forms):  # outer ones first
+        if 2 * n.chars < body.chars or not n.chars:
+            n.dropped = True
+
+
+def _is_heading(n: Node) -> bool:
+    """A heading, or a header or block that holds nothing else."""
+    while True:
+        if n.tag in HEADINGS:
+            return True
+        kids = [k for k in n.kids if not (isinstance(k, Node) and (k.dropped or not k.chars)) and not (isinstance(k, str) and not k.strip())]
+        if n.tag not in ("header", "div") or len(kids) != 1 or isinstance(kids[0], str):
+            return False
+        n = kids[0]
+
+
+def main_nodes(root: Node) -> list[Node | str]:
+    """The largest-sum node and what stands beside its path to the body and belongs to it, in page order."""
+    drop_forms(root)
     body = measure(root)
     if not body.chars:
         return []
@@ -187,18 +248,25 @@ def main_nodes(root: Node) -> list[Node]:
     while path[-1] is not body:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    chosen = best
-    for up in path[1:]:
-        # text beside the node, dense enough: the node above holds the article
-        beside = [k for k in up.kids if isinstance(k, Node) and not k.dropped and k.chars and k is not chosen]
-        if any(k.density >= threshold or k.tag in HEADINGS for k in beside) or any(isinstance(k, str) and k.strip() for k in up.kids):
-            best = up
-        chosen = up
-    return [best]
-
-
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks below a node, in page order; white space inside a block is one blank."""
+    for n in _post_order(best):
+        if n is not best and ((n.weak and (n.density < threshold or (n.parent is body and n.tag != "p" and not _is_heading(n))))
+                              or (best is body and n.tag in BLOCK and n.link_tags >= 3 and 2 * n.link_chars > n.chars)):
+            n.dropped = True
+    chosen: list[Node | str] = [best]
+    for low, up in zip(path, path[1:]):
+        kids = [k for k in up.kids if (k.strip() if isinstance(k, str) else not k.dropped and k.chars)]
+        at = next(i for i, k in enumerate(kids) if k is low)
+        taken = [k is low or (len(_WHITE.sub(" ", k).strip()) >= threshold if isinstance(k, str) else k.density >= threshold and not k.weak)
+                 for k in kids]
+        for i in range(len(kids) - 2, -1, -1):
+            if taken[i + 1] and not taken[i] and isinstance(kids[i], Node) and _is_heading(kids[i]):
+                taken[i] = True
+        chosen = [k for k, t in zip(kids[:at], taken) if t] + chosen + [k for k, t in zip(kids[at + 1:], taken[at + 1:]) if t]
+    return chosen
+
+
+def blocks(node: Node | str) -> list[str]:
+    """Texts of the blocks below a node (or of bare text), in page order; white space inside a block is one blank."""
     out: list[str] = []
     line: list[str] = []
 

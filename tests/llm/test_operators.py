@@ -108,6 +108,39 @@ def test_html_text(spark):
         html_text.extract(df.withColumnRenamed("page_id", "text"))
 
 
+P = ("This is a rather long paragraph of the article, which goes on for quite some words, so that its density is high. " * 3).strip()
+LINKS = "".join(f"<li><a href=/{i}>item number {i}</a></li>" for i in range(12))
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body><h1>Title</h1><div class=c1><p>{P}</p><p>{P}</p></div><div class=c2><ul>{LINKS}</ul></div></body>", ["Title", P, P]),
+    (f"<body><div class=c1><p>{P}</p><p>{P}</p></div><div class=c2><ul>{LINKS}</ul></div></body>", [P, P]),
+    (f"<body><div><div class='side-by-side'><p>{P}</p><p>short line</p></div><p>{P}</p></div></body>", [P, "short line", P]),
+    (f"<body><article><p class='social history'>{P}</p><p>{P}</p></article></body>", [P, P]),
+    (f"<body><form action=/x><div><p>{P}</p><p>{P}</p></div><input><select><option>a</select></form></body>", [P, P]),
+    (f"<body><form><label>Search our site</label><input></form><div><p>{P}</p></div></body>", [P]),
+    (f"<body><header>Site</header><article><header><h1>Title</h1></header><p>{P}</p></article></body>", ["Title", P]),
+    (f"<body><h1>T</h1><p>{P}</p><p>x y</p><ul>{LINKS}</ul><p>{P}</p></body>", ["T", P, "x y", P]),
+    (f"<body><article><h1>A</h1><p>{P}</p><p>{P}</p></article><section><h3>3 comments</h3><div><b>joe</b> nice</div><div><b>ann</b> too</div></section></body>",
+     ["A", P, P]),
+    (f"<body><div id=content><h1>A</h1><p>{P}</p></div><div class='comment-list'><p>{P}</p></div><div class=footer><p>{P}</p></div></body>", ["A", P]),
+    (f"<body><div id=main><div><p>{P}</p></div><div><p>{P}</p><p>tiny</p></div></div><div id=sidebar><p>{P}</p></div></body>", [P, P, "tiny"]),
+    ("<body><div class='ad'>Buy this now.</div><article><p>one</p></article></body>", ["one"]),
+])
+def test_main_text_is_chosen_by_density(page, text):
+    assert html_text.main_text(page) == "\n".join(text)
+
+
+def test_deep_and_long_pages_take_linear_time():
+    import time
+
+    begun = time.process_time()
+    assert html_text.main_text("<div>" * 100_000 + "deep") == "deep"
+    assert html_text.main_text("<p>" + "<b><i>" * 50_000 + "x") == "x"
+    assert html_text.main_text(f"<body>{'<p>' + P + '</p>'} " * 3000).count("\n") == 2999
+    assert time.process_time() - begun < 10
+
+
 def test_html_text_of_the_given_pages_is_their_article(spark):
     import html as h
     import re
