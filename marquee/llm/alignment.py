@@ -45,10 +45,10 @@ from marquee.llm.common import written
 from marquee.llm.hashing import row_blocks, text_buffers
 
 BLOCK_BYTES = 1 << 19
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 1 << 16
-LOCAL_BITS = 19
-LEAST_BUCKET_BITS = 12
+LOCAL_BITS = 20
+LEAST_BUCKET_BITS = 11
 _ODD = 0x9E3779B1  # an odd multiplier: a bijection of the pair numbers
 _MORE = np.dtype([("plane", "u1"), ("at", "<u4"), ("size", "<u2")])
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import marked, marks_of, written
 
 # The template.
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", " </turn>\n"
@@ -65,6 +65,21 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+def one_row_each(messages: DataFrame) -> DataFrame:
+    """``messages`` without NULL ids, and of several rows of one id the smallest by parent, conversation, role, text and score.
+
+    Only rows of ids that may be repeated are shuffled.
+    """
+    named = messages.where("node IS NOT NULL")
+    repeated = written(named.groupBy("node").count().where("count > 1").select("node"), "chat-repeated")
+    if repeated.isEmpty():
+        return named
+    near, far = marked(named, "node", written(marks_of(repeated), "marks"))
+    order = [c for c in ("parent", "conv_id", "role", "text", "score") if c in messages.columns]
+    one = near.groupBy("node").agg(F.min(F.struct(*order)).alias("_m")).select("node", *[F.col(f"_m.{c}").alias(c) for c in order])
+    return far.select("node", *order).unionByName(one)
+
+
 def root_paths(messages: DataFrame) -> DataFrame:
     """``leaf, node, dist`` for every leaf and each message on its path to the root (dist 0: the leaf).
 
@@ -113,8 +128,10 @@ def conversations(messages: DataFrame, top: int | None = 1) -> DataFrame:
     ``messages``: ``node, parent, conv_id, role, text, score``; NULL roles and texts
     count as empty, NULL scores as 0.  A tree's ``conv_id`` is its root's.  ``spans``: start and
     end (code points) of the loss mask within ``formatted``.  One path is one
-    row, as long as its texts are.  An empty table gives an empty result.
+    row, as long as its texts are.  Of several rows of one id the smallest by parent, conversation, role, text and score
+    stands; rows with a NULL id are left out.  An empty table gives an empty result.
     """
+    messages = one_row_each(messages)
     paths = root_paths(messages)
     chosen = best_branches(paths, messages, top)
     turns = paths.join(chosen, "leaf").join(messages.select("node", "role", "text"), "node")

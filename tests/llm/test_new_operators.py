@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import alignment, bloom_lm, common, resampling, stages, warc
+from marquee.llm import alignment, bloom_lm, chat, common, language_id, licenses, resampling, stages, tiling, warc
 from marquee.llm.queries import QUERIES, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -308,6 +308,123 @@ def test_unseen_ngrams_are_rarely_read_as_seen(n):
     assert (bloom_lm.probe(data, other, zero, zero + 8 * len(data)) > 0).mean() < 0.02
 
 
+# Chat
+
+def test_a_repeated_message_counts_once(spark):
+    rows = [(1, None, 10, "user", "hi", 1.0), (1, None, 10, "user", "hi", 1.0), (2, 1, 10, "assistant", "b", 5.0), (2, 1, 10, "assistant", "a", 9.0),
+            (3, 1, 10, "assistant", "c", 6.0), (None, 1, 10, "user", "no id", 99.0), (4, None, 11, None, None, None), (5, 4, 11, "x", LONG, 0.0)]
+    schema = "node long, parent long, conv_id long, role string, text string, score double"
+    got = {r["conv_id"]: r["formatted"] for r in chat.conversations(spark.createDataFrame(rows, schema)).collect()}
+    # of node 2 the row with text "a" stands (9 points), once: its branch beats node 3's
+    assert chat.read_turns(got[10]) == [("user", "hi"), ("assistant", "a")]
+    assert chat.read_turns(got[11]) == [("", ""), ("x", LONG)]
+    once = {r["conv_id"]: r["formatted"] for r in chat.conversations(spark.createDataFrame([r for r in rows if r[4] != "b"][1:], schema)).collect()}
+    assert once == got and chat.conversations(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_long_and_repeated_turns_round_trip(spark):
+    rows = [(1, 0, "user", LONG), (1, 1, "assistant", "\\### </turn> " * 50), (1, 1, "assistant", "\\### </turn> " * 50), (2, 0, None, None)]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, node long, rank long")
+    got = {r["conv_id"]: chat.read_turns(r["formatted"]) for r in chat.conversations(chat.chains(df)).collect()}
+    assert got == {1: [(r[2], r[3]) for r in rows[:3]], 2: [("", "")]}
+
+
+# Plain versions of the scans
+
+def test_license_phrases_equal_a_plain_search(spark):
+    phrases = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
+    got = {r["doc_id"]: r for r in QUERIES["op1_licenses"](spark, SF).collect()}
+    docs = sf(spark, "documents").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        w, r = WORDS.findall(lowered(d["text"])), got[d["doc_id"]]
+        places = sorted((i, i + len(p.split()), label) for p, label in phrases.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split())
+        starts = [i for i, _, _ in places]
+        assert (r["n_words"], r["n_base"]) == (len(w), len(places))
+        assert (r["first_word"], r["last_word"]) == ((min(starts), max(starts)) if starts else (None, None))
+        assert r["base_labels"] == ",".join(sorted({label for _, _, label in places}))
+        assert set(filter(None, r["base_labels"].split(","))) <= set(filter(None, r["labels"].split(",")))
+
+
+def plain_tiles(a, b, least):
+    """Greedy string tiling without hashes."""
+    free_a, free_b, out = [True] * len(a), [True] * len(b), []
+    while True:
+        longest, found = least - 1, []
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and free_a[i + k] and free_b[j + k] and a[i + k] == b[j + k]:
+                    k += 1
+                if k > longest:
+                    longest, found = k, [(i, j)]
+                elif k == longest and k >= least:
+                    found.append((i, j))
+        if not found:
+            return out
+        for i, j in found:
+            if all(free_a[i:i + longest]) and all(free_b[j:j + longest]):
+                for k in range(longest):
+                    free_a[i + k] = free_b[j + k] = False
+                out.append((i, j, longest))
+
+
+def test_leaks_equal_plain_tiling(spark):
+    items = [(r["item_id"], WORDS.findall(lowered(r["text"]))) for r in sf(spark, "benchmark").collect()]
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.permutation(list("abcdefghijklmnop")).tolist()) for _ in range(10)]
+    for i, w in items[:12]:
+        cut = len(w) // 2
+        texts += [" ".join(w[cut:] + ["between"] + w[:cut]), " ".join(w[: len(w) * 7 // 10]), "x " + " ".join(w).upper() + " y", " ".join(x for k, x in enumerate(w) if k % 7)]
+    docs = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, item_id long")
+    got = {(r["doc_id"], r["item_id"]): (r["item_words"], r["covered_words"], r["n_tiles"]) for r in tiling.contaminated(docs, sf(spark, "benchmark")).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        a = WORDS.findall(lowered(t))
+        for i, b in items:
+            if len(set(a) & set(b)) >= 0.5 * len(set(b)):
+                found = plain_tiles(a, b, min(tiling.MIN_MATCH, len(b)))
+                covered = sum(n for _, _, n in found)
+                if b and covered >= tiling.COVERAGE * len(b) - 1e-9:
+                    want[d, i] = (len(b), covered, len(found))
+    assert got == want and len(want) >= 20
+
+
+def test_fused_language_is_the_formula(spark):
+    """Priors and declared languages are counted again from the text model's own scores, row by row."""
+    import pyarrow as pa
+
+    docs = sf(spark, "documents")
+    model = language_id.TextModel.fit(docs)
+    rows = docs.select("doc_id", "text", "lang", "source").collect()
+    ll, letters = model.score(pa.array([r["text"] for r in rows]))
+    best = ll.argmax(1)
+    n, read = len(model.languages), letters > 0
+    world = np.bincount(best[read], minlength=n) + 1.0
+    world /= world.sum()
+
+    def shares(key):
+        out = defaultdict(lambda: np.zeros(n))
+        for r, b, ok in zip(rows, best, read):
+            if ok and r[key] is not None:
+                out[r[key]][b] += 1
+        return out
+
+    host, said = shares("source"), shares("lang")
+    total = sum(said.values(), np.zeros(n)) + len(said) + 1
+    got = {r["doc_id"]: r for r in language_id.identify(docs, model, ["doc_id"]).collect()}
+    k = language_id.PRIOR_STRENGTH
+    for r, scores, count in zip(rows, ll, letters):
+        if not count:
+            assert got[r["doc_id"]]["language"] == language_id.UNKNOWN
+            continue
+        prior = (host[r["source"]] + k * world) / (host[r["source"]].sum() + k) if r["source"] is not None and r["source"] in host else world
+        lp = scores * language_id.TEXT_WEIGHT + np.log(prior) + (np.log((said[r["lang"]] + 1) / total) if r["lang"] is not None and r["lang"] in said else 0)
+        p = np.exp(lp - lp.max())
+        assert got[r["doc_id"]]["language"] == model.languages[int(lp.argmax())]
+        assert got[r["doc_id"]]["posterior"] == pytest.approx(p.max() / p.sum(), rel=1e-9)
+
+
 # Stages
 
 def test_rows_that_share_an_id_are_documents_of_their_own(spark, tmp_path):
