@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.numeric import round_tenth_even, running_mean
-
 # Once |vote - average| / (n + 1) stays below this, a rounded step cannot
 # move the average (it would need 0.05); the margin absorbs float error.
 _STILL = 0.049
@@ -48,25 +49,49 @@ def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
 
 
 def _first_votes(v: DataFrame, limits: DataFrame, key: str, order: list[str], salt_buckets: int) -> DataFrame:
-    """The first ``_m`` votes of each key in ``order`` (``limits``: ``key, _m``); a key with fewer keeps all.
+    """Votes with their title's ``_m, _s, _c`` (``limits``), less those that can't be among its first ``_m`` in ``order``.
 
-    Two levels, so a key with very many votes is ranked by many tasks: first
-    ``_m`` per (key, bucket), then first ``_m`` per key among those — exact,
-    because the first votes of a key are among the first of its buckets.
+    Cut per (title, bucket) of a hash of the order columns, so a title with very many votes is cut by many tasks; the
+    first votes of a title are among the first of its buckets.
     """
-    ordering = [F.asc(c) for c in order]
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))
-    for by in ([key, "_salt"], [key]):
-        w = Window.partitionBy(*by).orderBy(*ordering)
-        if "_salt" in by:
-            v = v.join(limits, key).withColumn("_salt", salt)
-        v = v.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("_m")).drop("_rn")
-    return v.drop("_salt", "_m")
+    w = Window.partitionBy(key, "_salt").orderBy(*[F.asc(c) for c in order])
+    salted = v.join(limits, key).withColumn("_salt", salt).withColumn("_rn", F.row_number().over(w))
+    return salted.where(F.col("_rn") <= F.col("_m")).drop("_rn", "_salt")
+
+
+def _fold_stream(first: DataFrame, title: str, vote: str, order: list[str]) -> DataFrame:
+    """``title, _folded``: the rounded fold over each title's first ``_m`` votes, as one pass over sorted rows.
+
+    A task holds one Arrow batch and the running mean of one title, whatever the title's votes and their range.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, mean, n, left = None, 0.0, 0, 0
+        for batch in batches:
+            done, means = [], []
+            for key, value, most, start, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != now:
+                    if now is not None:
+                        done.append(now)
+                        means.append(mean)
+                    now, mean, n, left = key, start, count, most
+                if left > 0:
+                    mean = round((n * mean + value) / (n + 1) * 10.0) / 10.0  # ties to even
+                    n += 1
+                    left -= 1
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(done, batch.schema.field(0).type), pa.array(means, pa.float64())], names=[title, "_folded"])
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], batch.schema.field(0).type), pa.array([mean], pa.float64())], names=[title, "_folded"])
+
+    rows = first.repartition(title).sortWithinPartitions(title, *[F.asc(c) for c in order])
+    kind = first.schema[title].dataType.simpleString()
+    return rows.select(title, F.col(vote).cast("double"), "_m", "_s", "_c").mapInArrow(run, f"{title} {kind}, _folded double")
 
 
 def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
                   vote: str, order: list[str], salt_buckets: int = 64) -> DataFrame:
-    """The order-dependent rounded fold, exact and bounded per title.
+    """The order-dependent rounded fold, exact and in bounded memory.
 
     After the first step the average sits on the 0.1 grid inside
     ``[lo - 0.1, hi + 0.1]`` (``lo``/``hi``: smallest/largest of the votes and
@@ -75,8 +100,7 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     title (``m`` from its own ``n``, ``lo``, ``hi``) can move its average; the
     rest only add to the count.  Each title is cut at its own ``m`` and only
     there, so its result doesn't depend on which other titles there are;
-    the plan is the same at every size.  A title's collected votes are bounded
-    by its value range, not by the number of its votes.
+    the plan is the same at every size.  The votes left are sorted by title and order and folded as a stream.
     """
     stats = v.groupBy(title).agg(
         F.count(vote).alias("_k"), F.min(vote).alias("_lo"), F.max(vote).alias("_hi"))
@@ -88,20 +112,9 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     need = F.greatest(F.lit(1), F.ceil((hi - lo + F.lit(0.2)) / F.lit(_STILL)) - n0 + F.lit(1)).cast("long")
     j = j.select(title, avg, n, "_k", F.when(F.col("_k").isNotNull(), need).alias("_m"))
 
-    limits = j.where(F.col("_k").isNotNull()).select(title, "_m")
-    ranked = _first_votes(v, limits, title, order, salt_buckets)
-    seq = ranked.groupBy(title).agg(
-        F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(vote).alias("_v")))).alias("_seq"))
-
-    start = F.struct(F.coalesce(F.col(avg), F.lit(0.0)).cast("double").alias("s"),
-                     F.coalesce(F.col(n), F.lit(0)).cast("long").alias("c"))
-
-    def step(acc, x):
-        return F.struct(round_tenth_even(running_mean(acc["s"], acc["c"], x["_v"])).alias("s"),
-                        (acc["c"] + F.lit(1)).alias("c"))
-
-    folded = F.aggregate(F.col("_seq"), start, step)["s"]
-    out = j.join(seq, title, "left")
-    new_avg = F.when(F.col("_k").isNull(), F.col(avg)).otherwise(folded)
+    limits = j.where(F.col("_k").isNotNull()).select(title, "_m", a0.alias("_s"), n0.alias("_c"))
+    folded = _fold_stream(_first_votes(v, limits, title, order, salt_buckets), title, vote, order)
+    out = j.join(folded, title, "left")
+    new_avg = F.when(F.col("_k").isNull(), F.col(avg)).otherwise(F.col("_folded"))
     new_n = n0 + F.coalesce(F.col("_k"), F.lit(0))
     return out.select(title, new_avg.cast("double").alias(avg), new_n.cast("long").alias(n))

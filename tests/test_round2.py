@@ -43,6 +43,20 @@ def test_rounded_fold_with_narrow_hot_and_wide_cold_titles(spark):
         assert got[k] == pytest.approx(want[k])
 
 
+def test_rounded_fold_of_a_title_with_a_million_votes_that_count(spark):
+    """Votes over a range of 50,000: more than 10^6 of them could move the average; no array of them is built."""
+    from pyspark.sql import functions as F
+
+    n = 1_000_000
+    values = [(i * 7919) % 50_021 / 1.0 for i in range(n)]
+    votes = spark.range(n).select(F.lit("hot").alias("tconst"), (F.col("id") * 7919 % 50_021).cast("double").alias("rating"), F.col("id").alias("i"))
+    votes = votes.unionByName(spark.createDataFrame([("cold", 3.0, 1), ("cold", 4.0, 2)], votes.schema))
+    out = update_ratings(spark.createDataFrame([("hot", 5.0, 3), ("still", 7.0, 1)], RATINGS), votes, order=["i"], rounded=True)
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r[0]: (r[1], r[2]) for r in out.collect()}
+    assert got["hot"] == pytest.approx(fold(5.0, 3, values)) and got["cold"] == fold(0.0, 0, [3.0, 4.0]) and got["still"] == (7.0, 1)
+
+
 def test_infinite_and_nan_votes_are_ignored(spark):
     base = spark.createDataFrame([("A", 5.0, 1)], RATINGS)
     votes = spark.createDataFrame([("A", float("inf")), ("A", float("nan")), ("A", 7.0)], "tconst string, rating double")
