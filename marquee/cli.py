@@ -1,11 +1,12 @@
 """Command line: the three jobs of a credits-and-ratings deployment.
 
-    python -m marquee.cli load     --titles T --ratings R --people P --credits C --out DIR
+    python -m marquee.cli load     --titles T --ratings R --people P --credits C --out DIR [--tables DIR]
     python -m marquee.cli batch    --credits C --ratings-store DIR --logs DIR [--initial-ratings R] [--rounded]
     python -m marquee.cli stream   --votes DIR --titles T --out DIR [--once]
 
 ``load`` writes the movies and people tables, the co-worker and co-actor sets
-(parquet) and the ten most-credited actors; ``batch`` prints the top ten and folds new vote logs
+(parquet, one row per place in a set) and the ten most-credited actors; with ``--tables`` it also writes
+its cells into the stored wide tables there, over those of earlier loads, and keeps rejected lines; ``batch`` prints the top ten and folds new vote logs
 into the rating store; ``stream`` runs the vote log, sliding top 3 and
 trending streams over text vote files.  Checkpoints go below
 ``spark.checkpoint.dir``.
@@ -18,13 +19,15 @@ import time
 
 from pyspark.sql import SparkSession
 
+from marquee import schemas
 from marquee.functions.predicates import is_performer
 from marquee.operators.collaborators import collaborator_sets
 from marquee.operators.credits import top_people
 from marquee.plans.movies import build_movies, update_rating_store
 from marquee.plans.people import build_people
+from marquee.plans.tables import load_movie_cells, load_people_cells, movies_table, people_table
 from marquee.plans.votes import start_vote_products
-from marquee.sources.tsv import read_credits, read_name_lookup, read_people, read_ratings, read_titles
+from marquee.sources.tsv import read_credits, read_name_lookup, read_people, read_ratings, read_titles, split_dump
 from marquee.streaming.sources import text_vote_stream
 
 
@@ -36,6 +39,14 @@ def load(spark: SparkSession, a) -> None:
     collaborator_sets(credits).write.mode("errorifexists").parquet(f"{a.out}/collaborators")
     collaborator_sets(credits, where=is_performer("category")).write.mode("errorifexists").parquet(f"{a.out}/co_actors")
     top_people(credits, where=is_performer("category")).write.mode("errorifexists").parquet(f"{a.out}/top10")
+    if getattr(a, "tables", None):
+        rows, rejects = split_dump(spark, a.ratings, schemas.RATINGS, f"{a.out}/ratings_checked", schemas.HEADER_KEYS["ratings"])
+        rejects.write.mode("errorifexists").parquet(f"{a.out}/ratings_rejects")
+        movies, persons = movies_table(spark, f"{a.tables}/movies"), people_table(spark, f"{a.tables}/people")
+        load_movie_cells(movies, titles, rows)
+        load_people_cells(persons, people, credits, rows)
+        movies.compact()
+        persons.compact()
 
 
 def batch(spark: SparkSession, a) -> None:
@@ -72,6 +83,7 @@ def main(argv=None) -> None:
     lp = sub.add_parser("load")
     for name in ("titles", "ratings", "people", "credits", "out"):
         lp.add_argument(f"--{name}", required=True)
+    lp.add_argument("--tables")
     bp = sub.add_parser("batch")
     bp.add_argument("--credits", required=True)
     bp.add_argument("--ratings-store", required=True)

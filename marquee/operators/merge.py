@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def merge_by_key(key: str, *frames: DataFrame) -> DataFrame:
+def merge_by_key(key: str, *frames: DataFrame, written_at: str | None = None) -> DataFrame:
     """Full-outer merge of ``frames`` on ``key``, as cells written into one wide table.
 
     Every key of any frame appears once.  Each column takes its value from
@@ -17,8 +17,9 @@ def merge_by_key(key: str, *frames: DataFrame) -> DataFrame:
     cells untouched; a cell nobody wrote is NULL.
 
     A column has the widest type of the frames that hold it.  Within one frame,
-    rows that share a key are written in the order of their values: the
-    greatest non-NULL cell of each column stays.
+    rows that share a key are written in the order of ``written_at`` (a column of the frames, not of the result; NULL and
+    missing come first): the last non-NULL cell of each column stays.  Rows of one time, or all without
+    ``written_at``, go by their values: the greatest non-NULL cell stays.
 
     Planned as a tagged union plus one grouped aggregation, i.e. a single
     shuffle for any number of inputs (a chain of full outer joins would
@@ -29,7 +30,7 @@ def merge_by_key(key: str, *frames: DataFrame) -> DataFrame:
         raise ValueError("merge_by_key needs at least one frame")
     # Common types as Spark's own union finds them: int and double meet in double, nothing is narrowed.
     typed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.limit(0) for f in frames]).schema
-    columns = [f.name for f in typed.fields if f.name != key]
+    columns = [f.name for f in typed.fields if f.name not in (key, written_at)]
     types = {f.name: f.dataType for f in typed.fields}
     key_type = types[key]
 
@@ -37,7 +38,9 @@ def merge_by_key(key: str, *frames: DataFrame) -> DataFrame:
         cols = [F.col(key).cast(key_type).alias(key)]
         for c in columns:
             cols.append((F.col(c) if c in f.columns else F.lit(None)).cast(types[c]).alias(c))
-        return f.where(F.col(key).isNotNull()).select(*cols, F.lit(i).alias("_src"))
+        at = F.lit(None) if written_at is None or written_at not in f.columns else F.col(written_at)
+        at = at.cast(types[written_at]) if written_at in types else at.cast("int")
+        return f.where(F.col(key).isNotNull()).select(*cols, F.struct(F.lit(i).alias("frame"), at.alias("at")).alias("_src"))
 
     union = reduce(DataFrame.unionByName, [widen(i, f) for i, f in enumerate(frames)])
 

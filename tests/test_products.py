@@ -3,6 +3,7 @@
 import types
 
 from marquee import cli
+from marquee.plans import tables
 from marquee.sinks.files import read_current
 
 TITLES = ("tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres\n"
@@ -30,7 +31,10 @@ def _dumps(tmp_path):
 
 def test_load_job(spark, tmp_path):
     d = _dumps(tmp_path)
-    cli.load(spark, types.SimpleNamespace(out=str(tmp_path / "out"), **d))
+    with open(d["ratings"], "a") as f:
+        f.write("tt2\tno number\t1\n")
+    for out in ("out", "again"):  # the second load writes its cells over the first one's
+        cli.load(spark, types.SimpleNamespace(out=str(tmp_path / out), tables=str(tmp_path / "tables"), **d))
     movies = {r["tconst"]: r["rating"] for r in spark.read.parquet(str(tmp_path / "out/movies")).collect()}
     assert movies == {"tt1": 8.0, "tt2": 9.0, "tt3": 7.0, "tt4": None, "tt9": 5.0}
     people = {r["nconst"]: r for r in spark.read.parquet(str(tmp_path / "out/people")).collect()}
@@ -38,10 +42,19 @@ def test_load_job(spark, tmp_path):
     assert people["nm1"]["total_movies"] == 4 and people["nm1"]["top_text"] == "{tt2=9.0, tt1=8.0, tt3=7.0}"
     top = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out/top10")).orderBy("credits", ascending=False).collect()]
     assert top[0] == ("nm1", 3)
-    sets = {r["nconst"]: r["items"] for r in spark.read.parquet(str(tmp_path / "out/collaborators")).collect()}
-    assert set(sets) <= set(people) and all(len(sets[p]) == people[p]["collaborators"] for p in sets)
-    actors = {r["nconst"]: r["items"] for r in spark.read.parquet(str(tmp_path / "out/co_actors")).collect()}
-    assert set(actors) <= set(sets) and all(set(actors[p]) <= set(sets[p]) for p in actors)
+    sets = {}
+    for name in ("collaborators", "co_actors"):
+        own = sets[name] = {}
+        for r in spark.read.parquet(str(tmp_path / "out" / name)).collect():
+            own.setdefault(r["nconst"], set()).update({r["other"]} - {None})
+    assert set(sets["collaborators"]) <= set(people)
+    assert all(len(s) == people[p]["collaborators"] for p, s in sets["collaborators"].items())
+    assert all(s <= sets["collaborators"][p] for p, s in sets["co_actors"].items())
+    stored = tables.people_table(spark, str(tmp_path / "tables/people")).read()
+    assert {r["nconst"]: (r["total_movies"], r["top_text"], r["primaryName"]) for r in stored.collect()} == {
+        k: (r["total_movies"], r["top_text"], r["primaryName"]) for k, r in people.items()}
+    assert tables.movies_table(spark, str(tmp_path / "tables/movies")).read().count() == 5
+    assert [r["line"] for r in spark.read.parquet(str(tmp_path / "out/ratings_rejects")).collect()] == ["tt2\tno number\t1"]
 
 
 def test_batch_job(spark, tmp_path, capsys):

@@ -102,6 +102,12 @@ def test_merge_takes_the_wider_type_and_is_defined_for_repeated_keys(spark):
     assert [tuple(r) for r in merge_by_key("k", a, twice).collect()] == [(1, 9)]
 
 
+def test_rows_of_one_frame_are_written_in_their_order(spark):
+    a = spark.createDataFrame([(1, 9, "old", 1), (1, 5, None, 3), (1, None, "new", 2), (2, 1, "x", None), (2, 0, "w", 0)], "k int, v int, s string, at int")
+    b = spark.createDataFrame([(2, 7)], "k int, v int")
+    assert sorted(map(tuple, merge_by_key("k", a, b, written_at="at").collect())) == [(1, 5, "new"), (2, 7, "w")]
+
+
 def test_co_worker_counts_over_many_signatures_of_hot_titles(spark):
     """A title that everyone is on, each person with another set of further hot titles; buckets of four."""
     from marquee.operators.collaborators import collaborator_counts
