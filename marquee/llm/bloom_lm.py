@@ -16,7 +16,7 @@
   each chunk of texts are sent to their shards, which answer with levels, and the chunk is scored
   with the answers.  Both forms read the same filter and give the same scores.
 
-The base score needs exact counts: the ``HEAD`` most frequent words' counts
+The base score needs exact counts: those of at most ``HEAD`` frequent words
 are broadcast (a bounded table), all other tokens are joined to the
 count table by a shuffle.  Words are told apart by 64-bit hashes.
 """
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import most_frequent, written
 from marquee.llm.hashing import NOT_SPACE, mix, word_blocks
 
 HEAD = 1 << 18
@@ -397,7 +397,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     words = written(word_counts(train), "lm-words")
     total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = int(total["n"] or 0), int(total["v"])
-    head = words.orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
+    head = most_frequent(words, HEAD, "c").toArrow()
     order = np.argsort(hw := head.column("word").to_numpy())
     sent = spark.sparkContext.broadcast((hw[order], head.column("c").to_numpy()[order]))
     shard_bits = shard_bits_for(n)

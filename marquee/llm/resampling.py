@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marquee.llm.common import written
+from marquee.llm.common import most_frequent, written
 from marquee.llm.hashing import WORD_CHARS, row_blocks, text_buffers
 from marquee.operators.positions import repeat_rows
 
@@ -140,18 +140,6 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counts.rows()
 
 
-def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows of highest ``n``, cut where the logarithm of the count falls (no global sort)."""
-    level = F.floor(F.log2("n") * 8).cast("int")
-    seen, least = 0, None
-    for r in sorted(counted.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
-        seen += r["count"]
-        if seen > most:
-            break
-        least = r["level"]
-    return counted.where(level >= least) if least is not None else counted.limit(0)
-
-
 @dataclass
 class Head:
     """Frequent words with their CRC states, frequent pairs with their buckets."""
@@ -174,8 +162,8 @@ def fit_head(docs: DataFrame, text: str = "text", head_words: int = HEAD_WORDS,
     """The frequent words and pairs of all documents."""
     tasks = docs.select(F.col(text).cast("string")).mapInArrow(_count_task, "a binary, b binary, n long")
     counted = written(tasks.groupBy("a", "b").agg(F.sum("n").alias("n")), "resampling-head")
-    words = _most_frequent(counted.where("b IS NULL"), head_words).select("a").collect()
-    pairs = _most_frequent(counted.where("b IS NOT NULL"), head_pairs).select("a", "b").collect()
+    words = most_frequent(counted.where("b IS NULL"), head_words).select("a").collect()
+    pairs = most_frequent(counted.where("b IS NOT NULL"), head_pairs).select("a", "b").collect()
     return Head.of(sorted(bytes(r["a"]) for r in words), [(bytes(r["a"]), bytes(r["b"])) for r in pairs])
 
 

@@ -26,7 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import most_frequent, written
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 15, 6, 11
@@ -90,14 +90,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def dictionary(words: DataFrame, most: int = DICTIONARY_WORDS) -> DataFrame:
     """``word``: at most ``most`` frequent words, cut at a level of the count's logarithm (no global sort)."""
-    level = F.floor(F.log2("n") * 8).cast("int")
-    seen, least = 0, None
-    for r in sorted(words.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
-        seen += r["count"]
-        if seen > most:
-            break
-        least = r["level"]
-    return words.where(level >= least).select("word") if least is not None else words.select("word").limit(0)
+    return most_frequent(words, most).select("word")
 
 
 def _trigrams(word: Column) -> Column:
