@@ -520,6 +520,15 @@ def test_a_scope_removes_its_tables_and_keeps_the_outer_ones(spark, tmp_path):
     assert not os.path.exists(path) and outer.count() == 4
 
 
+def test_batches_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    common.bounded_batches(spark)
+    sizes = spark.range(9000).selectExpr("repeat('x', 2000) AS t").coalesce(1).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long").collect()
+    assert len(sizes) >= 4 and max(r["n"] for r in sizes) < 1.2 * common.BATCH_BYTES
+
+
 def test_marks_pass_every_marked_row(spark):
     df = spark.range(1000).selectExpr("CASE WHEN id % 10 = 9 THEN NULL ELSE id END AS k", "id AS v")
     ids = spark.range(0, 1000, 3).toDF("k")

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = "customer part orders lineitem events documents labels".split()
+TABLES = "customer supplier part orders lineitem events documents labels".split()
 
 
 def test_entry_runs(spark):
