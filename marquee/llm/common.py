@@ -14,10 +14,20 @@ from marquee.session import scratch_path
 #: Bits (32 MiB) of the map that tells most rows without a partner before a shuffle.
 MARKS = 1 << 28
 
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "67108864", "64MB")
+BATCH_BYTES = 4 << 20
+
 _open: list[list[str]] = []
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches that go to Python hold about ``BATCH_BYTES`` of rows, however long texts are, unless the session sets the bound itself."""
+    if spark.conf.get(_BATCH_CONF, _BATCH_DEFAULT[0]) in _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +36,7 @@ def written(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
 
     Inside a ``scope`` the table goes when the scope ends; with ``outer`` it belongs to the scope around that one.
     """
+    bounded_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     depth = 2 if outer else 1

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import bpe, language_id, minhash, secrets, tiling
-from marquee.llm.common import marked, marks_of, scope, table, without, written
+from marquee.llm.common import bounded_batches, marked, marks_of, scope, table, without, written
 
 ROW = "_row"
 
@@ -84,4 +84,5 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document left."""
     from marquee.llm.queries import tokenizer_path
 
+    bounded_batches(spark)
     return bpe.digests(docs, tokenizer_path())
