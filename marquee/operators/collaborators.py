@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.operators.positions import positions, range_numbered
 from marquee.sinks.files import scratch_table
 
+# Questions for unions of bitmaps that one task answers for a chunk, about.
+SALT_SIGNATURES = 20_000
+
 
 def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
     return credits if where is None else credits.where(where)
@@ -117,16 +125,52 @@ def _reach(numbered: DataFrame) -> DataFrame:
     """
     place = numbered.select(F.explode("_sig").alias("_t"), F.shiftright("_n", 15).alias("_chunk"),
                             F.col("_n").bitwiseAND((1 << 15) - 1).alias("_bit"))
-    bitmaps = place.groupBy("_t", "_chunk").agg(F.bitmap_construct_agg("_bit").alias("_people"))
+    bitmaps = scratch_table(place.groupBy("_t", "_chunk").agg(F.bitmap_construct_agg("_bit").alias("_people")), "member-bitmaps")
     signatures = numbered.groupBy("_sig").agg(F.min("_n").alias("_id"))
     wanted = signatures.where(F.size("_sig") > 1).select("_id", F.explode("_sig").alias("_t"))
-    united = (wanted.join(bitmaps, "_t").groupBy("_id", "_chunk").agg(F.bitmap_or_agg("_people").alias("_people"))
-              .groupBy("_id").agg(F.sum(F.bitmap_count("_people")).alias("_reach")))
+    asks = wanted.join(bitmaps.select("_t", "_chunk"), "_t").groupBy("_id", "_chunk").agg(F.collect_list("_t").alias("_titles"))
+    united = _unions(asks, bitmaps, max(1, wanted.select("_id").distinct().count() // SALT_SIGNATURES))
+    united = united.groupBy("_id").agg(F.sum("_count").alias("_reach"))
     alone = place.groupBy("_t").agg(F.count(F.lit(1)).alias("_reach"))
     several = signatures.join(united, "_id").select("_sig", "_reach")
     return several.unionByName(alone.select(F.array("_t").alias("_sig"), "_reach"))
 
 
+def _unions(asks: DataFrame, bitmaps: DataFrame, salts: int) -> DataFrame:
+    """``_id, _count``: the bits of the union of the asked titles' bitmaps (``_id, _chunk, _titles``), per chunk.
+
+    A chunk's bitmaps go to ``salts`` tasks, each with a share of the chunk's questions; a task holds the bitmaps of one
+    chunk (4 KiB for each heavy title that has people in it) and streams the questions past them.
+    """
+    salt = F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int")
+    nothing = F.lit(None)
+    kind = bitmaps.schema["_t"].dataType
+    rows = bitmaps.select("_chunk", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), nothing.cast("long").alias("_id"),
+                          F.array("_t").alias("_titles"), "_people").unionByName(
+        asks.select("_chunk", salt.alias("_salt"), "_id", "_titles", nothing.cast("binary").alias("_people")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
+        for batch in batches:
+            ids, counts = [], []
+            for chunk, salt, one, titles, people in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (chunk, salt) != now:
+                    now, held = (chunk, salt), {}
+                if people is not None:
+                    held[titles[0]] = np.frombuffer(people, np.uint64)
+                    continue
+                union = held[titles[0]]
+                for t in titles[1:]:
+                    union = union | held[t]
+                ids.append(one)
+                counts.append(int(np.bitwise_count(union).sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], names=["_id", "_count"])
+
+    rows = rows.withColumn("_titles", F.col("_titles").cast(T.ArrayType(kind)))
+    dealt = rows.repartition("_chunk", "_salt").sortWithinPartitions("_chunk", "_salt", F.col("_people").isNull())
+    return dealt.mapInArrow(run, "_id long, _count long")
+
+
 def _pair_counts(members: DataFrame, light: DataFrame, title: str, person: str, sig: DataFrame | None = None,
                  via_heavy: DataFrame | None = None) -> DataFrame:
     """Co-workers met on light titles, unless two signatures share a title, plus those met through heavy ones."""
