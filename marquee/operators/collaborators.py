@@ -21,13 +21,10 @@ def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
     return credits if where is None else credits.where(where)
 
 
-def _members(credits: DataFrame, title: str, person: str, where: Column | None) -> DataFrame:
-    """Distinct ``(title, person)`` of the (filtered) credits."""
-    return (
-        _filtered(credits, where).select(title, person)
-        .where(F.col(title).isNotNull() & F.col(person).isNotNull())
-        .distinct()
-    )
+def _members(credits: DataFrame, title: str, person: str, where: Column | None, unique: bool = False) -> DataFrame:
+    """Distinct ``(title, person)`` of the (filtered) credits; ``unique``: they are distinct already."""
+    rows = _filtered(credits, where).select(title, person).where(F.col(title).isNotNull() & F.col(person).isNotNull())
+    return rows if unique else rows.distinct()
 
 
 def _heavy_titles(credits: DataFrame, title: str, heavy_size: int) -> DataFrame:
@@ -84,10 +81,10 @@ def collaborator_pairs(credits: DataFrame, title: str = "tconst", person: str =
 
 
 def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str = "nconst",
-                        where: Column | None = None, heavy_size: int = 1000) -> DataFrame:
+                        where: Column | None = None, heavy_size: int = 1000, unique: bool = False) -> DataFrame:
     """``person, collaborators``: number of distinct co-workers; 0 when alone.
 
-    Every person with a (filtered) credit appears.  Exact, and no title
+    Every person with a (filtered) credit appears; ``unique`` says that no (title, person) is repeated.  Exact, and no title
     with more than ``heavy_size`` people is ever expanded into pairs:
 
     * *light* titles (at most ``heavy_size`` people) give pair rows, at most
@@ -101,7 +98,7 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
 
     Without heavy titles the plan is the plain self-join + grouped distinct count.
     """
-    m = _members(credits, title, person, where)
+    m = _members(credits, title, person, where, unique)
     heavy_titles = _heavy_titles(_filtered(credits, where), title, heavy_size).select(title)
     if heavy_titles.isEmpty():
         return _pair_counts(m, m, title, person)

@@ -3,11 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from marquee.operators.collaborators import collaborator_counts
-from marquee.operators.credits import credit_counts
 from marquee.operators.merge import merge_by_key
 from marquee.operators.ranking import top_titles, top_titles_text
+from marquee.sinks.files import scratch_table
+
+
+def person_parts(credits: DataFrame, ratings: DataFrame, n_top: int = 3,
+                 collaborators_where: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(credit counts, top titles, co-worker counts) from one pass over the credits.
+
+    The credits are grouped once by person and title and stored, with their number and whether any of them is
+    of ``collaborators_where``; the three products read that table, which is no larger than the credits.
+    """
+    inside = F.lit(True) if collaborators_where is None else F.coalesce(collaborators_where, F.lit(False))
+    grouped = (credits.where(F.col("nconst").isNotNull()).groupBy("nconst", "tconst")
+               .agg(F.count(F.lit(1)).alias("_credits"), F.max(inside).alias("_in")))
+    members = scratch_table(grouped, "person-titles")
+    counts = members.groupBy("nconst").agg(F.sum("_credits").alias("total_movies"), F.count("tconst").alias("distinct_titles"))
+    return counts, top_titles(members, ratings, n=n_top), collaborator_counts(members.where("_in"), unique=True)
 
 
 def build_people(people: DataFrame, credits: DataFrame, ratings: DataFrame, n_top: int = 3,
@@ -27,7 +43,5 @@ def build_people(people: DataFrame, credits: DataFrame, ratings: DataFrame, n_to
     kept as bounded rows instead of one cell.
     """
     info = people.select("nconst", *[c for c in ("primaryName", "birthYear", "deathYear") if c in people.columns])
-    counts = credit_counts(credits)
-    top = top_titles_text(top_titles(credits, ratings, n=n_top))
-    co = collaborator_counts(credits, where=collaborators_where)
-    return merge_by_key("nconst", info, counts, top, co)
+    counts, top, co = person_parts(credits, ratings, n_top, collaborators_where)
+    return merge_by_key("nconst", info, counts, top_titles_text(top), co)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from marquee import operators as ops
 from marquee.functions.numeric import round_tenth_even
 from marquee.functions.predicates import contains_any
+from marquee.plans.people import person_parts
 from marquee.sources.votes import parse_vote_log_lines, parse_vote_stream_lines, vote_lines
 
 # Category letters that mark an acting credit in the test tables.
@@ -169,12 +170,10 @@ def person_info(spark, d):
 
 
 def person_profile(spark, d):
-    c = credits(spark, d)
-    top = ops.top_titles(c, ratings(spark, d), n=3)
+    counts, top, co = person_parts(credits(spark, d), ratings(spark, d), 3, is_acting())
     text = ops.top_titles_text(top, value_format="decimal(18,2)").select("nconst", "top_text")
-    co = ops.collaborator_counts(c, where=is_acting()).withColumnRenamed("collaborators", "co_actors")
     info = people(spark, d).select("nconst", "primaryName")
-    return ops.merge_by_key("nconst", info, ops.credit_counts(c), text, co)
+    return ops.merge_by_key("nconst", info, counts, text, co.withColumnRenamed("collaborators", "co_actors"))
 
 
 def merge_documents_labels(spark, d):

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from marquee.operators.collaborators import collaborator_counts
 from marquee.operators.credits import credit_counts
-from marquee.operators.ranking import top_titles, top_titles_text
+from marquee.operators.ranking import top_titles_text
+from marquee.plans.people import person_parts
 from marquee.sinks.store import KeyedStore, latest_cells
 
 MOVIES = ("tconst string, titleType string, primaryTitle string, originalTitle string, isAdult int, startYear int, endYear int, "
@@ -59,8 +60,13 @@ def load_people_cells(table: KeyedStore, people: DataFrame | None = None, credit
     """Info cells from ``people``; counts, co-workers and (with ``ratings``) top titles from ``credits``; one batch each."""
     if people is not None:
         put_cells(table, people.select("nconst", *[c for c in ("primaryName", "birthYear", "deathYear") if c in people.columns]))
-    if credits is not None:
+    if credits is None:
+        return
+    if ratings is None:
         put_cells(table, credit_counts(credits))
         put_cells(table, collaborator_counts(credits, where=collaborators_where))
-        if ratings is not None:
-            put_cells(table, top_titles_text(top_titles(credits, ratings, n=n_top), value_format=value_format).select("nconst", "top_text"))
+        return
+    counts, top, co = person_parts(credits, ratings, n_top, collaborators_where)
+    put_cells(table, counts)
+    put_cells(table, co)
+    put_cells(table, top_titles_text(top, value_format=value_format).select("nconst", "top_text"))
