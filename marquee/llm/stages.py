@@ -51,12 +51,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     with scope(spark):
         found = minhash.near_duplicates(rows, shingle_words=5, percent=80, id_col=ROW)
         linked = written(found.select(F.col("doc_id").alias(ROW), "component_id"), "pipeline-components")
-        groups = linked.groupBy("component_id").count().where("count > 1").select("component_id")
-        several = linked.join(groups.hint("merge"), "component_id")
-        named = several.join(rows.select(ROW, "doc_id").hint("merge"), ROW)
+        named = linked.join(rows.select(ROW, "doc_id").hint("merge"), ROW)
         order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
-        first = named.groupBy("component_id").agg(F.min(order)[ROW].alias("_first"))
-        gone = written(several.join(first, "component_id").where(f"{ROW} <> _first").select(ROW), "pipeline-copies", outer=True)
+        # map-side minima, and a join by row: no task gets all rows of a large group
+        first = named.groupBy("component_id").agg(F.min(order)[ROW].alias(ROW)).select(ROW).withColumn("_first", F.lit(True))
+        gone = linked.join(first.hint("merge"), ROW, "left").where("_first IS NULL").select(ROW)
+        gone = written(gone, "pipeline-copies", outer=True)
     return _drop(rows, gone, docs)
 
 
