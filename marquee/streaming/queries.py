@@ -22,7 +22,7 @@ from marquee.functions.text import window_label
 from marquee.operators.windows import duration_seconds, trending_flags, window_averages, with_names
 from marquee.sinks.files import claim_sink, read_current
 from marquee.sinks.store import KeyedStore, latest_row, sums
-from marquee.streaming.trending import LATE_BOUND_SECONDS, TrendingProcessor, window_partials
+from marquee.streaming.trending import LATE_BOUND_SECONDS, TrendingProcessor, gathered, window_partials, window_rows
 
 #: Title names: a fixed frame, or a function that gives the present ones; it is asked in every micro-batch.
 Names = DataFrame | Callable[[], DataFrame]
@@ -302,10 +302,10 @@ def start_trending(votes: DataFrame, names: Names, sink: str, checkpoint: str,
     seconds = duration_seconds(length)
     partials = window_partials(votes, title, ts, seconds).withWatermark("seen", f"{LATE_BOUND_SECONDS} seconds")
     kind = votes.schema[title]
-    rows = T.StructType([T.StructField(title, kind.dataType), T.StructField("window_start", T.TimestampType()),
-                         T.StructField("window_end", T.TimestampType()), T.StructField("votes", T.LongType()),
-                         T.StructField("live", T.BooleanType()), T.StructField("kind", T.StringType())])
-    judged = partials.groupBy(title).transformWithState(
+    rows = T.StructType([T.StructField(title, kind.dataType), T.StructField("starts", T.ArrayType(T.LongType())),
+                         T.StructField("votes", T.ArrayType(T.LongType())), T.StructField("live", T.ArrayType(T.BooleanType())),
+                         T.StructField("kind", T.StringType())])
+    judged = gathered(partials, title).groupBy(title).transformWithState(
         statefulProcessor=TrendingProcessor(title, seconds, duration_seconds(watermark), mode, state_ttl_ms),
         outputStructType=rows, outputMode="Update", timeMode="EventTime")
     claim_sink(votes.sparkSession, sink, checkpoint)
@@ -330,7 +330,7 @@ def start_trending(votes: DataFrame, names: Names, sink: str, checkpoint: str,
         finally:
             df.unpersist()
 
-    writer = judged.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = window_rows(judged, title, seconds).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, trigger).start()
 
 

@@ -1,8 +1,10 @@
 """Per-title trending state for the stream (the only Python in a hot path).
 
 Votes are counted per title and window map-side, before the shuffle, so a hot title sends one row per window
-and Arrow batch.  A title's state is the count of each open window and the outcome of its last closed one.  Windows are
-closed by event-time timers, in order:
+and Arrow batch; after it they are gathered into one row per title (each row and key costs far more in the
+state operator than its votes).  A title's state is one value: the count of each open window and the outcome of its last closed one.  It is
+read and written once per title and micro-batch (each access is a round trip to the JVM), and the rows of a title go back as
+arrays, one row per kind.  Windows are closed by event-time timers, one per title at the end of its first open window, in order:
 
     reported = votes            if no state yet or votes > prev
                0                otherwise
@@ -19,20 +21,19 @@ processor adds the difference back, so timers fire by the wanted delay.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 LATE_BOUND_SECONDS = 3650 * 86400
-STATE_SCHEMA = StructType([StructField("prev", LongType(), True), StructField("end", LongType(), True)])
-_START = StructType([StructField("start", LongType(), False)])
-_VOTES = StructType([StructField("votes", LongType(), False)])
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+# Rows of one task that are gathered by title at a time.
+GATHER_ROWS = 500_000
+STATE_SCHEMA = StructType([StructField("prev", LongType(), True), StructField("end", LongType(), True),
+                           StructField("starts", ArrayType(LongType()), False), StructField("votes", ArrayType(LongType()), False)])
 
 
 def window_partials(votes: DataFrame, title: str, ts: str, seconds: int) -> DataFrame:
@@ -55,10 +56,33 @@ def window_partials(votes: DataFrame, title: str, ts: str, seconds: int) -> Data
     return good.mapInArrow(run, f"{title} {kind}, start long, votes long, seen timestamp")
 
 
+def gathered(partials: DataFrame, title: str, rows: int = GATHER_ROWS) -> DataFrame:
+    """``title, starts, votes``: ``window_partials`` dealt by title, one row per title and ``rows`` rows of a task."""
+    kind = partials.schema[title].dataType.simpleString()
+
+    def one(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).group_by([title, "start"]).aggregate([("votes", "sum")])
+        t = t.group_by(title).aggregate([("start", "list"), ("votes_sum", "list")])
+        yield from t.select([title, "start_list", "votes_sum_list"]).rename_columns([title, "starts", "votes"]).to_batches(10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= rows:
+                yield from one(held)
+                held, n = [], 0
+        if held:
+            yield from one(held)
+
+    return partials.select(title, "start", "votes").repartition(title).mapInArrow(run, f"{title} {kind}, starts array<long>, votes array<long>")
+
+
 class TrendingProcessor(StatefulProcessor):
-    """``transformWithState`` processor over ``window_partials``; rows ``title, window_start, window_end, votes, live, kind``.
+    """``transformWithState`` processor over ``gathered`` rows; rows ``title, starts, votes, live, kind`` (``window_rows`` opens the arrays).
 
-    ``kind``: ``open`` and ``closed`` rows hold the window's votes so far; ``late`` rows only the votes that came too late.
+    ``kind``: ``open`` and ``closed`` rows hold the windows' votes so far; ``late`` rows only the votes that came too late.
     """
 
     def __init__(self, title: str, seconds: int, delay_seconds: int, mode: str = "reset", ttl_ms: int | None = None):
@@ -67,13 +91,11 @@ class TrendingProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", STATE_SCHEMA)
-        self.open = handle.getMapState("open", _START, _VOTES)
+        self.state = handle.getValueState("state", STATE_SCHEMA)
 
-    def _row(self, key, start: int, votes: int, live: bool, kind: str) -> Row:
-        begin = _EPOCH + timedelta(milliseconds=start)
-        return Row(**{self.title: key[0], "window_start": begin, "window_end": begin + timedelta(milliseconds=self.ms),
-                      "votes": votes, "live": live, "kind": kind})
+    def _row(self, key, windows: list[tuple[int, int, bool]], kind: str) -> Row:
+        starts, votes, live = (list(c) for c in zip(*windows, strict=True))
+        return Row(**{self.title: key[0], "starts": starts, "votes": votes, "live": live, "kind": kind})
 
     def _judge(self, last: tuple[int | None, int | None], start: int, votes: int) -> tuple[bool, tuple[int, int]]:
         prev, end = last
@@ -85,47 +107,64 @@ class TrendingProcessor(StatefulProcessor):
         live = prev is None or votes > prev
         return live, (votes if live else 0, start + self.ms)
 
-    def _last(self) -> tuple[int | None, int | None]:
-        return tuple(self.last.get()) if self.last.exists() else (None, None)
+    def _read(self) -> tuple[tuple[int | None, int | None], dict[int, int]]:
+        """(outcome of the last closed window, open windows)"""
+        found = self.state.get()
+        return ((found[0], found[1]), dict(zip(found[2], found[3], strict=True))) if found else ((None, None), {})
 
-    def _windows(self) -> dict[int, int]:
-        return {k[0]: v[0] for k, v in self.open.iterator()} if self.open.exists() else {}
+    def _write(self, last: tuple[int | None, int | None], windows: dict[int, int]) -> None:
+        self.state.update((*last, list(windows), list(windows.values())))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         added: dict[int, int] = {}
-        for r in rows:
-            added[r["start"]] = added.get(r["start"], 0) + r["votes"]
-        last = self._last()
+        for _, starts, votes in rows:
+            for s, n in zip(starts, votes, strict=True):
+                added[s] = added.get(s, 0) + n
+        last, windows = self._read()
         gone = timerValues.getCurrentWatermarkInMs() + self.shift - self.ms - self.ttl if self.ttl is not None else None
         late = {s: n for s, n in added.items() if (last[1] is not None and s < last[1]) or (gone is not None and s <= gone)}
-        windows = self._windows()
-        for s in sorted(added.keys() - late.keys()):
-            if s not in windows:
-                self.handle.registerTimer(s + self.ms - self.shift)
-            windows[s] = windows.get(s, 0) + added[s]
-            self.open.updateValue((s,), (windows[s],))
-        out = [self._row(key, s, n, False, "late") for s, n in late.items()]
-        from_ = min(added.keys() - late.keys(), default=None)
-        for s in sorted(windows) if from_ is not None else ():
-            live, last = self._judge(last, s, windows[s])
-            if s >= from_:
-                out.append(self._row(key, s, windows[s], live, "open"))
+        out = [self._row(key, [(s, n, False) for s, n in late.items()], "late")] if late else []
+        new = sorted(added.keys() - late.keys())
+        if new:
+            if not windows or new[0] < min(windows):
+                self.handle.registerTimer(new[0] + self.ms - self.shift)
+            for s in new:
+                windows[s] = windows.get(s, 0) + added[s]
+            self._write(last, windows)
+            judged = []
+            for s in sorted(windows):
+                live, last = self._judge(last, s, windows[s])
+                if s >= new[0]:
+                    judged.append((s, windows[s], live))
+            out.append(self._row(key, judged, "open"))
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        upto = expiredTimerInfo.getExpiryTimeInMs() + self.shift - self.ms
-        last, out, windows = self._last(), [], self._windows()
-        for s in sorted(s for s in windows if s <= upto):
+        # every window that the watermark has passed; further timers of the title in this batch find nothing left to do
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) + self.shift
+        last, windows = self._read()
+        closed = []
+        for s in sorted(s for s in windows if s + self.ms <= passed):
             live, last = self._judge(last, s, windows[s])
-            out.append(self._row(key, s, windows[s], live, "closed"))
-            self.open.removeKey((s,))
-        if out:
-            self.last.update(last)
+            closed.append((s, windows.pop(s), live))
+        if closed:
+            self._write(last, windows)
+            if windows:
+                self.handle.registerTimer(min(windows) + self.ms - self.shift)
             if self.ttl is not None:
                 self.handle.registerTimer(last[1] + self.ttl - self.shift)
-        elif self.ttl is not None and not windows and last[1] is not None and last[1] + self.ttl <= upto + self.ms:
-            self.last.clear()
-        return iter(out)
+            return iter([self._row(key, closed, "closed")])
+        if self.ttl is not None and not windows and last[1] is not None and last[1] + self.ttl <= passed:
+            self.state.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
+
+
+def window_rows(judged: DataFrame, title: str, seconds: int) -> DataFrame:
+    """The processor's rows as ``title, window_start, window_end, votes, live, kind``, one per window."""
+    one = judged.select(title, "kind", F.explode(F.arrays_zip("starts", "votes", "live")).alias("_w"))
+    at = lambda ms: F.timestamp_millis(F.col("_w.starts") + F.lit(ms))
+    return one.select(title, at(0).alias("window_start"), at(seconds * 1000).alias("window_end"),
+                      F.col("_w.votes").alias("votes"), F.col("_w.live").alias("live"), "kind")
