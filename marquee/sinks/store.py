@@ -136,6 +136,13 @@ class KeyedStore:
         names = self.schema.names
         return still.select(*names) if not touched else still.select(*names).unionByName(self.merge(moving, self.keys).select(*names))
 
+    def rows(self, where: Column | None = None) -> DataFrame:
+        """The rows as they lie, not merged: of a key as many as batches wrote since it was merged last."""
+        kept, upto = self._state()
+        pending = self._pending(upto)
+        rows = self._read(list(kept.values()), _MERGED).unionByName(self._deltas(pending, self._touched(pending))).drop(BATCH)
+        return rows if where is None else rows.where(where)
+
     def delta(self, batch: int) -> DataFrame:
         """The rows of one batch that isn't merged yet."""
         return self._deltas([batch], self._touched([batch])).drop(BATCH)
@@ -148,8 +155,8 @@ class KeyedStore:
             rows = rows.unionByName(self._read(list(kept.values()), _MERGED).drop(BATCH))
         return rows.where(F.col(column) > batch)
 
-    def compact(self) -> int:
-        """Merge the deltas into their buckets; the number of buckets rewritten."""
+    def compact(self, forget: Callable[[str], bool] = lambda bucket: False) -> int:
+        """Merge the deltas into their buckets; the number of buckets rewritten.  Buckets that ``forget`` names are dropped."""
         kept, upto = self._state()
         pending = self._pending(upto)
         if not pending:
@@ -160,7 +167,7 @@ class KeyedStore:
         merged = self.merge(moving, self.keys).select(*self.schema.names).withColumn(BUCKET, self.bucket)
         merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(run)
         made = {f.partition("=")[2]: f"{run}/{f}" for f in self._folders(run) if f.startswith(f"{BUCKET}=")}
-        now = {b: f for b, f in kept.items() if b not in touched} | made
+        now = {b: f for b, f in ({b: f for b, f in kept.items() if b not in touched} | made).items() if not forget(b)}
         rows = [(b, f, pending[-1]) for b, f in now.items()] or [(None, None, pending[-1])]
         before = current_version(self.spark, self.root)
         version = write_version(self.spark, self.root, {

@@ -1,7 +1,7 @@
 """Starting the three vote streams.
 
-All three use event time.  The vote log is stateless.  The sliding top reports a window once the
-watermark passes its end, or, with ``open_windows``, from its first vote on and with every late vote.  Trending reports
+All three use event time.  The vote log is stateless.  The sliding top keeps sums per title and pane in a store; it reports a
+window once the watermark passes its end, or, with ``open_windows``, from its first vote on and with every late vote.  Trending reports
 open windows too and keeps votes that come too late for its state apart; ``read_trending`` counts them in.
 Results are written by ``foreachBatch`` under the batch's id with overwrite, so a
 re-executed micro-batch replaces its own output (idempotent on restart).
@@ -11,6 +11,7 @@ A sink belongs to the checkpoint that wrote it first; empty batches write nothin
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from marquee.streaming.trending import LATE_BOUND_SECONDS, TrendingProcessor, ga
 #: Title names: a fixed frame, or a function that gives the present ones; it is asked in every micro-batch.
 Names = DataFrame | Callable[[], DataFrame]
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 # Micro-batches between two compactions of a sink that keeps the latest rows.
 COMPACT_EVERY = 20
 
@@ -140,11 +143,10 @@ def start_sliding_top(votes: DataFrame, names: Names, sink: str, checkpoint: str
                       open_windows: bool = False, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Top ``n`` titles by average per sliding window.
 
-    The windowed average runs in append mode, so a window's rows for *all*
-    titles are emitted in the same micro-batch (when the watermark passes
-    the window end).  Ranking is then an ordinary batch ``row_number`` per
-    window inside ``foreachBatch`` — exact, and with the rank limit pushed
-    below the shuffle.  Votes behind the watermark are dropped by Spark.
+    Each batch adds its votes' sums per title and ``slide``-long pane to a stored table (below the checkpoint) and ranks the
+    windows whose end the watermark has passed with this batch, each once, from the panes: a vote is stored once, not
+    once for each of its windows.  Votes for windows that are reported already change nothing in them.  A ``length`` that is no whole
+    number of slides runs as Spark's windowed average in append mode, ranked as its windows close.
 
     ``panes=True`` chains two watermarked aggregations: votes are summed per
     title and ``slide``-long pane, and each closed pane (at its
@@ -165,6 +167,10 @@ def start_sliding_top(votes: DataFrame, names: Names, sink: str, checkpoint: str
         write_batch = _open_tops(votes, names, sink, title, vote, ts, length, slide, n, watermark, name_title, name, compact_every)
         good = votes.where(F.col(ts).isNotNull() & F.col(title).isNotNull() & F.col(vote).isNotNull())
         return _trigger(good.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch), trigger).start()
+    if not panes and duration_seconds(length) % duration_seconds(slide) == 0:
+        good = votes.where(F.col(ts).isNotNull() & F.col(title).isNotNull() & F.col(vote).isNotNull())
+        write_batch = _closed_tops(good, names, sink, f"{checkpoint}/marquee", title, vote, ts, length, slide, n, watermark, name_title, name, compact_every)
+        return _trigger(good.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch), trigger).start()
     if panes:
         avgs = _pane_stream_averages(votes.withWatermark(ts, watermark), title, vote, ts, length, slide)
     else:
@@ -201,46 +207,112 @@ def _arrivals(spark: SparkSession, sink: str) -> KeyedStore:
     return KeyedStore(spark, f"{sink}/arrivals", "one int, latest long, votes long, late long", ["one"], latest_row, buckets=1)
 
 
+# Rows of one task that sums or ranks panes, about: the number of tasks follows the rows, not the session's setting.
+TASK_ROWS = 1_000_000
+_SPREAD = 16  # tasks that share the votes of one title and pane
+
+
+def _tasks(rows: int) -> int:
+    return max(1, -(-rows // TASK_ROWS))
+
+
+def _pane_store(spark: SparkSession, root: str, title: T.StructField) -> KeyedStore:
+    schema = T.StructType([title, T.StructField("pane", T.TimestampType()), T.StructField("total", T.DoubleType()), T.StructField("count", T.LongType())])
+    return KeyedStore(spark, root, schema, [title.name, "pane"], sums, F.date_format("pane", "yyyy-MM-dd"))
+
+
+def _pane_sums(df: DataFrame, rows: int, title: str, vote: str, ts: str, slide: str) -> DataFrame:
+    """``title, pane, total, count`` of ``rows`` votes; several rows where a title has several votes in a pane (the store adds them up)."""
+    spread = F.pmod(F.xxhash64(ts, vote), F.lit(_SPREAD))
+    dealt = df.select(title, F.window(F.col(ts), slide)["start"].alias("pane"), F.col(vote).cast("double").alias("total"), spread.alias("_s"))
+    keys = [title, "pane", "_s"]
+    return dealt.repartition(_tasks(rows), *keys).groupBy(*keys).agg(F.sum("total").alias("total"), F.count("total").alias("count")).drop("_s")
+
+
+def _of_windows(df: DataFrame, size: int, step: int) -> DataFrame:
+    """Every row with a ``pane`` once for each window that it belongs to, as ``window_start``."""
+    offsets = F.explode(F.sequence(F.lit(0), F.lit(size // step - 1)))
+    return df.withColumn("_k", offsets).withColumn("window_start", F.col("pane") - F.expr(f"make_dt_interval(0, 0, 0, {step})") * F.col("_k")).drop("_k")
+
+
+def _pane_tops(panes: DataFrame, lookup: DataFrame, windows: Callable[[DataFrame], DataFrame], title: str, n: int, size: int, step: int) -> DataFrame:
+    """The ranks of the ``windows`` (a filter on ``window_start``) from stored pane sums.
+
+    The panes are dealt by title, so names, window sums and the first cut of the ranks need no other shuffle.
+    """
+    tasks = _tasks(panes.count() * (size // step))
+    named = with_names(panes.repartition(tasks, title), lookup.repartition(tasks, title), title, title, "name")
+    avgs = (windows(_of_windows(named, size, step)).groupBy("window_start", title, "name")
+            .agg((F.sum("total") / F.sum("count")).alias("average"))
+            .withColumn("window_end", F.col("window_start") + F.expr(f"make_dt_interval(0, 0, 0, {size})")))
+    return _ranked(avgs, title, n)
+
+
+def _closed_tops(votes, names, sink, state, title, vote, ts, length, slide, n, watermark, name_title, name, compact_every):
+    size, step, delay = duration_seconds(length), duration_seconds(slide), duration_seconds(watermark)
+    spark, kind = votes.sparkSession, votes.schema[title]
+    panes = _pane_store(spark, f"{state}/panes", kind)
+    # one row per batch, so a batch that runs again finds the time that the ones before it had reached
+    marks = KeyedStore(spark, f"{state}/marks", "mark long, latest long", ["mark"], latest_row, buckets=1)
+    put = _batch_writer(sink)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            if _nothing(df, batch_id):
+                return
+            here = df.agg(F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("latest"), F.count(F.lit(1)).alias("votes")).first()
+            panes.append(_pane_sums(df, here["votes"], title, vote, ts, slide), batch_id)
+            before = marks.read().where(F.col("mark") < batch_id).agg(F.max("latest")).first()[0]
+            latest = max((x for x in (before, here["latest"]) if x is not None), default=None)
+            marks.append(spark.createDataFrame([(batch_id, latest)], marks.schema), batch_id)
+            # windows whose end is in (low, high]
+            low, high = (None if x is None else x - delay * 1_000_000 for x in (before, latest))
+            at, end = F.unix_micros("pane"), F.unix_micros("window_start") + size * 1_000_000
+            some = F.lit(high is not None) & (at < F.lit(high or 0)) & (F.lit(True) if low is None else at > low - size * 1_000_000)
+            closed = lambda w: w.where((end <= F.lit(high or 0)) & (F.lit(True) if low is None else end > low))
+            put(_pane_tops(panes.rows(some), _lookup(names, title, name_title, name), closed, title, n, size, step), batch_id)
+            if (batch_id + 1) % compact_every == 0:
+                # panes of days before all windows still open are read no more
+                day = "" if high is None else (_EPOCH + timedelta(microseconds=high, seconds=-size, days=-1)).strftime("%Y-%m-%d")
+                panes.compact(forget=lambda bucket: bucket < day)
+                marks.compact()
+        finally:
+            df.unpersist()
+
+    return write
+
+
 def _open_tops(votes, names, sink, title, vote, ts, length, slide, n, watermark, name_title, name, compact_every):
     size, step, delay = duration_seconds(length), duration_seconds(slide), duration_seconds(watermark)
     if size % step:
         raise ValueError("open windows need a length of whole slides")
     spark, kind = votes.sparkSession, votes.schema[title]
-    sums_store = KeyedStore(
-        spark, f"{sink}/panes", T.StructType([kind, T.StructField("pane", T.TimestampType()), T.StructField("total", T.DoubleType()),
-                                              T.StructField("count", T.LongType())]),
-        [title, "pane"], sums, F.date_format("pane", "yyyy-MM-dd"))
+    sums_store = _pane_store(spark, f"{sink}/panes", kind)
     tops, arrivals = _top_store(spark, sink, kind), _arrivals(spark, sink)
-    back = lambda k: F.expr(f"make_dt_interval(0, 0, 0, {step})") * k
-
-    def windows(df: DataFrame) -> DataFrame:
-        """Every pane once for each window that it belongs to."""
-        offsets = F.explode(F.sequence(F.lit(0), F.lit(size // step - 1)))
-        return df.withColumn("_k", offsets).withColumn("window_start", F.col("pane") - back(F.col("_k"))).drop("_k")
 
     def write(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
             if _nothing(df, batch_id):
                 return
-            own = df.groupBy(title, F.window(F.col(ts), slide).alias("_p")).agg(F.sum(vote).cast("double").alias("total"), F.count(vote).alias("count"))
-            sums_store.append(own.select(title, F.col("_p.start").alias("pane"), "total", "count"), batch_id)
             before = arrivals.read(before=batch_id).first()
             latest, seen, late = (before["latest"], before["votes"], before["late"]) if before else (None, 0, 0)
             at = F.unix_micros(F.col(ts).cast("timestamp"))
             is_late = F.lit(False) if latest is None else at < latest - delay * 1_000_000
             here = df.agg(F.max(at).alias("latest"), F.count(F.lit(1)).alias("votes"), F.count_if(is_late).alias("late")).first()
+            sums_store.append(_pane_sums(df, here["votes"], title, vote, ts, slide), batch_id)
             latest = max(filter(None, (latest, here["latest"])), default=None)
             arrivals.append(spark.createDataFrame([(1, latest, seen + here["votes"], late + here["late"])], arrivals.schema), batch_id)
-            touched = windows(df.select(F.window(F.col(ts), slide).alias("_p")).select(F.col("_p.start").alias("pane")).distinct()).select("window_start").distinct()
+            own = df.select(F.window(F.col(ts), slide)["start"].alias("pane")).distinct()
+            touched = _of_windows(own, size, step).select("window_start").distinct()
             start = F.unix_micros("window_start")
             span = touched.agg(F.min(start).alias("lo"), F.max(start).alias("hi")).first()
             inside = F.col("pane").between(*(F.timestamp_micros(F.lit(x)) for x in (span["lo"], (span["hi"] or 0) + size * 1_000_000 - 1)))
             if span["lo"] is not None:
-                avgs = (windows(sums_store.read(inside)).join(touched, "window_start", "left_semi").groupBy("window_start", title)
-                        .agg((F.sum("total") / F.sum("count")).alias("average"))
-                        .withColumn("window_end", F.col("window_start") + F.expr(f"make_dt_interval(0, 0, 0, {size})")))
-                tops.append(_ranked(with_names(avgs, _lookup(names, title, name_title, name), title, title, "name"), title, n), batch_id)
+                # one row per window, so the windows of a batch are as many as its time has slides
+                changed = lambda w: w.join(F.broadcast(touched), "window_start", "left_semi")
+                tops.append(_pane_tops(sums_store.rows(inside), _lookup(names, title, name_title, name), changed, title, n, size, step), batch_id)
             if (batch_id + 1) % compact_every == 0:
                 for store in (sums_store, tops, arrivals):
                     store.compact()
