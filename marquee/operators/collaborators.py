@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from marquee.operators.positions import positions, range_numbered
 from marquee.sinks.files import scratch_table
 
-# Questions for unions of bitmaps that one task answers for a chunk, about.
-SALT_SIGNATURES = 20_000
+# Signatures whose unions of bitmaps one task finds for a chunk (a block of their numbers), as a power of two.
+BLOCK_BITS = 14
 
 
 def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
@@ -103,68 +103,84 @@ def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str =
     if heavy_titles.isEmpty():
         return _pair_counts(m, m, title, person)
     heavy_titles = scratch_table(heavy_titles, "heavy-titles")
+    m = scratch_table(m, "members")
     light = m.join(heavy_titles, title, "left_anti")
-    sig = (m.join(heavy_titles, title, "left_semi")
-           .groupBy(person).agg(F.array_sort(F.collect_set(F.col(title))).alias("_sig")))
-    numbered = range_numbered(sig, "_sig", person, name="signatures")
-    reach = _reach(numbered)
-    via_heavy = numbered.join(reach, "_sig").select(person, (F.col("_reach") - F.lit(1)).alias("_n"))
-    return _pair_counts(m, light, title, person, numbered.select(person, "_sig"), via_heavy)
+    sig = scratch_table(m.join(heavy_titles, title, "left_semi")
+                        .groupBy(person).agg(F.array_sort(F.collect_set(F.col(title))).alias("_sig")), "signatures")
+    via_heavy = sig.join(_reach(sig), "_sig").select(person, (F.col("_reach") - F.lit(1)).alias("_n"))
+    return _pair_counts(m, light, title, person, sig, via_heavy)
 
 
-def _reach(numbered: DataFrame) -> DataFrame:
-    """``_sig, _reach``: how many people are on any title of the signature.
+def _reach(people: DataFrame) -> DataFrame:
+    """``_sig, _reach``: how many people are on any title of the signature (``people``: one row each, with ``_sig``).
 
-    Every heavy title is a set of bitmaps over the people's numbers, one per chunk of 32,768 numbers that it has
-    people in (people are numbered in the order of their signatures, which keeps a title's people together).  A signature
-    unites its titles' bitmaps chunk by chunk and counts the bits: work in proportion to signatures × their titles ×
-    chunks, never signature × signature.  A signature of one title is counted without bitmaps.
+    Only the distinct signatures are numbered, in their order, which keeps a title's together; a signature stands for as many
+    people as have it.  Every heavy title is a set of bitmaps over these numbers, one per chunk of 32,768 that it has signatures
+    in; a signature unites its titles' bitmaps chunk by chunk and adds up the people of the bits.  Work in proportion to distinct
+    signatures × their titles × chunks of distinct signatures, however many people share them; never signature × signature.
+    A signature of one title is counted without bitmaps.
     """
-    place = numbered.select(F.explode("_sig").alias("_t"), F.shiftright("_n", 15).alias("_chunk"),
-                            F.col("_n").bitwiseAND((1 << 15) - 1).alias("_bit"))
+    signatures = range_numbered(people.groupBy("_sig").agg(F.count(F.lit(1)).alias("_weight")), "_sig", name="signature-numbers")
+    chunk, bit = F.shiftright("_n", 15).alias("_chunk"), F.col("_n").bitwiseAND((1 << 15) - 1).alias("_bit")
+    place = signatures.select(F.explode("_sig").alias("_t"), chunk, bit, "_weight")
     bitmaps = scratch_table(place.groupBy("_t", "_chunk").agg(F.bitmap_construct_agg("_bit").alias("_people")), "member-bitmaps")
-    signatures = numbered.groupBy("_sig").agg(F.min("_n").alias("_id"))
-    wanted = signatures.where(F.size("_sig") > 1).select("_id", F.explode("_sig").alias("_t"))
-    asks = wanted.join(bitmaps.select("_t", "_chunk"), "_t").groupBy("_id", "_chunk").agg(F.collect_list("_t").alias("_titles"))
-    united = _unions(asks, bitmaps, max(1, wanted.select("_id").distinct().count() // SALT_SIGNATURES))
-    united = united.groupBy("_id").agg(F.sum("_count").alias("_reach"))
-    alone = place.groupBy("_t").agg(F.count(F.lit(1)).alias("_reach"))
-    several = signatures.join(united, "_id").select("_sig", "_reach")
+    # the weights as bitmaps too: slice k has the signatures whose weight has the bit k
+    slices = signatures.select(chunk, bit, F.posexplode(F.split(F.reverse(F.bin("_weight")), "")).alias("_slice", "_on"))
+    weights = slices.where("_on = '1'").groupBy("_chunk", "_slice").agg(F.bitmap_construct_agg("_bit").alias("_people"))
+    wanted = signatures.where(F.size("_sig") > 1).select(F.col("_n").alias("_id"), "_sig")
+    united = _unions(wanted, bitmaps, weights).groupBy("_id").agg(F.sum("_count").alias("_reach"))
+    alone = place.groupBy("_t").agg(F.sum("_weight").alias("_reach"))
+    several = wanted.join(united, "_id").select("_sig", "_reach")
     return several.unionByName(alone.select(F.array("_t").alias("_sig"), "_reach"))
 
 
-def _unions(asks: DataFrame, bitmaps: DataFrame, salts: int) -> DataFrame:
-    """``_id, _count``: the bits of the union of the asked titles' bitmaps (``_id, _chunk, _titles``), per chunk.
+def _unions(wanted: DataFrame, bitmaps: DataFrame, weights: DataFrame) -> DataFrame:
+    """``_id, _count``: the weight of the union of the bitmaps of each signature's titles (``_id, _sig``), per chunk.
 
-    A chunk's bitmaps go to ``salts`` tasks, each with a share of the chunk's questions; a task holds the bitmaps of one
-    chunk (4 KiB for each heavy title that has people in it) and streams the questions past them.
+    Signatures go in blocks of neighbouring numbers; a block meets a chunk only where one of its titles has signatures.  A task
+    holds a chunk's bitmaps of the block's titles (4 KiB each) and weights (4 KiB for each bit of the largest), and streams the
+    block's signatures past them.
     """
-    salt = F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int")
-    nothing = F.lit(None)
-    kind = bitmaps.schema["_t"].dataType
-    rows = bitmaps.select("_chunk", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), nothing.cast("long").alias("_id"),
-                          F.array("_t").alias("_titles"), "_people").unionByName(
-        asks.select("_chunk", salt.alias("_salt"), "_id", "_titles", nothing.cast("binary").alias("_people")))
+    block = F.shiftright("_id", BLOCK_BITS).alias("_block")
+    titles = wanted.select(F.explode("_sig").alias("_t"), "_id", block)
+    here = bitmaps.groupBy("_t").agg(F.collect_list("_chunk").alias("_chunks"))
+    listed = scratch_table(titles.join(here, "_t").groupBy("_id", "_block").agg(
+        F.collect_list("_t").alias("_titles"), F.array_distinct(F.flatten(F.collect_list("_chunks"))).alias("_chunks")), "signature-chunks")
+    asks = listed.select(F.explode("_chunks").alias("_chunk"), "_block", "_id", "_titles")
+    held = titles.select("_t", "_block").distinct().join(bitmaps, "_t")
+    met = asks.select("_chunk", "_block").distinct().join(weights, "_chunk")
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    kind = T.ArrayType(bitmaps.schema["_t"].dataType)
+    rows = (held.select("_chunk", "_block", none("long", "_id"), F.array("_t").cast(kind).alias("_titles"), none("int", "_slice"), "_people")
+            .unionByName(met.select("_chunk", "_block", none("long", "_id"), none(kind, "_titles"), "_slice", "_people"))
+            .unionByName(asks.select("_chunk", "_block", "_id", F.col("_titles").cast(kind), none("int", "_slice"), none("binary", "_people"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, {}
+        now, maps, bits, powers, matrix = None, {}, [], [], None
         for batch in batches:
             ids, counts = [], []
-            for chunk, salt, one, titles, people in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (chunk, salt) != now:
-                    now, held = (chunk, salt), {}
+            for chunk, block, one, titles, slice_, people in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (chunk, block) != now:
+                    now, maps, bits, powers, matrix = (chunk, block), {}, [], [], None
                 if people is not None:
-                    held[titles[0]] = np.frombuffer(people, np.uint64)
+                    words = np.frombuffer(people, np.uint64)
+                    if slice_ is None:
+                        maps[titles[0]] = words
+                    else:
+                        bits.append(words)
+                        powers.append(1 << slice_)
                     continue
-                union = held[titles[0]]
-                for t in titles[1:]:
-                    union = union | held[t]
+                if matrix is None:
+                    matrix, scale = np.stack(bits), np.array(powers, np.int64)
+                union = None
+                for t in titles:
+                    if (words := maps.get(t)) is not None:
+                        union = words if union is None else union | words
                 ids.append(one)
-                counts.append(int(np.bitwise_count(union).sum()))
+                counts.append(int(np.bitwise_count(matrix & union).sum(axis=1, dtype=np.int64) @ scale))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], names=["_id", "_count"])
 
-    rows = rows.withColumn("_titles", F.col("_titles").cast(T.ArrayType(kind)))
-    dealt = rows.repartition("_chunk", "_salt").sortWithinPartitions("_chunk", "_salt", F.col("_people").isNull())
+    dealt = rows.repartition("_chunk", "_block").sortWithinPartitions("_chunk", "_block", F.col("_people").isNull())
     return dealt.mapInArrow(run, "_id long, _count long")
 
 
