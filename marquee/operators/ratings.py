@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Once |vote - average| / (n + 1) stays below this, a rounded step cannot
 # move the average (it would need 0.05); the margin absorbs float error.
 _STILL = 0.049
+# Votes of one task, about: the number of tasks follows the votes, not the session's setting.
+TASK_ROWS = 1_000_000
 
 
 def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
@@ -48,19 +50,23 @@ def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
     return j.select(title, new_avg.cast("double").alias(avg), new_n.cast("long").alias(n))
 
 
-def _first_votes(v: DataFrame, limits: DataFrame, key: str, order: list[str], salt_buckets: int) -> DataFrame:
+def _first_votes(v: DataFrame, limits: DataFrame, key: str, order: list[str], salt_buckets: int, tasks: int) -> DataFrame:
     """Votes with their title's ``_m, _s, _c`` (``limits``), less those that can't be among its first ``_m`` in ``order``.
 
     Cut per (title, bucket) of a hash of the order columns, so a title with very many votes is cut by many tasks; the
-    first votes of a title are among the first of its buckets.
+    first votes of a title are among the first of its buckets.  The limits of titles with more votes than a task takes (fewer than
+    ``tasks``) are broadcast.
     """
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))
     w = Window.partitionBy(key, "_salt").orderBy(*[F.asc(c) for c in order])
-    salted = v.join(limits, key).withColumn("_salt", salt).withColumn("_rn", F.row_number().over(w))
+    hot = limits.where(F.col("_k") > TASK_ROWS)
+    rest = v.join(F.broadcast(hot.select(key)), key, "left_anti").repartition(tasks, key).join(limits.repartition(tasks, key), key)
+    both = rest.unionByName(v.join(F.broadcast(hot), key).select(*rest.columns)).drop("_k")
+    salted = both.withColumn("_salt", salt).repartition(tasks, key, "_salt").withColumn("_rn", F.row_number().over(w))
     return salted.where(F.col("_rn") <= F.col("_m")).drop("_rn", "_salt")
 
 
-def _fold_stream(first: DataFrame, title: str, vote: str, order: list[str]) -> DataFrame:
+def _fold_stream(first: DataFrame, title: str, vote: str, order: list[str], tasks: int) -> DataFrame:
     """``title, _folded``: the rounded fold over each title's first ``_m`` votes, as one pass over sorted rows.
 
     A task holds one Arrow batch and the running mean of one title, whatever the title's votes and their range.
@@ -84,7 +90,7 @@ def _fold_stream(first: DataFrame, title: str, vote: str, order: list[str]) -> D
         if now is not None:
             yield pa.RecordBatch.from_arrays([pa.array([now], batch.schema.field(0).type), pa.array([mean], pa.float64())], names=[title, "_folded"])
 
-    rows = first.repartition(title).sortWithinPartitions(title, *[F.asc(c) for c in order])
+    rows = first.repartition(tasks, title).sortWithinPartitions(title, *[F.asc(c) for c in order])
     kind = first.schema[title].dataType.simpleString()
     return rows.select(title, F.col(vote).cast("double"), "_m", "_s", "_c").mapInArrow(run, f"{title} {kind}, _folded double")
 
@@ -112,8 +118,9 @@ def _rounded_fold(base: DataFrame, v: DataFrame, title: str, avg: str, n: str,
     need = F.greatest(F.lit(1), F.ceil((hi - lo + F.lit(0.2)) / F.lit(_STILL)) - n0 + F.lit(1)).cast("long")
     j = j.select(title, avg, n, "_k", F.when(F.col("_k").isNotNull(), need).alias("_m"))
 
-    limits = j.where(F.col("_k").isNotNull()).select(title, "_m", a0.alias("_s"), n0.alias("_c"))
-    folded = _fold_stream(_first_votes(v, limits, title, order, salt_buckets), title, vote, order)
+    limits = j.where(F.col("_k").isNotNull()).select(title, "_m", a0.alias("_s"), n0.alias("_c"), "_k")
+    tasks = max(1, -(-v.count() // TASK_ROWS))
+    folded = _fold_stream(_first_votes(v, limits, title, order, salt_buckets, tasks), title, vote, order, tasks)
     out = j.join(folded, title, "left")
     new_avg = F.when(F.col("_k").isNull(), F.col(avg)).otherwise(F.col("_folded"))
     new_n = n0 + F.coalesce(F.col("_k"), F.lit(0))
