@@ -15,6 +15,19 @@ from marquee.sinks.files import scratch_table
 
 # Signatures whose unions of bitmaps one task finds for a chunk (a block of their numbers), as a power of two.
 BLOCK_BITS = 14
+# Members or pairs of one task, about: the number of tasks follows them, not the session's setting.
+TASK_ROWS = 2_000_000
+
+
+def _tasks(rows: int | None) -> int:
+    return max(1, -(-(rows or 0) // TASK_ROWS))
+
+
+def _pair_tasks(members: DataFrame, title: str) -> tuple[int, int]:
+    """Tasks for the members and for all pairs of people of a title."""
+    sizes = members.groupBy(title).agg(F.count(F.lit(1)).alias("_size"))
+    here = sizes.agg(F.sum("_size").alias("rows"), F.sum(F.col("_size") * (F.col("_size") - 1)).alias("pairs")).first()
+    return _tasks(here["rows"]), _tasks(here["pairs"])
 
 
 def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
@@ -63,7 +76,9 @@ def collaborator_pairs(credits: DataFrame, title: str = "tconst", person: str =
     m = _members(credits, title, person, where)
     heavy = _heavy_titles(_filtered(credits, where), title, heavy_size)
     light = m.join(heavy.select(title), title, "left_anti")
-    light_pairs = light.join(light.select(F.col(title), F.col(person).alias(other)), title)
+    row_tasks, pair_tasks = _pair_tasks(light, title)
+    dealt = light.repartition(row_tasks, title)
+    light_pairs = dealt.join(dealt.select(F.col(title), F.col(person).alias(other)), title)
 
     tagged = m.join(heavy, title, "inner").withColumn(
         "_buckets", F.ceil(F.col("_size") / F.lit(heavy_size)).cast("int"))
@@ -72,12 +87,11 @@ def collaborator_pairs(credits: DataFrame, title: str = "tconst", person: str =
                           F.explode(F.sequence(F.lit(0), F.col("_buckets") - F.lit(1))).alias("_b"))
     heavy_pairs = left.join(right, [title, "_b"]).drop("_b")
 
-    return (
-        light_pairs.unionByName(heavy_pairs)
-        .where(F.col(person) != F.col(other))
-        .select(person, other)
-        .distinct()
-    )
+    distinct = lambda pairs: pairs.where(F.col(person) != F.col(other)).select(person, other)
+    light_pairs = distinct(light_pairs).repartition(pair_tasks, person, other).distinct()
+    if heavy.isEmpty():
+        return light_pairs
+    return light_pairs.unionByName(distinct(heavy_pairs)).distinct()
 
 
 def collaborator_counts(credits: DataFrame, title: str = "tconst", person: str = "nconst",
@@ -187,9 +201,11 @@ def _unions(wanted: DataFrame, bitmaps: DataFrame, weights: DataFrame) -> DataFr
 def _pair_counts(members: DataFrame, light: DataFrame, title: str, person: str, sig: DataFrame | None = None,
                  via_heavy: DataFrame | None = None) -> DataFrame:
     """Co-workers met on light titles, unless two signatures share a title, plus those met through heavy ones."""
-    right = light.select(F.col(title), F.col(person).alias("_other"))
-    pairs = (light.join(right, title, "inner").where(F.col(person) != F.col("_other"))
-             .select(person, "_other").distinct())
+    row_tasks, pair_tasks = _pair_tasks(light, title)
+    dealt = light.repartition(row_tasks, title)
+    right = dealt.select(F.col(title), F.col(person).alias("_other"))
+    pairs = (dealt.join(right, title, "inner").where(F.col(person) != F.col("_other"))
+             .select(person, "_other").repartition(pair_tasks, person, "_other").distinct())
     if sig is not None:
         other_sig = sig.select(F.col(person).alias("_other"), F.col("_sig").alias("_osig"))
         pairs = (pairs.join(sig, person, "left").join(other_sig, "_other", "left")
@@ -211,4 +227,8 @@ def collaborator_sets(credits: DataFrame, title: str = "tconst", person: str = "
     pairs = collaborator_pairs(credits, title, person, where, other=other, heavy_size=heavy_size)
     people = _members(credits, title, person, where).select(
         F.col(person), F.lit(None).cast(pairs.schema[other].dataType).alias(other))
-    return positions(pairs.unionByName(people), person, other, heavy_size=heavy_set)
+    # a person has at most as many co-workers as the titles' other credits: known without the pairs, which are then made once
+    rows = _filtered(credits, where).select(title, person).where(F.col(title).isNotNull() & F.col(person).isNotNull())
+    sizes = rows.groupBy(title).agg((F.count(F.lit(1)) - 1).alias("_others"))
+    bounds = rows.distinct().join(sizes, title).groupBy(person).agg(F.sum("_others").alias("_most"))
+    return positions(pairs.unionByName(people), person, other, heavy_size=heavy_set, most=bounds)

@@ -29,7 +29,8 @@ def range_numbered(df: DataFrame, *order: str, name: str = "numbered") -> DataFr
     return scratch_table(sorted_ranges.withColumn("_n", F.monotonically_increasing_id()), name)
 
 
-def positions(df: DataFrame, key: str, item: str, distinct: bool = False, heavy_size: int = 100_000) -> DataFrame:
+def positions(df: DataFrame, key: str, item: str, distinct: bool = False, heavy_size: int = 100_000,
+              most: DataFrame | None = None) -> DataFrame:
     """``key, pos, item, n_items``: every item of a key with its place (1, 2, …) in the item order.
 
     One shape at every size.  Repeated items take neighbouring places; ``distinct`` leaves one of them.  A NULL item adds
@@ -39,8 +40,18 @@ def positions(df: DataFrame, key: str, item: str, distinct: bool = False, heavy_
     items are counted, dealt by ranges of (key, item) over all tasks, numbered inside their range, and the counts
     of a key's earlier ranges are added (prefix sums over one row per key and range).  So no task holds
     more of a hot key than a range, and a hot pair is counted before it is dealt.
+
+    ``most`` (``key, _most``: every key, with no fewer than its items) spares counting the items of costly rows beforehand: keys
+    are larger by it, and all others take one window over the rows, evaluated once.
     """
     pairs = df.select(F.col(key), F.col(item)).where(F.col(key).isNotNull())
+    if most is not None:
+        large = most.where(F.col("_most") > heavy_size).select(key)
+        if large.isEmpty():
+            return _by_window(pairs, key, item, distinct)
+        large = scratch_table(large, "heavy-keys")
+        pairs, rest = pairs.join(large, key, "left_semi"), pairs.join(large, key, "left_anti")
+        return _by_window(rest, key, item, distinct).unionByName(positions(pairs, key, item, distinct, heavy_size))
     sizes = pairs.groupBy(key).agg(F.count(F.col(item)).alias("n_items"))
     without = sizes.where("n_items = 0").select(
         key, F.lit(None).cast("long").alias("pos"), F.lit(None).cast(pairs.schema[item].dataType).alias(item), "n_items")
@@ -56,8 +67,11 @@ def positions(df: DataFrame, key: str, item: str, distinct: bool = False, heavy_
 def _by_window(items: DataFrame, key: str, item: str, distinct: bool) -> DataFrame:
     rows = items.distinct() if distinct else items
     per_key = Window.partitionBy(key)
-    return rows.select(key, F.row_number().over(per_key.orderBy(item)).cast("long").alias("pos"), item,
-                       F.count(F.lit(1)).over(per_key).alias("n_items"))
+    placed = rows.select(key, F.row_number().over(per_key.orderBy(F.asc_nulls_last(item))).cast("long").alias("pos"), item,
+                         F.count(item).over(per_key).alias("n_items"))
+    # of NULL items one row stays, without a place, where a key has no others
+    kept = placed.where(F.col(item).isNotNull() | ((F.col("n_items") == 0) & (F.col("pos") == 1)))
+    return kept.select(key, F.when(F.col(item).isNotNull(), F.col("pos")).alias("pos"), item, "n_items")
 
 
 def _by_ranges(items: DataFrame, key: str, item: str, distinct: bool) -> DataFrame:
