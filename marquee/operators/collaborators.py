@@ -37,7 +37,7 @@ def _filtered(credits: DataFrame, where: Column | None) -> DataFrame:
 def _members(credits: DataFrame, title: str, person: str, where: Column | None, unique: bool = False) -> DataFrame:
     """Distinct ``(title, person)`` of the (filtered) credits; ``unique``: they are distinct already."""
     rows = _filtered(credits, where).select(title, person).where(F.col(title).isNotNull() & F.col(person).isNotNull())
-    return rows if unique else rows.distinct()
+    return rows if unique else rows.repartition(_tasks(rows.count()), title, person).distinct()
 
 
 def _heavy_titles(credits: DataFrame, title: str, heavy_size: int) -> DataFrame:
