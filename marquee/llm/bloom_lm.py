@@ -13,8 +13,10 @@
 * P(w | v) = (c(v w) + MU · P(w)) / (c(v) + MU),  P(w) = (c(w) + 1) / (N + V + 1),
   every count read from the filter.
 * A filter of at most ``BROADCAST_BYTES`` is broadcast.  A larger one stays a table of shards: the distinct n-grams of
-  each chunk of texts are sent to their shards, which answer with levels, and the chunk is scored
-  with the answers.  Both forms read the same filter and give the same scores.
+  each chunk of texts are sent to groups of neighbouring shards, one row a group, which answer with levels, and the
+  chunk is scored with the answers.  A group probes the rows of a batch together, so the work grows with the n-grams
+  asked for, not with chunks times shards.  The chunk's texts travel along, compressed.  Both forms read the same
+  filter and give the same scores.
 
 The base score needs exact counts: those of at most ``HEAD`` frequent words
 are broadcast (a bounded table), all other tokens are joined to the
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import most_frequent, written
+from marquee.llm.common import most_frequent, scope, written
 from marquee.llm.hashing import NOT_SPACE, mix, word_blocks
 
 HEAD = 1 << 18
@@ -43,7 +45,11 @@ LEAST_SHARD_BITS = 12
 BROADCAST_BYTES = 192 << 20
 #: Distinct n-grams that a task holds before it hands them on.
 TASK_NGRAMS = 1 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
+#: Shards are asked by groups: at least 2^LEAST_GROUP_BITS groups, of at most 2^GROUP_SHARD_BITS shards beyond that.
+LEAST_GROUP_BITS, GROUP_SHARD_BITS = 10, 3
+#: Names probed at once: their arrays stay in the cache.
+PROBED = 1 << 15
 MU = 4.0
 TOP_LEVEL = 48
 END = np.uint64(0x5851F42D4C957F2D)
@@ -82,12 +88,10 @@ def _split(key: np.ndarray, shard_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (key >> np.uint64(64 - shard_bits)).astype(np.int64), (key >> _DROP) & _LOW
 
 
-def _places(name: np.ndarray, level: int, size: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
-    """The bits of the names at a level, within shards of ``size`` bits."""
-    x = mix(name | np.uint64(level << 32))
-    a, b = x & _LOW, (x >> np.uint64(32)) | np.uint64(1)
-    for i in range(PROBES):
-        yield ((a + np.uint64(i) * b) % size).astype(np.int64)
+def _place(hash_of: np.ndarray, i: int, size: np.ndarray | np.uint64) -> np.ndarray:
+    """The ``i``-th bit of names with that hash at their level, within shards of ``size`` bits."""
+    a, b = hash_of & _LOW, (hash_of >> np.uint64(32)) | np.uint64(1)
+    return ((a + np.uint64(i) * b) % size).astype(np.int64)
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
@@ -100,24 +104,31 @@ def shard_filter(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
     size = 8 * max(1, -(-int(levels.sum()) * BITS // 8))
     bits = np.zeros(size, np.uint8)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for at in _places(names[levels >= level], level, np.uint64(size)):
-            bits[at] = 1
+        hash_of = mix(names[levels >= level] | np.uint64(level << 32))
+        for i in range(PROBES):
+            bits[_place(hash_of, i, np.uint64(size))] = 1
     return np.packbits(bits, bitorder="little")
 
 
 def probe(data: np.ndarray, name: np.ndarray, offset: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Levels of the names; ``offset`` and ``size`` (bytes and bits of its shard) for each."""
     level = np.zeros(len(name), np.int64)
+    for lo in range(0, len(name), PROBED):
+        _probe(data, *(x[lo:lo + PROBED] for x in (name, offset, size, level)))
+    return level
+
+
+def _probe(data: np.ndarray, name: np.ndarray, offset: np.ndarray, size: np.ndarray, level: np.ndarray) -> None:
     live = np.flatnonzero(size)
     for step in range(1, TOP_LEVEL + 1):
-        hit = np.ones(len(live), bool)
-        for at in _places(name[live], step, size[live].astype(np.uint64)):
-            hit &= ((data[offset[live] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-        live = live[hit]
+        hash_of, start, bits = mix(name[live] | np.uint64(step << 32)), offset[live], size[live].astype(np.uint64)
+        for i in range(PROBES):
+            at = _place(hash_of, i, bits)
+            hit = np.flatnonzero((data[start + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1)
+            live, hash_of, start, bits = live[hit], hash_of[hit], start[hit], bits[hit]
         if not len(live):
             break
         level[live] = step
-    return level
 
 
 def estimate(level: np.ndarray) -> np.ndarray:
@@ -145,13 +156,23 @@ class CountFilter:
 
 
 class Answers:
-    """The levels of a chunk's n-grams, as the shards answered."""
+    """The levels of a chunk's n-grams, as the shards answered; ``short``: their keys in order, without the low bits."""
 
     def __init__(self, short: np.ndarray, level: np.ndarray):
         self.short, self.level = short, level
+        bits = len(short).bit_length()  # keys are hashes: about one in each bucket of their top bits
+        self.down = np.uint64(64 - int(_DROP) - bits)
+        held = np.bincount((short >> self.down).astype(np.int64), minlength=1 << bits)
+        self.first = np.cumsum(held) - held
 
     def counts(self, key: np.ndarray) -> np.ndarray:
-        return estimate(self.level[np.searchsorted(self.short, key >> _DROP)].astype(np.int64))
+        short = key >> _DROP
+        at = self.first[(short >> self.down).astype(np.int64)]
+        live = np.flatnonzero(self.short[at] != short)
+        while len(live):
+            at[live] += 1
+            live = live[self.short[at[live]] != short[live]]
+        return estimate(self.level[at].astype(np.int64))
 
 
 def _summed(blocks: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -231,9 +252,9 @@ def filter_shards(texts: DataFrame, shard_bits: int) -> DataFrame:
             .groupBy("shard").applyInArrow(build, "shard int, bits binary"))
 
 
-def text_scores(tokens, before, bounds, counts: CountFilter | Answers, n: int, v: int) -> np.ndarray:
-    """log10 probability of each row of one block."""
-    words, at = np.unique(tokens, return_inverse=True)
+def text_scores(block, words, at, counts: CountFilter | Answers, n: int, v: int) -> np.ndarray:
+    """log10 probability of each row of one block, whose tokens are ``words[at]``."""
+    _, tokens, bounds, before = block
     c1 = counts.counts(unigram_key(words))
     c_end = counts.counts(unigram_key(np.array([END])))[0]
     p1 = ((c1 + 1) / (n + v + 1))[at]
@@ -253,12 +274,14 @@ SCORED = "row long, doc_id long, held_out boolean, word long, n long, known long
 def _block_rows(head, block, columns, score_of: Callable) -> pa.RecordBatch:
     """A block's rows: one per text (``word`` NULL), and one per distinct word of a text that isn't in the head."""
     hw, hc, log_head = head
-    lo, tokens, bounds, before = block
+    lo, tokens, bounds, _ = block
     m = len(bounds) - 1
     row = np.repeat(np.arange(m), np.diff(bounds))
     signed = tokens.view(np.int64)
-    at = np.minimum(np.searchsorted(hw, signed), max(0, len(hw) - 1))
-    known = hw[at] == signed if len(hw) else np.zeros(len(tokens), bool)
+    words, word_at = np.unique(tokens, return_inverse=True)
+    at = np.minimum(np.searchsorted(hw, words.view(np.int64)), max(0, len(hw) - 1))
+    known = (hw[at] == words.view(np.int64) if len(hw) else np.zeros(len(words), bool))[word_at]
+    at = at[word_at]
     logs = np.bincount(row[known], weights=log_head[at[known]], minlength=m)
     pair = np.stack([row[~known], signed[~known]])
     by = np.lexsort(pair[::-1])
@@ -274,7 +297,7 @@ def _block_rows(head, block, columns, score_of: Callable) -> pa.RecordBatch:
         pa.array(np.r_[np.diff(bounds), tf]),
         pa.array(np.r_[np.bincount(row[known], minlength=m), np.zeros(k, np.int64)]),
         pa.array(np.r_[logs, np.zeros(k)]),
-        pa.array(np.r_[score_of(tokens, before, bounds), np.zeros(k)])],
+        pa.array(np.r_[score_of(block, words, word_at), np.zeros(k)])],
         ["row", "doc_id", "held_out", "word", "n", "known", "logs", "score"])
 
 
@@ -289,96 +312,179 @@ def _with_broadcast(src: DataFrame, shards: DataFrame, shard_bits: int, sent_hea
         counts, head = CountFilter(*sent.value), (hw, hc, np.log10(hc + 1.0))
         for batch in batches:
             for block in token_blocks(batch.column(3)):
-                yield _block_rows(head, block, batch.columns[:3], lambda t, b, at: text_scores(t, b, at, counts, n, v))
+                yield _block_rows(head, block, batch.columns[:3], lambda b, w, at: text_scores(b, w, at, counts, n, v))
 
     return src.mapInArrow(run, SCORED)
 
 
-def _with_shards(src: DataFrame, shards: DataFrame, shard_bits: int, sent_head, n: int, v: int) -> DataFrame:
-    """Texts in chunks; a chunk's distinct n-grams go to their shards and come back as levels."""
+def _group_bits(shard_bits: int) -> int:
+    return min(shard_bits, max(LEAST_GROUP_BITS, shard_bits - GROUP_SHARD_BITS))
 
-    def wanted(texts: pa.Array) -> np.ndarray:
-        keys = [np.unique(_ngrams(t, b) >> _DROP) for _, t, _, b in token_blocks(texts)]
-        return np.unique(np.concatenate([*keys, unigram_key(np.array([END])) >> _DROP]))
 
-    names = ["chunk", "shard", "row", "doc_id", "held_out", "text", "names"]
+def _sorted_once(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
 
-    def ask(batches):
-        base, chunks = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            texts = batch.column(3)
-            length = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            lo = 0
-            while lo < batch.num_rows:
-                hi = max(lo + 1, int(np.searchsorted(length, (length[lo - 1] if lo else 0) + CHUNK_BYTES)))
-                k, chunk = hi - lo, base + chunks
-                chunks += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * k, pa.int64()), pa.array([-1] * k, pa.int32()), *(c.slice(lo, k) for c in batch.columns),
-                     pa.nulls(k, pa.binary())], names)
-                short = wanted(texts.slice(lo, k))
-                key = short << _DROP
-                name = (short & _LOW).astype("<u4")
-                rows = [(s, name[x:y].tobytes()) for s, x, y in _cut(key, shard_bits)]
-                m = len(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * m, pa.int64()), pa.array([s for s, _ in rows], pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                     pa.nulls(m, pa.bool_()), pa.nulls(m, texts.type), pa.array([x for _, x in rows], pa.binary())], names)
+
+def wanted(blocks) -> np.ndarray:
+    """The distinct n-grams of token blocks, in order, without the bits that no name or shard keeps."""
+    keys = [_sorted_once(_ngrams(t, v) >> _DROP) for _, t, _, v in blocks]
+    return _sorted_once(np.concatenate([*keys, unigram_key(np.array([END])) >> _DROP]))
+
+
+def _binaries(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values that hold ``data[edges[i]:edges[i + 1]]`` each."""
+    offsets = edges * data.itemsize
+    if len(offsets) and offsets[-1] >= 1 << 31:
+        raise ValueError("a text is too long for one chunk")
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _values(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """(all values of a binary column without NULLs, how many of them each row has)."""
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    width = np.dtype(dtype).itemsize
+    values = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(dtype) if data is not None else np.zeros(0, dtype)
+    return values, np.diff(offsets) // width
+
+
+def chunks_of(batches, most: int | None = None) -> Iterator[pa.Table]:
+    """The rows in order, in tables of about ``most`` bytes of the column ``text``; at least one row each."""
+    most = most or CHUNK_BYTES
+    held, size = [], 0
+    for batch in batches:
+        length = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, lo = np.cumsum(length), 0
+        while lo < batch.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = min(batch.num_rows, int(np.searchsorted(ends, before + most - size, "right")))
+            if hi == lo and not held:
+                hi = lo + 1
+            if hi > lo:
+                held.append(batch.slice(lo, hi - lo))
+                size += int(ends[hi - 1]) - before
                 lo = hi
+            if lo < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+ASKED = "part long, chunk long, shard int, sizes binary, names binary, bits binary, text binary"
+
+
+def questions(chunk: int, table: pa.Table, shard_bits: int) -> Iterator[pa.RecordBatch]:
+    """A row with the chunk's rows, compressed (``part`` below 0), and one for each group of shards that has n-grams of it."""
+    names = [x.split()[0] for x in ASKED.split(", ")]
+
+    def rows(m: int, **own) -> pa.RecordBatch:
+        none = {"part": pa.int64(), "chunk": pa.int64(), "shard": pa.int32()}
+        return pa.RecordBatch.from_arrays([own.get(c, pa.nulls(m, none.get(c, pa.binary()))) for c in names], names)
+
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+        to.write_table(table)
+    yield rows(1, part=pa.array([-1 - chunk], pa.int64()), chunk=pa.array([chunk], pa.int64()), text=pa.array([out.getvalue().to_pybytes()], pa.binary()))
+    short = wanted(token_blocks(table.column("text").combine_chunks()))
+    shards, groups = 1 << shard_bits, 1 << _group_bits(shard_bits)
+    edges = np.searchsorted(short, np.arange(shards, dtype=np.uint64) << np.uint64(64 - int(_DROP) - shard_bits))
+    edges = np.r_[edges, len(short)]
+    ends = edges[::shards // groups]
+    some = pa.array(np.flatnonzero(np.diff(ends)))
+    yield rows(len(some), part=some, chunk=pa.array(np.full(len(some), chunk)),
+               sizes=_binaries(np.diff(edges).astype("<u4"), np.arange(groups + 1) * (shards // groups)).take(some),
+               names=_binaries((short & _LOW).astype("<u4"), ends).take(some))
+
+
+ANSWERED = "chunk long, part long, levels binary, text binary"
+
+
+def answers(batches, shard_bits: int) -> Iterator[pa.RecordBatch]:
+    """The levels of the names of each question, in their order; a group's shards stand before its questions, texts pass."""
+    each = 1 << (shard_bits - _group_bits(shard_bits))
+    now, shards = None, {}
+    data, offset, size = (np.zeros(0, t) for t in (np.uint8, np.int64, np.int64))
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        edges = np.flatnonzero(np.diff(part, prepend=part[:1] - 1)).tolist()
+        for lo, hi in zip(edges, [*edges, len(part)][1:], strict=True):
+            run = batch.slice(lo, hi - lo)
+            if part[lo] < 0:
+                yield pa.RecordBatch.from_arrays([run.column("chunk"), run.column("part"), pa.nulls(run.num_rows, pa.binary()), run.column("text")],
+                                                 ["chunk", "part", "levels", "text"])
+                continue
+            if part[lo] != now:
+                now, shards, data = part[lo], {}, None
+            own = run.filter(pc.is_null(run.column("chunk")))
+            shards.update(zip(own.column("shard").to_pylist(), own.column("bits").to_pylist(), strict=True))
+            asked = run.slice(own.num_rows)
+            if not asked.num_rows:
+                continue
+            if data is None:
+                parts = [shards.get(int(now) * each + i, b"") for i in range(each)]
+                size = np.array([len(x) for x in parts])
+                offset, size, data = np.cumsum(size) - size, size * 8, np.frombuffer(b"".join(parts), np.uint8)
+                shards = {}
+            name, n = _values(asked.column("names"), "<u4")
+            at = np.repeat(np.tile(np.arange(each), asked.num_rows), _values(asked.column("sizes"), "<u4")[0])
+            level = probe(data, name.astype(np.uint64), offset[at], size[at]).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([asked.column("chunk"), asked.column("part"), _binaries(level, np.r_[0, np.cumsum(n)]),
+                                              pa.nulls(asked.num_rows, pa.binary())], ["chunk", "part", "levels", "text"])
+
+
+def _answered(batches) -> Iterator[tuple[list[pa.Array], list, Answers]]:
+    """(columns, token blocks, levels) of each chunk; its text stands first, then the groups in order."""
+    now, text, levels = None, None, []
+
+    def whole() -> tuple[list[pa.Array], list, Answers]:
+        with pa.ipc.open_stream(text) as read:
+            *columns, texts = (c.combine_chunks() for c in read.read_all().columns)
+        blocks, level = list(token_blocks(texts)), np.frombuffer(b"".join(levels), np.uint8)
+        short = wanted(blocks)
+        if len(short) != len(level):
+            raise ValueError(f"{len(level)} answers to {len(short)} questions")
+        return columns, blocks, Answers(short, level)
+
+    for batch in batches:
+        for chunk, own, level in zip(batch.column("chunk").to_pylist(), batch.column("text"), batch.column("levels"), strict=True):
+            if chunk != now:
+                if now is not None:
+                    yield whole()
+                now, text, levels = chunk, None, []
+            if own.is_valid:
+                text = own.as_buffer()
+            else:
+                levels.append(level.as_py())
+    if now is not None:
+        yield whole()
+
+
+def _with_shards(src: DataFrame, shards: DataFrame, shard_bits: int, sent_head, n: int, v: int) -> DataFrame:
+    """Texts in chunks; a chunk's distinct n-grams go to their shards and come back as levels."""
+
+    def ask(batches):
+        base = TaskContext.get().partitionId() << 32
+        for i, table in enumerate(chunks_of(batches)):
+            yield from questions(base + i, table, shard_bits)
 
     def answer(batches):
-        now, data = -1, np.zeros(0, np.uint8)
-        for batch in batches:
-            out = []
-            for shard, chunk, asked, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if chunk is None:  # the shard stands before its questions
-                    now, data = shard, np.frombuffer(bits, np.uint8)
-                    continue
-                name = np.frombuffer(asked, "<u4").astype(np.uint64)
-                size = len(data) * 8 if shard == now else 0
-                zero = np.zeros(len(name), np.int64)
-                out.append((chunk, shard, probe(data, name, zero, zero + size).astype(np.uint8).tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                                                 ["chunk", "shard", "levels"])
+        yield from answers(batches, shard_bits)
 
     def scored(batches):
         hw, hc = sent_head.value
         head = (hw, hc, np.log10(hc + 1.0))
-        now, levels, held = None, [], []
-
-        def done():
-            texts = pa.Table.from_batches(held).combine_chunks()
-            columns = [texts.column(c).combine_chunks() for c in ("row", "doc_id", "held_out")]
-            counts = Answers(wanted(texts.column("text").combine_chunks()), np.frombuffer(b"".join(levels), np.uint8))
-            for block in token_blocks(texts.column("text").combine_chunks()):
-                yield _block_rows(head, block, columns, lambda t, b, at: text_scores(t, b, at, counts, n, v))
+        for columns, blocks, counts in _answered(batches):
+            for block in blocks:
+                yield _block_rows(head, block, columns, lambda b, w, at: text_scores(b, w, at, counts, n, v))
 
-        for batch in batches:
-            chunks = batch.column("chunk").to_numpy()
-            edges = np.flatnonzero(np.diff(chunks, prepend=-1)).tolist()
-            for lo, hi in zip(edges, [*edges, len(chunks)][1:], strict=True):
-                if chunks[lo] != now:
-                    if held:
-                        yield from done()
-                    now, levels, held = chunks[lo], [], []
-                part = batch.slice(lo, hi - lo)
-                levels += [x for x in part.column("levels").to_pylist() if x is not None]
-                texts = part.filter(pc.is_null(part.column("levels")))
-                if texts.num_rows:
-                    held.append(texts)
-        if held:
-            yield from done()
-
-    kept = written(src.mapInArrow(ask, "chunk long, shard int, row long, doc_id long, held_out boolean, text string, names binary"), "lm-chunks")
-    nothing = F.lit(None).cast("binary")
-    questions = kept.where("shard >= 0").select("shard", "chunk", "names", nothing.alias("bits"))
-    bits = shards.select("shard", F.lit(None).cast("long").alias("chunk"), nothing.alias("names"), "bits")
-    answers = (questions.unionByName(bits).repartition("shard").sortWithinPartitions("shard", "chunk")
-               .mapInArrow(answer, "chunk long, shard int, levels binary"))
-    texts = kept.where("shard < 0").drop("names").withColumn("levels", nothing)
-    both = texts.unionByName(answers, allowMissingColumns=True).repartition("chunk")
-    return both.sortWithinPartitions("chunk", F.col("levels").isNull(), "shard").mapInArrow(scored, SCORED)
+    group = F.shiftright("shard", shard_bits - _group_bits(shard_bits)).cast("long")
+    bits = shards.select(group.alias("part"), "shard", "bits")
+    asked = src.mapInArrow(ask, ASKED).unionByName(bits, allowMissingColumns=True).repartition("part")
+    told = asked.sortWithinPartitions("part", F.col("chunk").asc_nulls_first()).mapInArrow(answer, ANSWERED)
+    return told.repartition("chunk").sortWithinPartitions("chunk", "part").mapInArrow(scored, SCORED)
 
 
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
@@ -394,17 +500,20 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                       F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     train = src.where("NOT held_out").select("text")
-    words = written(word_counts(train), "lm-words")
+    with scope(spark):  # its end drops the shuffle files
+        words = written(word_counts(train), "lm-words", outer=True)
     total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = int(total["n"] or 0), int(total["v"])
     head = most_frequent(words, HEAD, "c").toArrow()
     order = np.argsort(hw := head.column("word").to_numpy())
     sent = spark.sparkContext.broadcast((hw[order], head.column("c").to_numpy()[order]))
     shard_bits = shard_bits_for(n)
-    shards = written(filter_shards(train, shard_bits), "lm-shards")
+    with scope(spark):
+        shards = written(filter_shards(train, shard_bits), "lm-shards", outer=True)
     size = shards.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
     form = _with_broadcast if size <= broadcast_bytes else _with_shards
-    scored = written(form(src, shards, shard_bits, sent, n, v), "lm-scored")
+    with scope(spark):
+        scored = written(form(src, shards, shard_bits, sent, n, v), "lm-scored", outer=True)
     rare = scored.where("word IS NOT NULL").select("row", "word", "n").join(words, "word").groupBy("row").agg(
         F.sum("n").alias("_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("_logs"))
     out = scored.where("word IS NULL").join(rare, "row", "left")
