@@ -45,7 +45,7 @@ LEAST_SHARD_BITS = 12
 BROADCAST_BYTES = 192 << 20
 #: Distinct n-grams that a task holds before it hands them on.
 TASK_NGRAMS = 1 << 20
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Shards are asked by groups: at least 2^LEAST_GROUP_BITS groups, of at most 2^GROUP_SHARD_BITS shards beyond that.
 LEAST_GROUP_BITS, GROUP_SHARD_BITS = 10, 3
 #: Names probed at once: their arrays stay in the cache.
@@ -162,12 +162,12 @@ class Answers:
         self.short, self.level = short, level
         bits = len(short).bit_length()  # keys are hashes: about one in each bucket of their top bits
         self.down = np.uint64(64 - int(_DROP) - bits)
-        held = np.bincount((short >> self.down).astype(np.int64), minlength=1 << bits)
-        self.first = np.cumsum(held) - held
+        self.first = np.cumsum(np.bincount((short >> self.down).astype(np.int64), minlength=1 << bits), dtype=np.int32)
+        self.first = np.concatenate([np.zeros(1, np.int32), self.first[:-1]])
 
     def counts(self, key: np.ndarray) -> np.ndarray:
         short = key >> _DROP
-        at = self.first[(short >> self.down).astype(np.int64)]
+        at = self.first[(short >> self.down).astype(np.int64)].astype(np.int64)
         live = np.flatnonzero(self.short[at] != short)
         while len(live):
             at[live] += 1
@@ -322,7 +322,8 @@ def _group_bits(shard_bits: int) -> int:
 
 
 def _sorted_once(x: np.ndarray) -> np.ndarray:
-    x = np.sort(x)
+    """The distinct values in order; ``x`` itself is sorted."""
+    x.sort()
     return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
 
 
