@@ -50,18 +50,23 @@ def update_ratings(ratings: DataFrame, votes: DataFrame, title: str = "tconst",
     return j.select(title, new_avg.cast("double").alias(avg), new_n.cast("long").alias(n))
 
 
+def known_size(few: DataFrame) -> DataFrame:
+    """A few rows, computed once and held by the plan, so Spark knows their size and broadcasts them only if it is small."""
+    return few.sparkSession.createDataFrame(few.toArrow(), few.schema)
+
+
 def _first_votes(v: DataFrame, limits: DataFrame, key: str, order: list[str], salt_buckets: int, tasks: int) -> DataFrame:
     """Votes with their title's ``_m, _s, _c`` (``limits``), less those that can't be among its first ``_m`` in ``order``.
 
     Cut per (title, bucket) of a hash of the order columns, so a title with very many votes is cut by many tasks; the
     first votes of a title are among the first of its buckets.  The limits of titles with more votes than a task takes (fewer than
-    ``tasks``) are broadcast.
+    ``tasks``) are a table of known size, which Spark broadcasts when it is small.
     """
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))
     w = Window.partitionBy(key, "_salt").orderBy(*[F.asc(c) for c in order])
-    hot = limits.where(F.col("_k") > TASK_ROWS)
-    rest = v.join(F.broadcast(hot.select(key)), key, "left_anti").repartition(tasks, key).join(limits.repartition(tasks, key), key)
-    both = rest.unionByName(v.join(F.broadcast(hot), key).select(*rest.columns)).drop("_k")
+    hot = known_size(limits.where(F.col("_k") > TASK_ROWS))
+    rest = v.join(hot.select(key), key, "left_anti").repartition(tasks, key).join(limits.repartition(tasks, key), key)
+    both = rest.unionByName(v.join(hot, key).select(*rest.columns)).drop("_k")
     salted = both.withColumn("_salt", salt).repartition(tasks, key, "_salt").withColumn("_rn", F.row_number().over(w))
     return salted.where(F.col("_rn") <= F.col("_m")).drop("_rn", "_salt")
 

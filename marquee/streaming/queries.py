@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marquee.constants import LOG_WINDOW, TOP_SLIDE, TOP_WINDOW, TOP_WINDOW_N, TREND_WINDOW
 from marquee.functions.text import window_label
+from marquee.operators.ratings import known_size
 from marquee.operators.windows import duration_seconds, trending_flags, window_averages, with_names
 from marquee.sinks.files import claim_sink, read_current
 from marquee.sinks.store import KeyedStore, latest_row, sums
@@ -311,7 +312,8 @@ def _open_tops(votes, names, sink, title, vote, ts, length, slide, n, watermark,
             inside = F.col("pane").between(*(F.timestamp_micros(F.lit(x)) for x in (span["lo"], (span["hi"] or 0) + size * 1_000_000 - 1)))
             if span["lo"] is not None:
                 # one row per window, so the windows of a batch are as many as its time has slides
-                changed = lambda w: w.join(F.broadcast(touched), "window_start", "left_semi")
+                touched = known_size(touched)
+                changed = lambda w: w.join(touched, "window_start", "left_semi")
                 tops.append(_pane_tops(sums_store.rows(inside), _lookup(names, title, name_title, name), changed, title, n, size, step), batch_id)
             if (batch_id + 1) % compact_every == 0:
                 for store in (sums_store, tops, arrivals):
